@@ -21,7 +21,6 @@ def _statistics(field: T.StructField) -> dict[str, tuple[str, Column]]:
     found = {
         "rows": ("count", F.count(F.lit(1))),
         "emptiness": ("count", F.count_if(c.isNull())),
-        "distinct": ("count", F.countDistinct(c)),
     }
     if isinstance(field.dataType, T.NumericType):
         found |= {
@@ -38,6 +37,19 @@ def _statistics(field: T.StructField) -> dict[str, tuple[str, Column]]:
     return found
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (position, distinct): exact, over narrow (column, value) pairs.
+
+    Several distinct counts in one aggregate would copy every wide row once per
+    column; here repeated values collapse before the shuffle.
+    """
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(columns)])
+    values = df.select(F.explode(pairs).alias("p")).select("p.*").where("v IS NOT NULL").distinct()
+    found = values.groupBy("i").agg(F.count(F.lit(1)).alias("distinct"))
+    everything = df.sparkSession.range(len(columns)).select(F.col("id").cast("int").alias("i"))
+    return everything.join(found, "i", "left").na.fill(0, ["distinct"])
+
+
 def profile_table(df: DataFrame) -> DataFrame:
     """Rows (column, statistic, numeric result, string result, count, percent of rows)."""
     aggs, rows = [], []
@@ -58,9 +70,20 @@ def profile_table(df: DataFrame) -> DataFrame:
             )
     wide = df.agg(F.count(F.lit(1)).alias("_all"), *aggs)
     long = wide.select("_all", F.explode(F.array(*rows)).alias("r")).select("_all", "r.*")
-    return long.withColumn(
-        "rows_percentage", F.lit(100.0) * F.try_divide(F.col("counts").cast("double"), F.col("_all"))
-    ).drop("_all")
+    names = F.array(*[F.lit(f.name) for f in _profiled(df)])
+    distinct = distinct_counts(df, [f.name for f in _profiled(df)]).select(
+        df.agg(F.count(F.lit(1))).scalar().alias("_all"),
+        F.element_at(names, F.col("i") + 1).alias("column_name"),
+        F.lit("distinct").alias("statistic"),
+        F.lit(None).cast("double").alias("numeric_result"),
+        F.lit(None).cast("string").alias("string_result"),
+        F.col("distinct").alias("counts"),
+    )
+    return (
+        long.unionByName(distinct)
+        .withColumn("rows_percentage", F.lit(100.0) * F.try_divide(F.col("counts").cast("double"), F.col("_all")))
+        .drop("_all")
+    )
 
 
 def profile_all(tables: dict[str, DataFrame]) -> DataFrame:
@@ -74,7 +97,7 @@ def profile_all(tables: dict[str, DataFrame]) -> DataFrame:
             rows,
             "column_name string, statistic string, numeric_result double, string_result string, counts long, rows_percentage double",
         )
-        total = rows[0]["counts"] if rows else 0
+        total = max((r["counts"] for r in rows if r["statistic"] == "rows"), default=0)
         parts.append(
             result.select(
                 F.lit(name).alias("table_name"),
@@ -107,7 +130,6 @@ def data_status(df: DataFrame) -> DataFrame:
             (F.count_if(c == 0) if number else F.lit(0)).cast("long").alias(f"_z{i}"),
             F.count_if(c.isNull()).alias(f"_m{i}"),
             (F.count_if(F.abs(c) == F.lit(float("inf"))) if infinite else F.lit(0)).cast("long").alias(f"_i{i}"),
-            F.countDistinct(c).alias(f"_u{i}"),
         ]
         rows.append(
             F.struct(
@@ -116,21 +138,38 @@ def data_status(df: DataFrame) -> DataFrame:
                 F.col(f"_m{i}").alias("missing"),
                 F.col(f"_i{i}").alias("infinite"),
                 F.lit(field.dataType.simpleString()).alias("type"),
-                F.col(f"_u{i}").alias("unique"),
-                F.try_divide(F.col(f"_u{i}").cast("double"), F.col("_all")).alias("unique_ratio"),
+                F.col("_all"),
+                F.lit(i).alias("i"),
             )
         )
-    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    status = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    unique = distinct_counts(df, [f.name for f in _profiled(df)]).withColumnRenamed("distinct", "unique")
+    return (
+        status.join(unique, "i")
+        .withColumn("unique_ratio", F.try_divide(F.col("unique").cast("double"), F.col("_all")))
+        .drop("i", "_all")
+    )
 
 
 def column_dictionary(tables: dict[str, DataFrame]) -> DataFrame:
-    """Name, position, type and nullability of every column."""
-    rows = [
-        (name, f.name, i, f.dataType.simpleString(), f.nullable)
-        for name, df in tables.items()
-        for i, f in enumerate(df.schema.fields, 1)
-    ]
-    spark = next(iter(tables.values())).sparkSession
-    return spark.createDataFrame(
-        rows, "table_name string, column_name string, position int, type string, nullable boolean"
-    )
+    """Position, type, nullability and non-missing count of every column, with the rows of its table."""
+    parts = []
+    for name, df in tables.items():
+        fields = df.schema.fields
+        rows = [
+            F.struct(
+                F.lit(f.name).alias("column_name"),
+                F.lit(i).alias("position"),
+                F.lit(f.dataType.simpleString()).alias("type"),
+                F.lit(f.nullable).alias("nullable"),
+                F.col(f"_{i}").alias("present"),
+            )
+            for i, f in enumerate(fields, 1)
+        ]
+        counts = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(f.name).alias(f"_{i}") for i, f in enumerate(fields, 1)])
+        parts.append(
+            counts.select(F.lit(name).alias("table_name"), "rows", F.explode(F.array(*rows)).alias("c")).select(
+                "table_name", "rows", "c.*"
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
