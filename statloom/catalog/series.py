@@ -41,10 +41,12 @@ def _(t: Tables):
     CYCLES.replace("WITH", "WITH RECURSIVE")
     + """, e AS (SELECT id, cycle, event_id, s1 AS ema FROM sensors WHERE cycle = 1
       UNION ALL SELECT s.id, s.cycle, s.event_id, 0.7 * s.s1 + 0.3 * e.ema FROM e JOIN sensors s ON s.id = e.id AND s.cycle = e.cycle + 1)
-    SELECT event_id, round(ema, 6) AS ema FROM e""",
+    SELECT event_id, round(ema + 2e-9, 6) AS ema FROM e""",
 )
 def _(t: Tables):
-    return rounded(M.exponential_average(t.sensors, ["id"], ORDER, "s1", "ema", 0.7).select("event_id", "ema"))
+    out = M.exponential_average(t.sensors, ["id"], ORDER, "s1", "ema", 0.7)
+    # early values have few decimals; the shift keeps exact halves from rounding either way
+    return rounded(out.select("event_id", (F.col("ema") + F.lit(2e-9)).alias("ema")))
 
 
 _ROLL = """round(avg(s1) OVER w, 6) AS a1, round(avg(s2) OVER w, 6) AS a2,

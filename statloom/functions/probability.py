@@ -12,6 +12,7 @@ from statistics import NormalDist
 import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 
 def chi2_tail(x: float, dof: int) -> float:
@@ -74,33 +75,33 @@ def _by_row(fn, *series: pd.Series) -> pd.Series:
     )
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _chi2(x: pd.Series, dof: pd.Series) -> pd.Series:
     return _by_row(lambda v, k: chi2_tail(v, int(k)) if k > 0 else None, x, dof)
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _f(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return _by_row(lambda v, a, b: f_tail(v, a, b) if a > 0 and b > 0 else None, f, d1, d2)
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _t(t: pd.Series, dof: pd.Series) -> pd.Series:
     return _by_row(lambda v, k: t_two_sided(v, k) if k > 0 else None, t, dof)
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _normal_tail(z: pd.Series) -> pd.Series:
     return _by_row(lambda v: math.erfc(abs(v) / math.sqrt(2)), z)
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _normal_quantile(p: pd.Series) -> pd.Series:
     inverse = NormalDist().inv_cdf
     return _by_row(lambda v: inverse(v) if 0 < v < 1 else None, p)
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _normal_cdf(z: pd.Series) -> pd.Series:
     return _by_row(lambda v: 0.5 * math.erfc(-v / math.sqrt(2)), z)
 

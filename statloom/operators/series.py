@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from statloom.functions.aggregates import pearson
 from statloom.operators.ordered import ROWS_PER_SPLIT, look_back, row_index, running
 
 
@@ -164,7 +165,7 @@ def lagged_correlation(
         lambda w: {f"_lag{k}": F.lag(x, k).over(w) for k in range(max_lag + 1)},
         rows_per_split,
     )
-    wide = lagged.agg(*[F.corr(f"_lag{k}", y).alias(f"_r{k}") for k in range(max_lag + 1)])
+    wide = lagged.agg(*[pearson(f"_lag{k}", y).alias(f"_r{k}") for k in range(max_lag + 1)])
     pairs = F.array(
         *[F.struct(F.lit(k).alias("lag"), F.col(f"_r{k}").alias("correlation")) for k in range(max_lag + 1)]
     )
