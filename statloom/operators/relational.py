@@ -79,12 +79,16 @@ def random_percent(df: DataFrame, key: str | Sequence[str], percent: float, seed
     return indexed.where(F.col("_ix") <= wanted).drop("_h", "_ix")
 
 
+def axis(start: float, step: float, count: int) -> Column:
+    """Array of ``count`` values from ``start`` on."""
+    return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.lit(start) + i * F.lit(step))
+
+
 def parameter_grid(spark: SparkSession, axes: dict[str, tuple[float, float, int]]) -> DataFrame:
     """All combinations of (start, step, count) sequences."""
     out = spark.range(1)
-    for name, (start, step, count) in axes.items():
-        values = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.lit(start) + i * F.lit(step))
-        out = out.withColumn(name, F.explode(values))
+    for name, sequence in axes.items():
+        out = out.withColumn(name, F.explode(axis(*sequence)))
     return out.drop("id")
 
 
