@@ -1 +1,514 @@
-"""Queries."""
+"""Model training, scoring, tuning and explanation."""
+
+from pyspark.ml.clustering import KMeans
+from pyspark.sql import functions as F
+
+from statloom.catalog import Tables, query, rounded
+from statloom.catalog.inputs import cte
+from statloom.catalog.jobs import return_lines
+from statloom.catalog.series import cycles
+from statloom.learn import (
+    clusters as K,
+    ensembles as N,
+    evaluation as E,
+    explain,
+    groups as G,
+    imputation,
+    lines as L,
+    neighbours,
+    neural,
+    scoring as S,
+    selection as X,
+    training as M,
+)
+from statloom.operators import relational as R, sampling
+from statloom.plans import customers, maintenance, passengers
+from statloom.session import materialise
+from statloom.sources.writers import scratch_folder
+
+FEATURES = passengers.FEATURES
+SENSORS = ["cycle", "s1", "s2", "a1", "a2", "sd1", "sd2"]
+
+
+def survival(t: Tables):
+    """Train and test passengers."""
+    rows = materialise(passengers.model_input(t.passengers).dropna())
+    return sampling.train_test_split(rows, "passenger_id", 70, seed=123)
+
+
+def engine(t: Tables):
+    """Train and test cycles with rolling features and labels."""
+    rows = materialise(maintenance.train_features(cycles(t).drop("event_id"), ["s1", "s2"]))
+    return sampling.train_test_split(rows, ["id", "cycle"], 70)
+
+
+def _binary(df):
+    return E.binary_metrics(df, "survived", "prediction")
+
+
+def _regression(df):
+    return E.regression_metrics(df, "rul", "prediction")
+
+
+def _multiclass(df):
+    return E.class_metrics(df, "label2", "prediction")
+
+
+def _fit_report(t: Tables, kind: str, **options):
+    train, test = survival(t)
+    model = M.model_pipeline(kind, FEATURES, "survived", **options).fit(train)
+    return X.generalisation(model, train, test, _binary)
+
+
+LINE = "regr_slope(l_extendedprice, l_quantity) AS slope, regr_intercept(l_extendedprice, l_quantity) AS intercept"
+
+
+@query(
+    "l1_line_fit",
+    f"WITH f AS (SELECT {LINE}, count(*) AS n FROM lineitem) SELECT round(intercept, 4) AS intercept, round(slope, 6) AS slope, n FROM f",
+)
+def _(t: Tables):
+    line = L.fit_line(t.lineitem, "l_quantity", "l_extendedprice").drop("rmse")
+    return rounded(rounded(line, 4, "intercept"), 6, "slope")
+
+
+@query(
+    "l1_coefficient_table",
+    """WITH s AS (SELECT covar_pop(l_quantity, l_extendedprice) AS ay, covar_pop(l_tax, l_extendedprice) AS ty, covar_pop(l_quantity, l_tax) AS ab,
+      var_pop(l_quantity) AS aa, var_pop(l_tax) AS bb, avg(l_quantity) AS ma, avg(l_tax) AS mb, avg(l_extendedprice) AS my FROM lineitem),
+    c AS (SELECT *, (ay * bb - ty * ab) / (aa * bb - ab * ab) AS p, (ty * aa - ay * ab) / (aa * bb - ab * ab) AS q FROM s)
+    SELECT 'l_quantity' AS term, round(p, 4) AS estimate FROM c UNION ALL SELECT 'l_tax', round(q, 4) FROM c
+    UNION ALL SELECT '(intercept)', round(my - p * ma - q * mb, 4) FROM c""",
+)
+def _(t: Tables):
+    model = M.model_pipeline("linear", ["l_quantity", "l_tax"], "l_extendedprice").fit(t.lineitem)
+    return rounded(M.coefficient_table(model, ["l_quantity", "l_tax"]).select("term", "estimate"), 4)
+
+
+@query(
+    "l2_predictions_residuals",
+    f"""WITH f AS (SELECT {LINE} FROM lineitem) SELECT l_orderkey, l_linenumber, round(intercept + slope * l_quantity, 4) AS pred,
+    round(l_extendedprice - (intercept + slope * l_quantity), 4) AS resid FROM lineitem, f""",
+)
+def _(t: Tables):
+    line = L.fit_line(t.lineitem, "l_quantity", "l_extendedprice")
+    rows = L.add_predictions(t.lineitem, line, "l_quantity")
+    rows = L.add_residuals(rows, line, "l_quantity", "l_extendedprice")
+    return rounded(rows.select("l_orderkey", "l_linenumber", "pred", "resid"), 4)
+
+
+@query(
+    "l2_prediction_grid",
+    f"""WITH f AS (SELECT {LINE} FROM lineitem) SELECT DISTINCT l_quantity, round(intercept + slope * l_quantity, 4) AS pred FROM lineitem, f""",
+)
+def _(t: Tables):
+    line = L.fit_line(t.lineitem, "l_quantity", "l_extendedprice")
+    return rounded(L.add_predictions(t.lineitem.select("l_quantity").distinct(), line, "l_quantity"), 4)
+
+
+GRID = {"intercepts": (-40000.0, 80000 / 29, 30), "slopes": (-1000.0, 6000 / 29, 30)}
+
+
+@query(
+    "l3_j5_grid_search",
+    f"""WITH g AS (SELECT CAST(-40000 + a * {80000 / 29!r} AS DOUBLE) AS a1, CAST(-1000 + b * {6000 / 29!r} AS DOUBLE) AS a2 FROM range(30) x(a), range(30) y(b)),
+    s AS (SELECT l_quantity AS x, sum(l_extendedprice) AS y, sum(l_extendedprice ** 2) AS yy, count(*) AS n FROM lineitem GROUP BY 1),
+    e AS (SELECT a1, a2, sqrt(sum(yy - 2 * (a1 + a2 * x) * y + n * (a1 + a2 * x) ** 2) / sum(n)) AS dist FROM g, s GROUP BY ALL)
+    SELECT round(a1, 4) AS a1, round(a2, 4) AS a2, round(dist, 3) AS dist, CAST(rank() OVER (ORDER BY dist) AS DOUBLE) AS rank FROM e QUALIFY rank < 20""",
+)
+def _(t: Tables):
+    best = L.best_lines(L.grid_search(t.lineitem, "l_quantity", "l_extendedprice", **GRID))
+    return rounded(rounded(best, 4, "a1", "a2"), 3, "dist").select("a1", "a2", "dist", "rank")
+
+
+@query("l3_random_search")
+def _(t: Tables):
+    tried = L.random_search(t.lineitem, "l_quantity", "l_extendedprice", 5000, (-40000.0, 80000.0), (-1000.0, 2000.0), seed=1)
+    return L.best_lines(tried)
+
+
+@query(
+    "l4_least_error",
+    f"""WITH f AS (SELECT {LINE} FROM lineitem) SELECT round(sqrt(avg((l_extendedprice - intercept - slope * l_quantity) ** 2)), 4) AS rmse FROM lineitem, f""",
+)
+def _(t: Tables):
+    return rounded(L.fit_line(t.lineitem, "l_quantity", "l_extendedprice").select("rmse"), 4)
+
+
+@query("l5_regularised_linear")
+def _(t: Tables):
+    train, test = engine(t)
+    model = M.model_pipeline("linear", SENSORS, "rul", scale=True, l1=0.1, l2=0.1).fit(train)
+    return X.generalisation(model, train, test, _regression)
+
+
+@query(
+    "l6_glm_deviance",
+    """WITH f AS (SELECT count(*) - 2 AS df, regr_sxx(l_extendedprice, l_discount) AS sxx, regr_syy(l_extendedprice, l_discount) AS syy,
+      regr_sxy(l_extendedprice, l_discount) AS sxy FROM lineitem)
+    SELECT round((syy - sxy * sxy / sxx) / 1e9, 4) AS deviance_bn, df, round(syy / 1e9, 4) AS null_deviance_bn FROM f""",
+)
+def _(t: Tables):
+    model = M.model_pipeline("glm", ["l_discount"], "l_extendedprice").fit(t.lineitem)
+    s = M.deviance_summary(model)
+    return rounded(
+        s.select((F.col("deviance") / 1e9).alias("deviance_bn"), "df", (F.col("null_deviance") / 1e9).alias("null_deviance_bn")), 4
+    )
+
+
+@query("l7_logistic_binary")
+def _(t: Tables):
+    return _fit_report(t, "logistic", l1=0.001, l2=0.001)
+
+
+@query("l8_logistic_multinomial")
+def _(t: Tables):
+    train, test = engine(t)
+    model = M.model_pipeline("logistic", SENSORS, "label2", classes=3, iterations=30).fit(train)
+    return _multiclass(model.transform(test))
+
+
+@query("l9_decision_tree")
+def _(t: Tables):
+    return _fit_report(t, "tree_classifier", depth=8, min_leaf=2)
+
+
+@query("l9_e12_importance")
+def _(t: Tables):
+    train, _ = survival(t)
+    model = M.model_pipeline("tree_classifier", FEATURES, "survived", depth=8).fit(train)
+    return M.importance_table(model, FEATURES, t.spark)
+
+
+@query("l10_regression_tree")
+def _(t: Tables):
+    train, test = engine(t)
+    model = M.model_pipeline("tree_regressor", SENSORS, "rul").fit(train)
+    return X.generalisation(model, train, test, _regression)
+
+
+@query("l11_forest_classifier")
+def _(t: Tables):
+    return _fit_report(t, "forest_classifier", trees=20, depth=5, per_split=3, share=0.7)
+
+
+@query("l11_forest_regressor")
+def _(t: Tables):
+    train, test = engine(t)
+    model = M.model_pipeline("forest_regressor", SENSORS, "rul", trees=10, share=0.7).fit(train)
+    return X.generalisation(model, train, test, _regression)
+
+
+@query("l12_boosted_regressor")
+def _(t: Tables):
+    train, test = engine(t)
+    model = M.model_pipeline("boosted_regressor", SENSORS, "rul", trees=5).fit(train)
+    return X.generalisation(model, train, test, _regression)
+
+
+@query("l12_boosted_classifier")
+def _(t: Tables):
+    return _fit_report(t, "boosted_classifier", trees=5)
+
+
+@query("l12_boosted_multiclass")
+def _(t: Tables):
+    train, test = engine(t)
+    model = M.model_pipeline("boosted_classifier", SENSORS, "label2", classes=3, trees=3).fit(train)
+    return _multiclass(model.transform(test))
+
+
+@query("l13_network_classifier")
+def _(t: Tables):
+    return _fit_report(t, "network", scale=True, hidden=[8], iterations=30)
+
+
+@query("l13_network_multiclass")
+def _(t: Tables):
+    train, test = engine(t)
+    model = M.model_pipeline("network", SENSORS, "label2", classes=3, scale=True, hidden=[8], iterations=30).fit(train)
+    return _multiclass(model.transform(test))
+
+
+@query("l14_network_regressor")
+def _(t: Tables):
+    train, test = engine(t)
+    model = neural.fit_network(train, SENSORS, "rul", hidden=(8,), iterations=15)
+    return X.generalisation(model, train, test, _regression)
+
+
+@query("l15_linear_svm")
+def _(t: Tables):
+    return _fit_report(t, "svm", scale=True, l2=0.01, iterations=20)
+
+
+@query("l15_kernel_svm")
+def _(t: Tables):
+    train, test = survival(t)
+    model = M.rbf_svm(train, FEATURES, "survived", waves=50).fit(train)
+    return X.generalisation(model, train, test, _binary)
+
+
+_KNN = """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v, CAST(concat('0x', substr(md5(concat_ws(':', '0', CAST(vec_id AS VARCHAR))), 1, 7)) AS BIGINT)
+    / 268435456.0 < 0.7 AS tr FROM embeddings),
+  p AS (SELECT b.vec_id, a.label, sqrt(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: (a.v[i] - b.v[i]) ** 2))) AS dist FROM e a, e b WHERE a.tr AND NOT b.tr),
+  k AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY dist, label) <= 3),
+  w AS (SELECT vec_id, label, count(*) AS n FROM k GROUP BY ALL)
+  SELECT vec_id, label AS predicted FROM w QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY n DESC, label) = 1"""
+
+
+@query("l16_nearest_neighbours", _KNN)
+def _(t: Tables):
+    rows = t.embeddings.withColumn("v", F.col("embedding").cast("array<double>"))
+    train, test = sampling.train_test_split(rows, "vec_id", 70)
+    return neighbours.classify(train, test, "v", "label", "vec_id", k=3, pivots=16, shard_rows=2_000)
+
+
+@query("l17_ensemble_average")
+def _(t: Tables):
+    train, test = engine(t)
+    members = [
+        M.model_pipeline("forest_regressor", SENSORS, "rul", trees=10, share=0.7),
+        M.model_pipeline("boosted_regressor", SENSORS, "rul", trees=5),
+        M.model_pipeline("linear", SENSORS, "rul"),
+    ]
+    model = N.fit_ensemble(train, members, ["id", "cycle"], "average")
+    return X.generalisation(model, train, test, _regression)
+
+
+@query("l17_ensemble_vote")
+def _(t: Tables):
+    train, test = survival(t)
+    members = [
+        M.model_pipeline("forest_classifier", FEATURES, "survived", trees=10),
+        M.model_pipeline("tree_classifier", FEATURES, "survived"),
+        M.model_pipeline("logistic", FEATURES, "survived"),
+    ]
+    model = N.fit_ensemble(train, members, "passenger_id", "vote")
+    return X.generalisation(model, train, test, _binary)
+
+
+@query("l17_ensemble_probability")
+def _(t: Tables):
+    train, test = survival(t)
+    members = [M.model_pipeline("tree_classifier", FEATURES, "survived", depth=d) for d in (3, 5)]
+    model = N.fit_ensemble(train, members, "passenger_id", "probability")
+    return X.generalisation(model, train, test, _binary)
+
+
+@query("l18_kmeans")
+def _(t: Tables):
+    rows = materialise(K.with_vector(t.embeddings, "embedding"))
+    model = KMeans(k=10, seed=0, predictionCol="cluster").fit(rows)
+    return model.transform(rows).select("vec_id", "label", "cluster")
+
+
+@query("l18_kmeans_centres")
+def _(t: Tables):
+    rows = materialise(K.with_vector(t.embeddings, "embedding"))
+    return K.centres(KMeans(k=10, seed=0).fit(rows), t.spark)
+
+
+@query("l19_elbow")
+def _(t: Tables):
+    return K.elbow(customers.return_profile(return_lines(t)), customers.RATIOS, range(1, 7))
+
+
+@query("l20_customer_segments")
+def _(t: Tables):
+    profile = materialise(customers.return_profile(return_lines(t)))
+    model = K.kmeans(customers.RATIOS, 4, seed=111).fit(profile)
+    found = model.transform(profile).drop("features")
+    sizes = found.groupBy("cluster").agg(F.count("*").alias("n"), *[F.avg(c).alias(c) for c in customers.RATIOS])
+    return sizes
+
+
+@query(
+    "l21_pca_explained",
+    """WITH r AS (SELECT abs(corr(p_size, p_retailprice)) AS r FROM part)
+    SELECT 1 AS component, round((1 + r) / 2, 6) AS share FROM r UNION ALL SELECT 2, round((1 - r) / 2, 6) FROM r""",
+)
+def _(t: Tables):
+    return rounded(M.principal_components(t.part, ["p_size", "p_retailprice"], 2)[1])
+
+
+@query("l21_pca_scores")
+def _(t: Tables):
+    rows = passengers.model_input(t.passengers).dropna()
+    return M.principal_components(rows, FEATURES, 5, scale=True)[2].select("passenger_id", "scores")
+
+
+@query("l21_pca_rotation")
+def _(t: Tables):
+    rows = passengers.model_input(t.passengers).dropna()
+    return M.principal_components(rows, FEATURES, 2, scale=False)[0]
+
+
+_GROUP = cte("trips") + """, f AS (SELECT payment_type, count(*) AS n, regr_slope(total_amount, fare_amount) AS b, regr_intercept(total_amount, fare_amount) AS a
+  FROM trips GROUP BY 1)"""
+
+
+@query(
+    "l22_group_linear",
+    _GROUP + " SELECT payment_type, n, round(a, 4) AS intercept, round(b, 4) AS slope FROM f",
+)
+def _(t: Tables):
+    model = G.group_linear(t.trips, "payment_type", ["fare_amount"], "total_amount")
+    c = F.col("coefficients")
+    return rounded(model.select("payment_type", "n", c[0].alias("intercept"), c[1].alias("slope")), 4)
+
+
+@query(
+    "l22_group_linear_scores",
+    _GROUP
+    + """ SELECT payment_type, count(*) AS n, round(sum(a + b * fare_amount), 2) AS predicted FROM trips JOIN f USING (payment_type) GROUP BY 1""",
+)
+def _(t: Tables):
+    model = G.group_linear(t.trips, "payment_type", ["fare_amount"], "total_amount")
+    scored = G.score_groups(t.trips, model, "payment_type", ["fare_amount"], "predicted")
+    return rounded(scored.groupBy("payment_type").agg(F.count("*").alias("n"), F.sum("predicted").alias("predicted")), 2)
+
+
+@query("l22_group_logistic")
+def _(t: Tables):
+    trips = t.trips.withColumn("tipped", F.when(F.col("tip_amount") > F.col("total_amount") / 50, 1).otherwise(0))
+    features = ["trip_distance", "total_amount"]
+    model = G.group_logistic(trips, "payment_type", features, "tipped", iterations=6)
+    scored = G.score_groups(trips, model, "payment_type", features, "probability", logistic=True)
+    return scored.groupBy("payment_type").agg(F.avg("tipped").alias("share"), F.avg("probability").alias("expected"))
+
+
+@query("l23_batch_scores")
+def _(t: Tables):
+    train, test = survival(t)
+    model = M.model_pipeline("forest_classifier", FEATURES, "survived", trees=10).fit(train)
+    return S.score(model, test, ["passenger_id", "survived"], classes=2)
+
+
+@query("l24_filtered_scores")
+def _(t: Tables):
+    train, test = survival(t)
+    model = M.model_pipeline("logistic", FEATURES, "survived").fit(train)
+    return S.score_where(model, test, "pclass = 1", ["passenger_id", "survived"], classes=2)
+
+
+@query("l24_single_score")
+def _(t: Tables):
+    train, _ = survival(t)
+    model = M.model_pipeline("logistic", FEATURES, "survived").fit(train)
+    row = {"title": 1, "embarked": 0, "fare": 2, "pclass": 1, "sex": 1, "age": 30, "is_alone": 1}
+    return S.score_one(model, t.spark, row, classes=2)
+
+
+@query("l25_l28_model_registry")
+def _(t: Tables):
+    """The forest with 38 trees of depth 12, 3 columns per split and at least 100 rows to split."""
+    train, test = survival(t)
+    options = {"trees": 38, "per_split": 3, "depth": 12, "min_leaf": 50}
+    model = M.model_pipeline("forest_classifier", FEATURES, "survived", **options).fit(train)
+    path = S.save_model(model, scratch_folder(t.spark, "model"))
+    entry = {"name": "forest", "path": path, **options, "train_f": _binary(model.transform(train)).first()["f_score"]}
+    registry = S.register(S.empty_registry(t.spark), entry)
+    loaded = S.load_model(path)
+    registry = S.set_test_score(registry, "forest", _binary(loaded.transform(test)).first()["f_score"])
+    return S.model_sizes(registry).drop("path", "trained")
+
+
+@query("l26_model_factory_regression")
+def _(t: Tables):
+    train, test = engine(t)
+    learners = {
+        "linear": lambda f: M.model_pipeline("linear", f, "rul", scale=True, l2=0.01),
+        "glm": lambda f: M.model_pipeline("glm", f, "rul"),
+        "forest": lambda f: M.model_pipeline("forest_regressor", f, "rul", trees=5),
+        "boosted": lambda f: M.model_pipeline("boosted_regressor", f, "rul", trees=3),
+    }
+    metrics = X.model_factory(train, test, "rul", 5, learners, _regression, exclude=["id", "label1", "label2"])
+    return metrics.orderBy("mae")
+
+
+@query("l26_model_factory_normalised")
+def _(t: Tables):
+    train, test = engine(t)
+    train, test, _ = maintenance.normalised(train, test, SENSORS)
+    learners = {
+        "logistic": lambda f: M.model_pipeline("logistic", f, "label1"),
+        "forest": lambda f: M.model_pipeline("forest_classifier", f, "label1", trees=5),
+    }
+    evaluate = lambda d: E.binary_metrics(d, "label1", "prediction")
+    return X.model_factory(train, test, "label1", 5, learners, evaluate, exclude=["id", "rul", "label2"])
+
+
+@query("l27_tuning_leaderboard")
+def _(t: Tables):
+    train, test = survival(t)
+    grid = R.parameter_grid(t.spark, {"trees": (4, 4, 4), "depth": (2, 2, 4), "per_split": (1, 1, 5)})
+    tried = R.random_percent(grid, ["trees", "depth", "per_split"], 5, seed=3)
+    return X.tune(train, test, tried, lambda p: M.model_pipeline("forest_classifier", FEATURES, "survived", **p), _binary, "f_score")
+
+
+@query("l29_formula_model")
+def _(t: Tables):
+    """Features kept by the chi-square screening become the model's inputs."""
+    from statloom.operators.association import screen_features
+
+    train, test = survival(t)
+    kept = screen_features(train, FEATURES, "survived").where("relevant AND p_value < 0.05")
+    features = [r["feature"] for r in kept.select("feature").orderBy("feature").collect()]
+    model = M.model_pipeline("tree_classifier", features, "survived").fit(train)
+    return X.generalisation(model, train, test, _binary).withColumn("formula", F.lit("survived ~ " + " + ".join(features)))
+
+
+@query("e8_cross_validation")
+def _(t: Tables):
+    train, _ = survival(t)
+    fit = M.model_pipeline("tree_classifier", FEATURES, "survived", depth=8, min_leaf=2).fit
+    folds = X.cross_validate(train, "passenger_id", 4, fit, _binary, seed=12)
+    return X.fold_summary(folds, "accuracy")
+
+
+@query("e10_train_and_test")
+def _(t: Tables):
+    train, test = engine(t)
+    model = M.model_pipeline("linear", SENSORS, "rul").fit(train)
+    return X.generalisation(model, train, test, _regression)
+
+
+@query("e11_shapley")
+def _(t: Tables):
+    features = ["c_nationkey", "c_acctbal"]
+    model = M.model_pipeline("tree_regressor", features, "c_custkey", depth=4).fit(t.customer)
+    return explain.shapley(model.transform, t.customer, t.customer, features, "c_custkey", samples=10)
+
+
+@query("c6_impute_pmm")
+def _(t: Tables):
+    rows = t.passengers.select("passenger_id", "age", "fare", "pclass", "sibsp")
+    return imputation.impute_pmm(rows, ["age", "fare"], ["pclass", "sibsp"], iterations=1, rows_per_split=5_000)
+
+
+@query("f7_passenger_survival")
+def _(t: Tables):
+    """Prepared input, several models, cross validation and the final predictions."""
+    return passengers.survival_job(t.passengers)
+
+
+@query("u3_script_over_query", "SELECT c_mktsegment, c_custkey, round(c_acctbal * 2, 6) AS doubled FROM customer WHERE c_acctbal > 0")
+def _(t: Tables):
+    def script(batches):
+        for pdf in batches:
+            yield pdf.assign(doubled=pdf["c_acctbal"] * 2)[["c_mktsegment", "c_custkey", "doubled"]]
+
+    rows = t.customer.where("c_acctbal > 0").select("c_mktsegment", "c_custkey", "c_acctbal")
+    return rounded(rows.mapInPandas(script, "c_mktsegment string, c_custkey long, doubled double"))
+
+
+@query(
+    "u5_mapped_over_parameters",
+    """SELECT p AS quantile, count(*) FILTER (l_quantity <= p) AS lines FROM lineitem, (VALUES (10), (20), (30)) v(p) GROUP BY 1""",
+)
+def _(t: Tables):
+    counts = t.lineitem.groupBy("l_quantity").agg(F.count("*").alias("n"))
+    each = counts.withColumn("quantile", F.explode(F.array(*[F.lit(p) for p in (10, 20, 30)])))
+    below = F.when(F.col("l_quantity") <= F.col("quantile"), F.col("n")).otherwise(0)
+    return each.groupBy("quantile").agg(F.sum(below).alias("lines"))

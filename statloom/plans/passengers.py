@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from statloom.functions import scalars as S
+from statloom.learn.evaluation import binary_metrics
+from statloom.learn.selection import cross_validate, fold_summary
+from statloom.learn.training import model_pipeline
 from statloom.operators import bins, clean
+from statloom.session import materialise
 
 # fixed values: title groups of the two preparations and the codes
 TITLE_GROUPS_SHORT = {
@@ -62,3 +66,22 @@ def model_input(passengers: DataFrame) -> DataFrame:
         S.is_alone(F.col("sibsp"), F.col("parch")).alias("is_alone"),
         "survived",
     )
+
+
+def survival_job(passengers: DataFrame, folds: int = 4) -> DataFrame:
+    """Predictions for passengers without an outcome by the tree that cross validation rates.
+
+    Returns (passenger_id, predicted, cv_accuracy, cv_deviation).
+    """
+    rows = materialise(model_input(passengers))
+    known = rows.where(F.col("survived").isNotNull())
+    tree = model_pipeline("tree_classifier", FEATURES, "survived", depth=8, min_leaf=2)
+    scores = cross_validate(known, "passenger_id", folds, tree.fit, lambda d: binary_metrics(d, "survived", "prediction"), seed=12)
+    rating = fold_summary(scores, "accuracy").first()
+    found = tree.fit(known).transform(rows.where(F.col("survived").isNull()))
+    return found.select(
+        "passenger_id",
+        F.col("prediction").cast("int").alias("predicted"),
+        F.lit(rating["mean"]).alias("cv_accuracy"),
+        F.lit(rating["st_deviation"]).alias("cv_deviation"),
+    )
