@@ -111,12 +111,10 @@ def _(t: Tables):
 
 def return_lines(t: Tables):
     returned = F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
-    return t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_custkey").alias("customer"),
-        F.col("o_orderkey").alias("order_id"),
-        F.col("l_extendedprice").alias("amount"),
-        returned.alias("returned"),
+    lines = t.lineitem.select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_extendedprice").alias("amount"), returned.alias("returned")
     )
+    return lines, t.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer"))
 
 
 @query(
@@ -128,4 +126,4 @@ def return_lines(t: Tables):
       round(sum(mr) / sum(m), 6) AS monetary_ratio, CAST(sum(a) AS DOUBLE) AS frequency FROM o GROUP BY 1""",
 )
 def _(t: Tables):
-    return rounded(customers.return_profile(return_lines(t)))
+    return rounded(customers.return_profile(*return_lines(t)))

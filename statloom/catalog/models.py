@@ -311,12 +311,12 @@ def _(t: Tables):
 
 @query("l19_elbow")
 def _(t: Tables):
-    return K.elbow(customers.return_profile(return_lines(t)), customers.RATIOS, range(1, 7))
+    return K.elbow(customers.return_profile(*return_lines(t)), customers.RATIOS, range(1, 7))
 
 
 @query("l20_customer_segments")
 def _(t: Tables):
-    profile = materialise(customers.return_profile(return_lines(t)))
+    profile = materialise(customers.return_profile(*return_lines(t)))
     model = K.kmeans(customers.RATIOS, 4, seed=111).fit(profile)
     found = model.transform(profile).drop("features")
     sizes = found.groupBy("cluster").agg(F.count("*").alias("n"), *[F.avg(c).alias(c) for c in customers.RATIOS])

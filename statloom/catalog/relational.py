@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from statloom.catalog import Tables, query, rounded
 from statloom.catalog.inputs import cte
 from statloom.operators import relational as R
-from statloom.operators.ordered import dense_rank, ntile, row_index, running
+from statloom.operators.ordered import join_small, ntile, row_index, running
 from statloom.sources import readers, writers
 
 ORDERS = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"
@@ -231,8 +231,7 @@ def _(t: Tables):
     "SELECT o_orderkey, dense_rank() OVER (ORDER BY o_orderpriority) AS code FROM orders",
 )
 def _(t: Tables):
-    codes = dense_rank(t.orders, "o_orderpriority")
-    return t.orders.join(codes, "o_orderpriority").select("o_orderkey", "code")
+    return R.add_code(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderpriority", "code").drop("o_orderpriority")
 
 
 @query("w3_ntile", "SELECT event_id, CAST(ntile(6) OVER (ORDER BY value, event_id) AS INT) AS tile FROM events")
@@ -248,7 +247,7 @@ def _(t: Tables):
 def _(t: Tables):
     counts = t.invoices.groupBy("vendor").agg(F.count("*").alias("transactions"))
     peak = t.invoices.agg(F.max("amount").alias("m")).scalar()
-    return rounded(t.invoices.join(counts, "vendor").withColumn("of_max", F.col("amount") / peak))
+    return rounded(join_small(t.invoices, counts, ["vendor"]).withColumn("of_max", F.col("amount") / peak))
 
 
 @query(
@@ -407,9 +406,8 @@ def _(t: Tables):
     "SELECT p_partkey, dense_rank() OVER (ORDER BY p_type) AS type_code, dense_rank() OVER (ORDER BY p_brand) AS brand_code FROM part",
 )
 def _(t: Tables):
-    types = dense_rank(t.part, "p_type", "type_code")
-    brands = dense_rank(t.part, "p_brand", "brand_code")
-    return t.part.join(types, "p_type").join(brands, "p_brand").select("p_partkey", "type_code", "brand_code")
+    rows = R.add_code(t.part.select("p_partkey", "p_type", "p_brand"), "p_type", "type_code")
+    return R.add_code(rows, "p_brand", "brand_code").select("p_partkey", "type_code", "brand_code")
 
 
 @query(

@@ -176,13 +176,14 @@ def roc_points(df: DataFrame, actual: str, score: str, rows_per_split: int = ROW
     counts = rows.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(F.col(actual) == 1).alias("pos"), F.count_if(F.col(actual) == 0).alias("neg")
     )
-    summed = running(counts, [], ["-threshold"], {"tp": ("sum", "pos"), "fp": ("sum", "neg")}, rows_per_split, reuse=True)
-    totals = rows.agg(
-        F.struct(F.count_if(F.col(actual) == 1).alias("p"), F.count_if(F.col(actual) == 0).alias("n")).alias("t")
-    ).scalar()
+    wanted = {"tp": ("sum", "pos"), "fp": ("sum", "neg"), "_p": ("total", "pos"), "_n": ("total", "neg")}
+    summed = running(counts, [], ["-threshold"], wanted, rows_per_split, reuse=True)
     return summed.withColumns(
-        {"tpr": F.try_divide(F.col("tp").cast("double"), totals["p"]), "fpr": F.try_divide(F.col("fp").cast("double"), totals["n"])}
-    )
+        {
+            "tpr": F.try_divide(F.col("tp").cast("double"), F.col("_p")),
+            "fpr": F.try_divide(F.col("fp").cast("double"), F.col("_n")),
+        }
+    ).drop("_p", "_n")
 
 
 def auc(df: DataFrame, actual: str, score: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, DoubleType
 
 from statloom.functions.scalars import sigmoid
+from statloom.operators.ordered import join_small
 from statloom.session import materialise
 
 SMALL_TABLE = 50_000
@@ -120,5 +121,5 @@ def group_logistic(
 def score_groups(df: DataFrame, model: DataFrame, group: str, features: Sequence[str], name: str, logistic: bool = False) -> DataFrame:
     """Apply the model of the row's own group; groups without a model give NULL."""
     score = _linear_score(features, "coefficients")
-    joined = df.join(model.select(group, "coefficients"), group, "left")
+    joined = join_small(df, model.select(group, "coefficients"), [group], "left")
     return joined.withColumn(name, sigmoid(score) if logistic else score).drop("coefficients")

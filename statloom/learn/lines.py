@@ -64,7 +64,7 @@ def random_search(
 
 def best_lines(lines: DataFrame, below: float = 20) -> DataFrame:
     """Lines whose tie-averaged error rank is under ``below``."""
-    ranks = average_rank(lines, "dist").where(F.col("rank") < below).drop("n")
+    ranks = average_rank(lines, "dist").where(F.col("rank") < below).drop("n", "total")
     return lines.join(ranks, "dist")
 
 

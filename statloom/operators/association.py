@@ -16,7 +16,8 @@ from statloom.functions.probability import (
     t_p_value,
 )
 from statloom.functions.scalars import select_matching, truncate
-from statloom.operators.ordered import ROWS_PER_SPLIT, average_rank, dense_rank, running
+from statloom.operators.ordered import ROWS_PER_SPLIT, average_rank, dense_rank, join_small, running
+from statloom.session import materialise
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -75,14 +76,11 @@ def _cells(df: DataFrame, x: str, y: str) -> DataFrame:
 
 def spearman(df: DataFrame, x: str, y: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
     """Correlation of tie-averaged ranks, over counted (x, y) cells, with its p-value."""
-    cells = _cells(df, x, y)
-    pairs = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    rank_x = average_rank(pairs, x, "rx", rows_per_split).select(F.col(x).alias("x"), "rx")
-    rank_y = average_rank(pairs, y, "ry", rows_per_split).select(F.col(y).alias("y"), "ry")
-    middle = (pairs.agg(F.count(F.lit(1)).alias("n")).scalar() + 1) / 2
-    ranked = cells.join(rank_x, "x").join(rank_y, "y").select(
-        "n", (F.col("rx") - middle).alias("u"), (F.col("ry") - middle).alias("v")
-    )
+    cells = materialise(_cells(df, x, y))
+    middle = (F.col("total") + 1) / 2
+    rank_x = average_rank(cells, "x", "rank", rows_per_split, "n").select("x", (F.col("rank") - middle).alias("u"))
+    rank_y = average_rank(cells, "y", "rank", rows_per_split, "n").select("y", (F.col("rank") - middle).alias("v"))
+    ranked = join_small(join_small(cells, rank_x, ["x"]), rank_y, ["y"])
     u, v, n = F.col("u"), F.col("v"), F.col("n")
     sums = ranked.agg(
         F.sum("n").alias("n"), F.sum(n * u * v).alias("uv"), F.sum(n * u * u).alias("uu"), F.sum(n * v * v).alias("vv")
@@ -100,11 +98,10 @@ def kendall(df: DataFrame, x: str, y: str, rows_per_split: int = ROWS_PER_SPLIT)
     for every row with the bit set how many rows without it lie below.  A row
     takes part once per bit, so the work grows with rows times log(levels).
     """
-    cells = _cells(df, x, y)
-    codes = dense_rank(cells, "y", "_code", rows_per_split)
-    levels = codes.agg(F.max("_code").alias("m")).first()["m"] or 1
+    cells = materialise(_cells(df, x, y))
+    levels = cells.agg(F.countDistinct("y").alias("m")).first()["m"] or 1
     bits = max(1, int(levels - 1).bit_length())
-    coded = cells.join(codes, "y").withColumn("_code", F.col("_code") - 1)
+    coded = join_small(cells, dense_rank(cells, "y", "_code", rows_per_split), ["y"]).withColumn("_code", F.col("_code") - 1)
     per_bit = coded.select(
         "x", "n", "_code", F.explode(F.array(*[F.lit(b) for b in range(bits)])).alias("level")
     ).withColumn("prefix", F.expr("shiftright(_code, level + 1)"))
@@ -160,7 +157,7 @@ def contingency(df: DataFrame, a: str, b: str, rounded_expected: bool = False) -
     cells = df.groupBy(F.col(a).alias("on_rows"), F.col(b).alias("on_cols")).agg(F.count(F.lit(1)).alias("observed"))
     rows = cells.groupBy(F.col("on_rows").alias("_r")).agg(F.sum("observed").alias("observed_on_rows"))
     cols = cells.groupBy(F.col("on_cols").alias("_c")).agg(F.sum("observed").alias("observed_on_cols"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    total = cells.agg(F.sum("observed").alias("n")).scalar()
     expected = F.col("observed_on_rows").cast("double") * F.col("observed_on_cols") / F.col("observed_total")
     if rounded_expected:
         expected = F.round(expected, 0).cast("long")
@@ -303,6 +300,5 @@ def kolmogorov_smirnov(df: DataFrame, column: str) -> DataFrame:
 def qq_points(df: DataFrame, column: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
     """Distinct values with the normal quantile of their middle rank."""
     ranks = average_rank(df, column, "rank", rows_per_split)
-    total = df.agg(F.count(column).alias("n")).scalar()
-    p = (F.col("rank") - 0.5) / total
+    p = (F.col("rank") - 0.5) / F.col("total")
     return ranks.select(column, "n", normal_quantile(p).alias("theoretical"))

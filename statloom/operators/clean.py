@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from statloom.functions.scalars import nearest_half
 from statloom.operators.describe import mode
-from statloom.operators.ordered import ROWS_PER_SPLIT, quantiles
+from statloom.operators.ordered import ROWS_PER_SPLIT, join_small, quantiles
 
 
 def fill_constant(df: DataFrame, values: dict[str, object], flag_suffix: str | None = None) -> DataFrame:
@@ -33,8 +33,8 @@ def fill_group_median(
     """Replace NULL by the median of the row's group."""
     medians = quantiles(df, column, {"_median": 0.5}, keys, discrete, rows_per_split)
     fill = nearest_half(F.col("_median")) if round_half else F.col("_median")
-    # one row per group; the planner broadcasts it when its size allows
-    return df.join(medians, list(keys), "left").withColumn(column, F.coalesce(F.col(column), fill)).drop("_median")
+    joined = join_small(df, medians, keys, "left")
+    return joined.withColumn(column, F.coalesce(F.col(column), fill)).drop("_median")
 
 
 def fill_mode(df: DataFrame, column: str) -> DataFrame:

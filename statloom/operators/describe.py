@@ -114,9 +114,9 @@ def class_share(df: DataFrame, column: str | Sequence[str], within: Sequence[str
     columns = [column] if isinstance(column, str) else list(column)
     counts = df.groupBy(*within, *columns).agg(F.count(F.lit(1)).alias("cnt"))
     if not within:
-        total = df.agg(F.count(F.lit(1))).scalar()
+        total = counts.agg(F.sum("cnt").alias("n")).scalar()
         return counts.withColumn("pct", F.lit(100.0) * F.col("cnt") / total)
-    totals = df.groupBy(*within).agg(F.count(F.lit(1)).alias("_total"))
+    totals = counts.groupBy(*within).agg(F.sum("cnt").alias("_total"))
     return (
         counts.join(totals, on=list(within))
         .withColumn("pct", F.lit(100.0) * F.col("cnt") / F.col("_total"))

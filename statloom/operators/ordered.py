@@ -1,20 +1,20 @@
-"""Ordered computations that stay distributed when one key holds most rows.
+"""Ordered computations that stay distributed when one key holds most of the rows.
 
 A window over ``partitionBy(key).orderBy(t)`` puts a whole key into one task, and
 a window without keys puts the whole table into one task.  The functions here
 check the size of the largest key first.  While every key fits a split they use
 the ordinary window.  Beyond that, large keys are cut into ranges of the order
-column, each range is processed on its own, and the small per-range totals are
+columns, each range is processed on its own, and the small per-range totals are
 carried from range to range.  Results are the same on both ways.
 
-``order`` is a list of column names; a leading ``-`` means descending.  The first
-name decides the ranges, the others break ties.
+``order`` is a list of column names; a leading ``-`` means descending.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
@@ -23,6 +23,10 @@ from statloom.session import materialise
 
 ROWS_PER_SPLIT = 1_000_000
 MAX_SPLITS = 2_000
+BROADCAST_ROWS = 200_000
+TEXT_LEVELS = 8
+AFTER_TIES = 1 << 30
+INF = float("inf")
 
 
 def sort_columns(order: Sequence[str]) -> list[Column]:
@@ -30,26 +34,41 @@ def sort_columns(order: Sequence[str]) -> list[Column]:
     return [F.col(o[1:]).desc() if o.startswith("-") else F.col(o).asc() for o in order]
 
 
-def _order_code(df: DataFrame, order: Sequence[str]) -> Column:
-    """A double that never decreases along the first order column."""
-    name = order[0].lstrip("-")
-    dtype = df.schema[name].dataType
+def _column_codes(name: str, dtype: T.DataType) -> tuple[list[Column], bool]:
+    """Doubles that order rows as the column does, coarse to fine, and whether they tell all values apart."""
     col = F.col(name)
     if isinstance(dtype, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, 6)), 12, "0")
-        code = F.conv(head, 16, 10).cast("double")
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        code = F.unix_micros(col.cast("timestamp")).cast("double")
-    elif isinstance(dtype, T.DateType):
-        code = F.unix_date(col).cast("double")
-    elif isinstance(dtype, T.BooleanType):
-        code = col.cast("int").cast("double")
-    else:
-        code = col.cast("double")
-    code = F.nanvl(code, F.lit(float("inf")))
-    if order[0].startswith("-"):
-        return F.coalesce(-code, F.lit(float("inf")))
-    return F.coalesce(code, F.lit(float("-inf")))
+        raw = F.encode(col, "UTF-8")
+        codes = []
+        for i in range(TEXT_LEVELS):
+            piece = F.rpad(F.hex(F.substring(raw, 6 * i + 1, 6)), 12, "0")
+            codes.append(F.conv(piece, 16, 10).cast("double"))
+        return codes, False
+    if isinstance(dtype, T.LongType):
+        high = F.shiftright(col, 32)
+        return [high.cast("double"), (col - F.shiftleft(high, 32)).cast("double")], True
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return [F.unix_micros(col.cast("timestamp")).cast("double")], True
+    if isinstance(dtype, T.DateType):
+        return [F.unix_date(col).cast("double")], True
+    if isinstance(dtype, T.BooleanType):
+        return [col.cast("int").cast("double")], True
+    exact = not isinstance(dtype, T.DecimalType)
+    return [F.nanvl(col.cast("double"), F.lit(INF))], exact
+
+
+def _order_codes(df: DataFrame, order: Sequence[str]) -> tuple[list[Column], bool]:
+    codes, exact = [], True
+    for o in order:
+        name = o.lstrip("-")
+        found, exact = _column_codes(name, df.schema[name].dataType)
+        if o.startswith("-"):
+            codes += [F.coalesce(-c, F.lit(INF)) for c in found]
+        else:
+            codes += [F.coalesce(c, F.lit(-INF)) for c in found]
+        if not exact:
+            break
+    return codes, exact
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column | None:
@@ -62,10 +81,45 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -
 
 @dataclass
 class Splits:
-    """Input with its ``_split`` column; ``needed`` is False when plain windows do."""
+    """Input with its ``_split`` and ``_hot`` columns; ``needed`` is False when plain windows do."""
 
     df: DataFrame
     needed: bool
+    helpers: list[str] = field(default_factory=list)
+
+
+def _range_cuts(df: DataFrame, keys: Sequence[str], code: str, hot: DataFrame, size: int, parts: int) -> list[dict]:
+    """Per hot key (columns ``keys`` and its rows ``_keyrows``) the cut points of ``code``, with repeats."""
+    probabilities = [i / parts for i in range(1, parts)]
+    cuts = F.percentile_approx(code, probabilities, 10 * parts)
+    if not keys:
+        return [{"n": None, "cuts": list(df.agg(cuts.alias("c")).first()["c"])}]
+    named = F.broadcast(hot.select(*[F.col(k).alias("_h_" + k) for k in keys], "_keyrows"))
+    found = (
+        df.join(named, _same(df, named, keys, "_h_"))
+        .groupBy(*["_h_" + k for k in keys])
+        .agg(F.max("_keyrows").alias("n"), cuts.alias("c"))
+    )
+    # a key a few splits long needs only some of the cuts
+    step = F.greatest(F.lit(1), F.floor(F.lit(parts) / F.ceil(F.col("n") / F.lit(size)))).cast("int")
+    thinned = found.withColumn("cuts", F.filter("c", lambda c, i: (i + 1) % step == 0)).drop("c")
+    return [r.asDict() for r in thinned.collect()]
+
+
+def _cut_column(df: DataFrame, keys: Sequence[str], code: str, rows: list[dict], name: str) -> DataFrame:
+    """Add ``name``: the range of each row of a hot key, NULL for other rows."""
+    if not keys:
+        inner = sorted({c for c in rows[0]["cuts"] if abs(c) != INF})
+        placed = Bucketizer(splits=[-INF, *inner, INF], inputCol=code, outputCol=name).transform(df)
+        return placed.withColumn(name, F.col(name).cast("int"))
+    fields = [T.StructField("_h_" + k, df.schema[k].dataType) for k in keys]
+    schema = T.StructType([*fields, T.StructField("_cuts", T.ArrayType(T.DoubleType()))])
+    data = [(*[r["_h_" + k] for k in keys], sorted(set(r["cuts"]))) for r in rows]
+    # at most MAX_SPLITS keys and about twice as many cuts in all
+    table = F.broadcast(df.sparkSession.createDataFrame(data, schema))
+    joined = df.join(table, _same(df, table, keys, "_h_"), "left")
+    at = F.size(F.filter("_cuts", lambda c: c <= F.col(code)))
+    return joined.withColumn(name, F.when(F.col("_cuts").isNotNull(), at)).drop("_cuts", *["_h_" + k for k in keys])
 
 
 def split_hot_keys(
@@ -78,7 +132,9 @@ def split_hot_keys(
     """Number the ranges of keys with more than ``rows_per_split`` rows.
 
     The number of ranges over all keys is at most about twice ``MAX_SPLITS``, so
-    the cut points are a small table whatever the input size.  ``reuse`` writes an
+    the cut points are a small table whatever the input size.  Where many rows
+    share an order value, they are cut along the next order column; rows equal in
+    all of them may stand in any order and are cut at random.  ``reuse`` writes an
     expensive (aggregated) input once before the several passes over it.
     """
     keys = list(keys)
@@ -91,44 +147,56 @@ def split_hot_keys(
     if reuse:
         df = materialise(df)
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_keyrows"))
-    parts = -(-largest // size)
-    probabilities = [i / parts for i in range(1, parts)]
-    hot = counts.where(F.col("_keyrows") > size)
-    coded = df.withColumn("_code", _order_code(df, order))
-    if not keys:
-        found = coded.agg(F.percentile_approx("_code", probabilities, 10 * parts).alias("c")).first()
-        cuts = sorted({c for c in found["c"] if abs(c) != float("inf")})
-        inf = float("inf")
-        split = Bucketizer(splits=[-inf, *cuts, inf], inputCol="_code", outputCol="_split")
-        out = split.transform(coded).withColumn("_split", F.col("_split").cast("int"))
-        return Splits(out.drop("_code").withColumn("_hot", F.lit(True)), True)
     # at most MAX_SPLITS keys can be larger than total / MAX_SPLITS rows
-    named = F.broadcast(hot.select(*[F.col(k).alias("_h_" + k) for k in keys], "_keyrows"))
-    step = F.greatest(F.lit(1), F.floor(F.lit(parts) / F.ceil(F.col("n") / F.lit(size)))).cast("int")
-    table = (
-        coded.join(named, _same(coded, named, keys, "_h_"))
-        .groupBy(*["_h_" + k for k in keys])
-        .agg(
-            F.max("_keyrows").alias("n"),
-            F.percentile_approx("_code", probabilities, 10 * parts).alias("c"),
+    hot = counts.where(F.col("_keyrows") > size)
+    codes, exact = _order_codes(df, order)
+    rows, group, ranges, helpers = df, list(keys), [], []
+    level = 0
+    while True:
+        code, place = f"_code{level}", f"_range{level}"
+        if level < len(codes):
+            rows = rows.withColumn(code, codes[level])
+        elif exact:
+            rows = materialise(rows.withColumn(code, F.rand(level)))
+        else:
+            break
+        parts = -(-largest // size)
+        cuts = _range_cuts(rows, group, code, hot, size, parts)
+        rows = _cut_column(rows, group, code, cuts, place)
+        helpers += [code, place]
+        ranges.append(place)
+        if level >= len(codes):
+            break
+        # a cut that repeats marks a value with more rows than a range
+        tied = [({k: r["_h_" + k] for k in group}, c) for r in cuts for c, m in Counter(r["cuts"]).items() if m > 1]
+        if not tied:
+            break
+        schema = T.StructType([*[rows.schema[k] for k in group], rows.schema[code]])
+        heavy = rows.sparkSession.createDataFrame([(*[g[k] for k in group], c) for g, c in tied], schema)
+        heavy = heavy.select(*[F.col(k).alias("_t_" + k) for k in [*group, code]])
+        group = [*group, code]
+        table = F.broadcast(heavy)
+        hot = (
+            rows.join(table, _same(rows, table, group, "_t_"))
+            .groupBy(*["_t_" + k for k in group])
+            .agg(F.count(F.lit(1)).alias("_keyrows"))
+            .toDF(*group, "_keyrows")
+            .where(F.col("_keyrows") > size)
         )
-        .withColumn("_cuts", F.array_distinct(F.filter("c", lambda c, i: (i + 1) % step == 0)))
-        .drop("n", "c")
-    )
-    cuts = df.sparkSession.createDataFrame(table.collect(), table.schema)
-    joined = coded.join(F.broadcast(cuts), _same(coded, cuts, keys, "_h_"), "left")
-    out = joined.withColumns(
-        {
-            "_hot": F.col("_cuts").isNotNull(),
-            "_split": F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col("_code"))), F.lit(0)),
-        }
-    )
-    # size(NULL) is -1 or NULL depending on settings
-    out = out.withColumn("_split", F.when(F.col("_hot"), F.col("_split")).otherwise(F.lit(0)))
-    return Splits(out.drop("_code", "_cuts", *["_h_" + k for k in keys]), True)
+        found = hot.collect()  # at most MAX_SPLITS rows
+        if not found:
+            break
+        hot = rows.sparkSession.createDataFrame(found, hot.schema)
+        largest = max(r["_keyrows"] for r in found)
+        level += 1
+    # rows after a tied value follow all its ranges
+    parts_of_split = [F.coalesce(F.col(p), F.lit(AFTER_TIES if i else 0)) for i, p in enumerate(ranges)]
+    split = F.struct(*[p.alias(f"r{i}") for i, p in enumerate(parts_of_split)])
+    out = rows.withColumns({"_hot": F.col("_range0").isNotNull(), "_split": split}).drop(*helpers)
+    return Splits(out, True, ["_hot", "_split"])
 
 
-_AGG = {"sum": F.sum, "max": F.max, "min": F.min}
+_AGG = {"sum": F.sum, "total": F.sum, "max": F.max, "min": F.min}
 
 
 def running(
@@ -138,35 +206,43 @@ def running(
     values: dict[str, tuple[str, str | Column]],
     rows_per_split: int = ROWS_PER_SPLIT,
     reuse: bool = False,
+    parted: Splits | None = None,
 ) -> DataFrame:
-    """Running sum, max or min up to and with the current row.
+    """Running sum, max or min up to and with the current row, or the key's total.
 
-    ``values`` maps the new column to (``sum`` | ``max`` | ``min``, column).
+    ``values`` maps the new column to (``sum`` | ``max`` | ``min`` | ``total``, column).
     """
     keys = list(keys)
     inputs = {f"_in{i}": (v if isinstance(v, Column) else F.col(v)) for i, (_, v) in enumerate(values.values())}
     named = dict(zip(values, inputs))
-    base = df.withColumns(inputs)
-    parted = split_hot_keys(base, keys, order, rows_per_split, reuse)
+    parted = parted or split_hot_keys(df, keys, order, rows_per_split, reuse)
+    base = parted.df.withColumns(inputs)
+    by = sort_columns(order)
 
-    def over(window: WindowSpec) -> dict[str, Column]:
-        frame = window.rowsBetween(Window.unboundedPreceding, 0)
-        return {out: _AGG[kind](named[out]).over(frame) for out, (kind, _) in values.items()}
+    def over(*partition: str) -> dict[str, Column]:
+        whole = Window.partitionBy(*partition)
+        frame = whole.orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+        return {
+            out: _AGG[kind](named[out]).over(whole if kind == "total" else frame) for out, (kind, _) in values.items()
+        }
 
-    by = sort_columns(order)
     if not parted.needed:
-        return parted.df.withColumns(over(Window.partitionBy(*keys).orderBy(*by))).drop(*inputs)
+        return base.withColumns(over(*keys)).drop(*inputs)
 
-    local = parted.df.withColumns(over(Window.partitionBy(*keys, "_split").orderBy(*by)))
-    totals = (
-        parted.df.where("_hot")
+    local = base.withColumns(over(*keys, "_split"))
+    ranges = (
+        base.where("_hot")
         .groupBy(*keys, "_split")
         .agg(*[_AGG[kind](named[out]).alias(out) for out, (kind, _) in values.items()])
     )
-    before = Window.partitionBy(*keys).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    carry = ranges.select(
         *[F.col(k).alias("_c_" + k) for k in [*keys, "_split"]],
-        *[_AGG[kind](out).over(before).alias("_carry_" + out) for out, (kind, _) in values.items()],
+        *[
+            _AGG[kind](out).over(whole if kind == "total" else before).alias("_carry_" + out)
+            for out, (kind, _) in values.items()
+        ],
     )
     # one row per range, see split_hot_keys for the bound
     carry = F.broadcast(carry)
@@ -176,10 +252,12 @@ def running(
         mine, prior = F.col(out), F.col("_carry_" + out)
         if kind == "sum":
             combined[out] = F.coalesce(mine + prior, mine, prior)
+        elif kind == "total":
+            combined[out] = F.coalesce(prior, mine)
         else:
             combined[out] = (F.greatest if kind == "max" else F.least)(mine, prior)
     return joined.withColumns(combined).drop(
-        *inputs, "_split", "_hot", *["_c_" + k for k in [*keys, "_split"]], *["_carry_" + o for o in values]
+        *inputs, *parted.helpers, *["_c_" + k for k in [*keys, "_split"]], *["_carry_" + o for o in values]
     )
 
 
@@ -189,9 +267,10 @@ def row_index(
     order: Sequence[str],
     name: str = "rn",
     rows_per_split: int = ROWS_PER_SPLIT,
+    parted: Splits | None = None,
 ) -> DataFrame:
-    """1-based row number; ``order`` must identify a row within its key."""
-    out = running(df, keys, order, {name: ("sum", F.lit(1))}, rows_per_split)
+    """1-based row number."""
+    out = running(df, keys, order, {name: ("sum", F.lit(1).cast("long"))}, rows_per_split, parted=parted)
     return out.withColumn(name, F.col(name).cast("long"))
 
 
@@ -208,14 +287,14 @@ def look_back(
 
     Large keys are numbered and cut into blocks of rows; the last ``rows`` rows of
     a block are also sent to the next block, where they serve as history only.
+    ``order`` must tell the rows of a key apart.
     """
     keys = list(keys)
-    by = sort_columns(order)
     parted = split_hot_keys(df, keys, order, rows_per_split)
     if not parted.needed:
-        return df.withColumns(build(Window.partitionBy(*keys).orderBy(*by)))
+        return df.withColumns(build(Window.partitionBy(*keys).orderBy(*sort_columns(order))))
     size = max(block_rows or rows_per_split, rows + 1)
-    indexed = row_index(df, keys, order, "_ix", rows_per_split)
+    indexed = row_index(df, keys, order, "_ix", parted=parted)
     block = F.expr(f"(_ix - 1) div {size}")
     near_end = F.expr(f"(_ix - 1) % {size} >= {size - rows}")
     copies = indexed.withColumn("_own", block).withColumn(
@@ -243,12 +322,9 @@ def quantiles(
     counts = df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("_v")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    ranked = running(counts, keys, ["_v"], {"_cum": ("sum", "_n")}, rows_per_split, reuse=True)
-    if keys:
-        sizes = ranked.groupBy(*[F.col(k).alias("_t_" + k) for k in keys]).agg(F.sum("_n").alias("_size"))
-        ranked = ranked.join(sizes, _same(ranked, sizes, keys, "_t_"))
-    else:
-        ranked = ranked.withColumn("_size", counts.agg(F.sum("_n").alias("s")).scalar())
+    ranked = running(
+        counts, keys, ["_v"], {"_cum": ("sum", "_n"), "_size": ("total", "_n")}, rows_per_split, reuse=True
+    )
     picks = []
     for name, p in probabilities.items():
         if discrete:
@@ -272,12 +348,21 @@ def quantiles(
 
 
 def average_rank(
-    df: DataFrame, column: str, name: str = "rank", rows_per_split: int = ROWS_PER_SPLIT, descending: bool = False
+    df: DataFrame,
+    column: str,
+    name: str = "rank",
+    rows_per_split: int = ROWS_PER_SPLIT,
+    weight: str | None = None,
 ) -> DataFrame:
-    """One row per distinct value with its count ``n`` and tie-averaged rank."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    order = ["-" + column] if descending else [column]
-    ranked = running(counts, [], order, {"_cum": ("sum", "n")}, rows_per_split, reuse=True)
+    """One row per distinct value with its count ``n``, tie-averaged rank and the ``total`` count.
+
+    ``weight`` names a column of counts when the rows are counted already.
+    """
+    number = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(number.alias("n"))
+    ranked = running(
+        counts, [], [column], {"_cum": ("sum", "n"), "total": ("total", "n")}, rows_per_split, reuse=True
+    )
     return ranked.withColumn(name, F.col("_cum") - (F.col("n") - 1) / 2).drop("_cum")
 
 
@@ -292,8 +377,8 @@ def ntile(
     df: DataFrame, order: Sequence[str], tiles: int, name: str = "tile", rows_per_split: int = ROWS_PER_SPLIT
 ) -> DataFrame:
     """Exact equal-count tiles: the first ``total % tiles`` tiles hold one row more."""
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    indexed = row_index(df, [], order, "_ix", rows_per_split).withColumn("_total", total)
+    one = F.lit(1).cast("long")
+    indexed = running(df, [], order, {"_ix": ("sum", one), "_total": ("total", one)}, rows_per_split)
     small, extra = F.expr(f"_total div {tiles}"), F.expr(f"_total % {tiles}")
     head = extra * (small + 1)
     zero = F.col("_ix") - 1
@@ -301,3 +386,16 @@ def ntile(
     in_tail = extra + F.floor(F.try_divide(zero - head, small))
     tile = F.when(zero < head, in_head).otherwise(in_tail) + 1
     return indexed.withColumn(name, tile.cast("int")).drop("_ix", "_total")
+
+
+def join_small(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a per-key table of unknown size: computed once, counted, broadcast only when short.
+
+    A longer table is joined by shuffle, where adaptive execution splits large keys.
+    NULL keys match each other.
+    """
+    keys = list(keys)
+    renamed = materialise(table.select(*[F.col(k).alias("_k_" + k) for k in keys], *[c for c in table.columns if c not in keys]))
+    if renamed.count() <= BROADCAST_ROWS:
+        renamed = F.broadcast(renamed)
+    return df.join(renamed, _same(df, renamed, keys, "_k_"), how).drop(*["_k_" + k for k in keys])

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from statloom.operators.ordered import ROWS_PER_SPLIT, average_rank, row_index, sort_columns
+from statloom.operators.ordered import ROWS_PER_SPLIT, average_rank, dense_rank, join_small, row_index, running, sort_columns
 
 
 def star_join(fact: DataFrame, dimensions: Sequence[tuple[DataFrame, str, str]], how: str = "inner") -> DataFrame:
@@ -74,9 +74,11 @@ def hash_order(key: str | Sequence[str], seed: int = 0) -> Column:
 
 def random_percent(df: DataFrame, key: str | Sequence[str], percent: float, seed: int = 0, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
     """The first ``percent`` (rounded up) of the rows in a random order fixed by the key."""
-    wanted = F.ceil(df.agg(F.count(F.lit(1)).alias("n")).scalar() * F.lit(percent) / F.lit(100.0))
-    indexed = row_index(df.withColumn("_h", hash_order(key, seed)), [], ["_h"], "_ix", rows_per_split)
-    return indexed.where(F.col("_ix") <= wanted).drop("_h", "_ix")
+    one = F.lit(1).cast("long")
+    hashed = df.withColumn("_h", hash_order(key, seed))
+    indexed = running(hashed, [], ["_h"], {"_ix": ("sum", one), "_total": ("total", one)}, rows_per_split)
+    wanted = F.ceil(F.col("_total") * F.lit(percent) / F.lit(100.0))
+    return indexed.where(F.col("_ix") <= wanted).drop("_h", "_ix", "_total")
 
 
 def axis(start: float, step: float, count: int) -> Column:
@@ -121,7 +123,12 @@ def unite(df: DataFrame, columns: Sequence[str], name: str, separator: str = "_"
     return df.withColumn("_united", F.concat_ws(separator, *parts)).drop(*columns).withColumnRenamed("_united", name)
 
 
+def add_code(df: DataFrame, column: str, name: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+    """Position of the row's value among the distinct values."""
+    return join_small(df, dense_rank(df, column, name, rows_per_split), [column])
+
+
 def rank_lowest(df: DataFrame, column: str, below: float, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
     """Rows whose tie-averaged ascending rank is under ``below``."""
-    ranks = average_rank(df, column, "rank", rows_per_split).where(F.col("rank") < below).drop("n")
-    return df.join(ranks, column)
+    ranks = average_rank(df, column, "rank", rows_per_split).where(F.col("rank") < below).drop("n", "total")
+    return join_small(df, ranks, [column])

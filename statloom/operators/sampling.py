@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from statloom.operators.ordered import ROWS_PER_SPLIT, row_index
+from statloom.operators.ordered import ROWS_PER_SPLIT, running
 from statloom.operators.relational import hash_order
 
 
@@ -26,22 +26,17 @@ def fold_number(key: str | Sequence[str], folds: int, seed: int = 0) -> Column:
 
 
 def _ranked_in_group(df: DataFrame, group: str, key: str | Sequence[str], seed: int, rows_per_split: int) -> DataFrame:
-    return row_index(df.withColumn("_h", hash_order(key, seed)), [group], ["_h"], "_ix", rows_per_split).drop("_h")
-
-
-def _sizes(df: DataFrame, group: str) -> DataFrame:
-    return df.groupBy(F.col(group).alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
-
-
-def _with_sizes(df: DataFrame, sizes: DataFrame, group: str) -> DataFrame:
-    return df.join(sizes, F.col(group).eqNullSafe(F.col("_g"))).drop("_g")
+    """Adds the place ``_ix`` in the hash order of the group and the group's size ``_n``."""
+    one = F.lit(1).cast("long")
+    hashed = df.withColumn("_h", hash_order(key, seed))
+    return running(hashed, [group], ["_h"], {"_ix": ("sum", one), "_n": ("total", one)}, rows_per_split).drop("_h")
 
 
 def stratified_split(
     df: DataFrame, group: str, key: str | Sequence[str], fraction: float, seed: int = 0, rows_per_split: int = ROWS_PER_SPLIT
 ) -> DataFrame:
     """Adds ``in_sample``: true for exactly round(fraction * n) rows of every group."""
-    ranked = _with_sizes(_ranked_in_group(df, group, key, seed, rows_per_split), _sizes(df, group), group)
+    ranked = _ranked_in_group(df, group, key, seed, rows_per_split)
     return ranked.withColumn("in_sample", F.col("_ix") <= F.round(F.col("_n") * F.lit(fraction))).drop("_ix", "_n")
 
 
@@ -53,10 +48,10 @@ def resample_classes(
     A class that must grow repeats each row equally often; the remainder, like the
     kept part of a class that must shrink, follows the hash order.
     """
-    sizes = _sizes(df, label)
+    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     wanted = {"under": F.min("_n"), "over": F.max("_n"), "both": F.floor(F.avg("_n"))}[method]
     target = sizes.agg(wanted.cast("long").alias("t")).scalar()
-    ranked = _with_sizes(_ranked_in_group(df, label, key, seed, rows_per_split), sizes, label).withColumn("_t", target)
+    ranked = _ranked_in_group(df, label, key, seed, rows_per_split).withColumn("_t", target)
     copies = F.expr("_t div _n + CASE WHEN _ix <= _t % _n THEN 1 ELSE 0 END")
     repeated = ranked.withColumn("_copies", copies.cast("int")).where("_copies > 0")
     return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop(

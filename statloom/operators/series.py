@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from statloom.functions.aggregates import pearson
-from statloom.operators.ordered import ROWS_PER_SPLIT, look_back, row_index, running
+from statloom.operators.ordered import ROWS_PER_SPLIT, join_small, look_back, row_index, running
 
 
 def moving_average(
@@ -92,7 +92,7 @@ def label_remaining_life(
     rul = F.col("_last") - F.col(cycle)
     label1 = F.when(rul <= soon, 1).otherwise(0)
     return (
-        df.join(last, key)
+        join_small(df, last, [key])
         .withColumns({"rul": rul, "label1": label1, "label2": F.when(rul <= urgent, 2).otherwise(label1)})
         .drop("_last")
     )
@@ -105,12 +105,8 @@ def global_index(
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     offsets = running(sizes, [], [key], {"_end": ("sum", "_rows")}, rows_per_split, reuse=True)
     offsets = offsets.select(key, (F.col("_end") - F.col("_rows")).alias("_offset"))
-    return (
-        row_index(df, [key], order, name, rows_per_split)
-        .join(offsets, key)
-        .withColumn(name, F.col(name) + F.col("_offset"))
-        .drop("_offset")
-    )
+    indexed = join_small(row_index(df, [key], order, name, rows_per_split), offsets, [key])
+    return indexed.withColumn(name, F.col(name) + F.col("_offset")).drop("_offset")
 
 
 def autocorrelation(
@@ -121,7 +117,7 @@ def autocorrelation(
     keys = list(keys)
     if keys:
         means = df.groupBy(*keys).agg(F.avg(column).alias("_mean"))
-        rows = df.join(means, keys)
+        rows = join_small(df, means, keys)
     else:
         rows = df.withColumn("_mean", df.agg(F.avg(column).alias("m")).scalar())
     rows = rows.withColumn("_d", F.col(column) - F.col("_mean"))

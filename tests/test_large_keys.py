@@ -147,3 +147,36 @@ def test_same_answer_with_one_and_eight_partitions(spark, df):
         spark.conf.set("spark.sql.shuffle.partitions", n)
         found.append(rows(ordered.row_index(df, ["key"], ORDER, "rn", SMALL), "id", "rn"))
     assert found[0] == found[1]
+
+
+@pytest.mark.parametrize("keys", [[], ["key"]])
+def test_many_rows_share_an_order_value(df, keys):
+    """A third of a key at one time, and copies equal in every order column."""
+    tied = df.withColumn("t", F.when(F.col("id") % 3 == 0, F.lit(100)).otherwise(F.col("t")))
+    parts = ordered.split_hot_keys(tied, keys, ORDER, SMALL).df.groupBy(*keys, "_split").count()
+    assert parts.agg(F.max("count")).first()[0] <= 2 * SMALL
+    a = ordered.row_index(tied, keys, ORDER)
+    b = ordered.row_index(tied, keys, ORDER, rows_per_split=SMALL)
+    assert rows(a, "id", "rn") == rows(b, "id", "rn")
+
+    loose = ordered.split_hot_keys(tied, keys, ["t"], SMALL).df.groupBy(*keys, "_split").count()
+    assert loose.agg(F.max("count")).first()[0] <= 2 * SMALL
+    numbered = ordered.row_index(tied, keys, ["t"], rows_per_split=SMALL)
+    again = numbered.groupBy(*keys).agg(F.max("rn").alias("m"), F.count_distinct("rn").alias("d"), F.count("*").alias("c"))
+    assert again.where("m <> d OR m <> c").count() == 0
+
+
+def test_text_order_with_a_long_common_start(spark):
+    names = spark.range(2000).select(F.format_string("Customer#%09d", (F.col("id") * 7919) % 2000).alias("n"), "id")
+    parts = ordered.split_hot_keys(names, [], ["n"], 100).df.groupBy("_split").count()
+    assert parts.agg(F.max("count")).first()[0] <= 400
+    a = ordered.row_index(names, [], ["n"])
+    b = ordered.row_index(names, [], ["n"], rows_per_split=100)
+    assert rows(a, "id", "rn") == rows(b, "id", "rn")
+
+
+def test_totals_beside_running_sums(df):
+    values = {"s": ("sum", F.lit(1)), "n": ("total", F.lit(1)), "top": ("max", "x")}
+    plain = ordered.running(df, ["key"], ORDER, values)
+    split = ordered.running(df, ["key"], ORDER, values, SMALL)
+    assert rows(plain, "id", "s", "n", "top") == rows(split, "id", "s", "n", "top")
