@@ -280,6 +280,28 @@ def _(t: Tables):
     return rounded(P.data_status(t.readings.select("value", "kind")))
 
 
+_ORDERS = {
+    "o_orderkey": "bigint",
+    "o_custkey": "bigint",
+    "o_orderstatus": "string",
+    "o_totalprice": "double",
+    "o_orderdate": "timestamp_ntz",
+    "o_orderpriority": "string",
+}
+
+
+@query(
+    "d5_column_dictionary_orders",
+    " UNION ALL ".join(
+        f"""SELECT 'orders' AS table_name, count(*) AS "rows", '{c}' AS column_name, {i} AS position, '{ty}' AS type, true AS nullable,
+        count({c}) AS present FROM orders"""
+        for i, (c, ty) in enumerate(_ORDERS.items(), 1)
+    ),
+)
+def _(t: Tables):
+    return P.column_dictionary({"orders": t.orders})
+
+
 @query("d5_column_dictionary")
 def _(t: Tables):
     return P.column_dictionary({n: getattr(t, n) for n in ("orders", "lineitem", "events")})

@@ -334,13 +334,13 @@ def _(t: Tables):
 
 @query("l21_pca_scores")
 def _(t: Tables):
-    rows = passengers.model_input(t.passengers).dropna()
+    rows = materialise(passengers.model_input(t.passengers).dropna())
     return M.principal_components(rows, FEATURES, 5, scale=True)[2].select("passenger_id", "scores")
 
 
 @query("l21_pca_rotation")
 def _(t: Tables):
-    rows = passengers.model_input(t.passengers).dropna()
+    rows = materialise(passengers.model_input(t.passengers).dropna())
     return M.principal_components(rows, FEATURES, 2, scale=False)[0]
 
 
@@ -481,6 +481,39 @@ def _(t: Tables):
     return explain.shapley(model.transform, t.customer, t.customer, features, "c_custkey", samples=10)
 
 
+@query(
+    "e11_shapley_linear",
+    """WITH b AS (SELECT c_nationkey, c_acctbal FROM customer
+      ORDER BY md5(concat_ws(':', '1', CAST(c_nationkey AS VARCHAR), CAST(c_acctbal AS VARCHAR))) LIMIT 25),
+    m AS (SELECT avg(c_nationkey) AS a, avg(c_acctbal) AS b FROM b)
+    SELECT c_custkey, 'c_nationkey' AS feature, round(2 * (c_nationkey - a), 4) AS contribution FROM customer, m
+    UNION ALL SELECT c_custkey, 'c_acctbal', round((c_acctbal - b) / 10, 4) FROM customer, m""",
+)
+def _(t: Tables):
+    """Contributions in a linear score are the weighted distances from the background mean."""
+
+    def predict(df):
+        return df.withColumn("prediction", 2 * F.col("c_nationkey") + F.col("c_acctbal") / 10)
+
+    found = explain.shapley(predict, t.customer, t.customer, ["c_nationkey", "c_acctbal"], "c_custkey", samples=25)
+    return rounded(found, 4)
+
+
+@query(
+    "c6_impute_pmm_one_column",
+    """WITH r AS (SELECT o_orderkey, o_totalprice AS x, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_custkey AS DOUBLE) END AS y FROM orders),
+    d AS (SELECT x, max(y) AS y FROM r WHERE y IS NOT NULL GROUP BY 1), h AS (SELECT o_orderkey, x FROM r WHERE y IS NULL),
+    lo AS (SELECT h.o_orderkey, h.x, d.x AS dx, d.y FROM h ASOF LEFT JOIN d ON h.x >= d.x), hi AS (SELECT h.o_orderkey, d.x AS dx, d.y FROM h ASOF LEFT JOIN d ON h.x <= d.x),
+    f AS (SELECT o_orderkey, CASE WHEN hi.dx IS NULL OR lo.x - lo.dx <= hi.dx - lo.x THEN lo.y ELSE hi.y END AS y FROM lo JOIN hi USING (o_orderkey))
+    SELECT o_orderkey, coalesce(r.y, f.y) AS y FROM r LEFT JOIN f USING (o_orderkey)""",
+)
+def _(t: Tables):
+    """One column on one predictor: the donor is the row with the closest predictor."""
+    y = F.when(F.col("o_orderkey") % 7 == 0, None).otherwise(F.col("o_custkey").cast("double"))
+    rows = t.orders.select("o_orderkey", F.col("o_totalprice").alias("x"), y.alias("y"))
+    return imputation.impute_pmm(rows, ["y"], ["x"], iterations=1, rows_per_split=4_000).select("o_orderkey", "y")
+
+
 @query("c6_impute_pmm")
 def _(t: Tables):
     rows = t.passengers.select("passenger_id", "age", "fare", "pclass", "sibsp")
