@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from statloom.operators.ordered import ROWS_PER_SPLIT, running
+from statloom.operators.ordered import ROWS_PER_SPLIT, running, with_row
 
 
 def regression_metrics(df: DataFrame, observed: str, predicted: str) -> DataFrame:
@@ -82,8 +82,8 @@ def class_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     majority class or guessing at random would reach.
     """
     classes = _per_class(df, actual, predicted)
-    totals = classes.agg(F.struct(F.sum("row_n").alias("n"), F.count(F.lit(1)).cast("double").alias("nc")).alias("t")).scalar()
-    rows = classes.withColumns({"n": totals["n"], "nc": totals["nc"]})
+    totals = classes.agg(F.sum("row_n").alias("n"), F.count(F.lit(1)).cast("double").alias("nc"))
+    rows = with_row(classes, totals, "_t").select("*", "_t.n", "_t.nc").drop("_t")
     rows = rows.withColumns(
         {
             "precision": F.try_divide(F.col("diag"), F.col("col_n")),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from statloom.operators.ordered import average_rank
+from statloom.operators.ordered import average_rank, with_row
 from statloom.operators.relational import axis
 
 
@@ -69,8 +69,8 @@ def best_lines(lines: DataFrame, below: float = 20) -> DataFrame:
 
 
 def add_predictions(df: DataFrame, line: DataFrame, x: str, name: str = "pred") -> DataFrame:
-    s = line.select(F.struct("intercept", "slope").alias("s")).scalar()
-    return df.withColumn(name, s["intercept"] + s["slope"] * F.col(x))
+    rows = with_row(df, line.select("intercept", "slope"), "_line")
+    return rows.withColumn(name, F.col("_line.intercept") + F.col("_line.slope") * F.col(x)).drop("_line")
 
 
 def add_residuals(df: DataFrame, line: DataFrame, x: str, y: str, name: str = "resid") -> DataFrame:

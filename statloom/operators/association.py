@@ -16,7 +16,7 @@ from statloom.functions.probability import (
     t_p_value,
 )
 from statloom.functions.scalars import select_matching, truncate
-from statloom.operators.ordered import ROWS_PER_SPLIT, average_rank, dense_rank, join_small, running
+from statloom.operators.ordered import ROWS_PER_SPLIT, average_rank, dense_rank, join_small, running, with_row
 from statloom.session import materialise
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -30,10 +30,11 @@ def covariance_pearson(df: DataFrame, a: str, b: str, all_rows: bool = False) ->
     """
     if not all_rows:
         return df.agg(F.covar_pop(a, b).alias("covar"), pearson(a, b).alias("pearson"))
-    means = df.agg(F.struct(F.avg(a).alias("a"), F.avg(b).alias("b")).alias("s")).scalar()
-    product = (F.col(a) - means["a"]) * (F.col(b) - means["b"])
+    means = df.agg(F.avg(a).alias("a"), F.avg(b).alias("b"))
+    product = (F.col(a) - F.col("_m.a")) * (F.col(b) - F.col("_m.b"))
     return (
-        df.withColumn("_p", product)
+        with_row(df, means, "_m")
+        .withColumn("_p", product)
         .agg(
             (F.sum("_p") / F.count(F.lit(1))).alias("covar"),
             (F.stddev_pop(a) * F.stddev_pop(b)).alias("_d"),
@@ -253,12 +254,12 @@ def anova(df: DataFrame, value: str, group: str, integer_avg: bool = False, all_
         F.avg(v).alias("mean"),
         (F.var_pop(v) * F.count(v)).alias("m2"),
     )
-    total = groups.agg(F.struct(F.sum("s").alias("s"), F.sum("n").alias("n")).alias("t")).scalar()
-    overall = F.try_divide(total["s"], total["n"].cast("double"))
+    overall = F.try_divide(F.sum("s"), F.sum("n").cast("double"))
     used = F.col("mean")
     if integer_avg:
         overall, used = truncate(overall), truncate(F.col("mean"))
-    rows = groups.withColumns({"used": used.cast("double"), "overall": overall.cast("double")})
+    total = groups.agg(overall.cast("double").alias("overall")).scalar()
+    rows = groups.withColumns({"used": used.cast("double"), "overall": total})
     between = F.col("rows") * F.pow(F.col("used") - F.col("overall"), F.lit(2.0))
     within = F.col("m2") + F.col("n") * F.pow(F.col("mean") - F.col("used"), F.lit(2.0))
     sums = rows.agg(

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from statloom.operators.ordered import ROWS_PER_SPLIT, ntile
+from statloom.operators.ordered import ROWS_PER_SPLIT, ntile, with_row
 
 MONEY = "decimal(18,2)"
 
@@ -17,15 +17,13 @@ def equal_width_bins(df: DataFrame, column: str, bins: int, name: str = "bin", w
     ``whole_start`` cuts the minimum to a whole number; then values below it, like
     NULL, are labelled as the last bin.
     """
-    limits = df.agg(
-        F.struct(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi")).alias("s")
-    ).scalar()
-    low = limits["lo"].cast("long").cast(MONEY) if whole_start else limits["lo"].cast(MONEY)
-    width = ((limits["hi"] - limits["lo"]) / F.lit(bins)).cast(MONEY)
-    rows = df.withColumns({"_low": low, "_width": width})
+    lo, hi = F.min(column).cast("double"), F.max(column).cast("double")
+    low = (lo.cast("long") if whole_start else lo).cast(MONEY)
+    limits = df.agg(low.alias("low"), ((hi - lo) / F.lit(bins)).cast(MONEY).alias("width"))
+    rows = with_row(df, limits, "_l")
 
     def edge(i: int) -> Column:
-        return (F.col("_low") + F.lit(i) * F.col("_width")).cast(MONEY)
+        return (F.col("_l.low") + F.lit(i) * F.col("_l.width")).cast(MONEY)
 
     label = None
     for i in range(bins - 1):
@@ -36,7 +34,7 @@ def equal_width_bins(df: DataFrame, column: str, bins: int, name: str = "bin", w
         label = (F if label is None else label).when(inside, text)
     last = F.concat(edge(bins - 1).cast("string"), F.lit(" + "))
     label = label.otherwise(last) if label is not None else last
-    return rows.withColumn(name, label).drop("_low", "_width")
+    return rows.withColumn(name, label).drop("_l")
 
 
 def equal_height_bins(

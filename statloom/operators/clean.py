@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from statloom.functions.scalars import nearest_half
 from statloom.operators.describe import mode
-from statloom.operators.ordered import ROWS_PER_SPLIT, join_small, quantiles
+from statloom.operators.ordered import ROWS_PER_SPLIT, join_small, quantiles, with_row
 
 
 def fill_constant(df: DataFrame, values: dict[str, object], flag_suffix: str | None = None) -> DataFrame:
@@ -64,12 +64,11 @@ def mark_outliers(df: DataFrame, columns: Sequence[str], k: float = 3, name: str
     Adds the text column ``name`` (NULL without outliers) and the array
     ``name + "_columns"`` for filters.
     """
-    stats = df.agg(
-        F.struct(
-            *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
-            *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(columns)],
-        ).alias("s")
-    ).scalar()
+    row = df.agg(
+        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
+        *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(columns)],
+    )
+    bounded, stats = with_row(df, row, "_stats"), F.col("_stats")
     texts, flags = [], []
     for i, c in enumerate(columns):
         low, high = stats[f"m{i}"] - k * stats[f"s{i}"], stats[f"m{i}"] + k * stats[f"s{i}"]
@@ -78,9 +77,9 @@ def mark_outliers(df: DataFrame, columns: Sequence[str], k: float = 3, name: str
         texts.append(F.when(outside, F.concat(F.lit(f"[{c}] outside "), bounds)))
         flags.append(F.when(outside, F.lit(c)))
     text = F.concat_ws("; ", *texts)
-    return df.withColumns(
+    return bounded.withColumns(
         {name: F.nullif(text, F.lit("")), name + "_columns": F.array_compact(F.array(*flags))}
-    )
+    ).drop("_stats")
 
 
 def drop_outliers(df: DataFrame, columns: Sequence[str], name: str = "outlier") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from statloom.functions.scalars import text_bar
-from statloom.operators.ordered import ROWS_PER_SPLIT, quantiles, running
+from statloom.operators.ordered import ROWS_PER_SPLIT, quantiles, running, with_row
 
 
 def describe(df: DataFrame, column: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -127,13 +127,14 @@ def class_share(df: DataFrame, column: str | Sequence[str], within: Sequence[str
 def histogram(df: DataFrame, column: str, bins: int, keys: Sequence[str] = (), low: float | None = None, high: float | None = None) -> DataFrame:
     """Counts of equal-width bins between the smallest and largest value."""
     rows = df.where(F.col(column).isNotNull())
-    limits = rows.agg(F.struct(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi"))).scalar()
-    lo = F.lit(float(low)) if low is not None else limits["lo"]
-    hi = F.lit(float(high)) if high is not None else limits["hi"]
+    limits = rows.agg(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi"))
+    lo = F.lit(float(low)) if low is not None else F.col("_l.lo")
+    hi = F.lit(float(high)) if high is not None else F.col("_l.hi")
     width = (hi - lo) / F.lit(bins)
     bin_ = F.least(F.lit(bins - 1), F.floor(F.try_divide(F.col(column) - lo, width))).cast("int")
-    counts = rows.groupBy(*keys, F.coalesce(bin_, F.lit(0)).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(
+    placed = with_row(rows, limits, "_l").withColumn("bin", F.coalesce(bin_, F.lit(0)))
+    counts = placed.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"))
+    return with_row(counts, limits, "_l").select(
         *keys, "bin", (lo + F.col("bin") * width).alias("lower"), (lo + (F.col("bin") + 1) * width).alias("upper"), "n"
     )
 

@@ -388,6 +388,11 @@ def ntile(
     return indexed.withColumn(name, tile.cast("int")).drop("_ix", "_total")
 
 
+def with_row(df: DataFrame, row: DataFrame, name: str) -> DataFrame:
+    """Put the only row of ``row`` beside every row as the struct ``name``, computed once."""
+    return df.withColumn(name, row.select(F.struct(*row.columns).alias("s")).scalar())
+
+
 def join_small(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join a per-key table of unknown size: computed once, counted, broadcast only when short.
 

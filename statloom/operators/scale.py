@@ -8,20 +8,24 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from statloom.functions.scalars import SIGMOID_BASE
-from statloom.operators.ordered import ROWS_PER_SPLIT, quantiles
+from statloom.operators.ordered import ROWS_PER_SPLIT, quantiles, with_row
+
+
+def _shifted(df: DataFrame, row: DataFrame, column: str, name: str, start: Column, width: Column) -> DataFrame:
+    """Distance from ``start`` in ``width``; both come from the one-row table."""
+    return with_row(df, row, "_s").withColumn(name, F.try_divide(F.col(column) - start, width)).drop("_s")
 
 
 def min_max(df: DataFrame, column: str, name: str) -> DataFrame:
     """To 0..1; a constant column gives NULL."""
-    s = df.agg(F.struct(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi")).alias("s")).scalar()
-    return df.withColumn(name, F.try_divide(F.col(column) - s["lo"], s["hi"] - s["lo"]))
+    row = df.agg(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi"))
+    return _shifted(df, row, column, name, F.col("_s.lo"), F.col("_s.hi") - F.col("_s.lo"))
 
 
 def quartile_scale(df: DataFrame, column: str, name: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
     """Distance from the first quartile in interquartile ranges."""
     q = quantiles(df, column, {"q1": 0.25, "q3": 0.75}, rows_per_split=rows_per_split)
-    s = q.select(F.struct("q1", "q3").alias("s")).scalar()
-    return df.withColumn(name, F.try_divide(F.col(column) - s["q1"], s["q3"] - s["q1"]))
+    return _shifted(df, q, column, name, F.col("_s.q1"), F.col("_s.q3") - F.col("_s.q1"))
 
 
 def sigmoid_scale(column: Column) -> Column:
@@ -36,8 +40,8 @@ def log_scale(column: Column) -> tuple[Column, Column]:
 def standardise(df: DataFrame, column: str, name: str, population: bool = False) -> DataFrame:
     """Distance from the mean in sample (or population) deviations."""
     deviation = F.stddev_pop if population else F.stddev_samp
-    s = df.agg(F.struct(F.avg(column).alias("m"), deviation(column).alias("d")).alias("s")).scalar()
-    return df.withColumn(name, F.try_divide(F.col(column) - s["m"], s["d"]))
+    row = df.agg(F.avg(column).alias("m"), deviation(column).alias("d"))
+    return _shifted(df, row, column, name, F.col("_s.m"), F.col("_s.d"))
 
 
 @dataclass
