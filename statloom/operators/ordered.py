@@ -22,7 +22,9 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, t
 from statloom.session import materialise
 
 ROWS_PER_SPLIT = 1_000_000
-MAX_SPLITS = 2_000
+MAX_SPLITS = 20_000
+ROWS_PER_CUT = 100
+CUTS_PER_BLOCK = 64
 BROADCAST_ROWS = 200_000
 TEXT_LEVELS = 8
 AFTER_TIES = 1 << 30
@@ -89,11 +91,17 @@ class Splits:
 
 
 def _range_cuts(df: DataFrame, keys: Sequence[str], code: str, hot: DataFrame, size: int, parts: int) -> list[dict]:
-    """Per hot key (columns ``keys`` and its rows ``_keyrows``) the cut points of ``code``, with repeats."""
+    """Per hot key (columns ``keys`` and its rows ``_keyrows``) the cut points of ``code``, with repeats.
+
+    Cut points only balance the ranges, so a sample of some rows per range will do.
+    """
+    share = ROWS_PER_CUT / size
+    if share < 0.2:
+        df = df.sample(share, seed=1)
     probabilities = [i / parts for i in range(1, parts)]
     cuts = F.percentile_approx(code, probabilities, 10 * parts)
     if not keys:
-        return [{"n": None, "cuts": list(df.agg(cuts.alias("c")).first()["c"])}]
+        return [{"n": None, "cuts": list(df.agg(cuts.alias("c")).first()["c"] or [])}]
     named = F.broadcast(hot.select(*[F.col(k).alias("_h_" + k) for k in keys], "_keyrows"))
     found = (
         df.join(named, _same(df, named, keys, "_h_"))
@@ -113,13 +121,23 @@ def _cut_column(df: DataFrame, keys: Sequence[str], code: str, rows: list[dict],
         placed = Bucketizer(splits=[-INF, *inner, INF], inputCol=code, outputCol=name).transform(df)
         return placed.withColumn(name, F.col(name).cast("int"))
     fields = [T.StructField("_h_" + k, df.schema[k].dataType) for k in keys]
-    schema = T.StructType([*fields, T.StructField("_cuts", T.ArrayType(T.DoubleType()))])
-    data = [(*[r["_h_" + k] for k in keys], sorted(set(r["cuts"]))) for r in rows]
+    doubles = T.ArrayType(T.DoubleType())
+    schema = T.StructType([*fields, T.StructField("_heads", doubles), T.StructField("_cuts", T.ArrayType(doubles))])
+    data = []
+    for r in rows:
+        cuts = sorted(set(r["cuts"]))
+        blocks = [cuts[i : i + CUTS_PER_BLOCK] for i in range(0, len(cuts), CUTS_PER_BLOCK)]
+        data.append((*[r["_h_" + k] for k in keys], [b[0] for b in blocks[1:]], blocks))
     # at most MAX_SPLITS keys and about twice as many cuts in all
     table = F.broadcast(df.sparkSession.createDataFrame(data, schema))
     joined = df.join(table, _same(df, table, keys, "_h_"), "left")
-    at = F.size(F.filter("_cuts", lambda c: c <= F.col(code)))
-    return joined.withColumn(name, F.when(F.col("_cuts").isNotNull(), at)).drop("_cuts", *["_h_" + k for k in keys])
+    # first the block of cuts, then the place in it
+    joined = joined.withColumn("_at", F.size(F.filter("_heads", lambda c: c <= F.col(code))))
+    inside = F.size(F.filter(F.get("_cuts", F.col("_at")), lambda c: c <= F.col(code)))
+    place = F.when(F.size("_cuts") > 0, F.col("_at") * CUTS_PER_BLOCK + inside).otherwise(F.lit(0))
+    return joined.withColumn(name, F.when(F.col("_cuts").isNotNull(), place)).drop(
+        "_heads", "_cuts", "_at", *["_h_" + k for k in keys]
+    )
 
 
 def split_hot_keys(

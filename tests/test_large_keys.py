@@ -180,3 +180,15 @@ def test_totals_beside_running_sums(df):
     plain = ordered.running(df, ["key"], ORDER, values)
     split = ordered.running(df, ["key"], ORDER, values, SMALL)
     assert rows(plain, "id", "s", "n", "top") == rows(split, "id", "s", "n", "top")
+
+
+def test_sampled_cuts_keep_ranges_even(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "ROWS_PER_CUT", 10)
+    monkeypatch.setattr(ordered, "CUTS_PER_BLOCK", 4)
+    big = spark.range(40_000).select("id", (F.col("id") % 3).alias("k"), F.pmod(F.xxhash64("id"), F.lit(10**6)).alias("v"))
+    parts = ordered.split_hot_keys(big, ["k"], ["v"], 200).df.groupBy("k", "_split").count()
+    assert parts.count() > 100
+    assert parts.agg(F.max("count")).first()[0] <= 1000
+    a = ordered.row_index(big, ["k"], ["v", "id"])
+    b = ordered.row_index(big, ["k"], ["v", "id"], rows_per_split=200)
+    assert a.exceptAll(b).count() == 0
