@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from statloom.catalog import Tables, query, rounded
 from statloom.catalog.inputs import cte
+from statloom.catalog.sampling import unit
 from statloom.operators import bins as B, clean as C, scale as X
+from statloom.operators.sampling import train_test_split
 
 P, T_, R = cte("passengers"), cte("trips"), cte("readings")
 
@@ -171,10 +173,11 @@ def _(t: Tables):
 @query(
     "x6_fit_and_apply_min_max",
     cte("sensors")
-    + """, tr AS (SELECT * FROM sensors WHERE event_id % 2 = 0),
+    + f""", tr AS (SELECT * FROM sensors WHERE {unit('event_id')} < 0.5),
     r AS (SELECT min(s1) AS l1, max(s1) AS h1, min(s2) AS l2, max(s2) AS h2 FROM tr)
     SELECT event_id, round((s1 - l1) / (h1 - l1), 6) AS s1, round((s2 - l2) / (h2 - l2), 6) AS s2 FROM sensors, r""",
 )
 def _(t: Tables):
-    model = X.fit_min_max(t.sensors.where("event_id % 2 = 0"), ["s1", "s2", "s3"])
+    train, _ = train_test_split(t.sensors, "event_id", 50)
+    model = X.fit_min_max(train, ["s1", "s2", "s3"])
     return rounded(model.transform(t.sensors.select("event_id", "s1", "s2", "s3")))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from statloom.catalog import Tables, query, rounded
 from statloom.catalog.inputs import cte
 from statloom.catalog.jobs import return_lines
+from statloom.catalog.sampling import unit
 from statloom.catalog.series import cycles
 from statloom.learn import (
     clusters as K,
@@ -121,10 +122,16 @@ def _(t: Tables):
     return rounded(rounded(best, 4, "a1", "a2"), 3, "dist").select("a1", "a2", "dist", "rank")
 
 
-@query("l3_random_search")
+@query(
+    "l3_random_search",
+    f"""WITH i AS (SELECT unnest(range(1, 5001)) AS i), g AS (SELECT -40000 + {unit('i', 1)} * 120000 AS a1, -1000 + {unit('i', 2)} * 3000 AS a2 FROM i),
+    s AS (SELECT l_quantity AS x, sum(l_extendedprice) AS y, sum(l_extendedprice ** 2) AS yy, count(*) AS n FROM lineitem GROUP BY 1),
+    e AS (SELECT a1, a2, sqrt(sum(yy - 2 * (a1 + a2 * x) * y + n * (a1 + a2 * x) ** 2) / sum(n)) AS dist FROM g, s GROUP BY ALL)
+    SELECT round(a1, 3) AS a1, round(a2, 3) AS a2, round(dist, 3) AS dist, CAST(rank() OVER (ORDER BY dist) AS DOUBLE) AS rank FROM e QUALIFY rank < 20""",
+)
 def _(t: Tables):
     tried = L.random_search(t.lineitem, "l_quantity", "l_extendedprice", 5000, (-40000.0, 80000.0), (-1000.0, 2000.0), seed=1)
-    return L.best_lines(tried)
+    return rounded(L.best_lines(tried), 3).select("a1", "a2", "dist", "rank")
 
 
 @query(
@@ -369,13 +376,20 @@ def _(t: Tables):
     return rounded(scored.groupBy("payment_type").agg(F.count("*").alias("n"), F.sum("predicted").alias("predicted")), 2)
 
 
-@query("l22_group_logistic")
+@query(
+    "l22_group_logistic",
+    cte("trips")
+    + """, f AS (SELECT payment_type, avg(CASE WHEN tip_amount > total_amount / 50 THEN 1.0::DOUBLE ELSE 0 END) AS share FROM trips GROUP BY 1)
+    SELECT payment_type, round(share, 6) AS share, round(share, 6) AS expected FROM f""",
+)
 def _(t: Tables):
+    # at the least-deviance fit the mean probability of a group is its share
     trips = t.trips.withColumn("tipped", F.when(F.col("tip_amount") > F.col("total_amount") / 50, 1).otherwise(0))
     features = ["trip_distance", "total_amount"]
-    model = G.group_logistic(trips, "payment_type", features, "tipped", iterations=6)
+    model = G.group_logistic(trips, "payment_type", features, "tipped", iterations=8)
     scored = G.score_groups(trips, model, "payment_type", features, "probability", logistic=True)
-    return scored.groupBy("payment_type").agg(F.avg("tipped").alias("share"), F.avg("probability").alias("expected"))
+    out = scored.groupBy("payment_type").agg(F.avg("tipped").alias("share"), F.avg("probability").alias("expected"))
+    return rounded(out)
 
 
 @query("l23_batch_scores")
@@ -447,6 +461,16 @@ def _(t: Tables):
     return X.tune(train, test, tried, lambda p: M.model_pipeline("forest_classifier", FEATURES, "survived", **p), _binary, "f_score")
 
 
+@query("l27_models_reaching_score")
+def _(t: Tables):
+    """How many tried combinations reach an F-score of 0.6 on training rows."""
+    train, test = survival(t)
+    grid = R.parameter_grid(t.spark, {"depth": (1, 1, 4), "min_leaf": (1, 50, 10)})
+    tried = R.random_percent(grid, ["depth", "min_leaf"], 10, seed=3)
+    board = X.tune(train, test, tried, lambda p: M.model_pipeline("tree_classifier", FEATURES, "survived", **p), _binary, "f_score")
+    return X.count_reaching(board, "train_f_score", 0.6)
+
+
 @query("l29_formula_model")
 def _(t: Tables):
     """Features kept by the chi-square screening become the model's inputs."""

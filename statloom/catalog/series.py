@@ -95,7 +95,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     rows = M.global_index(t.events, "user_id", ORDER, "ix", rows_per_split=2_000)
-    return rounded(M.autocorrelation(rows, ["ix"], "value", 30, rows_per_split=2_000))
+    return rounded(M.autocorrelation(rows, ["ix"], "value", 30, rows_per_split=2_000, index="ix"))
 
 
 @query(
@@ -112,7 +112,7 @@ def _(t: Tables):
 @query("h14_partial_autocorrelation")
 def _(t: Tables):
     rows = M.global_index(t.events, "user_id", ORDER, "ix")
-    return rounded(M.partial_autocorrelation(M.autocorrelation(rows, ["ix"], "value", 30)))
+    return rounded(M.partial_autocorrelation(M.autocorrelation(rows, ["ix"], "value", 30, index="ix")))
 
 
 @query(

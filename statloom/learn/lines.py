@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from statloom.operators.ordered import average_rank, with_row
 from statloom.operators.relational import axis
+from statloom.operators.sampling import hash_unit
 
 
 def line_statistics(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -55,8 +56,7 @@ def random_search(
     rows = line_statistics(df, x, y).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(tries))))
 
     def uniform(low: float, high: float, salt: int) -> Column:
-        unit = F.pmod(F.xxhash64(F.lit(seed + salt), F.col("i")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        return F.lit(low) + unit * F.lit(high - low)
+        return F.lit(low) + hash_unit("i", seed + salt) * F.lit(high - low)
 
     rows = rows.withColumns({"a1": uniform(*intercepts, 0), "a2": uniform(*slopes, 1)})
     return rows.select("a1", "a2", line_rmse(F.col("a1"), F.col("a2")).alias("dist"))

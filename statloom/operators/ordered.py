@@ -300,19 +300,24 @@ def look_back(
     build: Callable[[WindowSpec], dict[str, Column]],
     rows_per_split: int = ROWS_PER_SPLIT,
     block_rows: int | None = None,
+    index: str | None = None,
 ) -> DataFrame:
     """Window columns that read at most ``rows`` earlier rows (lag, moving frames).
 
     Large keys are numbered and cut into blocks of rows; the last ``rows`` rows of
     a block are also sent to the next block, where they serve as history only.
-    ``order`` must tell the rows of a key apart.
+    ``order`` must tell the rows of a key apart.  ``index`` names a row number
+    1, 2, ... within the key that is there already.
     """
     keys = list(keys)
-    parted = split_hot_keys(df, keys, order, rows_per_split)
-    if not parted.needed:
-        return df.withColumns(build(Window.partitionBy(*keys).orderBy(*sort_columns(order))))
     size = max(block_rows or rows_per_split, rows + 1)
-    indexed = row_index(df, keys, order, "_ix", parted=parted)
+    if index:
+        indexed = df.withColumn("_ix", F.col(index))
+    else:
+        parted = split_hot_keys(df, keys, order, rows_per_split)
+        if not parted.needed:
+            return df.withColumns(build(Window.partitionBy(*keys).orderBy(*sort_columns(order))))
+        indexed = row_index(df, keys, order, "_ix", parted=parted)
     block = F.expr(f"(_ix - 1) div {size}")
     near_end = F.expr(f"(_ix - 1) % {size} >= {size - rows}")
     copies = indexed.withColumn("_own", block).withColumn(

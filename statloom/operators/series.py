@@ -111,9 +111,9 @@ def global_index(
 
 def autocorrelation(
     df: DataFrame, order: Sequence[str], column: str, max_lag: int = 30, keys: Sequence[str] = (),
-    rows_per_split: int = ROWS_PER_SPLIT,
+    rows_per_split: int = ROWS_PER_SPLIT, index: str | None = None,
 ) -> DataFrame:
-    """Rows (keys, lag, acf), one pass for all lags."""
+    """Rows (keys, lag, acf), one pass for all lags; ``index`` as in ``look_back``."""
     keys = list(keys)
     if keys:
         means = df.groupBy(*keys).agg(F.avg(column).alias("_mean"))
@@ -125,6 +125,7 @@ def autocorrelation(
         rows, keys, order, max_lag,
         lambda w: {f"_lag{k}": F.lag("_d", k).over(w) for k in range(1, max_lag + 1)},
         rows_per_split,
+        index=index,
     )
     sums = [F.sum(F.col("_d") * F.col("_d")).alias("_p0")]
     sums += [F.coalesce(F.sum(F.col("_d") * F.col(f"_lag{k}")), F.lit(0.0)).alias(f"_p{k}") for k in range(1, max_lag + 1)]
