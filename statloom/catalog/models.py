@@ -168,6 +168,20 @@ def _(t: Tables):
     return _fit_report(t, "logistic", l1=0.001, l2=0.001)
 
 
+@query(
+    "l7_logistic_calibration",
+    cte("passengers")
+    + """ SELECT count(*) AS rows, round(avg(survived), 3) AS share, round(avg(survived), 3) AS expected FROM passengers WHERE survived IS NOT NULL""",
+)
+def _(t: Tables):
+    """Without a penalty the mean probability equals the share of the class."""
+    rows = materialise(passengers.model_input(t.passengers).dropna())
+    scored = S.score(M.model_pipeline("logistic", FEATURES, "survived").fit(rows), rows, ["survived"], classes=2)
+    return rounded(
+        scored.agg(F.count("*").alias("rows"), F.avg("survived").alias("share"), F.avg("prob_1").alias("expected")), 3
+    )
+
+
 @query("l8_logistic_multinomial")
 def _(t: Tables):
     train, test = engine(t)

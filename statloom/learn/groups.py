@@ -59,10 +59,11 @@ def _linear_score(features: Sequence[str], coefficients: str) -> Column:
     return sum((b[i + 1] * F.col(c).cast("double") for i, c in enumerate(features)), b[0])
 
 
-def _fixed(model: DataFrame) -> DataFrame:
-    """The model as a table that is computed once; broadcast when it has few groups."""
-    done = materialise(model)
-    return F.broadcast(done) if done.count() <= SMALL_TABLE else done
+def _fixed(model: DataFrame, few: bool) -> DataFrame:
+    """The model computed once: a local, broadcast table for few groups, a written one for many."""
+    if few:
+        return F.broadcast(model.sparkSession.createDataFrame(model.collect(), model.schema))
+    return materialise(model)
 
 
 def group_logistic(
@@ -76,15 +77,19 @@ def group_logistic(
     ).first()
     centre = [means[f"m{i}"] for i in range(len(features))]
     spread = [means[f"s{i}"] or 1.0 for i in range(len(features))]
-    scaled = rows.select(
-        group,
-        F.col(label).cast("double").alias("_y"),
-        *[((F.col(c) - F.lit(centre[i])) / F.lit(spread[i])).alias(f"_x{i}") for i, c in enumerate(features)],
+    scaled = materialise(
+        rows.select(
+            group,
+            F.col(label).cast("double").alias("_y"),
+            *[((F.col(c) - F.lit(centre[i])) / F.lit(spread[i])).alias(f"_x{i}") for i, c in enumerate(features)],
+        )
     )
     names = [f"_x{i}" for i in range(len(features))]
     size = len(features) + 1
     diagonal = [float(i == j) * ridge for i in range(size) for j in range(i, size)]
-    model = _fixed(scaled.select(group).distinct().withColumn("_b", F.array(*[F.lit(0.0)] * size)))
+    groups = scaled.select(group).distinct()
+    few = groups.count() <= SMALL_TABLE
+    model = _fixed(groups.withColumn("_b", F.array(*[F.lit(0.0)] * size)), few)
     for _ in range(iterations):
         p = sigmoid(_linear_score(names, "_b"))
         terms = _terms(names)
@@ -101,15 +106,16 @@ def group_logistic(
         gram = F.zip_with("gram", F.array(*[F.lit(d) for d in diagonal]), lambda a, b: a + b)
         moved = step.withColumn("_d", _solve(gram, F.col("right")))
         held = F.transform("_d", lambda d: F.greatest(F.lit(-5.0), F.least(F.lit(5.0), d)))
-        done = materialise(
+        done = _fixed(
             moved.select(
                 group,
                 F.zip_with("_b", held, lambda a, b: a + b).alias("_b"),
                 F.array_max(F.transform("_d", lambda d: F.abs(d))).alias("_move"),
-            )
+            ),
+            few,
         )
         move = done.agg(F.max("_move").alias("m")).first()["m"]
-        model = F.broadcast(done.drop("_move")) if done.count() <= SMALL_TABLE else done.drop("_move")
+        model = done.drop("_move")
         if move is not None and move < 1e-8:
             break
     b = F.col("_b")

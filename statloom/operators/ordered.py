@@ -26,7 +26,7 @@ MAX_SPLITS = 20_000
 ROWS_PER_CUT = 100
 CUTS_PER_BLOCK = 64
 BROADCAST_ROWS = 200_000
-TEXT_LEVELS = 8
+TEXT_LEVELS = 32
 AFTER_TIES = 1 << 30
 INF = float("inf")
 
