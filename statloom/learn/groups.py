@@ -106,16 +106,19 @@ def group_logistic(
         gram = F.zip_with("gram", F.array(*[F.lit(d) for d in diagonal]), lambda a, b: a + b)
         moved = step.withColumn("_d", _solve(gram, F.col("right")))
         held = F.transform("_d", lambda d: F.greatest(F.lit(-5.0), F.least(F.lit(5.0), d)))
-        done = _fixed(
-            moved.select(
-                group,
-                F.zip_with("_b", held, lambda a, b: a + b).alias("_b"),
-                F.array_max(F.transform("_d", lambda d: F.abs(d))).alias("_move"),
-            ),
-            few,
+        next_ = moved.select(
+            group,
+            F.zip_with("_b", held, lambda a, b: a + b).alias("_b"),
+            F.array_max(F.transform("_d", lambda d: F.abs(d))).alias("_move"),
         )
-        move = done.agg(F.max("_move").alias("m")).first()["m"]
-        model = done.drop("_move")
+        if few:
+            found = next_.collect()  # at most SMALL_TABLE short rows
+            move = max((r["_move"] for r in found), default=0.0)
+            model = F.broadcast(df.sparkSession.createDataFrame(found, next_.schema).drop("_move"))
+        else:
+            done = materialise(next_)
+            move = done.agg(F.max("_move").alias("m")).first()["m"]
+            model = done.drop("_move")
         if move is not None and move < 1e-8:
             break
     b = F.col("_b")

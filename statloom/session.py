@@ -7,10 +7,15 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, settings: dict[str, str] | None = None
+) -> SparkSession:
     """Session for tests and the bench; a cluster brings its own."""
+    builder = SparkSession.builder
+    for name, value in (settings or {}).items():
+        builder = builder.config(name, value)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName("statloom")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")

@@ -13,7 +13,8 @@ FOLDER = os.environ.get("SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8)
+    # compiling a plan costs more than running it on tables this small
+    session = local_session(8, 4, {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"})
     yield session
     session.stop()
 

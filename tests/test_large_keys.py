@@ -30,7 +30,7 @@ def frame():
 @pytest.fixture(scope="module")
 def df(spark, frame):
     # one NULL key as large as a split
-    return spark.createDataFrame(frame).withColumn("key", F.when(F.col("key") == 3, None).otherwise(F.col("key"))).repartition(5)
+    return spark.createDataFrame(frame).withColumn("key", F.when(F.col("key") == 3, None).otherwise(F.col("key"))).repartition(5).cache()
 
 
 ORDER = ["t", "id"]
