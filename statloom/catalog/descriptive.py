@@ -22,6 +22,17 @@ def _(t: Tables):
     return rounded(D.describe(t.readings, "value"))
 
 
+@query(
+    "a1_describe_integer_average",
+    cte("passengers")
+    + """SELECT min(age) AS min, max(age) AS max, max(age) - min(age) AS range, trunc(avg(age)) AS mean, count(age) AS count,
+    round(stddev_samp(age), 6) AS stdev, round(stddev_samp(age) / avg(age), 6) AS cv, count(*) - count(age) AS missing,
+    count(DISTINCT age) AS "distinct" FROM passengers""",
+)
+def _(t: Tables):
+    return rounded(D.describe(t.passengers, "age", integer_avg=True))
+
+
 @query(
     "a1_summary_by_type",
     R

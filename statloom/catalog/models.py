@@ -25,7 +25,7 @@ from statloom.learn import (
 from statloom.operators import relational as R, sampling
 from statloom.plans import customers, maintenance, passengers
 from statloom.session import materialise
-from statloom.sources.writers import scratch_folder
+from statloom.sources.writers import insert_rows, scratch_folder
 
 FEATURES = passengers.FEATURES
 SENSORS = ["cycle", "s1", "s2", "a1", "a2", "sd1", "sd2"]
@@ -450,6 +450,10 @@ def _(t: Tables):
         "glm": lambda f: M.model_pipeline("glm", f, "rul"),
         "forest": lambda f: M.model_pipeline("forest_regressor", f, "rul", trees=5),
         "boosted": lambda f: M.model_pipeline("boosted_regressor", f, "rul", trees=3),
+        "network": lambda f: neural.NetworkLearner(f, "rul", {"hidden": (6,), "iterations": 5}),
+        "ensemble": lambda f: N.EnsembleLearner(
+            [M.model_pipeline("linear", f, "rul"), M.model_pipeline("tree_regressor", f, "rul")], ["id", "cycle"]
+        ),
     }
     metrics = X.model_factory(train, test, "rul", 5, learners, _regression, exclude=["id", "label1", "label2"])
     return metrics.orderBy("mae")
@@ -467,6 +471,25 @@ def _(t: Tables):
     return X.model_factory(train, test, "label1", 5, learners, evaluate, exclude=["id", "rul", "label2"])
 
 
+@query("l26_metrics_table")
+def _(t: Tables):
+    """Three-class metrics on raw and on scaled features, appended to one table and ranked."""
+    train, test = engine(t)
+    path = scratch_folder(t.spark, "metrics")
+    learners = {
+        "logistic": lambda f: M.model_pipeline("logistic", f, "label2", classes=3, iterations=20),
+        "forest": lambda f: M.model_pipeline("forest_classifier", f, "label2", trees=5),
+        "tree": lambda f: M.model_pipeline("tree_classifier", f, "label2"),
+    }
+    evaluate = lambda d: E.overall_metrics(d, "label2", "prediction")
+    scaled_train, scaled_test, _ = maintenance.normalised(train, test, SENSORS)
+    for data, parts in {"raw": (train, test), "scaled": (scaled_train, scaled_test)}.items():
+        rows = X.model_factory(*parts, "label2", 4, learners, evaluate, exclude=["id", "rul", "label1"])
+        insert_rows(rows.withColumn("data", F.lit(data)), path)
+    table = t.spark.read.parquet(path)
+    return R.ranked_ends(table, ["-accuracy", "name", "data"], 2, 5)
+
+
 @query("l27_tuning_leaderboard")
 def _(t: Tables):
     train, test = survival(t)

@@ -47,6 +47,19 @@ class Ensemble:
         return out.withColumn("prediction", value).drop(*parts)
 
 
+@dataclass
+class EnsembleLearner:
+    """Estimator form of ``fit_ensemble`` for lists of learners."""
+
+    members: Sequence[Pipeline]
+    key: str | Sequence[str]
+    combine: str = "average"
+    seed: int = 1
+
+    def fit(self, df: DataFrame) -> Ensemble:
+        return fit_ensemble(df, self.members, self.key, self.combine, self.seed)
+
+
 def fit_ensemble(df: DataFrame, members: Sequence[Pipeline], key: str | Sequence[str], combine: str = "average", seed: int = 1) -> Ensemble:
     """``combine`` is ``average`` (regression), ``vote`` or ``probability`` (two classes)."""
     models = [p.fit(bootstrap(df, key, seed + i)) for i, p in enumerate(members)]

@@ -133,6 +133,12 @@ def class_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     )
 
 
+def overall_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """The figures of ``class_metrics`` that hold for all classes together, as one row."""
+    names = ["accuracy", "macro_precision", "macro_recall", "macro_f1", "avg_accuracy", "micro_f1", "kappa"]
+    return class_metrics(df, actual, predicted).agg(*[F.first(c).alias(c) for c in names])
+
+
 def negative_class_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """Averages with every class in turn as the negative one.
 

@@ -83,6 +83,18 @@ class NetworkModel:
         return df.withColumn(name, predict(*self.scaled()))
 
 
+@dataclass
+class NetworkLearner:
+    """Estimator form of ``fit_network`` for lists of learners."""
+
+    features: Sequence[str]
+    label: str
+    options: dict = field(default_factory=dict)
+
+    def fit(self, df: DataFrame) -> NetworkModel:
+        return fit_network(df, self.features, self.label, **self.options)
+
+
 def fit_network(
     df: DataFrame,
     features: Sequence[str],

@@ -6,18 +6,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from statloom.functions.scalars import text_bar
+from statloom.functions.scalars import text_bar, truncate
 from statloom.operators.ordered import ROWS_PER_SPLIT, quantiles, running, with_row
 
 
-def describe(df: DataFrame, column: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Minimum, maximum, range, mean, count, deviation, variation, missing and distinct values."""
+def describe(df: DataFrame, column: str, keys: Sequence[str] = (), integer_avg: bool = False) -> DataFrame:
+    """Minimum, maximum, range, mean, count, deviation, variation, missing and distinct values.
+
+    ``integer_avg`` cuts the mean, though not the one inside the variation, to a whole number.
+    """
     c = F.col(column)
+    mean = truncate(F.avg(c)).cast("double") if integer_avg else F.avg(c)
     return df.groupBy(*keys).agg(
         F.min(c).alias("min"),
         F.max(c).alias("max"),
         (F.max(c) - F.min(c)).alias("range"),
-        F.avg(c).alias("mean"),
+        mean.alias("mean"),
         F.count(c).alias("count"),
         F.stddev_samp(c).alias("stdev"),
         F.try_divide(F.stddev_samp(c), F.avg(c)).alias("cv"),

@@ -37,9 +37,10 @@ def weighted_average(
 
 def exponential_average(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, name: str, weight: float = 0.7,
-    rows_per_split: int = ROWS_PER_SPLIT,
+    rows_per_split: int = ROWS_PER_SPLIT, digits: int | None = None,
 ) -> DataFrame:
-    """e(0) = x(0), e(t) = weight x(t) + (1 - weight) e(t-1), for values without NULL.
+    """e(0) = x(0), e(t) = weight x(t) + (1 - weight) e(t-1), for values without NULL;
+    rounded on request.
 
     Rows are numbered, then handled in short blocks.  Inside a block the average is
     a running sum of x(j) / keep^j times keep^j, which stays in range because the
@@ -58,7 +59,10 @@ def exponential_average(
     ends = rows.groupBy(*keys, (F.col("_block") + 1).alias("_block")).agg(F.max_by("_local", "_j").alias("_past"))
     joined = rows.join(ends, [*keys, "_block"], "left")
     past = F.coalesce(F.pow(F.lit(keep), F.col("_j") + 1) * F.col("_past"), F.lit(0.0))
-    return joined.withColumn(name, F.col("_local") + past).drop("_ix", "_block", "_j", "_local", "_past")
+    value = F.col("_local") + past
+    if digits is not None:
+        value = F.round(value, digits)
+    return joined.withColumn(name, value).drop("_ix", "_block", "_j", "_local", "_past")
 
 
 def rolling_features(
