@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from statloom.llm import bpe, exact_dedup, packing, quality, sharding
+from statloom.llm import bpe, exact_dedup, lm, near_dedup, packing, pii, quality, repeats, sharding
 from statloom.llm.text import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -38,6 +38,38 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+@query(
+    "op3_unit_hash_repeats",
+    r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    p AS (SELECT doc_id, regexp_extract_all(text, '[^\n.!?]*[.!?]*\n?') AS parts FROM d),
+    u AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM p),
+    o AS (SELECT doc_id, sum(length(part)) OVER (PARTITION BY doc_id ORDER BY i) AS stop, length(part) AS n,
+                 trim(regexp_replace(lower(part), '[\x20\x09-\x0D]+', ' ', 'g')) AS flat
+          FROM u WHERE part <> ''),
+    c AS (SELECT doc_id, stop - n AS start, stop, flat FROM o
+          WHERE flat <> '' AND length(flat) - length(replace(flat, ' ', '')) >= 4),
+    r AS (SELECT *, row_number() OVER (PARTITION BY flat ORDER BY doc_id, start) AS rank FROM c),
+    x AS (SELECT doc_id, count(*) AS n_removed, sum(stop - start) AS chars_removed,
+                 string_agg(CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start) AS removed
+          FROM r WHERE rank > 1 GROUP BY doc_id),
+    n AS (SELECT doc_id, count(*) AS n_units FROM o GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed,
+           CAST(coalesce(chars_removed, 0) AS BIGINT) AS chars_removed, coalesce(removed, '') AS removed
+    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN x USING (doc_id)""",
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = repeats.repeated_spans(documents(spark, sf_dir))
+    length = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    listed = F.transform("removed", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return spans.select(
+        "doc_id",
+        F.col("n_units").cast("long").alias("n_units"),
+        F.size("removed").cast("long").alias("n_removed"),
+        length.alias("chars_removed"),
+        F.array_join(listed, ",").alias("removed"),
+    )
+
+
 @query("op4_pair_index_bpe")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), WORD_BPE)
@@ -50,6 +82,32 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_dart_minhash")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(documents(spark, sf_dir))
+
+
+@query(
+    "op6_stupid_backoff",
+    rf"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    w AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d),
+    p AS (SELECT *, lag(word) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM w),
+    one AS (SELECT word, count(*) AS n FROM w GROUP BY word),
+    two AS (SELECT before, word, count(*) AS n FROM p WHERE before IS NOT NULL GROUP BY before, word),
+    s AS (SELECT p.doc_id, CASE WHEN p.before IS NULL THEN ln(o.n / (SELECT count(*) FROM w))
+                                WHEN t.n >= {lm.LEAST} THEN ln(t.n / b.n)
+                                ELSE ln({lm.BACKOFF}) + ln(o.n / (SELECT count(*) FROM w)) END AS score
+          FROM p JOIN one o ON o.word = p.word LEFT JOIN one b ON b.word = p.before
+                 LEFT JOIN two t ON t.before = p.before AND t.word = p.word)
+    SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, round(coalesce(sum(score), 0), 4) + 0.0 AS log_score,
+           round(sum(score) / nullif(len(words), 0), 6) AS mean_log
+    FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id, words""",
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = lm.scored(documents(spark, sf_dir))
+    return scores.withColumns({"log_score": F.round("log_score", 4) + F.lit(0.0), "mean_log": F.round("mean_log", 6)})
+
+
 @query(
     "op7_chunk_recipe_dedup",
     f"""WITH d AS (SELECT doc_id, sha256({_folded("text")}) AS text_sha256 FROM documents)
@@ -61,6 +119,18 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+@query("op8_crf_personal_data")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir))
+    kinds = F.transform("base", lambda s: s["kind"])
+    return found.select(
+        "doc_id",
+        *[(F.size("base") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.concat("base", "added")).alias("spans"),
+    )
+
+
 _MEASURED = r"""
     d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
     w AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i

@@ -36,3 +36,19 @@ def in_slices(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.Recor
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+#: Groups beyond this share of all rows are hot: at most a thousand can be.
+HOT_SHARE = 0.001
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str) -> DataFrame:
+    """Inner join of ``rows`` with one row per group, where ``size`` counts the group's rows.
+
+    A hot group would put all its rows into one task of a shuffle join.  At most a thousand
+    groups hold more than a thousandth of the rows, so these few are broadcast.
+    """
+    limit = max(1000.0, HOT_SHARE * rows.count())
+    hot = F.broadcast(groups.where(F.col(size) > limit))
+    cold = rows.join(hot.select(*on), on, "left_anti").join(groups.where(F.col(size) <= limit), on)
+    return rows.join(hot, on).unionByName(cold)
