@@ -34,7 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from statloom.llm.text import filled, in_slices
+from statloom.llm.text import filled, in_portions
 from statloom.session import materialise
 
 SHINGLE = 5
@@ -43,7 +43,7 @@ BANDS = 32
 ROWS = 6
 #: Cross pairs are listed only in buckets with at most so many members outside the largest class.
 LISTED = 48
-ROWS_AT_ONCE = 400
+BYTES_AT_ONCE = 2 << 20
 
 _M1, _M2, _G = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -162,7 +162,7 @@ def signed(docs: DataFrame, key: str = "doc_id", text: str = "text", weights: st
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for small in in_slices(batches, ROWS_AT_ONCE):
+        for small in in_portions(batches, 1, BYTES_AT_ONCE):
             sets = [_weighted(shingles(t.as_py(), size), weights) for t in small.column(1)]
             keys = band_keys(signatures(sets, bands * rows), bands, rows).astype(np.int64)
             some = np.array([len(e) > 0 for e, _ in sets])
@@ -181,7 +181,7 @@ def cell_sets(docs: DataFrame, key: str, text: str, weights: str, size: int) ->
     schema = T.StructType([T.StructField("rep", docs.schema[key].dataType), T.StructField("cells", T.ArrayType(T.LongType()))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for small in in_slices(batches, ROWS_AT_ONCE):
+        for small in in_portions(batches, 1, BYTES_AT_ONCE):
             sets = [_cells(_weighted(shingles(t.as_py(), size), weights)).astype(np.int64) for t in small.column(1)]
             bounds = np.append(0, np.cumsum([len(s) for s in sets])).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([*sets, np.zeros(0, np.int64)])))

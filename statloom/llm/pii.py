@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from statloom.llm.text import SPACES, filled
+from statloom.llm.text import SPACES, filled, in_portions
 
 BASE = ("email", "ip", "card", "phone")
 #: Labels of the field; all but the first are kinds of spans.
@@ -377,7 +377,7 @@ def find(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_portions(batches, len(keep)):
             found = all_spans(batch.column(batch.num_columns - 1).to_pylist(), model)
             sides = [[[{"kind": k, "start": s, "end": e} for k, s, e in row[side]] for row in found] for side in (0, 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *[pa.array(x, kind) for x in sides]], [*keep, "base", "added"])
@@ -398,10 +398,10 @@ def redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
 def redact(docs: DataFrame, text: str = "text", field: Field | None = None) -> DataFrame:
     """``docs`` with the spans of ``text`` replaced by their kinds; a NULL text stays NULL."""
     model = field or train(labelled())
+    at = docs.columns.index(text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index(text)
+        for batch in in_portions(batches, at):
             texts = batch.column(at).to_pylist()
             found = all_spans([t or "" for t in texts], model)
             clean = [t and redacted(t, [*base, *added]) for t, (base, added) in zip(texts, found)]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from statloom.llm import bpe, exact_dedup, lm, near_dedup, packing, pii, quality, repeats, sharding
+from statloom.llm import bpe, exact_dedup, lm, near_dedup, packing, pii, quality, repeats, sharding, toxicity
 from statloom.llm.text import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -38,6 +38,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+@query("op2_string_kernel_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.scored(docs, model).select(
+        "doc_id",
+        (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query(
     "op3_unit_hash_repeats",
     r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),

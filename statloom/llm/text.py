@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: White space of the contracts: blank, tab, line feed, vertical tab, form feed, carriage return.
@@ -38,6 +40,18 @@ def in_slices(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.Recor
             yield batch.slice(start, rows)
 
 
+def in_portions(batches: Iterable[pa.RecordBatch], column: int | str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Pieces of Arrow batches with at most so many bytes in a text column, one row at least."""
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
+        start = 0
+        while start < batch.num_rows:
+            before = sizes[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(sizes, before + most_bytes, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 #: Groups beyond this share of all rows are hot: at most a thousand can be.
 HOT_SHARE = 0.001
 
