@@ -152,7 +152,8 @@ class Model:
         return np.array([value[r].max() if len(r) else self.bias for r in rows])
 
     def chances(self, texts: list[str]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.decisions(texts) + self.shift, -500, 500)))
+        with np.errstate(over="ignore"):
+            return 1 / (1 + np.exp(-(self.slope * self.decisions(texts) + self.shift)))
 
 
 def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-4, rounds: int = 30) -> np.ndarray:

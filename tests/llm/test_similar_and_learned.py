@@ -1,0 +1,310 @@
+"""Near duplicates, toxicity, personal data and the pipeline beside plain versions."""
+
+import collections
+import os
+import random
+import re
+import sys
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from statloom.llm import near_dedup, pii, toxicity
+from statloom.llm.text import join_groups
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, ROOT)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_signatures_estimate_weighted_similarity(seed):
+    rng = np.random.default_rng(seed)
+    e = rng.integers(0, 2**63, 150).astype(np.uint64)
+    w = rng.uniform(0.1, 5, 150)
+    v = w * rng.uniform(0.4, 1.6, 150) * (rng.random(150) > 0.2)
+    near = np.minimum(w, v).sum() / np.maximum(w, v).sum()
+    s = near_dedup.signatures([(e, w), (e[v > 0], v[v > 0])], 3000)
+    assert (s[0] == s[1]).mean() == pytest.approx(near, abs=0.04)
+
+
+def test_signatures_do_not_depend_on_the_batch():
+    sets = [near_dedup.shingles(t) for t in ["a b c d e f g h", "x", "", "q " * 300, " ".join(map(str, range(3000)))]]
+    together = near_dedup.signatures(sets, 64)
+    for i, s in enumerate(sets):
+        assert (near_dedup.signatures([s], 64)[0] == together[i]).all()
+    assert (together[0] != 0).all() and (together[2] == 0).all()
+
+
+def plain_classes(rows, similarity=0.8, counts=False):
+    def cells(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+        found = collections.Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else {}
+        return frozenset((s, k) for s, n in found.items() for k in range(n if counts else 1))
+
+    sets = {key: cells(t) for key, t in rows}
+    parent = {k: k for k in sets}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    keys = sorted(sets)
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            shared = len(sets[a] & sets[b])
+            if sets[a] == sets[b] or shared and shared / (len(sets[a]) + len(sets[b]) - shared) >= similarity:
+                x, y = sorted((top(a), top(b)))
+                parent[y] = x
+    return {k: top(k) for k in keys}
+
+
+def families(seed, n=10, size=12):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(3000)]
+    passage = rng.choices(words, k=40)
+    rows = []
+    for _ in range(n):
+        base = rng.choices(words, k=rng.randint(60, 200))
+        if rng.random() < 0.5:
+            base[10:10] = passage
+        for _ in range(size):
+            own = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2, 4, 8])):
+                own[rng.randrange(len(own))] = rng.choice(words)
+            rows.append(" ".join(own))
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("listed", [48, 1])
+def test_near_groups(make_docs, listed):
+    rows = families(listed)
+    got = near_dedup.near_groups(make_docs(rows), listed=listed).collect()
+    assert {r.doc_id: r.class_id for r in got} == plain_classes(rows)
+
+
+def test_near_groups_by_counts(make_docs):
+    line = "one two three four five six seven eight nine ten "
+    rows = [(0, line * 10), (1, line * 20), (2, line * 19), *((k + 3, t) for k, t in families(7, 3, 4))]
+    got = {r.doc_id: r.class_id for r in near_dedup.near_groups(make_docs(rows), weights="counts").collect()}
+    assert got == plain_classes(rows, counts=True)
+    assert got[0] != got[1] == got[2]
+
+
+def test_near_groups_of_odd_rows(make_docs, odd_docs):
+    got = near_dedup.near_groups(odd_docs).collect()
+    assert len(got) == odd_docs.count()
+    empty = {r.class_id for r in got if r.doc_id in (0, 1, 2)}
+    assert empty == {0}
+    assert near_dedup.near_groups(make_docs([])).count() == 0
+    kept = near_dedup.keep_first(make_docs([(4, "a b c d e f"), (2, "A b c  d e f"), (9, "other words")]))
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 9] and kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    for links in ([(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 30)], [(rng.randrange(60), rng.randrange(60)) for _ in range(45)]):
+        graph = collections.defaultdict(set)
+        for a, b in links:
+            graph[a].add(b)
+            graph[b].add(a)
+        want = {}
+        for node in sorted(graph):
+            stack = [node]
+            while stack:
+                x = stack.pop()
+                if x not in want:
+                    want[x] = node
+                    stack += graph[x]
+        got = near_dedup.components(spark.createDataFrame(links, "a long, b long")).collect()
+        assert {r.node: r.label for r in got} == {k: v for k, v in want.items() if len(graph[k] | {k}) > 1 and k != v}
+
+
+def test_hot_groups_join(spark):
+    rows = spark.range(5000).select(F.when(F.col("id") < 3000, 0).otherwise(F.col("id")).alias("g"), "id")
+    groups = rows.groupBy("g").agg(F.count("*").alias("n"))
+    got = join_groups(rows, groups, ["g"], "n")
+    assert got.count() == 5000 and got.where("g = 0 and n = 3000").count() == 3000
+
+
+def naive_base(text):
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        out.append(("email", *m.span()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m.group().split(".")):
+            out.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = re.sub("[^0-9]", "", m.group())
+        if 16 <= len(d) <= 19 and sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0:
+            out.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 8 <= len(re.sub("[^0-9]", "", m.group())) <= 15:
+            out.append(("phone", *m.span()))
+    return out
+
+
+def test_base_patterns():
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("aB1234567890@@..-- +()é\n_%", k=rng.randint(0, 60))) for _ in range(20000)]
+    texts += ["4111 1111 1111 1111", "4111-1111-1111-1111 and +1 (988) 555-2485", "a.b@c-d.e.f at 255.255.255.255 not 256.1.1.1", "é 10.0.0.1"]
+    assert [t for t in texts if pii.base_spans(t) != naive_base(t)] == []
+
+
+def naive_windows(text):
+    words = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+    marked = [i for i, (s, e) in enumerate(words) if re.search("[0-9@]", text[s:e])]
+    out = []
+    for j in sorted({j for i in marked for j in range(i - 3, i + 4) if 0 <= j < len(words)}):
+        if out and out[-1][-1] == j - 1:
+            out[-1].append(j)
+        else:
+            out.append([j])
+    return [[words[j] for j in w] for w in out]
+
+
+def test_windows():
+    rng = random.Random(5)
+    texts = ["".join(rng.choices(["a", "b ", "1", "@", " ", "\n", "c d e f ", "g h i j k l m "], k=rng.randint(0, 25))) for _ in range(10000)]
+    assert [t for t in texts if pii.windows(t) != naive_windows(t)] == []
+
+
+def test_viterbi_is_the_best_path():
+    rng = np.random.default_rng(6)
+    steps = rng.normal(size=(3, 3))
+    emissions = [rng.normal(size=(n, 3)) for n in (1, 2, 5, 5, 3)]
+    for e, path in zip(emissions, pii.viterbi(emissions, steps)):
+        value = lambda p: sum(e[i, x] for i, x in enumerate(p)) + sum(steps[a, b] for a, b in zip(p, p[1:]))  # noqa: B023, E731
+        every = [tuple(int(c) for c in np.base_repr(k, 3).zfill(len(e))) for k in range(3 ** len(e))]
+        assert value(path) == pytest.approx(max(map(value, every)))
+
+
+def test_field_learns_and_holds_out():
+    table = pii.labelled()
+    field = pii.train(table)
+    wrong = [t for t, y in table if pii.viterbi([field.emissions(t)], field.steps)[0].tolist() != y]
+    assert not wrong
+    right = total = 0
+    for fold in range(5):
+        field = pii.train([x for i, x in enumerate(table) if i % 5 != fold])
+        for t, y in (x for i, x in enumerate(table) if i % 5 == fold):
+            total += len(y)
+            right += int((pii.viterbi([field.emissions(t)], field.steps)[0] == np.array(y)).sum())
+    assert right / total > 0.9
+
+
+def test_found_and_redacted(make_docs, odd_docs):
+    text = "écrire à a.b@c.org, appeler le +33 6 12 34 56 78 ou password=c41fe09ab27d835f60 demain"
+    docs = make_docs([(1, text), (2, "nothing in chapter 7 of 1998"), (3, None)]).selectExpr("*", "1 AS base")
+    rows = {r.doc_id: r for r in pii.find(docs).collect()}
+    assert [(s.kind, text[s.start : s.end]) for s in rows[1].base] == [("email", "a.b@c.org"), ("phone", "+33 6 12 34 56 78")]
+    assert [(s.kind, text[s.start : s.end]) for s in rows[1].added] == [("secret", "password=c41fe09ab27d835f60")]
+    assert not rows[2].base and not rows[2].added and not rows[3].base
+    clean = {r.doc_id: r.text for r in pii.redact(make_docs([(1, text), (3, None)])).collect()}
+    assert clean == {1: "écrire à [EMAIL], appeler le [PHONE] ou [SECRET] demain", 3: None}
+    assert pii.find(odd_docs).count() == odd_docs.count()
+    assert pii.find(make_docs([])).count() == 0
+
+
+def labelled_docs(seed=1, n=700):
+    rng = random.Random(seed)
+    syllables = "an er st la mo ti re no ka vu".split()
+    word = lambda: "".join(rng.choices(syllables, k=rng.randint(1, 4)))
+    insults = ["blockhead", "nitwit", "dimwit", "scoundrel", "buffoon", "cretin"]
+    rows, labels = [], []
+    for i in range(n):
+        toxic = i % 4 == 0
+        words = [word() for _ in range(rng.randint(5, 60))]
+        if toxic:
+            for _ in range(rng.randint(1, 3)):
+                words.insert(rng.randrange(len(words)), rng.choice(insults))
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(toxic)))
+    return rows, labels, insults
+
+
+@pytest.fixture(scope="module")
+def trained(spark, make_docs):
+    rows, labels, insults = labelled_docs()
+    return toxicity.train(make_docs(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")), rows, labels, insults
+
+
+def test_toxicity_on_held_out_rows(trained):
+    import zlib
+
+    model, rows, labels, _ = trained
+    held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0]
+    scores = model.chances([rows[i][1] for i in held])
+    right = [(s >= 0.5) == bool(labels[i][2]) for i, s in zip(held, scores)]
+    assert len(held) > 100 and np.mean(right) > 0.97
+    assert ((scores >= 0) & (scores <= 1)).all()
+
+
+def test_toxicity_tolerates_gaps(trained):
+    model, _, _, insults = trained
+    spelled = [v for w in insults for v in (w, w.upper(), ".".join(w), " ".join(w), w[:4] + "-" + w[4:], w[:3] + "k" + w[3:])]
+    scores = model.chances([f"la moti {v} reno" for v in spelled])
+    assert np.mean(scores >= 0.5) > 0.85
+    assert (model.chances(["", "la moti reno", "an"]) < 0.5).all()
+
+
+def test_folded_scores_are_the_kernel_machine():
+    rng = np.random.default_rng(2)
+    weights = rng.normal(size=toxicity.ALPHABET**3)
+    units = ["abc", "idiot", "zzzzzz", "ßéa", "a" * 24, "ab", ""]
+    got = toxicity.folded_scores(units, weights, 0.5)
+    want = [float(toxicity.vectors([u])[0].astype(float) @ weights) + 0.5 if len(u) > 2 else 0.5 for u in units]
+    assert got == pytest.approx(want, rel=1e-4)
+
+
+def test_toxicity_rows(spark, make_docs, odd_docs, trained):
+    model = trained[0]
+    assert toxicity.scored(odd_docs, model).count() == odd_docs.count()
+    assert toxicity.scored(make_docs([]), model).count() == 0
+    kept = toxicity.keep_clean(make_docs([(1, "la nitwit"), (2, "la moti"), (3, None)]), model).collect()
+    assert sorted(r.doc_id for r in kept) == [2, 3]
+    none = toxicity.train(odd_docs, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    assert [r.score for r in toxicity.scored(make_docs([(1, "x")]), none).collect()] == [0.0]
+    ones = toxicity.train(odd_docs, spark.createDataFrame([(1, 1, 1), (2, 0, 1), (4, 1, None)], "doc_id long, quality int, toxic int"))
+    assert set(r.score for r in toxicity.scored(odd_docs, ones).collect()) == {1.0}
+
+
+def test_pipeline_beside_its_stages_done_plainly(spark, folder):
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = toxicity.train(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    rows = [(i, t) for (i, t), s in zip(rows, model.chances([t or "" for _, t in rows])) if s < 0.5]
+    first = {}
+    for i, t in sorted(rows):
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t or ""), (i, t))
+    rows = list(first.values())
+    classes = plain_classes(rows)
+    rows = [(i, t) for i, t in rows if classes[i] == i]
+    field = pii.train(pii.labelled())
+    rows = [(i, pii.redacted(t, sum(pii.all_spans([t], field)[0], []))) for i, t in rows]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = {}
+    for i, t in rows:
+        n = len(tokenizer.encode(t, add_special_tokens=False).ids) + 1
+        want |= {(i, k): min(4096, n - s) for k, s in enumerate(range(0, n, 4096))}
+    got = corpus_pipeline.run(spark, folder).collect()
+    assert {(r.doc_id, r.piece): r.length for r in got} == want
+    assert len(got) == len(want)
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r.sequence_id].append((r.offset, r.length))
+    assert all(sum(n for _, n in x) <= 4096 for x in by.values())
+
+
+def test_stages_keep_the_columns(spark, folder):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, folder).schema.names == docs.schema.names
