@@ -19,16 +19,14 @@ import json
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count, islice
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, types as T
 
-from statloom.llm.text import filled, in_slices
-
-ROWS_OUT = 500
+from statloom.llm.text import filled, in_portions
 
 
 def byte_characters() -> list[str]:
@@ -47,7 +45,6 @@ class Vocabulary:
         model = spec["model"]
         self.ids: dict[str, int] = dict(model["vocab"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
         end = model["end_of_word_suffix"]
         chars = byte_characters()
         self.inner = np.array([self.ids[c] for c in chars], np.int64)
@@ -227,37 +224,69 @@ def id_lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([*parts, np.zeros(0, np.int32)])))
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` without the text, with ``ids`` array<int>: the whole text, no special tokens added."""
+def token_table(path: str) -> np.ndarray:
+    """Token of each id."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    named = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return np.array([named.get(i) for i in range(max(named) + 1)], object)
+
+
+def decode_ids(table: np.ndarray, ids: np.ndarray) -> str:
+    """Tokens joined by blanks; the file names no decoder.  Ids without a token decode to nothing."""
+    known = ids[(ids >= 0) & (ids < len(table))]
+    return " ".join([t for t in table[known].tolist() if t is not None])
+
+
+def _mapped(docs: DataFrame, source: DataFrame, new: dict[str, T.DataType], work) -> DataFrame:  # noqa: ANN001
+    """``work(batch)`` gives the new columns for the last column of ``source``; the others stay."""
+    kept = [f for f in docs.schema.fields if f.name in source.columns[:-1]]
+    names = [*[f.name for f in kept], *new]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = None
+        for small in in_portions(batches, source_width):
+            columns = columns or work()
+            yield pa.RecordBatch.from_arrays([*small.columns[:-1], *columns(small.column(source_width))], names)
+
+    source_width = len(source.columns) - 1
+    return source.mapInArrow(run, T.StructType([*kept, *[T.StructField(n, t) for n, t in new.items()]]))
+
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``docs`` without the text, with ``ids`` array<int>: the whole text, no special tokens added.
+
+    ``decoded`` names a column for the decoded ids, made in the same pass.
+    """
+    new: dict[str, T.DataType] = {ids: T.ArrayType(T.IntegerType())} | ({decoded: T.StringType()} if decoded else {})
+
+    def work():  # noqa: ANN202
         vocabulary = Vocabulary(path)
-        for batch in batches:
-            found = encode_batch(vocabulary, batch.column(batch.num_columns - 1).to_pylist())
-            for small in in_slices([batch], ROWS_OUT):
-                lists = id_lists(list(islice(found, small.num_rows)))
-                yield pa.RecordBatch.from_arrays([*small.columns[:-1], lists], [*small.schema.names[:-1], ids])
+        table = token_table(path) if decoded else None
+
+        def columns(texts: pa.Array) -> list[pa.Array]:
+            found = list(encode_batch(vocabulary, texts.to_pylist()))
+            lists = [id_lists(found)]
+            return lists if table is None else [*lists, pa.array([decode_ids(table, x) for x in found], pa.string())]
 
-    kept = [f for f in docs.schema.fields if f.name not in (text, ids)]
-    source = docs.select(*[f.name for f in kept], filled(text).alias("_text"))
-    return source.mapInArrow(work, T.StructType([*kept, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
+        return columns
+
+    kept = [c for c in docs.columns if c != text and c not in new]
+    return _mapped(docs, docs.select(*kept, filled(text).alias("_text")), new, work)
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """``docs`` with ``text``: the tokens of ``ids`` joined by blanks, special tokens included."""
+    kept = [f for f in docs.schema.fields if f.name != text]
+    at = [f.name for f in kept].index(ids)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Vocabulary(path).tokens
-        table = np.array([tokens.get(i) for i in range(max(tokens) + 1)], object)
-        for small in in_slices(batches, ROWS_OUT):
-            out = []
-            for row in small.column(small.schema.get_field_index(ids)):
-                numbers = row.values.to_numpy(zero_copy_only=False) if row.is_valid else np.zeros(0, int)
-                numbers = numbers[(numbers >= 0) & (numbers < len(table))].astype(int)
-                out.append(" ".join(t for t in table[numbers].tolist() if t is not None))
-            names = [n for n in small.schema.names if n != text]
-            columns = [small.column(small.schema.get_field_index(n)) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.string())], [*names, text])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = token_table(path)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                small = batch.slice(start, 500)
+                rows = [x.values.to_numpy(zero_copy_only=False).astype(np.int64) if x.is_valid else np.zeros(0, np.int64) for x in small.column(at)]
+                decoded = pa.array([decode_ids(table, x) for x in rows], pa.string())
+                yield pa.RecordBatch.from_arrays([*small.columns, decoded], [*[f.name for f in kept], text])
 
-    kept = [f for f in docs.schema.fields if f.name != text]
-    return docs.select(*[f.name for f in kept]).mapInArrow(work, T.StructType([*kept, T.StructField(text, T.StringType())]))
+    return docs.select(*[f.name for f in kept]).mapInArrow(run, T.StructType([*kept, T.StructField(text, T.StringType())]))

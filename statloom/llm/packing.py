@@ -26,8 +26,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from statloom.llm.bpe import ROWS_OUT, Vocabulary, encode_batch
-from statloom.llm.text import filled, in_slices
+from statloom.llm.bpe import Vocabulary, encode_batch
+from statloom.llm.text import filled, in_portions
 from statloom.session import materialise
 
 ROWS_PER_TASK = 1_000_000
@@ -50,22 +50,20 @@ def tokenise(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(path)
-        for batch in batches:
-            found = encode_batch(vocabulary, batch.column(1).to_pylist())
-            for small in in_slices([batch], ROWS_OUT):
-                row, piece, start, length, ids = [], [], [], [], []
-                for i in range(small.num_rows):
-                    raw = np.append(next(found), end_id).astype("<u4").tobytes()
-                    for k, at in enumerate(range(0, len(raw), 4 * capacity)):
-                        cut = raw[at : at + 4 * capacity]
-                        row.append(i)
-                        piece.append(k)
-                        start.append(at // 4)
-                        length.append(len(cut) // 4)
-                        ids.append(cut)
-                columns = [small.column(0).take(pa.array(row, pa.int64()))]
-                columns += [pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids"])
+        for small in in_portions(batches, 1):
+            row, piece, start, length, ids = [], [], [], [], []
+            for i, found in enumerate(encode_batch(vocabulary, small.column(1).to_pylist())):
+                raw = np.append(found, end_id).astype("<u4").tobytes()
+                for k, at in enumerate(range(0, len(raw), 4 * capacity)):
+                    cut = raw[at : at + 4 * capacity]
+                    row.append(i)
+                    piece.append(k)
+                    start.append(at // 4)
+                    length.append(len(cut) // 4)
+                    ids.append(cut)
+            columns = [small.column(0).take(pa.array(row, pa.int64()))]
+            columns += [pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids"])
 
     return docs.select(F.col(key).alias("doc_id"), filled(text).alias("text")).mapInArrow(work, schema)
 
