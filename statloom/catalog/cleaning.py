@@ -52,7 +52,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     rows = C.fill_mode(t.passengers, "embarked")
-    return rounded(C.fill_median(rows, "fare", rows_per_split=4_000).select("passenger_id", "embarked", "fare"))
+    return rounded(C.fill_median(rows, "fare").select("passenger_id", "embarked", "fare"))
 
 
 @query("c5_drop_missing", P + "SELECT passenger_id, survived, age FROM passengers WHERE survived IS NOT NULL AND age IS NOT NULL")
@@ -118,7 +118,7 @@ def _(t: Tables):
     (SELECT fare, CAST(ntile(6) OVER (ORDER BY fare NULLS FIRST) AS INT) AS bin FROM passengers) GROUP BY 1""",
 )
 def _(t: Tables):
-    return B.bin_summary(B.equal_height_bins(t.passengers.select("fare"), "fare", 6, rows_per_split=4_000), "fare")
+    return B.bin_summary(B.equal_height_bins(t.passengers.select("fare"), "fare", 6), "fare")
 
 
 @query(
@@ -146,7 +146,7 @@ def _(t: Tables):
     SELECT event_id, round((value - a) / (b - a), 6) AS scaled FROM readings, q""",
 )
 def _(t: Tables):
-    return rounded(X.quartile_scale(t.readings, "value", "scaled", rows_per_split=2_000).select("event_id", "scaled"))
+    return rounded(X.quartile_scale(t.readings, "value", "scaled").select("event_id", "scaled"))
 
 
 @query(

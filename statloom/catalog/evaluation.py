@@ -101,7 +101,7 @@ _ROC = W + """, c AS (SELECT score AS threshold, count(*) FILTER (actual = 1) AS
     _ROC + " SELECT *, round(tp / (SELECT sum(pos) FROM c), 6) AS tpr, round(fp / (SELECT sum(neg) FROM c), 6) AS fpr FROM r",
 )
 def _(t: Tables):
-    return rounded(E.roc_points(predictions(t), "actual", "score", rows_per_split=300))
+    return rounded(E.roc_points(predictions(t), "actual", "score"))
 
 
 @query("e7_auc", _ROC + " SELECT round(sum(neg * (tp - pos / 2)) / (max(tp) * CAST(max(fp) AS DOUBLE)), 6) AS auc FROM r")

@@ -5,7 +5,11 @@ a window without keys puts the whole table into one task.  The functions here
 check the size of the largest key first.  While every key fits a split they use
 the ordinary window.  Beyond that, large keys are cut into ranges of the order
 columns, each range is processed on its own, and the small per-range totals are
-carried from range to range.  Results are the same on both ways.
+carried from range to range.  Where ``order`` tells all rows of a key apart, results
+are the same on both ways; rows equal in it may take either order, as in any window.
+
+The number of ranges is at most ``MAX_SPLITS``, so beyond MAX_SPLITS x ROWS_PER_SPLIT
+rows a range grows with the input: 20,000 tasks of 50 million rows at 10^12.
 
 ``order`` is a list of column names; a leading ``-`` means descending.
 """
@@ -15,8 +19,9 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import add
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from statloom.session import materialise
@@ -26,7 +31,7 @@ MAX_SPLITS = 20_000
 ROWS_PER_CUT = 100
 CUTS_PER_BLOCK = 64
 BROADCAST_ROWS = 200_000
-TEXT_LEVELS = 32
+BROADCAST_BYTES = 64 << 20
 AFTER_TIES = 1 << 30
 INF = float("inf")
 
@@ -36,41 +41,61 @@ def sort_columns(order: Sequence[str]) -> list[Column]:
     return [F.col(o[1:]).desc() if o.startswith("-") else F.col(o).asc() for o in order]
 
 
-def _column_codes(name: str, dtype: T.DataType) -> tuple[list[Column], bool]:
-    """Doubles that order rows as the column does, coarse to fine, and whether they tell all values apart."""
+def _decimal_codes(col: Column, precision: int, scale: int) -> list[Column]:
+    """Groups of at most 15 digits from the left, each as a double with the sign of the number."""
+    if precision <= 15:
+        return [col.cast("double")]
+    codes = []
+    for power in (28, 14, 0, -15, -30):
+        if -scale < power < precision - scale:
+            below = col % F.expr(f"CAST('1e{power}' AS DECIMAL({abs(power) + 1}, {max(0, -power)}))")
+            codes.append((col - below).cast("double"))
+            col = below
+    return [*codes, col.cast("double")]
+
+
+def _column_codes(name: str, dtype: T.DataType, longest: int) -> list[Column]:
+    """Doubles that order rows as the column does, coarse to fine; together they tell all values apart.
+
+    ``longest`` is the length of the longest text in bytes.
+    """
     col = F.col(name)
     if isinstance(dtype, T.StringType):
         raw = F.encode(col, "UTF-8")
         codes = []
-        for i in range(TEXT_LEVELS):
+        for i in range(-(-longest // 6)):
             piece = F.rpad(F.hex(F.substring(raw, 6 * i + 1, 6)), 12, "0")
             codes.append(F.conv(piece, 16, 10).cast("double"))
-        return codes, False
+        # texts that only differ in zero bytes at the end
+        return [*codes, F.octet_length(col).cast("double")]
+    if isinstance(dtype, T.DecimalType):
+        return _decimal_codes(col, dtype.precision, dtype.scale)
     if isinstance(dtype, T.LongType):
         high = F.shiftright(col, 32)
-        return [high.cast("double"), (col - F.shiftleft(high, 32)).cast("double")], True
+        return [high.cast("double"), (col - F.shiftleft(high, 32)).cast("double")]
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return [F.unix_micros(col.cast("timestamp")).cast("double")], True
+        return [F.unix_micros(col.cast("timestamp")).cast("double")]
     if isinstance(dtype, T.DateType):
-        return [F.unix_date(col).cast("double")], True
+        return [F.unix_date(col).cast("double")]
     if isinstance(dtype, T.BooleanType):
-        return [col.cast("int").cast("double")], True
-    exact = not isinstance(dtype, T.DecimalType)
-    return [F.nanvl(col.cast("double"), F.lit(INF))], exact
-
-
-def _order_codes(df: DataFrame, order: Sequence[str]) -> tuple[list[Column], bool]:
-    codes, exact = [], True
-    for o in order:
-        name = o.lstrip("-")
-        found, exact = _column_codes(name, df.schema[name].dataType)
+        return [col.cast("int").cast("double")]
+    return [F.nanvl(col.cast("double"), F.lit(INF))]
+
+
+def _order_codes(df: DataFrame, order: Sequence[str]) -> tuple[list[Column], list[int]]:
+    """Codes of all order columns, and the place in ``order`` that each belongs to."""
+    names = [o.lstrip("-") for o in order]
+    texts = {n for n in names if isinstance(df.schema[n].dataType, T.StringType)}
+    longest = df.agg(F.lit(0), *[F.max(F.octet_length(n)).alias(n) for n in texts]).first().asDict() if texts else {}
+    codes, owner = [], []
+    for i, (o, name) in enumerate(zip(order, names)):
+        found = _column_codes(name, df.schema[name].dataType, longest.get(name) or 0)
         if o.startswith("-"):
             codes += [F.coalesce(-c, F.lit(INF)) for c in found]
         else:
             codes += [F.coalesce(c, F.lit(-INF)) for c in found]
-        if not exact:
-            break
-    return codes, exact
+        owner += [i] * len(found)
+    return codes, owner
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column | None:
@@ -116,10 +141,6 @@ def _range_cuts(df: DataFrame, keys: Sequence[str], code: str, hot: DataFrame, s
 
 def _cut_column(df: DataFrame, keys: Sequence[str], code: str, rows: list[dict], name: str) -> DataFrame:
     """Add ``name``: the range of each row of a hot key, NULL for other rows."""
-    if not keys:
-        inner = sorted({c for c in rows[0]["cuts"] if abs(c) != INF})
-        placed = Bucketizer(splits=[-INF, *inner, INF], inputCol=code, outputCol=name).transform(df)
-        return placed.withColumn(name, F.col(name).cast("int"))
     fields = [T.StructField("_h_" + k, df.schema[k].dataType) for k in keys]
     doubles = T.ArrayType(T.DoubleType())
     schema = T.StructType([*fields, T.StructField("_heads", doubles), T.StructField("_cuts", T.ArrayType(doubles))])
@@ -129,8 +150,12 @@ def _cut_column(df: DataFrame, keys: Sequence[str], code: str, rows: list[dict],
         blocks = [cuts[i : i + CUTS_PER_BLOCK] for i in range(0, len(cuts), CUTS_PER_BLOCK)]
         data.append((*[r["_h_" + k] for k in keys], [b[0] for b in blocks[1:]], blocks))
     # at most MAX_SPLITS keys and about twice as many cuts in all
-    table = F.broadcast(df.sparkSession.createDataFrame(data, schema))
-    joined = df.join(table, _same(df, table, keys, "_h_"), "left")
+    table = df.sparkSession.createDataFrame(data, schema)
+    if keys:
+        table = F.broadcast(table)
+        joined = df.join(table, _same(df, table, keys, "_h_"), "left")
+    else:
+        joined = with_row(df, table, "_h").withColumns({"_heads": F.col("_h._heads"), "_cuts": F.col("_h._cuts")}).drop("_h")
     # first the block of cuts, then the place in it
     joined = joined.withColumn("_at", F.size(F.filter("_heads", lambda c: c <= F.col(code))))
     inside = F.size(F.filter(F.get("_cuts", F.col("_at")), lambda c: c <= F.col(code)))
@@ -153,31 +178,28 @@ def split_hot_keys(
     the cut points are a small table whatever the input size.  Where many rows
     share an order value, they are cut along the next order column; rows equal in
     all of them may stand in any order and are cut at random.  ``reuse`` writes an
-    expensive (aggregated) input once before the several passes over it.
+    expensive (aggregated) input once, before its size is checked.
     """
     keys = list(keys)
+    if reuse:
+        df = materialise(df)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_keyrows"))
     sizes = counts.agg(F.sum("_keyrows").alias("total"), F.max("_keyrows").alias("largest")).first()
     total, largest = sizes["total"] or 0, sizes["largest"] or 0
     size = max(rows_per_split, -(-total // MAX_SPLITS))
     if largest <= size:
         return Splits(df, False)
-    if reuse:
-        df = materialise(df)
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_keyrows"))
     # at most MAX_SPLITS keys can be larger than total / MAX_SPLITS rows
     hot = counts.where(F.col("_keyrows") > size)
-    codes, exact = _order_codes(df, order)
+    codes, owner = _order_codes(df, order)
     rows, group, ranges, helpers = df, list(keys), [], []
     level = 0
     while True:
         code, place = f"_code{level}", f"_range{level}"
         if level < len(codes):
             rows = rows.withColumn(code, codes[level])
-        elif exact:
-            rows = materialise(rows.withColumn(code, F.rand(level)))
         else:
-            break
+            rows = materialise(rows.withColumn(code, F.rand(level)))
         parts = -(-largest // size)
         cuts = _range_cuts(rows, group, code, hot, size, parts)
         rows = _cut_column(rows, group, code, cuts, place)
@@ -194,19 +216,26 @@ def split_hot_keys(
         heavy = heavy.select(*[F.col(k).alias("_t_" + k) for k in [*group, code]])
         group = [*group, code]
         table = F.broadcast(heavy)
+        own = order[owner[level]].lstrip("-") if level < len(codes) else None
+        one_value = F.min(own).eqNullSafe(F.max(own)) & F.count(own).isin(F.lit(0), F.count(F.lit(1))) if own else F.lit(True)
         hot = (
             rows.join(table, _same(rows, table, group, "_t_"))
             .groupBy(*["_t_" + k for k in group])
-            .agg(F.count(F.lit(1)).alias("_keyrows"))
-            .toDF(*group, "_keyrows")
+            .agg(F.count(F.lit(1)).alias("_keyrows"), one_value.alias("_one"))
+            .toDF(*group, "_keyrows", "_one")
             .where(F.col("_keyrows") > size)
         )
         found = hot.collect()  # at most MAX_SPLITS rows
         if not found:
             break
-        hot = rows.sparkSession.createDataFrame(found, hot.schema)
+        hot = rows.sparkSession.createDataFrame(found, hot.schema).drop("_one")
         largest = max(r["_keyrows"] for r in found)
+        # where only equal values are left, go on with the next column at once
+        done = all(r["_one"] for r in found)
         level += 1
+        while done and own and level < len(codes) and owner[level] == owner[level - 1]:
+            codes.pop(level)
+            owner.pop(level)
     # rows after a tied value follow all its ranges
     parts_of_split = [F.coalesce(F.col(p), F.lit(AFTER_TIES if i else 0)) for i, p in enumerate(ranges)]
     split = F.struct(*[p.alias(f"r{i}") for i, p in enumerate(parts_of_split)])
@@ -416,14 +445,24 @@ def with_row(df: DataFrame, row: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, row.select(F.struct(*row.columns).alias("s")).scalar())
 
 
+def _bytes_of(df: DataFrame) -> Column:
+    """About how much room the rows take."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    sizes = [F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in texts]
+    sizes += [F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) for c in nested]
+    return F.sum(reduce(add, sizes, F.lit(16 * len(df.columns)).cast("long")))
+
+
 def join_small(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join a per-key table of unknown size: computed once, counted, broadcast only when short.
+    """Join a per-key table of unknown size: computed once, measured, broadcast only when small.
 
-    A longer table is joined by shuffle, where adaptive execution splits large keys.
+    A larger table is joined by shuffle, where adaptive execution splits large keys.
     NULL keys match each other.
     """
     keys = list(keys)
     renamed = materialise(table.select(*[F.col(k).alias("_k_" + k) for k in keys], *[c for c in table.columns if c not in keys]))
-    if renamed.count() <= BROADCAST_ROWS:
+    size = renamed.agg(F.count(F.lit(1)).alias("rows"), _bytes_of(renamed).alias("bytes")).first()
+    if size["rows"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES:
         renamed = F.broadcast(renamed)
     return df.join(renamed, _same(df, renamed, keys, "_k_"), how).drop(*["_k_" + k for k in keys])
