@@ -21,7 +21,7 @@ def cycles(t: Tables):
     + """ SELECT event_id, round(avg(s1) OVER (PARTITION BY id ORDER BY cycle ROWS 4 PRECEDING), 6) AS sma FROM sensors""",
 )
 def _(t: Tables):
-    out = M.moving_average(t.sensors, ["id"], ORDER, "s1", "sma", 5, rows_per_split=70)
+    out = M.moving_average(t.sensors, ["id"], ORDER, "s1", "sma", 5)
     return rounded(out.select("event_id", "sma"))
 
 
@@ -49,6 +49,20 @@ def _(t: Tables):
     return rounded(out.select("event_id", (F.col("ema") + F.lit(2e-9)).alias("ema")))
 
 
+@query(
+    "m3_exponential_average_null_entity",
+    CYCLES.replace("WITH", "WITH RECURSIVE").replace("user_id AS id", "nullif(user_id, 3) AS id").replace("PARTITION BY user_id", "PARTITION BY nullif(user_id, 3)")
+    + """, e AS (SELECT id, cycle, event_id, s1 AS ema FROM sensors WHERE cycle = 1
+      UNION ALL SELECT s.id, s.cycle, s.event_id, 0.7 * s.s1 + 0.3 * e.ema FROM e JOIN sensors s ON s.id IS NOT DISTINCT FROM e.id AND s.cycle = e.cycle + 1)
+    SELECT event_id, round(ema + 2e-9, 6) AS ema FROM e""",
+)
+def _(t: Tables):
+    """An entity without a name is one entity."""
+    rows = t.sensors.withColumn("id", F.nullif("id", F.lit(3)))
+    out = M.exponential_average(rows, ["id"], ORDER, "s1", "ema", 0.7)
+    return rounded(out.select("event_id", (F.col("ema") + F.lit(2e-9)).alias("ema")))
+
+
 _ROLL = """round(avg(s1) OVER w, 6) AS a1, round(avg(s2) OVER w, 6) AS a2,
   round(coalesce(stddev_samp(s1) OVER w, 0), 6) AS sd1, round(coalesce(stddev_samp(s2) OVER w, 0), 6) AS sd2"""
 _FRAME = "WINDOW w AS (PARTITION BY id ORDER BY cycle ROWS 4 PRECEDING)"
@@ -57,7 +71,7 @@ _FRAME = "WINDOW w AS (PARTITION BY id ORDER BY cycle ROWS 4 PRECEDING)"
 @query("m4_rolling_features", CYCLES + f" SELECT event_id, s1, s2, {_ROLL} FROM sensors {_FRAME}")
 def _(t: Tables):
     rows = t.sensors.select("id", "ts", "event_id", "s1", "s2")
-    out = M.rolling_features(rows, "id", ORDER, ["s1", "s2"], 5, rows_per_split=80)
+    out = M.rolling_features(rows, "id", ORDER, ["s1", "s2"], 5)
     return rounded(out.drop("id", "ts"))
 
 
@@ -94,8 +108,8 @@ def _(t: Tables):
     FROM g a CROSS JOIN range(0, 31) r(k) LEFT JOIN g b ON b.ix = a.ix - k GROUP BY k""",
 )
 def _(t: Tables):
-    rows = M.global_index(t.events, "user_id", ORDER, "ix", rows_per_split=2_000)
-    return rounded(M.autocorrelation(rows, ["ix"], "value", 30, rows_per_split=2_000, index="ix"))
+    rows = M.global_index(t.events, "user_id", ORDER, "ix")
+    return rounded(M.autocorrelation(rows, ["ix"], "value", 30, index="ix"))
 
 
 @query(
@@ -125,7 +139,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     labelled = M.label_remaining_life(cycles(t))
-    return rounded(M.lagged_correlation(labelled, ["cycle"], "s1", "rul", 8, ["id"], rows_per_split=70))
+    return rounded(M.lagged_correlation(labelled, ["cycle"], "s1", "rul", 8, ["id"]))
 
 
 @query(
@@ -138,7 +152,7 @@ def _(t: Tables):
         frame = w.rowsBetween(-4, 0)
         return {"mean": F.avg("value").over(frame), "low": F.min("value").over(frame), "high": F.max("value").over(frame)}
 
-    out = look_back(t.events, [], ORDER, 4, build, rows_per_split=2_000)
+    out = look_back(t.events, [], ORDER, 4, build)
     return rounded(out.select("event_id", "mean", "low", "high"))
 
 

@@ -25,12 +25,15 @@ def shapley(
     Each sample pairs a background row with an order of the features; features
     change from the background value to the row's value one after another, and
     the change of the prediction is credited to the feature just moved.
+    Background rows are drawn by the hash of ``key``, which ``background`` should have.
     Contributions of a row add up to its prediction less the mean prediction of
     the background rows drawn.
     """
     features = list(features)
     count = len(features)
-    base = background.select(*features, hash_order(features, seed).alias("_h")).orderBy("_h").limit(samples).collect()
+    # by the hash of the key: that of the features would put equal rows side by side
+    by = [key] if key in background.columns else features
+    base = background.orderBy(hash_order(by, seed)).select(*features).limit(samples).collect()
     rng = np.random.default_rng(seed)
     plan = []
     for s, row in enumerate(base):

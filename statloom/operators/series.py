@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -56,8 +58,10 @@ def exponential_average(
     inside = Window.partitionBy(*keys, "_block").orderBy("_j").rowsBetween(Window.unboundedPreceding, 0)
     grown = F.sum(share * F.col(column) * F.pow(F.lit(keep), -F.col("_j"))).over(inside)
     rows = rows.withColumn("_local", grown * F.pow(F.lit(keep), F.col("_j")))
-    ends = rows.groupBy(*keys, (F.col("_block") + 1).alias("_block")).agg(F.max_by("_local", "_j").alias("_past"))
-    joined = rows.join(ends, [*keys, "_block"], "left")
+    named = [F.col(k).alias("_e_" + k) for k in keys]
+    ends = rows.groupBy(*named, (F.col("_block") + 1).alias("_e__block")).agg(F.max_by("_local", "_j").alias("_past"))
+    match = reduce(and_, [rows[k].eqNullSafe(ends["_e_" + k]) for k in [*keys, "_block"]])
+    joined = rows.join(ends, match, "left").drop(*["_e_" + k for k in [*keys, "_block"]])
     past = F.coalesce(F.pow(F.lit(keep), F.col("_j") + 1) * F.col("_past"), F.lit(0.0))
     value = F.col("_local") + past
     if digits is not None:
@@ -86,7 +90,8 @@ def label_remaining_life(
 ) -> DataFrame:
     """Cycles left, a two-class and a three-class label.
 
-    ``truth`` (key, rul) adds the cycles a test entity still ran after its last row.
+    ``truth`` (key, rul) adds the cycles a test entity still ran after its last row; an
+    entity without truth has NULL for all three.
     """
     last = df.groupBy(key).agg(F.max(cycle).alias("_last"))
     if truth is not None:
@@ -94,7 +99,7 @@ def label_remaining_life(
             key, (F.col("_last") + F.col("_extra")).alias("_last")
         )
     rul = F.col("_last") - F.col(cycle)
-    label1 = F.when(rul <= soon, 1).otherwise(0)
+    label1 = F.when(rul <= soon, 1).when(rul.isNotNull(), 0)
     return (
         join_small(df, last, [key])
         .withColumns({"rul": rul, "label1": label1, "label2": F.when(rul <= urgent, 2).otherwise(label1)})
