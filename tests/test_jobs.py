@@ -17,7 +17,7 @@ def test_mushrooms(spark, tmp_path):
         bad = i % 2
         cells = ["p" if bad else "e"]
         for name in mushrooms.NAMES[1:]:
-            codes = mushrooms.LEVELS[name][0]
+            codes = list(mushrooms.LEVELS[name])
             # odor decides, the rest is noise
             cells.append(("f" if bad else "n") if name == "odor" else rng.choice(codes))
         lines.append(",".join(cells))
