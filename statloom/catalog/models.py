@@ -1,13 +1,14 @@
 """Model training, scoring, tuning and explanation."""
 
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from statloom.catalog import Tables, query, rounded
 from statloom.catalog.inputs import cte
 from statloom.catalog.jobs import return_lines
 from statloom.catalog.sampling import unit
-from statloom.catalog.series import cycles
+from statloom.catalog.series import CYCLES, cycles
 from statloom.learn import (
     clusters as K,
     ensembles as N,
@@ -25,7 +26,7 @@ from statloom.learn import (
 from statloom.operators import relational as R, sampling
 from statloom.plans import customers, maintenance, passengers
 from statloom.session import materialise
-from statloom.sources.writers import insert_rows, scratch_folder
+from statloom.sources.writers import insert_rows, scratch_folder, write_table
 
 FEATURES = passengers.FEATURES
 SENSORS = ["cycle", "s1", "s2", "a1", "a2", "sd1", "sd2"]
@@ -216,45 +217,45 @@ def _(t: Tables):
 @query("l11_forest_regressor")
 def _(t: Tables):
     train, test = engine(t)
-    model = M.model_pipeline("forest_regressor", SENSORS, "rul", trees=10, share=0.7).fit(train)
+    model = M.model_pipeline("forest_regressor", SENSORS, "rul", trees=20, share=0.7).fit(train)
     return X.generalisation(model, train, test, _regression)
 
 
 @query("l12_boosted_regressor")
 def _(t: Tables):
     train, test = engine(t)
-    model = M.model_pipeline("boosted_regressor", SENSORS, "rul", trees=5).fit(train)
+    model = M.model_pipeline("boosted_regressor", SENSORS, "rul", trees=20).fit(train)
     return X.generalisation(model, train, test, _regression)
 
 
 @query("l12_boosted_classifier")
 def _(t: Tables):
-    return _fit_report(t, "boosted_classifier", trees=5)
+    return _fit_report(t, "boosted_classifier", trees=15)
 
 
 @query("l12_boosted_multiclass")
 def _(t: Tables):
     train, test = engine(t)
-    model = M.model_pipeline("boosted_classifier", SENSORS, "label2", classes=3, trees=3).fit(train)
+    model = M.model_pipeline("boosted_classifier", SENSORS, "label2", classes=3, trees=25).fit(train)
     return _multiclass(model.transform(test))
 
 
 @query("l13_network_classifier")
 def _(t: Tables):
-    return _fit_report(t, "network", scale=True, hidden=[8], iterations=30)
+    return _fit_report(t, "network", scale=True, hidden=[8], iterations=100)
 
 
 @query("l13_network_multiclass")
 def _(t: Tables):
     train, test = engine(t)
-    model = M.model_pipeline("network", SENSORS, "label2", classes=3, scale=True, hidden=[8], iterations=30).fit(train)
+    model = M.model_pipeline("network", SENSORS, "label2", classes=3, scale=True, hidden=[8], iterations=100).fit(train)
     return _multiclass(model.transform(test))
 
 
 @query("l14_network_regressor")
 def _(t: Tables):
     train, test = engine(t)
-    model = neural.fit_network(train, SENSORS, "rul", hidden=(8,), iterations=15)
+    model = neural.fit_network(train, SENSORS, "rul", hidden=(8,), iterations=100)
     return X.generalisation(model, train, test, _regression)
 
 
@@ -282,15 +283,15 @@ _KNN = """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v, CAS
 def _(t: Tables):
     rows = t.embeddings.withColumn("v", F.col("embedding").cast("array<double>"))
     train, test = sampling.train_test_split(rows, "vec_id", 70)
-    return neighbours.classify(train, test, "v", "label", "vec_id", k=3, pivots=16, shard_rows=2_000)
+    return neighbours.classify(train, test, "v", "label", "vec_id", k=3)
 
 
 @query("l17_ensemble_average")
 def _(t: Tables):
     train, test = engine(t)
     members = [
-        M.model_pipeline("forest_regressor", SENSORS, "rul", trees=10, share=0.7),
-        M.model_pipeline("boosted_regressor", SENSORS, "rul", trees=5),
+        M.model_pipeline("forest_regressor", SENSORS, "rul", trees=20, share=0.7),
+        M.model_pipeline("boosted_regressor", SENSORS, "rul", trees=20),
         M.model_pipeline("linear", SENSORS, "rul"),
     ]
     model = N.fit_ensemble(train, members, ["id", "cycle"], "average")
@@ -324,6 +325,15 @@ def _(t: Tables):
     return model.transform(rows).select("vec_id", "label", "cluster")
 
 
+@query("l18_kmeans_nearest", "SELECT vec_id, true AS nearest FROM embeddings")
+def _(t: Tables):
+    """Every vector belongs to the centre closest to it."""
+    rows = materialise(K.with_vector(t.embeddings, "embedding"))
+    model = KMeans(k=10, seed=0, predictionCol="cluster").fit(rows)
+    found = model.transform(rows).withColumn("near", K.nearest_centre(model, vector_to_array("features")))
+    return found.select("vec_id", (F.col("near") == F.col("cluster")).alias("nearest"))
+
+
 @query("l18_kmeans_centres")
 def _(t: Tables):
     rows = materialise(K.with_vector(t.embeddings, "embedding"))
@@ -332,16 +342,32 @@ def _(t: Tables):
 
 @query("l19_elbow")
 def _(t: Tables):
-    return K.elbow(customers.return_profile(*return_lines(t)), customers.RATIOS, range(1, 7))
+    return K.elbow(customers.return_profile(*return_lines(t)), customers.RATIOS, range(1, 20))
 
 
-@query("l20_customer_segments")
+@query(
+    "l20_customer_segments",
+    """WITH s AS (SELECT count(DISTINCT o_custkey) AS n FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
+    SELECT CAST(4 AS BIGINT) AS clusters, n AS customers, n AS nearest, n AS listed FROM s""",
+)
 def _(t: Tables):
+    """Segments written as a table, read back and joined to the customers: everyone is in the nearest segment, once."""
     profile = materialise(customers.return_profile(*return_lines(t)))
     model = K.kmeans(customers.RATIOS, 4, seed=111).fit(profile)
-    found = model.transform(profile).drop("features")
-    sizes = found.groupBy("cluster").agg(F.count("*").alias("n"), *[F.avg(c).alias(c) for c in customers.RATIOS])
-    return sizes
+    path = scratch_folder(t.spark, "segments")
+    write_table(model.transform(profile).drop("features"), path)
+    found = t.spark.read.parquet(path)
+    near = found.select("cluster", *customers.RATIOS, K.nearest_centre(model, F.array(*customers.RATIOS)).alias("near"))
+    facts = near.agg(F.countDistinct("cluster").alias("clusters"), F.count("*").alias("customers"), F.count_if(F.col("near") == F.col("cluster")).alias("nearest"))
+    lists = [customers.campaign_list(t.customer, found, c) for c in range(4)]
+    return facts.withColumn("listed", R.union_all(lists).agg(F.count("*").alias("n")).scalar())
+
+
+@query("l20_segment_profiles")
+def _(t: Tables):
+    profile = materialise(customers.return_profile(*return_lines(t)))
+    found = K.kmeans(customers.RATIOS, 4, seed=111).fit(profile).transform(profile).drop("features")
+    return found.groupBy("cluster").agg(F.count("*").alias("n"), *[F.avg(c).alias(c) for c in customers.RATIOS])
 
 
 @query(
@@ -394,23 +420,41 @@ def _(t: Tables):
     "l22_group_logistic",
     cte("trips")
     + """, f AS (SELECT payment_type, avg(CASE WHEN tip_amount > total_amount / 50 THEN 1.0::DOUBLE ELSE 0 END) AS share FROM trips GROUP BY 1)
-    SELECT payment_type, round(share, 6) AS share, round(share, 6) AS expected FROM f""",
+    , m AS (SELECT payment_type, round(avg(CASE WHEN tip_amount > total_amount / 50 THEN trip_distance ELSE 0 END), 4) AS distance,
+      round(avg(CASE WHEN tip_amount > total_amount / 50 THEN total_amount ELSE 0 END), 4) AS amount FROM trips GROUP BY 1)
+    SELECT payment_type, round(share, 6) AS share, round(share, 6) AS expected, distance, distance AS expected_distance,
+      amount, amount AS expected_amount FROM f JOIN m USING (payment_type)""",
 )
 def _(t: Tables):
-    # at the least-deviance fit the mean probability of a group is its share
+    # at the least-deviance fit the probabilities of a group agree with its outcomes in the mean and weighted by each feature
     trips = t.trips.withColumn("tipped", F.when(F.col("tip_amount") > F.col("total_amount") / 50, 1).otherwise(0))
     features = ["trip_distance", "total_amount"]
-    model = G.group_logistic(trips, "payment_type", features, "tipped", iterations=8)
+    model = G.group_logistic(trips, "payment_type", features, "tipped")
     scored = G.score_groups(trips, model, "payment_type", features, "probability", logistic=True)
-    out = scored.groupBy("payment_type").agg(F.avg("tipped").alias("share"), F.avg("probability").alias("expected"))
-    return rounded(out)
+    out = scored.groupBy("payment_type").agg(
+        F.avg("tipped").alias("share"),
+        F.avg("probability").alias("expected"),
+        F.avg(F.col("tipped") * F.col("trip_distance")).alias("distance"),
+        F.avg(F.col("probability") * F.col("trip_distance")).alias("expected_distance"),
+        F.avg(F.col("tipped") * F.col("total_amount")).alias("amount"),
+        F.avg(F.col("probability") * F.col("total_amount")).alias("expected_amount"),
+    )
+    return rounded(rounded(out, 4, "distance", "expected_distance", "amount", "expected_amount"), 6, "share", "expected")
 
 
-@query("l23_batch_scores")
+@query(
+    "l23_batch_scores",
+    cte("passengers")
+    + f""" SELECT passenger_id, passenger_id % 5 <> 0 AS scored, CASE WHEN passenger_id % 5 <> 0 THEN CAST(1 AS DOUBLE) END AS whole
+    FROM passengers WHERE survived IS NOT NULL AND {unit('passenger_id', 123)} >= 0.7""",
+)
 def _(t: Tables):
+    """Every row comes back; one without an age has no prediction.  The chances of the classes add up to one."""
     train, test = survival(t)
-    model = M.model_pipeline("forest_classifier", FEATURES, "survived", trees=10).fit(train)
-    return S.score(model, test, ["passenger_id", "survived"], classes=2)
+    model = M.model_pipeline("forest_classifier", FEATURES, "survived", trees=20).fit(train)
+    gaps = test.withColumn("age", F.when(F.col("passenger_id") % 5 != 0, F.col("age")))
+    scored = S.score(model, gaps, ["passenger_id"], classes=2)
+    return rounded(scored.select("passenger_id", F.col("prediction").isNotNull().alias("scored"), (F.col("prob_0") + F.col("prob_1")).alias("whole")))
 
 
 @query("l24_filtered_scores")
@@ -428,7 +472,12 @@ def _(t: Tables):
     return S.score_one(model, t.spark, row, classes=2)
 
 
-@query("l25_l28_model_registry")
+@query(
+    "l25_l28_model_registry",
+    cte("passengers")
+    + f""" SELECT 'forest' AS name, 38 AS trees, 3 AS per_split, 12 AS depth, true AS has_train_f, true AS has_test_f, true AS saved, count(*) AS scored
+    FROM passengers WHERE survived IS NOT NULL AND {unit('passenger_id', 123)} >= 0.7""",
+)
 def _(t: Tables):
     """The forest with 38 trees of depth 12, 3 columns per split and at least 100 rows to split."""
     train, test = survival(t)
@@ -436,10 +485,16 @@ def _(t: Tables):
     model = M.model_pipeline("forest_classifier", FEATURES, "survived", **options).fit(train)
     path = S.save_model(model, scratch_folder(t.spark, "model"))
     entry = {"name": "forest", "path": path, **options, "train_f": _binary(model.transform(train)).first()["f_score"]}
-    registry = S.register(S.empty_registry(t.spark), entry)
-    loaded = S.load_model(path)
-    registry = S.set_test_score(registry, "forest", _binary(loaded.transform(test)).first()["f_score"])
-    return S.model_sizes(registry).drop("path", "trained")
+    table = scratch_folder(t.spark, "registry")
+    write_table(S.register(S.empty_registry(t.spark), entry), f"{table}/trained")
+    registry = t.spark.read.parquet(f"{table}/trained")
+    loaded = S.load_model(registry.where("name = 'forest'").first()["path"])
+    scored = materialise(loaded.transform(test).select("survived", "prediction"))
+    write_table(S.set_test_score(registry, "forest", _binary(scored).first()["f_score"]), f"{table}/tested")
+    sizes = S.model_sizes(t.spark.read.parquet(f"{table}/tested"))
+    good = lambda c: F.col(c).between(0, 1)
+    facts = sizes.select("name", "trees", "per_split", "depth", good("train_f").alias("has_train_f"), good("test_f").alias("has_test_f"), (F.col("model_mb") > 0).alias("saved"))
+    return facts.withColumn("scored", scored.agg(F.count("*").alias("n")).scalar())
 
 
 @query("l26_model_factory_regression")
@@ -448,9 +503,9 @@ def _(t: Tables):
     learners = {
         "linear": lambda f: M.model_pipeline("linear", f, "rul", scale=True, l2=0.01),
         "glm": lambda f: M.model_pipeline("glm", f, "rul"),
-        "forest": lambda f: M.model_pipeline("forest_regressor", f, "rul", trees=5),
-        "boosted": lambda f: M.model_pipeline("boosted_regressor", f, "rul", trees=3),
-        "network": lambda f: neural.NetworkLearner(f, "rul", {"hidden": (6,), "iterations": 5}),
+        "forest": lambda f: M.model_pipeline("forest_regressor", f, "rul", trees=20),
+        "boosted": lambda f: M.model_pipeline("boosted_regressor", f, "rul", trees=20),
+        "network": lambda f: neural.NetworkLearner(f, "rul", {"hidden": (6,), "iterations": 100}),
         "ensemble": lambda f: N.EnsembleLearner(
             [M.model_pipeline("linear", f, "rul"), M.model_pipeline("tree_regressor", f, "rul")], ["id", "cycle"]
         ),
@@ -465,7 +520,7 @@ def _(t: Tables):
     train, test, _ = maintenance.normalised(train, test, SENSORS)
     learners = {
         "logistic": lambda f: M.model_pipeline("logistic", f, "label1"),
-        "forest": lambda f: M.model_pipeline("forest_classifier", f, "label1", trees=5),
+        "forest": lambda f: M.model_pipeline("forest_classifier", f, "label1", trees=20),
     }
     evaluate = lambda d: E.binary_metrics(d, "label1", "prediction")
     return X.model_factory(train, test, "label1", 5, learners, evaluate, exclude=["id", "rul", "label2"])
@@ -478,7 +533,7 @@ def _(t: Tables):
     path = scratch_folder(t.spark, "metrics")
     learners = {
         "logistic": lambda f: M.model_pipeline("logistic", f, "label2", classes=3, iterations=20),
-        "forest": lambda f: M.model_pipeline("forest_classifier", f, "label2", trees=5),
+        "forest": lambda f: M.model_pipeline("forest_classifier", f, "label2", trees=20),
         "tree": lambda f: M.model_pipeline("tree_classifier", f, "label2"),
     }
     evaluate = lambda d: E.overall_metrics(d, "label2", "prediction")
@@ -539,13 +594,13 @@ def _(t: Tables):
 def _(t: Tables):
     features = ["c_nationkey", "c_acctbal"]
     model = M.model_pipeline("tree_regressor", features, "c_custkey", depth=4).fit(t.customer)
-    return explain.shapley(model.transform, t.customer, t.customer, features, "c_custkey", samples=10)
+    return explain.shapley(model.transform, t.customer, t.customer, features, "c_custkey", samples=100)
 
 
 @query(
     "e11_shapley_linear",
     """WITH b AS (SELECT c_nationkey, c_acctbal FROM customer
-      ORDER BY md5(concat_ws(':', '1', CAST(c_nationkey AS VARCHAR), CAST(c_acctbal AS VARCHAR))) LIMIT 25),
+      ORDER BY md5(concat_ws(':', '1', CAST(c_custkey AS VARCHAR))) LIMIT 100),
     m AS (SELECT avg(c_nationkey) AS a, avg(c_acctbal) AS b FROM b)
     SELECT c_custkey, 'c_nationkey' AS feature, round(2 * (c_nationkey - a), 4) AS contribution FROM customer, m
     UNION ALL SELECT c_custkey, 'c_acctbal', round((c_acctbal - b) / 10, 4) FROM customer, m""",
@@ -556,7 +611,7 @@ def _(t: Tables):
     def predict(df):
         return df.withColumn("prediction", 2 * F.col("c_nationkey") + F.col("c_acctbal") / 10)
 
-    found = explain.shapley(predict, t.customer, t.customer, ["c_nationkey", "c_acctbal"], "c_custkey", samples=25)
+    found = explain.shapley(predict, t.customer, t.customer, ["c_nationkey", "c_acctbal"], "c_custkey", samples=100)
     return rounded(found, 4)
 
 
@@ -572,19 +627,110 @@ def _(t: Tables):
     """One column on one predictor: the donor is the row with the closest predictor."""
     y = F.when(F.col("o_orderkey") % 7 == 0, None).otherwise(F.col("o_custkey").cast("double"))
     rows = t.orders.select("o_orderkey", F.col("o_totalprice").alias("x"), y.alias("y"))
-    return imputation.impute_pmm(rows, ["y"], ["x"], iterations=1, rows_per_split=4_000).select("o_orderkey", "y")
+    return imputation.impute_pmm(rows, ["y"], ["x"], iterations=1).select("o_orderkey", "y")
 
 
 @query("c6_impute_pmm")
 def _(t: Tables):
     rows = t.passengers.select("passenger_id", "age", "fare", "pclass", "sibsp")
-    return imputation.impute_pmm(rows, ["age", "fare"], ["pclass", "sibsp"], iterations=1, rows_per_split=5_000)
+    return imputation.impute_pmm(rows, ["age", "fare"], ["pclass", "sibsp"], iterations=1)
 
 
-@query("f7_passenger_survival")
+@query(
+    "f7_passenger_survival",
+    cte("passengers") + " SELECT passenger_id, true AS valid, CAST(10 AS BIGINT) AS folds, true AS rated FROM passengers WHERE survived IS NULL",
+)
 def _(t: Tables):
-    """Prepared input, several models, cross validation and the final predictions."""
-    return passengers.survival_job(t.passengers)
+    """Cross validation of the chosen tree and a prediction for everyone without an outcome."""
+    found = passengers.survival_job(t.passengers)
+    return found.select("passenger_id", F.col("predicted").isin(0, 1).alias("valid"), "folds", F.col("cv_accuracy").between(0, 1).alias("rated"))
+
+
+_LEARNERS = ["logistic", "kernel_svm", "three_nearest", "tree", "forest", "tree_without_port", "smaller_tree"]
+
+
+@query(
+    "f7_learner_scores",
+    cte("passengers")
+    + f""", s AS (SELECT CASE WHEN {unit('passenger_id', 123)} < 0.7 THEN 'train' ELSE 'test' END AS part, count(*) AS n FROM passengers WHERE survived IS NOT NULL GROUP BY 1)
+    SELECT learner, part, n AS "rows", true AS useful FROM s, (SELECT unnest({_LEARNERS!r}) AS learner)""",
+)
+def _(t: Tables):
+    """Five learners and two variants on training and held-out rows; none falls far behind the majority class."""
+    rows = materialise(passengers.model_input(t.passengers).dropna())
+    scores = passengers.learner_scores(rows)
+    return scores.select("learner", "part", "rows", (F.col("accuracy") >= F.col("majority") - 15).alias("useful"))
+
+
+_PARTS = cte("passengers") + f", s AS (SELECT count(*) AS n FROM passengers WHERE survived IS NOT NULL AND {unit('passenger_id', 123)} >= 0.7)"
+
+
+@query(
+    "l7_l17_classifier_facts",
+    _PARTS
+    + """ SELECT learner, n AS scored, n AS valid, n AS repeated, true AS useful
+    FROM s, (SELECT unnest(['logistic', 'tree', 'forest', 'boosted', 'network', 'svm', 'vote']) AS learner)""",
+)
+def _(t: Tables):
+    """Per learner: rows scored, rows with a class, rows that a second fit scores alike, and no loss against the majority class."""
+    train, test = survival(t)
+    single = {
+        "logistic": M.model_pipeline("logistic", FEATURES, "survived"),
+        "tree": M.model_pipeline("tree_classifier", FEATURES, "survived"),
+        "forest": M.model_pipeline("forest_classifier", FEATURES, "survived", trees=20),
+        "boosted": M.model_pipeline("boosted_classifier", FEATURES, "survived", trees=15),
+        "network": M.model_pipeline("network", FEATURES, "survived", scale=True, hidden=[8]),
+        "svm": M.model_pipeline("svm", FEATURES, "survived", scale=True, l2=0.01),
+    }
+    fits = {name: pipeline.fit for name, pipeline in single.items()}
+    members = [single["forest"], single["tree"], single["logistic"]]
+    fits["vote"] = lambda d: N.fit_ensemble(d, members, "passenger_id", "vote")
+    parts = []
+    for name, fit in fits.items():
+        first, second = (fit(train).transform(test).select("passenger_id", "survived", "prediction") for _ in range(2))
+        both = first.join(second.select("passenger_id", F.col("prediction").alias("again")), "passenger_id")
+        right = F.avg((F.col("survived") == F.col("prediction")).cast("double"))
+        majority = F.greatest(F.avg("survived"), 1 - F.avg("survived"))
+        parts.append(
+            both.agg(
+                F.count("*").alias("scored"),
+                F.count_if(F.col("prediction").isin(0.0, 1.0)).alias("valid"),
+                F.count_if(F.col("prediction") == F.col("again")).alias("repeated"),
+                (right >= majority - 0.1).alias("useful"),
+            ).select(F.lit(name).alias("learner"), "*")
+        )
+    return R.union_all(parts)
+
+
+@query(
+    "l5_l17_regressor_facts",
+    CYCLES
+    + f""", s AS (SELECT count(*) AS n FROM sensors WHERE {unit("concat_ws(':', id, cycle)")} >= 0.7)
+    SELECT learner, n AS scored, n AS valid, true AS useful FROM s, (SELECT unnest(['elastic', 'tree', 'forest', 'boosted', 'average']) AS learner)""",
+)
+def _(t: Tables):
+    """Per learner: rows scored, finite predictions, and an error below the deviation of the target."""
+    train, test = engine(t)
+    members = {
+        "elastic": M.model_pipeline("linear", SENSORS, "rul", scale=True, l1=0.1, l2=0.1),
+        "tree": M.model_pipeline("tree_regressor", SENSORS, "rul"),
+        "forest": M.model_pipeline("forest_regressor", SENSORS, "rul", trees=20, share=0.7),
+        "boosted": M.model_pipeline("boosted_regressor", SENSORS, "rul", trees=20),
+    }
+    fits = {name: p.fit for name, p in members.items()}
+    fits["average"] = lambda d: N.fit_ensemble(d, list(members.values()), ["id", "cycle"], "average")
+    parts = []
+    for name, fit in fits.items():
+        found = fit(train).transform(test)
+        error = F.sqrt(F.avg(F.pow(F.col("rul") - F.col("prediction"), 2)))
+        parts.append(
+            found.agg(
+                F.count("*").alias("scored"),
+                F.count_if(~F.isnan("prediction") & (F.abs("prediction") < 1e9)).alias("valid"),
+                (error < F.stddev_pop("rul")).alias("useful"),
+            ).select(F.lit(name).alias("learner"), "*")
+        )
+    return R.union_all(parts)
 
 
 @query("u3_script_over_query", "SELECT c_mktsegment, c_custkey, round(c_acctbal * 2, 6) AS doubled FROM customer WHERE c_acctbal > 0")

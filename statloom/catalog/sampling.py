@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from statloom.catalog import Tables, query, rounded
 from statloom.catalog.inputs import cte
 from statloom.operators import describe as D, relational as R, sampling as G
+from statloom.operators.ordered import with_row
 
 P = cte("passengers")
 
@@ -34,7 +35,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     rows = t.passengers.select("passenger_id", "sex")
-    return G.stratified_split(rows, "sex", "passenger_id", 0.1, seed=13, rows_per_split=2_000)
+    return G.stratified_split(rows, "sex", "passenger_id", 0.1, seed=13)
 
 
 @query(
@@ -90,9 +91,9 @@ def _(t: Tables):
     return undersample_good(t.loans, "id", 10).select("id", "is_bad")
 
 
-@query("g5_table_sample")
+@query("g5_table_sample", f"SELECT o_orderkey FROM orders WHERE {unit('o_orderkey', 42)} < 0.2")
 def _(t: Tables):
-    return G.table_sample(t.orders, 20, seed=42)
+    return G.table_sample(t.orders, 20, seed=42, key="o_orderkey").select("o_orderkey")
 
 
 @query("g6_fold_number", f"SELECT o_orderkey, CAST(floor({unit('o_orderkey', 12)} * 10) AS INT) AS fold FROM orders")
@@ -136,11 +137,10 @@ def _(t: Tables):
 def _(t: Tables):
     """Five percent of the tuning grid, and how many of them can split the data of each priority."""
     grid = R.parameter_grid(t.spark, AXES)
-    tried = R.random_percent(grid, list(AXES), 5, seed=5, rows_per_split=8_000)
+    tried = R.random_percent(grid, list(AXES), 5, seed=5)
     sizes = t.orders.groupBy("o_orderpriority").agg(F.count("*").alias("n"))
-    # the tried combinations travel as one bounded array
-    combos = tried.agg(F.collect_list("min_split").alias("c")).scalar()
-    each = sizes.withColumn("min_split", F.explode(combos))
-    return each.groupBy("o_orderpriority").agg(
-        F.count("*").alias("tried"), F.count_if(F.floor(F.col("n") / F.col("min_split")) >= 2).alias("can_split")
-    )
+    # equal split sizes are counted first; the grid has twenty of them
+    counted = tried.groupBy("min_split").agg(F.count("*").alias("c"))
+    each = with_row(sizes, counted.agg(F.collect_list(F.struct("min_split", "c")).alias("g")), "_g").withColumn("g", F.explode("_g.g"))
+    splits = F.floor(F.col("n") / F.col("g.min_split")) >= 2
+    return each.groupBy("o_orderpriority").agg(F.sum("g.c").alias("tried"), F.sum(F.when(splits, F.col("g.c")).otherwise(0)).alias("can_split"))

@@ -28,14 +28,21 @@ def centres(model: PipelineModel, spark) -> DataFrame:
     return spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(found)], "cluster int, centre array<double>")
 
 
-def _distance(vector: str, centre: Sequence[float]) -> Column:
+def _distance(vector: str | Column, centre: Sequence[float]) -> Column:
     point = F.array(*[F.lit(float(x)) for x in centre])
     squares = F.zip_with(vector, point, lambda a, b: (a - b) * (a - b))
     return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x))
 
 
+def nearest_centre(model, point: Column) -> Column:
+    """Number of the centre closest to the array ``point``."""
+    found = model.stages[-1].clusterCenters() if isinstance(model, PipelineModel) else model.clusterCenters()
+    away = F.array(*[F.struct(_distance(point, c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(found)])
+    return F.array_min(away)["i"]
+
+
 def elbow(df: DataFrame, features: Sequence[str], ks: Sequence[int], seed: int = 1) -> DataFrame:
-    """Rows (k, mean distance to the nearest centre)."""
+    """Rows (k, mean distance to the nearest centre), over the rows without a missing feature."""
     assemble = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
     rows = materialise(assemble.transform(df.select(*features)).select("features", vector_to_array("features").alias("_a")))
     result = []

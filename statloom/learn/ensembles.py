@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -11,8 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from statloom.operators.sampling import hash_unit
 
-# fixed values: cumulative Poisson(1) probabilities
-POISSON_STEPS = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582]
+# cumulative Poisson(1) probabilities, as far as a number of 28 bits can tell them from one
+POISSON_STEPS = [sum(math.exp(-1) / math.factorial(k) for k in range(n + 1)) for n in range(12)]
 
 
 def bootstrap(df: DataFrame, key: str | Sequence[str], seed: int) -> DataFrame:

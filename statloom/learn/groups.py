@@ -67,9 +67,14 @@ def _fixed(model: DataFrame, few: bool) -> DataFrame:
 
 
 def group_logistic(
-    df: DataFrame, group: str, features: Sequence[str], label: str, iterations: int = 15, ridge: float = 1e-6
+    df: DataFrame, group: str, features: Sequence[str], label: str, iterations: int = 25, ridge: float = 1e-6
 ) -> DataFrame:
-    """Rows (group, coefficients) of one logistic model per group, by Newton steps over all groups at once."""
+    """Rows (group, coefficients, converged) of one logistic model per group, by Newton steps over all groups at once.
+
+    A step is held to 5 deviations per coefficient: a group whose classes can be told apart
+    without error has no finite fit and ends with ``converged`` false, as does one that
+    needs more than ``iterations``.
+    """
     rows = df.dropna(subset=[group, *features, label])
     means = rows.agg(
         *[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)],
@@ -89,12 +94,12 @@ def group_logistic(
     diagonal = [float(i == j) * ridge for i in range(size) for j in range(i, size)]
     groups = scaled.select(group).distinct()
     few = groups.count() <= SMALL_TABLE
-    model = _fixed(groups.withColumn("_b", F.array(*[F.lit(0.0)] * size)), few)
+    model = _fixed(groups.withColumns({"_b": F.array(*[F.lit(0.0)] * size), "_move": F.lit(float("inf"))}), few)
     for _ in range(iterations):
         p = sigmoid(_linear_score(names, "_b"))
         terms = _terms(names)
         step = (
-            scaled.join(model, group)
+            scaled.join(model.drop("_move"), group)
             .withColumn("_p", p)
             .groupBy(group)
             .agg(
@@ -114,17 +119,17 @@ def group_logistic(
         if few:
             found = next_.collect()  # at most SMALL_TABLE short rows
             move = max((r["_move"] for r in found), default=0.0)
-            model = F.broadcast(df.sparkSession.createDataFrame(found, next_.schema).drop("_move"))
+            model = F.broadcast(df.sparkSession.createDataFrame(found, next_.schema))
         else:
             done = materialise(next_)
             move = done.agg(F.max("_move").alias("m")).first()["m"]
-            model = done.drop("_move")
+            model = done
         if move is not None and move < 1e-8:
             break
     b = F.col("_b")
     slopes = [b[i + 1] / F.lit(spread[i]) for i in range(len(features))]
     intercept = b[0] - sum((s * F.lit(centre[i]) for i, s in enumerate(slopes)), F.lit(0.0))
-    return model.select(group, F.array(intercept, *slopes).alias("coefficients"))
+    return model.select(group, F.array(intercept, *slopes).alias("coefficients"), (F.col("_move") < 1e-8).alias("converged"))
 
 
 def score_groups(df: DataFrame, model: DataFrame, group: str, features: Sequence[str], name: str, logistic: bool = False) -> DataFrame:

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from statloom.sources.writers import upsert
 
@@ -15,13 +18,36 @@ REGISTRY_SCHEMA = (
 )
 
 
+def model_inputs(model: PipelineModel) -> list[str]:
+    """Number columns that the pipeline assembles from its input; indexed text may be missing."""
+    made = {s.getOutputCol() for s in model.stages if s.hasParam("outputCol")}
+    assembled = [c for s in model.stages if isinstance(s, VectorAssembler) for c in s.getInputCols()]
+    return [c for c in dict.fromkeys(assembled) if c not in made]
+
+
+def complete(names: Sequence[str]) -> Column:
+    """Neither NULL nor NaN in any of the columns."""
+    return reduce(and_, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in names], F.lit(True))
+
+
+def transform_all(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``model.transform`` for complete rows; the others stay, with NULL in the new columns."""
+    whole = complete([c for c in model_inputs(model) if c in df.columns])
+    rest = df.where(~whole)
+    return model.transform(df.where(whole)).unionByName(rest, allowMissingColumns=True)
+
+
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str], classes: int = 0) -> DataFrame:
-    """Kept columns, one probability per class and the prediction."""
-    out = model.transform(df)
+    """Kept columns, one probability per class and the prediction, for every row.
+
+    A row with a missing number has NULL for all of them.
+    """
+    out = transform_all(model, df)
     probabilities = []
     if classes and "probability" in out.columns:
         array = vector_to_array("probability")
-        probabilities = [array[k].alias(f"prob_{k}") for k in range(classes)]
+        known = F.col("probability").isNotNull()
+        probabilities = [F.when(known, array[k]).alias(f"prob_{k}") for k in range(classes)]
     return out.select(*keep, *probabilities, "prediction")
 
 
@@ -62,14 +88,11 @@ def set_test_score(registry: DataFrame, name: str, test_f: float) -> DataFrame:
 
 
 def model_sizes(registry: DataFrame) -> DataFrame:
-    """Registry rows with the size of the saved model in megabytes."""
+    """Registry rows with the size of the saved model in megabytes, from the files' listing."""
     spark = registry.sparkSession
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    rows = []
+    sizes = None
     for r in registry.select("name", "path").collect():  # one row per model
-        path = jvm.org.apache.hadoop.fs.Path(r["path"])
-        size = path.getFileSystem(conf).getContentSummary(path).getLength()
-        rows.append((r["name"], size / 2**20))
-    sizes = spark.createDataFrame(rows, "name string, model_mb double")
-    return registry.join(sizes, "name")
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(r["path"])
+        own = files.agg((F.sum("length") / 2**20).alias("model_mb")).withColumn("name", F.lit(r["name"]))
+        sizes = own if sizes is None else sizes.unionByName(own)
+    return registry.withColumn("model_mb", F.lit(None).cast("double")) if sizes is None else registry.join(sizes, "name")

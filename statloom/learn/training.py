@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -163,7 +165,10 @@ def deviance_summary(model: PipelineModel) -> DataFrame:
 
 
 def principal_components(df: DataFrame, columns: Sequence[str], k: int, scale: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rotation rows, explained share rows, input with the array column ``scores``); data is centred first."""
+    """(rotation rows, explained share rows, input with the array column ``scores``); data is centred first.
+
+    Components come from complete rows; a row with a missing value stays, with NULL scores.
+    """
     assemble = VectorAssembler(inputCols=list(columns), outputCol="_v", handleInvalid="skip")
     centre = StandardScaler(inputCol="_v", outputCol="_c", withMean=True, withStd=scale)
     fitted = Pipeline(stages=[assemble, centre, PCA(k=k, inputCol="_c", outputCol="_s")]).fit(df)
@@ -176,6 +181,8 @@ def principal_components(df: DataFrame, columns: Sequence[str], k: int, scale: b
     )
     shares = [float(v) for v in pca.explainedVariance.toArray()]
     explained = spark.createDataFrame([(j + 1, v) for j, v in enumerate(shares)], "component int, share double")
-    scores = fitted.transform(df).withColumn("scores", vector_to_array("_s")).drop("_v", "_c", "_s")
+    whole = reduce(and_, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in columns])
+    scores = fitted.transform(df.where(whole)).withColumn("scores", vector_to_array("_s")).drop("_v", "_c", "_s")
+    scores = scores.unionByName(df.where(~whole), allowMissingColumns=True)
     return rotation, explained, scores
 

@@ -59,6 +59,8 @@ def resample_classes(
     )
 
 
-def table_sample(df: DataFrame, percent: float, seed: int) -> DataFrame:
-    """Each row with the given chance."""
+def table_sample(df: DataFrame, percent: float, seed: int, key: str | Sequence[str] | None = None) -> DataFrame:
+    """Each row with the given chance; with a ``key`` the same rows whatever the layout."""
+    if key is not None:
+        return df.where(hash_unit(key, seed) < percent / 100)
     return df.sample(False, percent / 100, seed)
