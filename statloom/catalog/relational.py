@@ -1,6 +1,6 @@
 """Sources, joins, limits, set operations and reshaping."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from statloom.catalog import Tables, query, rounded
 from statloom.catalog.inputs import cte
@@ -114,32 +114,36 @@ def _(t: Tables):
 
 @query(
     "s9_run_log",
-    """SELECT count(*) AS scored, 2 AS log_rows, 'Start scoring' AS first_note, 'End scoring' AS last_note FROM orders""",
+    """WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1)
+    SELECT CAST(row_number() OVER (ORDER BY day DESC) AS INT) AS back, CAST(day AS VARCHAR) AS day, 'Loaded ' || n || ' orders' AS note
+    FROM d QUALIFY back <= 20""",
 )
 def _(t: Tables):
-    log = writers.log_event(None, t.spark, 1, "2024-01-01 00:00:00", "Load")
-    log = writers.log_event(log, t.spark, 1, "2024-01-02 00:00:00", "Start scoring")
-    log = writers.log_event(log, t.spark, 1, "2024-01-03 00:00:00", "End scoring")
-    last = writers.latest(log, 2).agg(
-        F.count("*").cast("int").alias("log_rows"),
-        F.min_by("note", "run_time").alias("first_note"),
-        F.max_by("note", "run_time").alias("last_note"),
-    )
-    return last.withColumn("scored", t.orders.agg(F.count("*").alias("n")).scalar())
+    """One entry per day that orders were loaded on, appended to a log table; its latest entries read back."""
+    path = writers.scratch_folder(t.spark, "run-log")
+    days = t.orders.groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(F.count("*").alias("n"))
+    note = F.concat(F.lit("Loaded "), F.col("n").cast("string"), F.lit(" orders"))
+    writers.insert_rows(days.select(F.lit(1).alias("session_id"), F.col("day").cast("timestamp").alias("run_time"), note.alias("note")), path)
+    last = writers.latest(t.spark.read.parquet(path), 20)
+    back = F.row_number().over(Window.orderBy(F.col("run_time").desc()))  # twenty rows
+    return last.select(back.alias("back"), F.col("run_time").cast("date").cast("string").alias("day"), "note")
 
 
 @query(
     "j1_inner_join_campaign",
     """SELECT c_custkey, c_name, o_orderkey FROM customer JOIN orders ON o_custkey = c_custkey
-    WHERE o_orderpriority = '1-URGENT' AND c_mktsegment = 'BUILDING'""",
+    WHERE o_orderpriority = '1-URGENT' AND c_nationkey % 4 = 1""",
 )
 def _(t: Tables):
+    """Customers of a segment table that was written before, with their urgent orders."""
+    from statloom.plans.customers import campaign_list
+
+    path = writers.scratch_folder(t.spark, "segments")
+    segments = t.customer.select(F.col("c_custkey").alias("customer"), (F.col("c_nationkey") % 4).alias("cluster"))
+    writers.write_table(segments, path)
     urgent = t.orders.where("o_orderpriority = '1-URGENT'")
-    return (
-        t.customer.where("c_mktsegment = 'BUILDING'")
-        .join(urgent, F.col("o_custkey") == F.col("c_custkey"))
-        .select("c_custkey", "c_name", "o_orderkey")
-    )
+    listed = campaign_list(t.customer, t.spark.read.parquet(path), 1)
+    return listed.join(urgent, F.col("o_custkey") == F.col("c_custkey")).select("c_custkey", "c_name", "o_orderkey")
 
 
 @query(
@@ -220,10 +224,11 @@ def _(t: Tables):
 @query(
     "w1_row_number_ends",
     """SELECT event_id, value, rn FROM (SELECT event_id, value, row_number() OVER (ORDER BY value DESC, event_id) AS rn FROM events)
-    WHERE rn <= 5 OR rn >= 9900""",
+    WHERE rn <= 5 OR rn > (SELECT count(*) - count(*) // 100 FROM events)""",
 )
 def _(t: Tables):
-    return R.ranked_ends(t.events, ["-value", "event_id"], 5, 9900, rows_per_split=2_000).select("event_id", "value", "rn")
+    n = t.events.count()
+    return R.ranked_ends(t.events, ["-value", "event_id"], 5, n - n // 100 + 1).select("event_id", "value", "rn")
 
 
 @query(
@@ -236,7 +241,7 @@ def _(t: Tables):
 
 @query("w3_ntile", "SELECT event_id, CAST(ntile(6) OVER (ORDER BY value, event_id) AS INT) AS tile FROM events")
 def _(t: Tables):
-    return ntile(t.events, ["value", "event_id"], 6, rows_per_split=2_000).select("event_id", "tile")
+    return ntile(t.events, ["value", "event_id"], 6).select("event_id", "tile")
 
 
 @query(
@@ -257,7 +262,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     out = running(
-        t.events, ["event_type"], ["ts", "event_id"], {"total": ("sum", "value"), "n": ("sum", F.lit(1))}, rows_per_split=1_000
+        t.events, ["event_type"], ["ts", "event_id"], {"total": ("sum", "value"), "n": ("sum", F.lit(1))}
     )
     return rounded(out.select("event_id", "total", "n"), 2)
 
@@ -268,7 +273,7 @@ def _(t: Tables):
     rank() OVER (ORDER BY value) + (count(*) OVER (PARTITION BY value) - 1) / 2 AS rank FROM events) WHERE rank < 20""",
 )
 def _(t: Tables):
-    return R.rank_lowest(t.events.select("event_id", "value"), "value", 20, rows_per_split=2_000)
+    return R.rank_lowest(t.events.select("event_id", "value"), "value", 20)
 
 
 @query("o1_multi_key_order", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
@@ -297,7 +302,7 @@ def _(t: Tables):
     count(*) OVER () AS n FROM orders) WHERE ix <= ceil(n * 5.0 / 100)""",
 )
 def _(t: Tables):
-    return R.random_percent(t.orders.select("o_orderkey"), "o_orderkey", 5, seed=7, rows_per_split=3_000)
+    return R.random_percent(t.orders.select("o_orderkey"), "o_orderkey", 5, seed=7)
 
 
 @query("o5_random_order", "SELECT o_orderkey FROM orders")
@@ -347,8 +352,6 @@ def _(t: Tables):
 
 _LONG = """, y AS (SELECT c_nationkey AS nation, CAST(year(o_orderdate) AS VARCHAR) AS year, count(*) AS n FROM orders
   JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"""
-YEARS = [str(y) for y in range(1995, 2002)]
-
 
 def _by_year(t: Tables):
     return (
@@ -360,10 +363,10 @@ def _by_year(t: Tables):
 
 @query(
     "r1_spread",
-    "WITH " + _LONG[2:] + " SELECT nation, " + ", ".join(f"""max(n) FILTER (year = '{y}') AS "{y}" """ for y in YEARS) + "FROM y GROUP BY 1",
+    "WITH " + _LONG[2:] + " SELECT * FROM (PIVOT y ON year USING max(n) GROUP BY nation)",
 )
 def _(t: Tables):
-    return R.spread(_by_year(t), ["nation"], "year", "n", YEARS)
+    return R.spread(_by_year(t), ["nation"], "year", "n")
 
 
 @query(
@@ -397,7 +400,7 @@ def _(t: Tables):
     "WITH " + _LONG[2:] + """ SELECT nation, round(10000.0 * max(n) FILTER (year = '1999') / max(n) FILTER (year = '2000'), 6) AS rate FROM y GROUP BY 1""",
 )
 def _(t: Tables):
-    wide = R.spread(_by_year(t), ["nation"], "year", "n", YEARS)
+    wide = R.spread(_by_year(t), ["nation"], "year", "n")
     return rounded(wide.select("nation", (F.try_divide(F.col("1999").cast("double"), F.col("2000")) * 10000).alias("rate")))
 
 
@@ -415,4 +418,4 @@ def _(t: Tables):
     "SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS cycle FROM events",
 )
 def _(t: Tables):
-    return row_index(t.events, ["user_id"], ["ts", "event_id"], "cycle", rows_per_split=70).select("event_id", "cycle")
+    return row_index(t.events, ["user_id"], ["ts", "event_id"], "cycle").select("event_id", "cycle")

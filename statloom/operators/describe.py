@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from statloom.functions.scalars import text_bar, truncate
 from statloom.operators.ordered import ROWS_PER_SPLIT, quantiles, running, with_row
+from statloom.operators.relational import levels_of
 
 
 def describe(df: DataFrame, column: str, keys: Sequence[str] = (), integer_avg: bool = False) -> DataFrame:
@@ -53,8 +55,8 @@ def mode(df: DataFrame, column: str, drop_null: bool = False) -> DataFrame:
     return counts.where(F.col("number") == counts.agg(F.max("number")).scalar())
 
 
-def frequency_table(df: DataFrame, column: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
-    """Absolute, percent and cumulative frequencies with a text histogram.
+def frequency_table(df: DataFrame, column: str, rows_per_split: int = ROWS_PER_SPLIT, width: int = 50) -> DataFrame:
+    """Absolute, percent and cumulative frequencies with a text histogram of at most ``width`` marks.
 
     NULL forms the first row with frequency 0; percentages are of all rows.
     """
@@ -65,7 +67,7 @@ def frequency_table(df: DataFrame, column: str, rows_per_split: int = ROWS_PER_S
         counts, [], [column], {"cum_freq": ("sum", "abs_freq"), "cum_perc": ("sum", "abs_perc")}, rows_per_split, True
     )
     return summed.select(
-        column, "abs_freq", "cum_freq", "abs_perc", "cum_perc", text_bar(F.col("abs_perc")).alias("histogram")
+        column, "abs_freq", "cum_freq", "abs_perc", "cum_perc", text_bar(F.col("abs_perc"), width).alias("histogram")
     )
 
 
@@ -129,28 +131,63 @@ def class_share(df: DataFrame, column: str | Sequence[str], within: Sequence[str
 
 
 def histogram(df: DataFrame, column: str, bins: int, keys: Sequence[str] = (), low: float | None = None, high: float | None = None) -> DataFrame:
-    """Counts of equal-width bins between the smallest and largest value."""
+    """Counts of equal-width bins between the smallest and largest value, or between ``low`` and ``high``.
+
+    Values outside the limits given are counted in bin -1 (below) and bin ``bins`` (above),
+    whose outer limit is NULL.
+    """
     rows = df.where(F.col(column).isNotNull())
     limits = rows.agg(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi"))
     lo = F.lit(float(low)) if low is not None else F.col("_l.lo")
     hi = F.lit(float(high)) if high is not None else F.col("_l.hi")
     width = (hi - lo) / F.lit(bins)
-    bin_ = F.least(F.lit(bins - 1), F.floor(F.try_divide(F.col(column) - lo, width))).cast("int")
-    placed = with_row(rows, limits, "_l").withColumn("bin", F.coalesce(bin_, F.lit(0)))
+    inside = F.least(F.lit(bins - 1), F.floor(F.try_divide(F.col(column) - lo, width))).cast("int")
+    bin_ = F.when(F.col(column) < lo, -1).when(F.col(column) > hi, bins).otherwise(F.coalesce(inside, F.lit(0)))
+    placed = with_row(rows, limits, "_l").withColumn("bin", bin_)
     counts = placed.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"))
     return with_row(counts, limits, "_l").select(
-        *keys, "bin", (lo + F.col("bin") * width).alias("lower"), (lo + (F.col("bin") + 1) * width).alias("upper"), "n"
+        *keys,
+        "bin",
+        F.when(F.col("bin") >= 0, lo + F.col("bin") * width).alias("lower"),
+        F.when(F.col("bin") < bins, lo + (F.col("bin") + 1) * width).alias("upper"),
+        "n",
     )
 
 
+def density(df: DataFrame, column: str, points: int = 50, keys: Sequence[str] = ()) -> DataFrame:
+    """Gaussian kernel density per key at equally spaced points (``x``, ``density``).
+
+    The bandwidth is 0.9 times the deviation (or the quartile distance / 1.34, if smaller)
+    times n^-0.2, per key.  Values are counted on a grid of ten cells a point first, so the
+    sums run over cells, not rows.
+    """
+    rows = df.where(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_v"))
+    limits = rows.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    quartile = F.percentile_approx("_v", [0.25, 0.75], 10_000)
+    per = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_v").alias("_s"), quartile.alias("_q"))
+    spread = F.least("_s", F.coalesce(F.nullif((F.col("_q")[1] - F.col("_q")[0]) / 1.34, F.lit(0.0)), F.col("_s")))
+    per = per.select(*keys, "_n", (0.9 * spread * F.pow("_n", F.lit(-0.2))).alias("_w"))
+    cells = 10 * points
+    cell = F.least(F.lit(cells - 1), F.floor(F.try_divide((F.col("_v") - F.col("_l.lo")) * cells, F.col("_l.hi") - F.col("_l.lo"))))
+    counted = with_row(rows, limits, "_l").groupBy(*keys, F.coalesce(cell, F.lit(0)).alias("_cell")).agg(F.count(F.lit(1)).alias("_c"), F.avg("_v").alias("_m"))
+    joined = counted.join(per, list(keys)) if keys else with_row(counted, per, "_p").select("*", "_p.*")
+    steps = F.sequence(F.lit(0), F.lit(points - 1))
+    at = F.transform(steps, lambda i: F.col("_l.lo") + i * (F.col("_l.hi") - F.col("_l.lo")) / F.lit(float(max(1, points - 1))))
+    each = with_row(joined, limits, "_l").withColumn("x", F.explode(at))
+    z = F.try_divide(F.col("x") - F.col("_m"), F.col("_w"))
+    share = F.sum(F.col("_c") * F.exp(-z * z / 2)) / F.max(F.col("_n") * F.col("_w") * math.sqrt(2 * math.pi))
+    return each.groupBy(*keys, "x").agg(share.alias("density"))
+
+
 def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
     """Contingency counts in long form."""
     return df.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
 
 
-def crosstab_wide(df: DataFrame, a: str, b: str, levels: Sequence[str]) -> DataFrame:
-    """Contingency table with one column per named level of ``b``."""
-    return df.groupBy(a).pivot(b, list(levels)).agg(F.count(F.lit(1))).na.fill(0)
+def crosstab_wide(df: DataFrame, a: str, b: str, levels: Sequence[str] | None = None) -> DataFrame:
+    """Contingency table with one column per level of ``b``: those named, or else all there are."""
+    chosen = levels_of(df, b) if levels is None else list(levels)
+    return df.groupBy(a).pivot(b, chosen).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def complete_cases(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

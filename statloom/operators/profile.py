@@ -9,9 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
-def _profiled(df: DataFrame) -> list[T.StructField]:
-    nested = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
-    return [f for f in df.schema.fields if not isinstance(f.dataType, nested)]
+_NESTED = (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.VariantType)
 
 
 def _statistics(field: T.StructField) -> dict[str, tuple[str, Column]]:
@@ -22,6 +20,10 @@ def _statistics(field: T.StructField) -> dict[str, tuple[str, Column]]:
         "rows": ("count", F.count(F.lit(1))),
         "emptiness": ("count", F.count_if(c.isNull())),
     }
+    if isinstance(field.dataType, (T.ArrayType, T.MapType)):
+        return found | {"shortest": ("number", F.min(F.size(c))), "longest": ("number", F.max(F.size(c)))}
+    if isinstance(field.dataType, _NESTED):
+        return found
     if isinstance(field.dataType, T.NumericType):
         found |= {
             "minimum": ("number", F.min(c)),
@@ -43,7 +45,11 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Several distinct counts in one aggregate would copy every wide row once per
     column; here repeated values collapse before the shuffle.
     """
-    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(columns)])
+    nested = {f.name for f in df.schema.fields if isinstance(f.dataType, _NESTED)}
+    # a nested or binary value stands for itself by a 256-bit digest of its text
+    text = {c: F.sha2(F.to_json(F.struct(c)), 256) if c in nested else F.col(c).cast("string") for c in columns}
+    value = {c: F.when(F.col(c).isNotNull(), text[c]) for c in columns}
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), value[c].alias("v")) for i, c in enumerate(columns)])
     values = df.select(F.explode(pairs).alias("p")).select("p.*").where("v IS NOT NULL").distinct()
     found = values.groupBy("i").agg(F.count(F.lit(1)).alias("distinct"))
     everything = df.sparkSession.range(len(columns)).select(F.col("id").cast("int").alias("i"))
@@ -53,7 +59,7 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def profile_table(df: DataFrame) -> DataFrame:
     """Rows (column, statistic, numeric result, string result, count, percent of rows)."""
     aggs, rows = [], []
-    for i, field in enumerate(_profiled(df)):
+    for i, field in enumerate(df.schema.fields):
         for name, (kind, agg) in _statistics(field).items():
             alias = f"_{i}_{name}"
             cast = {"count": "long", "number": "double", "string": "string"}[kind]
@@ -70,8 +76,8 @@ def profile_table(df: DataFrame) -> DataFrame:
             )
     wide = df.agg(F.count(F.lit(1)).alias("_all"), *aggs)
     long = wide.select("_all", F.explode(F.array(*rows)).alias("r")).select("_all", "r.*")
-    names = F.array(*[F.lit(f.name) for f in _profiled(df)])
-    distinct = distinct_counts(df, [f.name for f in _profiled(df)]).select(
+    names = F.array(*[F.lit(f.name) for f in df.schema.fields])
+    distinct = distinct_counts(df, [f.name for f in df.schema.fields]).select(
         df.agg(F.count(F.lit(1))).scalar().alias("_all"),
         F.element_at(names, F.col("i") + 1).alias("column_name"),
         F.lit("distinct").alias("statistic"),
@@ -122,7 +128,7 @@ def emptiness_ranking(df: DataFrame) -> DataFrame:
 def data_status(df: DataFrame) -> DataFrame:
     """Zeros, missing, infinite, type, distinct values and their share, per column."""
     aggs, rows = [F.count(F.lit(1)).alias("_all")], []
-    for i, field in enumerate(_profiled(df)):
+    for i, field in enumerate(df.schema.fields):
         c = F.col(field.name)
         number = isinstance(field.dataType, T.NumericType)
         infinite = isinstance(field.dataType, (T.DoubleType, T.FloatType))
@@ -143,7 +149,7 @@ def data_status(df: DataFrame) -> DataFrame:
             )
         )
     status = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    unique = distinct_counts(df, [f.name for f in _profiled(df)]).withColumnRenamed("distinct", "unique")
+    unique = distinct_counts(df, [f.name for f in df.schema.fields]).withColumnRenamed("distinct", "unique")
     return (
         status.join(unique, "i")
         .withColumn("unique_ratio", F.try_divide(F.col("unique").cast("double"), F.col("_all")))

@@ -38,7 +38,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 
 
 def differing(a: DataFrame, b: DataFrame, key: str, column: str) -> DataFrame:
-    """Rows of two scenarios whose value differs."""
+    """Rows of two tables whose value differs; two columns of one table need only a filter."""
     left = a.select(key, F.col(column).alias("before"))
     right = b.select(key, F.col(column).alias("after"))
     return left.join(right, key).where("before <> after")
@@ -102,9 +102,18 @@ def union_distinct(frames: Sequence[DataFrame]) -> DataFrame:
     return union_all(frames).distinct()
 
 
-def spread(df: DataFrame, ids: Sequence[str], key: str, value: str, levels: Sequence) -> DataFrame:
-    """Long to wide, one column per named level."""
-    return df.groupBy(*ids).pivot(key, list(levels)).agg(F.first(value, ignorenulls=True))
+def levels_of(df: DataFrame, column: str, most: int = 10_000) -> list:
+    """The values of a column that names columns; too many of them is an error."""
+    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} levels")
+    return sorted(r[0] for r in found)
+
+
+def spread(df: DataFrame, ids: Sequence[str], key: str, value: str, levels: Sequence | None = None) -> DataFrame:
+    """Long to wide, one column per level: those named, or else all there are."""
+    chosen = levels_of(df, key) if levels is None else list(levels)
+    return df.groupBy(*ids).pivot(key, chosen).agg(F.first(value, ignorenulls=True))
 
 
 def gather(df: DataFrame, ids: Sequence[str], columns: Sequence[str], key: str = "key", value: str = "value") -> DataFrame:

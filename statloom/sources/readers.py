@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from statloom.operators.ordered import row_index
 
@@ -17,9 +17,20 @@ def read_csv(
     null_token: str = "",
     header: bool = True,
     skip_prefix: str | None = None,
+    bad_record: str | None = None,
 ) -> DataFrame:
-    """Typed scan; ``skip_prefix`` names lines (such as a notes line) to leave out."""
+    """Typed scan; ``skip_prefix`` names lines (such as a notes line) to leave out.
+
+    A value that does not fit its type becomes NULL; ``bad_record`` names a column that then
+    holds the line, or is ``"fail"`` to stop at the first such line.
+    """
     reader = spark.read.schema(schema).option("header", header).option("nullValue", null_token)
+    if bad_record == "fail":
+        reader = reader.option("mode", "FAILFAST")
+    elif bad_record is not None:
+        fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        kept = StructType([*fields.fields, StructField(bad_record, StringType())])
+        reader = reader.schema(kept).option("columnNameOfCorruptRecord", bad_record)
     if skip_prefix is not None:
         reader = reader.option("comment", skip_prefix)
     return reader.csv(paths if isinstance(paths, str) else list(paths))
