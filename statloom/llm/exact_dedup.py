@@ -18,7 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from statloom.llm.text import filled, one_space
+from statloom.llm.text import filled, join_groups, one_space
 from statloom.session import materialise
 
 #: Seeds of the identifiers, tried in order until the chunks verify.
@@ -77,8 +77,8 @@ def exact_groups(
         raise RuntimeError("chunk identifiers collide under every seed")
     lists = materialise(recipes(docs, key, text, seed, least, most))
     # copies collapse before the shuffle; a hot group is one row here
-    groups = lists.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return lists.join(groups, "recipe").select(
+    groups = materialise(lists.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
+    return join_groups(lists, groups, ["recipe"], "group_size").select(
         "doc_id",
         "keep_id",
         "group_size",
@@ -88,12 +88,14 @@ def exact_groups(
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose document stays, with the columns of ``docs``.
+    """One row of each group of equal texts, the one with the smallest key; the columns of ``docs``.
 
-    Of rows that repeat a ``doc_id`` with different texts, each stays if it is the
-    first of its own group, so rows are joined by key and text digest.
+    Rows are met by key and text digest, so a key that repeats with different texts is
+    judged text by text, and one row stays where a row itself repeats.
     """
-    kept = exact_groups(docs, key, text).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_digest"))
-    kept = kept.distinct()
+    name = F.coalesce(F.concat(F.lit("k"), F.col("doc_id").cast("string")), F.lit("null"))
+    kept = exact_groups(docs, key, text).where("kept").select(name.alias("_key"), F.col("text_sha256").alias("_digest")).distinct()
     digest = F.sha2(F.encode(one_space(filled(text)), "UTF-8"), 256)
-    return docs.join(kept, docs[key].eqNullSafe(F.col("_kept_id")) & (digest == F.col("_kept_digest")), "left_semi")
+    own = F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit("null"))
+    marked = docs.withColumns({"_key": own, "_digest": digest})
+    return marked.join(kept, ["_key", "_digest"], "left_semi").dropDuplicates(["_key", "_digest"]).drop("_key", "_digest")
