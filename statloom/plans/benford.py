@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from statloom.functions.probability import even_chi2_p_value
 from statloom.functions.scalars import leading_digit
+from statloom.session import materialise
 
 DIGITS = range(1, 10)
 EXPECTED = {d: math.log10(1 + 1 / d) for d in DIGITS}
@@ -68,7 +69,8 @@ def digit_distribution(invoices: DataFrame, vendor=None) -> DataFrame:
 
 def fraud_report(invoices: DataFrame, p: float = 0.1) -> DataFrame:
     """Suspects by 1 - p with the average of that figure and the number of vendors screened."""
-    found = vendor_digits(invoices).where(F.col("p_value") < p)
+    # the rows and their average come from one table
+    found = materialise(vendor_digits(invoices).where(F.col("p_value") < p))
     share = F.lit(1.0) - F.col("p_value")
     average = found.agg(F.avg(share).alias("a")).scalar()
     vendors = invoices.agg(F.countDistinct("vendor").alias("n")).scalar()

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from statloom.operators.relational import differing, hash_order, union_all
+from statloom.session import materialise
 
 
 def stage_to_train(df: DataFrame, bad_statuses: Sequence[str], is_train: bool) -> DataFrame:
@@ -59,7 +60,7 @@ def compare_scenarios(
 
     ``score`` returns ``id`` and ``predicted``.
     """
-    base, changed = score(loans), score(what_if(loans, changes))
+    base, changed = materialise(score(loans)), materialise(score(what_if(loans, changes)))
     return {
         "flips": differing(base, changed, "id", "predicted"),
         "summary": scenario_summary({"what_if": changed, "base": base}),
