@@ -32,7 +32,7 @@ from statloom.llm.text import filled, words
 
 BACKOFF = 0.4
 LEAST = 2
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: The gram that counts all words.
 ALL_WORDS = np.uint64(2**64 - 1)
 
@@ -52,21 +52,26 @@ class Block:
         codes = []
         for text in texts:
             found = words(text)
-            codes.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
+            codes.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
         self.lengths = np.array([len(c) for c in codes], np.int64)
-        flat = np.concatenate([*codes, np.zeros(0, np.int64)])
+        flat = np.concatenate([*codes, np.zeros(0, np.int32)])
+        del codes
         one = np.fromiter((xxhash.xxh64_intdigest(w) for w in number), np.uint64, len(number))
         first = np.zeros(len(flat), bool)
         starts = np.cumsum(self.lengths) - self.lengths
         first[starts[self.lengths > 0]] = True
         self.second = np.flatnonzero(~first)  # words with one before them
-        keys, self.pair_of = np.unique(flat[self.second - 1] * max(1, len(number)) + flat[self.second], return_inverse=True)
+        both = flat[self.second - 1].astype(np.int64) * max(1, len(number)) + flat[self.second]
+        keys, pair_of = np.unique(both, return_inverse=True)
+        self.pair_of = pair_of.astype(np.int32)
+        del both, pair_of
         left, right = np.divmod(keys, max(1, len(number)))
         two = _mixed(_mixed(one[left]) + (one[right] | np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
         hashes = np.concatenate([one, two, [ALL_WORDS]])
         n = np.concatenate([np.bincount(flat, minlength=len(number)), np.bincount(self.pair_of, minlength=len(keys)), [len(flat)]])
         self.hashes, place = np.unique(hashes, return_inverse=True)
         self.counts = np.bincount(place, n, len(self.hashes)).astype(np.int64)
+        place = place.astype(np.int32)
         self.word_at = place[: len(number)][flat]
         self.pair_at = place[len(number) : len(number) + len(keys)]
 
