@@ -33,13 +33,6 @@ def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 
 
-def in_slices(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """Smaller pieces of Arrow batches, so that results stay small too."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
-
-
 def in_portions(batches: Iterable[pa.RecordBatch], column: int | str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Pieces of Arrow batches with at most so many bytes in a text column, one row at least."""
     for batch in batches:

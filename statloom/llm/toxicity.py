@@ -242,6 +242,8 @@ def training_docs(docs: DataFrame, labels: DataFrame, most_docs: int, key: str,
     chosen = known.where("toxic = 1").orderBy(mixed_order, "_key").limit(most_docs)
     chosen = chosen.unionByName(known.where("toxic = 0").orderBy(mixed_order, "_key").limit(most_docs))
     rows = docs.select(F.col(key).alias("_key"), filled(text).alias("text")).join(F.broadcast(chosen), "_key")  # bounded by most_docs
+    # a key that repeats is one document; written once, as training reads it several times
+    rows = materialise(rows.groupBy("_key").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")))
 
     def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,7 +255,7 @@ def training_docs(docs: DataFrame, labels: DataFrame, most_docs: int, key: str,
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["_key", "m0", "m1", "m2", "m3"])
 
     schema = T.StructType([rows.schema["_key"], *[T.StructField(f"m{i}", T.LongType()) for i in range(4)]])
-    marks = rows.select("_key", "text").mapInArrow(least, schema).dropDuplicates(["_key"]).toPandas()  # a few numbers per sampled row
+    marks = rows.select("_key", "text").mapInArrow(least, schema).toPandas()  # a few numbers per sampled row
     first = marks.sort_values("_key", na_position="first")
     for i in range(4):
         marks = marks[marks["_key"].isin(first.drop_duplicates(f"m{i}")["_key"])]
