@@ -47,8 +47,8 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         end = model["end_of_word_suffix"]
         chars = byte_characters()
-        self.inner = np.array([self.ids[c] for c in chars], np.int64)
-        self.last = np.array([self.ids[c + end] for c in chars], np.int64)
+        self.inner = np.array([self.ids[c] for c in chars], np.int32)
+        self.last = np.array([self.ids[c + end] for c in chars], np.int32)
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         left = np.array([self.ids[a] for a, _ in pairs], np.int64)
         right = np.array([self.ids[b] for _, b in pairs], np.int64)
@@ -65,7 +65,7 @@ class Vocabulary:
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 where it has none."""
-        keys = left << 32 | right
+        keys = left.astype(np.int64) << 32 | right
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.by_key[at], -1)
 
@@ -102,13 +102,13 @@ class PairIndex:
         self.symbol = vocabulary.inner[raw]
         last = self.ends - 1
         self.symbol[last] = vocabulary.last[raw[last]]
-        self.next = np.arange(1, n + 1)
+        self.next = np.arange(1, n + 1, dtype=np.int32)
         self.next[last] = -1
-        self.before = np.arange(-1, n - 1)
+        self.before = np.arange(-1, n - 1, dtype=np.int32)
         self.before[self.ends - lengths] = -1
         self.positions: dict[int, list[np.ndarray]] = {}
         self.active: list[int] = []
-        self._add(np.flatnonzero(self.next >= 0))
+        self._add(np.flatnonzero(self.next >= 0).astype(np.int32))
 
     def _add(self, at: np.ndarray) -> None:
         """Enter the pairs that start at these positions."""
@@ -132,7 +132,7 @@ class PairIndex:
             if p != taken:
                 out.append(p)
                 taken = int(self.next[p])
-        return np.array(out, np.int64)
+        return np.array(out, np.int32)
 
     def merge_all(self) -> None:
         v = self.vocabulary

@@ -31,6 +31,7 @@ from statloom.llm.text import filled, in_portions
 from statloom.session import materialise
 
 ROWS_PER_TASK = 1_000_000
+BYTES_AT_ONCE = 4 << 20
 
 
 def tokenise(
@@ -50,7 +51,7 @@ def tokenise(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(path)
-        for small in in_portions(batches, 1):
+        for small in in_portions(batches, 1, BYTES_AT_ONCE):
             row, piece, start, length, ids = [], [], [], [], []
             for i, found in enumerate(encode_batch(vocabulary, small.column(1).to_pylist())):
                 raw = np.append(found, end_id).astype("<u4").tobytes()
