@@ -9,10 +9,11 @@ Two sets share a coordinate with the probability of their weighted Jaccard simil
 
 Joining.  Equal shingle sets collapse to one representative first, so copies cost
 nothing later.  Representatives meet in buckets by bands of coordinates.  In each bucket
-everyone is compared with one member; links make classes; then members of one bucket
-that are still in different classes are compared, where a bucket with many of them is
+everyone is compared with one member, then with the best linked one; links make classes.
+Members that are still outside the largest class of their bucket are compared with all
+of it, in blocks inside tasks, so pairs are never rows.  A bucket with many of them is
 first split by the values of the other bands.  So a large group of true copies takes a
-comparison per member, and a large bucket that only shares a passage falls apart.
+few comparisons per member, and a large bucket that only shares a passage falls apart.
 Every comparison is exact, on whole shingle sets.
 
 At similarity 0.8 a pair misses all 32 bands of 6 with a chance of 6e-5, and has fewer
@@ -28,21 +29,23 @@ Defined results
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from statloom.llm.text import filled, in_portions
+from statloom.llm.text import filled, in_portions, join_groups
 from statloom.session import materialise
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 32
 ROWS = 6
-#: Cross pairs are listed only in buckets with at most so many members outside the largest class.
+#: A bucket with more members outside its largest class is split by further bands.
 LISTED = 48
+BLOCK_ROWS = 1000
 BYTES_AT_ONCE = 2 << 20
 
 _M1, _M2, _G = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -225,23 +228,39 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after further links: only classes that a link joins are worked on."""
+    of = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+    named = links.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
+    named = named.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+    crossing = materialise(named.where("a <> b").distinct())
+    if crossing.isEmpty():
+        return labels
+    top = components(crossing)
+    above = top.select(F.col("node").alias("label"), F.col("label").alias("_top"))
+    below = labels.join(above, "label", "left").select("node", F.coalesce("_top", "label").alias("label"))
+    return materialise(below.unionByName(top))
+
+
 def _digest(edges: DataFrame) -> tuple:
     h = F.xxhash64("u", "v").cast("decimal(38,0)")
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(h), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
 
 
-def _labelled(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return buckets.withColumn("label", F.col("rep"))
+def _mixed_members(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (``bucket``, ``rep``, ``weight``, ``label``) of buckets with two classes or more; ``outside`` counts
+    the members that are not in the bucket's largest class, ``main``."""
     named = labels.select(F.col("node").alias("rep"), F.col("label").alias("_label"))
-    return buckets.join(named, "rep", "left").withColumn("label", F.coalesce("_label", "rep")).drop("_label")
-
-
-def _mixed_buckets(members: DataFrame) -> DataFrame:
-    """Members of buckets with two classes or more, with ``outside``: members not in the largest class."""
+    members = buckets.select("bucket", "rep", "weight").join(named, "rep", "left")
+    members = members.select("bucket", "rep", "weight", F.coalesce("_label", "rep").alias("label"))
     by_label = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    sizes = by_label.groupBy("bucket").agg(F.count(F.lit(1)).alias("labels"), (F.sum("n") - F.max("n")).alias("outside")).where("labels > 1")
-    return members.join(sizes.select("bucket", "outside"), "bucket")
+    sizes = by_label.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("labels"),
+        F.sum("n").alias("size"),
+        F.max(F.struct("n", "label")).alias("most"),
+    )
+    mixed = sizes.where("labels > 1").select("bucket", "size", (F.col("size") - F.col("most.n")).alias("outside"), F.col("most.label").alias("main"))
+    return members.join(mixed, "bucket")
 
 
 def _fits(a: Column, b: Column, similarity: float) -> Column:
@@ -249,6 +268,68 @@ def _fits(a: Column, b: Column, similarity: float) -> Column:
     return F.least(a, b) >= F.lit(similarity) * F.greatest(a, b)
 
 
+def _degrees(links: DataFrame) -> DataFrame:
+    return links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("degree"))
+
+
+def _centre_pairs(members: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
+    """Everyone in another class than the bucket's best linked member, paired with that member."""
+    known = members.join(_degrees(links), "rep", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+    # copies collapse in the shuffle to one row a bucket
+    centre = known.groupBy("bucket").agg(F.max(F.struct("degree", "rep", "weight", "label")).alias("c"))
+    pairs = members.join(centre, "bucket").where("label <> c.label").where(_fits(F.col("weight"), F.col("c.weight"), similarity))
+    return pairs.select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).distinct()
+
+
+def _links_in_block(similarity: float):  # noqa: ANN202
+    """Links between members outside the main class and all others of a block, one for each two classes."""
+
+    def work(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("rep", "ascending")])
+        reps, labels = rows.column("rep").to_pylist(), rows.column("label").to_pylist()
+        cells = [np.sort(x.values.to_numpy(zero_copy_only=False)) for chunk in rows.column("cells").chunks for x in chunk]
+        sizes = np.array([len(c) for c in cells])
+        flat = np.concatenate(cells)
+        starts = np.cumsum(sizes) - sizes
+        joined = {x: x for x in labels}
+
+        def top(x):  # noqa: ANN001, ANN202
+            while joined[x] != x:
+                x = joined[x]
+            return x
+
+        found: list[tuple] = []
+        for i in np.flatnonzero(rows.column("is_outside").to_numpy(zero_copy_only=False)):
+            at = np.minimum(np.searchsorted(cells[i], flat), len(cells[i]) - 1)
+            shared = np.add.reduceat((cells[i][at] == flat).astype(np.int64), starts)
+            value = shared / (sizes + sizes[i] - shared)
+            for j in np.flatnonzero(value >= similarity):
+                x, y = top(labels[i]), top(labels[j])
+                if x != y:
+                    joined[x] = y
+                    found.append((min(reps[i], reps[j]), max(reps[i], reps[j]), float(value[j])))
+        kind = rows.schema.field("rep").type
+        return pa.table([pa.array([f[0] for f in found], kind), pa.array([f[1] for f in found], kind), pa.array([f[2] for f in found], pa.float64())], names=["a", "b", "similarity"])
+
+    return work
+
+
+def _block_links(members: DataFrame, sets: DataFrame, similarity: float, block_rows: int) -> DataFrame:
+    """Exact links across the classes of each bucket, found in blocks of at most about ``block_rows`` members.
+
+    Members of the main class are dealt over blocks; the others visit every block of their
+    bucket.  Only links leave a task, and only one for each two classes in it.
+    """
+    blocks = F.ceil(F.col("size") / F.lit(block_rows)).cast("int")
+    is_outside = F.col("label") != F.col("main")
+    own = F.array(F.pmod(F.xxhash64("rep"), blocks).cast("int"))
+    every = F.sequence(F.lit(0), blocks - 1)
+    placed = members.select("bucket", "rep", "label", is_outside.alias("is_outside"), F.explode(F.when(is_outside, every).otherwise(own)).alias("block"))
+    kind = members.schema["rep"].dataType
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("similarity", T.DoubleType())])
+    return placed.join(sets, "rep").groupBy("bucket", "block").applyInArrow(_links_in_block(similarity), schema)
+
+
 def near_groups(
     docs: DataFrame,
     key: str = "doc_id",
@@ -259,16 +340,17 @@ def near_groups(
     rows: int = ROWS,
     size: int = SHINGLE,
     listed: int = LISTED,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """``doc_id``, ``class_id`` (smallest key of the class), ``copy_of`` (smallest key with the same set) and ``n_links``
-    (similar representatives this one was compared with) per row.
+    """``doc_id``, ``class_id`` (smallest key of the class) and ``copy_of`` (smallest key with the same set) per row.
 
     ``weights``: "presence" gives every shingle weight one, so the similarity is that of
     the shingle sets; "counts" weighs by occurrences.
     """
     signs = materialise(signed(docs, key, text, weights, bands, rows, size))
-    reps = signs.groupBy("set_a", "set_b", "weight").agg(F.min("doc_id").alias("rep"))
-    copies = materialise(signs.select("doc_id", "set_a", "set_b", "weight").join(reps, ["set_a", "set_b", "weight"]).select("doc_id", "rep", "weight"))
+    reps = signs.groupBy("set_a", "set_b", "weight").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
+    same_set = ["set_a", "set_b", "weight"]
+    copies = materialise(join_groups(signs.select("doc_id", *same_set), materialise(reps), same_set, "n").select("doc_id", "rep", "weight"))
     # one row of each representative; rows may repeat a key
     own = copies.where("doc_id = rep").select("rep", "weight").distinct()
     keyed = signs.select(F.col("doc_id").alias("rep"), "weight", "bands").dropDuplicates(["rep", "weight"])
@@ -284,45 +366,27 @@ def near_groups(
     stars = buckets.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
     links = materialise(similar(stars, sets, similarity))
     labels = components(links)
+    members = materialise(_mixed_members(buckets, labels))
+    labels = merged(labels, materialise(similar(_centre_pairs(members, links, similarity), sets, similarity)))
 
-    # buckets that still hold several classes; large ones are split by a second band, then a third
-    members = _mixed_buckets(_labelled(buckets.select("rep", "weight", "bucket"), labels))
-    members = materialise(members)
-    pieces = []
+    # buckets that still hold several classes: true groups have few members left outside the largest one;
+    # a bucket with many is held together by a shared passage and is split by a second band, then a third
+    members = materialise(_mixed_members(buckets, labels))
+    found = []
     for _ in range(2):
-        pieces.append(members.where(F.col("outside") <= listed))
+        small = members.where(F.col("outside") <= listed)
+        found.append(_block_links(small, sets, similarity, block_rows))
         large = members.where(F.col("outside") > listed)
-        other = buckets.select("rep", F.col("bucket").alias("second"))
-        finer = large.join(other, "rep").where("second <> bucket")
+        finer = large.join(buckets.select("rep", F.col("bucket").alias("second")), "rep").where("second <> bucket")
         # the two bands in either order are one bucket
-        finer = finer.withColumn("bucket", F.xxhash64(F.least("bucket", "second"), F.greatest("bucket", "second")))
-        finer = finer.select("rep", "weight", "bucket", "label").distinct()
-        members = materialise(_mixed_buckets(finer))
-    pieces.append(members)
-    crossing = None
-    for part in pieces:
-        pairs = _cross_pairs(part, similarity)
-        crossing = pairs if crossing is None else crossing.unionByName(pairs)
-    more = materialise(similar(crossing.distinct(), sets, similarity))
-    links = links.unionByName(more).select("a", "b").distinct()
-    labels = components(links)
-
-    ends = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
-    named = copies.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").join(ends, "rep", "left")
-    return named.select(
-        "doc_id",
-        F.coalesce("label", "rep").alias("class_id"),
-        F.col("rep").alias("copy_of"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-    )
-
-
-def _cross_pairs(members: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of one bucket in different classes, of fitting weights."""
-    left = members.select("bucket", F.col("rep").alias("a"), F.col("label").alias("la"), F.col("weight").alias("wa"))
-    right = members.select("bucket", F.col("rep").alias("b"), F.col("label").alias("lb"), F.col("weight").alias("wb"))
-    pairs = left.join(right, "bucket").where("a < b and la <> lb").where(_fits(F.col("wa"), F.col("wb"), similarity))
-    return pairs.select("a", "b").distinct()
+        both = F.xxhash64(F.least("bucket", "second"), F.greatest("bucket", "second"))
+        finer = finer.select(both.alias("bucket"), "rep", "weight").distinct()
+        members = materialise(_mixed_members(finer, labels))
+    found.append(_block_links(members, sets, similarity, block_rows))
+    labels = merged(labels, materialise(reduce(DataFrame.unionByName, found)))
+
+    named = copies.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left")
+    return named.select("doc_id", F.coalesce("label", "rep").alias("class_id"), F.col("rep").alias("copy_of"))
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

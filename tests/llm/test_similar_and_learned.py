@@ -78,10 +78,10 @@ def families(seed, n=10, size=12):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("listed", [48, 1])
-def test_near_groups(make_docs, listed):
+@pytest.mark.parametrize("listed, block_rows", [(48, 1000), (1, 3)])
+def test_near_groups(make_docs, listed, block_rows):
     rows = families(listed)
-    got = near_dedup.near_groups(make_docs(rows), listed=listed).collect()
+    got = near_dedup.near_groups(make_docs(rows), listed=listed, block_rows=block_rows).collect()
     assert {r.doc_id: r.class_id for r in got} == plain_classes(rows)
 
 
