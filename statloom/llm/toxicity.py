@@ -1,10 +1,11 @@
 """Toxic texts by a support vector machine over a subsequence string kernel.
 
 A unit is a word with everything but its letters taken out, so marks set into an insult
-vanish, a run of single letters put together, or a window of a very long word.  The
-kernel of two units counts the letter triples they share, gaps allowed: a triple that
-spans s letters weighs DECAY^s, up to SPAN letters.  Inserted letters only lower the
-weight of some triples.  The kernel is scaled by what a unit of its length can reach.
+vanish, a run of single letters put together whatever marks or blanks stand between them,
+up to four short neighbours put together, or a window of a very long word.  The kernel
+of two units counts the letter triples they share, gaps allowed: a triple that spans s
+letters weighs DECAY^s, up to SPAN letters.  Inserted letters only lower the weight of
+some triples.  The kernel is scaled by what a unit of its length can reach.
 
 Training.  Labelled sentences come from a bounded sample of labelled documents (at most
 ``most_docs`` per class, one of each family of copies).  Clean sentences are clean in all
@@ -40,6 +41,9 @@ from statloom.session import materialise
 DECAY = 0.92
 SPAN = 8
 WINDOW = 24
+#: So many neighbours of at most so many letters are also read as one word.
+PIECES = 4
+SHORT = 3
 ALPHABET = 32
 MOST_DOCS = 6000
 LANDMARKS = 256
@@ -115,8 +119,26 @@ def folded_scores(units: list[str], weights: np.ndarray, bias: float) -> np.ndar
     return np.where(np.isfinite(best), best, bias)
 
 
+def _joined(left: np.ndarray, right: np.ndarray, names: list[str], units: dict[str, int]) -> np.ndarray:
+    """Numbers of the units put together; each pair is looked up once."""
+    n = len(names)
+    pairs, at = np.unique(left * n + right, return_inverse=True)
+    made = []
+    for x, y in zip((pairs // n).tolist(), (pairs % n).tolist()):
+        unit = names[x] + names[y]
+        if unit not in units:
+            names.append(unit)
+        made.append(units[unit])
+    return np.array(made, np.int64)[at]
+
+
 def unit_lists(texts: list[str]) -> tuple[list[str], list[np.ndarray]]:
-    """Distinct units and, per text, the numbers of its units."""
+    """Distinct units and, per text, the numbers of its units.
+
+    Words without letters are passed over.  Runs of three or more single letters are one
+    piece, and up to ``PIECES`` neighbours of at most ``SHORT`` letters (or such runs) are
+    units together, beside their own.
+    """
     number: dict[str, int] = defaultdict(count().__next__)
     rows = []
     for text in texts:
@@ -127,17 +149,48 @@ def unit_lists(texts: list[str]) -> tuple[list[str], list[np.ndarray]]:
     flat = [letters(w) for w in number]
     units: dict[str, int] = defaultdict(count().__next__)
     unit_of = np.array([units[u] for u in flat], np.int64)
-    single = np.array([len(u) == 1 for u in flat], bool)
-    out = []
-    for row in rows:
-        own = np.unique(unit_of[row])
-        alone = single[row]
+    names = list(units)
+    size_of = np.array([len(u) for u in names], np.int64)
+    own, places, brief, owners = [], [], [], []
+    for i, row in enumerate(rows):
+        row = unit_of[row]
+        own.append(row)
+        row = row[size_of[row] > 0]
+        short = size_of[row] <= SHORT
+        alone = size_of[row] == 1
         if alone.sum() > 2:
             edges = np.flatnonzero(np.diff(np.concatenate([[0], alone.astype(np.int8), [0]])))
-            runs = [row[s:e] for s, e in zip(edges[::2], edges[1::2]) if e - s > 2]
-            own = np.append(own, [units["".join(flat[i] for i in r)] for r in runs]).astype(np.int64)
-        out.append(own)
-    return list(units), out
+            pieces, shorts, done, made = [], [], 0, []
+            for s, e in zip(edges[::2], edges[1::2]):
+                if e - s > 2:
+                    unit = "".join(names[x] for x in row[s:e])
+                    if unit not in units:
+                        names.append(unit)
+                    made.append(units[unit])
+                    pieces += [row[done:s], made[-1:]]
+                    shorts += [short[done:s], [len(unit) <= WINDOW // 2]]
+                    done = e
+            if made:
+                own[i] = np.append(own[i], made).astype(np.int64)
+                row = np.concatenate([*pieces, row[done:]]).astype(np.int64)
+                short = np.concatenate([*shorts, short[done:]]).astype(bool)
+        places.append(row)
+        brief.append(short)
+        owners.append(np.full(len(row), i))
+    if texts:
+        row, short, owner = np.concatenate(places), np.concatenate(brief), np.concatenate(owners)
+        start, together = np.flatnonzero(short), row[short]
+        for k in range(1, PIECES):
+            far = start + k
+            good = far < len(row)
+            good[good] = short[far[good]] & (owner[far[good]] == owner[start[good]])
+            start, together = start[good], together[good]
+            if not len(start):
+                break
+            together = _joined(together, row[start + k], names, units)
+            cut = np.searchsorted(owner[start], np.arange(1, len(texts)))
+            own = [np.append(x, more) for x, more in zip(own, np.split(together, cut))]
+    return names, [np.unique(x) for x in own]
 
 
 class Model:

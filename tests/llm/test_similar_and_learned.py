@@ -293,6 +293,24 @@ def test_toxicity_tolerates_gaps(trained):
     assert (model.chances(["", "la moti reno", "an"]) < 0.5).all()
 
 
+def test_toxicity_reads_over_blanks_and_marks(trained):
+    model, _, _, insults = trained
+    spelled = [v for w in insults for v in (" - ".join(w), " . ".join(w), "  ".join(w), f"{w[:3]} {w[3:6]} {w[6:]}", f"{w[:2]} {w[2:4]} {w[4:6]} {w[6:]}")]
+    scores = model.chances([f"la moti {v} reno" for v in spelled])
+    assert np.mean(scores >= 0.5) > 0.85, list(zip(spelled, scores))
+    assert (model.chances(["la - moti - reno", "an er st la", "la . moti  an er"]) < 0.5).all()
+
+
+def test_units_over_blanks_do_not_depend_on_the_batch():
+    texts = ["you i - d . i  o t", "id iot", "idi ot", "idiot", "a b c d e f g h i j k l m n", "", " - ", "x idiot i d i o t y"]
+    names, rows = toxicity.unit_lists(texts)
+    assert len(set(names)) == len(names)
+    for text, row in zip(texts, rows):
+        own, (alone,) = toxicity.unit_lists([text])
+        assert {names[i] for i in row} == {own[i] for i in alone}
+    assert all("idiot" in {names[i] for i in row} for row in rows[:4])
+
+
 def test_folded_scores_are_the_kernel_machine():
     rng = np.random.default_rng(2)
     weights = rng.normal(size=toxicity.ALPHABET**3)
