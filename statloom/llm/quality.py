@@ -8,6 +8,11 @@ documents; these are the same counts added up.  A threshold is the upper quartil
 ``spread`` times the distance between the quartiles, and never under a floor, so a
 uniform source loses nothing.  Documents are then joined with their thresholds.
 
+The floors are the fixed cuts of ``MEASURES``, as the query and its SQL have them; they
+only let the sketch loosen a cut.  With ``own`` the sketch decides alone: where the
+quartiles are equal the distance is that of the ninth decile from the lower quartile, and
+it is never under the small width in ``WIDTHS``.
+
 Defined results
     NULL texts have no words and fail the base rule.  NULL languages and sources are
     groups of their own.  Repeated rows are measured and counted like others.  An
@@ -30,6 +35,8 @@ SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 #: Measure and the floor of its threshold.
 MEASURES = {"symbol_share": 0.03, "dup_line_share": 0.5, "repeat_share": 0.4, "long_words": 9.0}
+#: Least distance that ``own`` thresholds take for the spread of a measure.
+WIDTHS = {"symbol_share": 0.005, "dup_line_share": 0.02, "repeat_share": 0.02, "long_words": 0.1}
 GROWTH = 1.02
 LEAST_ROWS = 200
 
@@ -109,17 +116,17 @@ def merged(sketch: DataFrame, by: tuple[str, ...]) -> DataFrame:
 
 
 def quartiles(sketch: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """``by``, ``measure``, ``rows``, ``q1`` and ``q3``: the upper ends of the buckets that hold them."""
+    """``by``, ``measure``, ``rows``, ``q1``, ``q3`` and ``d9``: the upper ends of the buckets that hold them."""
     group = [*by, "measure"]
     upto = Window.partitionBy(*group).orderBy(F.col("bucket").asc_nulls_first())
     whole = Window.partitionBy(*group)
     run = sketch.withColumns({"upto": F.sum("n").over(upto), "rows": F.sum("n").over(whole)})
     top = F.when(F.col("bucket").isNull(), F.lit(0.0)).otherwise(F.pow(F.lit(GROWTH), F.col("bucket")))
-    at = {q: F.min(F.when(F.col("upto") >= p * F.col("rows"), top)).alias(q) for q, p in (("q1", 0.25), ("q3", 0.75))}
+    at = {q: F.min(F.when(F.col("upto") >= p * F.col("rows"), top)).alias(q) for q, p in (("q1", 0.25), ("q3", 0.75), ("d9", 0.9))}
     return run.groupBy(*group).agg(F.max("rows").alias("rows"), *at.values())
 
 
-def thresholds(rows: DataFrame, spread: float = 3.0, least_rows: int = LEAST_ROWS) -> DataFrame:
+def thresholds(rows: DataFrame, spread: float = 3.0, least_rows: int = LEAST_ROWS, own: bool = False) -> DataFrame:
     """Per ``lang`` and ``source`` that occurs: ``level`` used and one threshold per measure (NULL: none)."""
     by_source = materialise(sketches(rows.where(~base_failed()).withColumns(_shares()), ("lang", "source")))
     by_lang = merged(by_source, ("lang",))
@@ -131,8 +138,11 @@ def thresholds(rows: DataFrame, spread: float = 3.0, least_rows: int = LEAST_ROW
     wide = {}
     for name, q in levels.items():
         keys = [c for c in ("lang", "source") if c in q.columns]
-        floor = F.element_at(F.create_map(*[F.lit(x) for m in MEASURES.items() for x in m]), F.col("measure"))
-        cut = F.greatest(F.col("q3") + spread * (F.col("q3") - F.col("q1")), floor)
+        least = F.element_at(F.create_map(*[F.lit(x) for m in (WIDTHS if own else MEASURES).items() for x in m]), F.col("measure"))
+        cut = F.greatest(F.col("q3") + spread * (F.col("q3") - F.col("q1")), least)
+        if own:
+            width = F.when(F.col("q3") > F.col("q1"), F.col("q3") - F.col("q1")).otherwise(F.col("d9") - F.col("q1"))
+            cut = F.col("q3") + spread * F.greatest(width, least)
         columns = [F.max(F.when(F.col("measure") == m, F.col("cut"))).alias(f"{name}_{m}") for m in MEASURES]
         wide[name] = q.withColumn("cut", cut).groupBy(*keys).agg(F.max("rows").alias(f"{name}_rows"), *columns)
     groups = rows.select("lang", "source").distinct()
@@ -150,13 +160,13 @@ def thresholds(rows: DataFrame, spread: float = 3.0, least_rows: int = LEAST_ROW
     return found.select("lang", "source", level.alias("level"), *[pick(m).alias(f"max_{m}") for m in MEASURES])
 
 
-def judged(docs: DataFrame, text: str = "text", spread: float = 3.0, least_rows: int = LEAST_ROWS) -> DataFrame:
+def judged(docs: DataFrame, text: str = "text", spread: float = 3.0, least_rows: int = LEAST_ROWS, own: bool = False) -> DataFrame:
     """Counts, shares, ``base_failed`` and ``kept`` per row of ``docs`` (``doc_id``, ``lang``, ``source``, text).
 
     Without a threshold (too few documents anywhere) the floors decide.
     """
     rows = materialise(measured(docs, text))
-    limits = thresholds(rows, spread, least_rows).withColumnsRenamed({"lang": "_lang", "source": "_source"})
+    limits = thresholds(rows, spread, least_rows, own).withColumnsRenamed({"lang": "_lang", "source": "_source"})
     match = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     joined = rows.join(limits, match, "left").withColumns(_shares())
     good = F.lit(True)
@@ -165,7 +175,7 @@ def judged(docs: DataFrame, text: str = "text", spread: float = 3.0, least_rows:
     return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & good).drop("_lang", "_source")
 
 
-def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, text: str = "text", own: bool = True) -> DataFrame:
     """Rows of ``docs`` that the rules keep, with the columns of ``docs``."""
-    good = judged(docs, text).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    good = judged(docs, text, own=own).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
     return docs.join(good, docs["doc_id"].eqNullSafe(F.col("_kept_id")), "left_semi")

@@ -177,6 +177,19 @@ def test_quality_adapts_to_the_source(make_docs, odd_docs):
     assert quality.judged(make_docs([])).count() == 0
 
 
+def test_own_thresholds_tighten_the_fixed_cuts(make_docs):
+    random.seed(9)
+    word = lambda: "".join(random.choices("abcdefghijklmnop", k=5))
+    line = lambda: " ".join(word() for _ in range(10))
+    rows = [(i, "\n".join(line() for _ in range(10)), "en", "s", None) for i in range(300)]
+    again = line()
+    rows += [(300, "\n".join([*(line() for _ in range(7)), *[again] * 4]), "en", "s", None)]  # under half of its lines repeat
+    rows += [(301, " ".join(word() + "abc" for _ in range(80)), "en", "s", None)]  # mean length 8
+    docs = make_docs(rows)
+    assert {r.doc_id for r in quality.keep_good(docs).collect()} == set(range(300))
+    assert {r.doc_id for r in quality.keep_good(docs, own=False).collect()} == set(range(302))
+
+
 def test_quantiles_of_sketches(spark):
     random.seed(8)
     values = [random.lognormvariate(0, 1) for _ in range(3000)] + [0.0] * 500
