@@ -6,6 +6,11 @@ compared in lower case with single blanks.  Units of fewer than ``least_words``
 repeat by chance and are left alone.  Occurrences are ranked by document key, then
 place; all but the first of each digest go, with their offsets in the original text.
 
+With ``lines`` whole lines and paragraphs (lines without an empty one between them) are
+units too, and inside a line runs of short sentences that have enough words together.  A
+repeated line then goes whatever its sentences are.  Short text between two removed places
+goes with them.  The query and its SQL compare sentences alone.
+
 Only digests and offsets are shuffled, counts of a digest are added up before, and a
 unit that many documents share is met by a join whose large keys can be split.
 
@@ -39,10 +44,71 @@ def units_of(text: str) -> Iterator[tuple[int, int, bytes, int]]:
             yield m.start(), m.end(), b" ".join(words), len(words)
 
 
+_LINE = re.compile(r"[^\n]*\n?")
+
+
+def nested_units(text: str, least_words: int = LEAST_WORDS) -> tuple[int, list[tuple[int, int, bytes]], list[tuple[int, int]]]:
+    """Number of sentence units, the paragraphs, lines, sentences and runs long enough to be compared, and the short units."""
+    n, found, short = 0, [], []
+    block: list[tuple[int, int, bytes, int]] = []
+
+    def end_block() -> None:
+        if len(block) > 1 and sum(x[3] for x in block) >= least_words:
+            found.append((block[0][0], block[-1][1], b"\n" + b" ".join(x[2] for x in block)))  # apart from lines
+        block.clear()
+
+    for m in _LINE.finditer(text):
+        if m.end() == m.start():
+            continue
+        parts = [(m.start() + s, m.start() + e, flat, words) for s, e, flat, words in units_of(m.group())]
+        n += len(parts)
+        short += [(s, e) for s, e, _, words in parts if words < least_words]
+        real = [x for x in parts if x[3]]
+        if not real:
+            end_block()
+            continue
+        line = (m.start(), m.end(), b" ".join(m.group().lower().encode("utf-8", "surrogatepass").split()), sum(x[3] for x in parts))
+        block.append(line)
+        if line[3] >= least_words:
+            found.append(line[:3])
+        if len(real) == 1:
+            continue
+        run: list[tuple[int, int, bytes, int]] = []
+        for x in [*real, None]:
+            if x and x[3] < least_words:
+                run.append(x)
+                continue
+            if 1 < len(run) < len(real) and sum(r[3] for r in run) >= least_words:
+                found.append((run[0][0], run[-1][1], b" ".join(r[2] for r in run)))
+            run = []
+            if x:
+                found.append(x[:3])
+    end_block()
+    return n, found, short
+
+
+def closed(removed: list[tuple[int, int]], short: list[tuple[int, int]], text: str, least_words: int = LEAST_WORDS) -> list[tuple[int, int]]:
+    """Sorted spans without overlap, with the short units between two of them where these are too few words to be compared."""
+    out: list[list[int]] = []
+    ends = {s: e for s, e in short}
+    for start, end in sorted(removed):
+        if out and start > out[-1][1]:
+            at = out[-1][1]
+            while at < start and at in ends:
+                at = ends[at]
+            if at == start and len(text[out[-1][1] : start].encode("utf-8", "surrogatepass").split()) < least_words:
+                out[-1][1] = start
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(end, out[-1][1])
+        else:
+            out.append([start, end])
+    return [(s, e) for s, e in out]
+
+
 _UNITS = T.ArrayType(T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
-def units(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
+def units(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, lines: bool = False) -> DataFrame:
     """``doc_id``, ``n_units`` and the hashed units (128 bits) long enough to be compared."""
     schema = T.StructType([T.StructField("doc_id", docs.schema[key].dataType), T.StructField("n_units", T.IntegerType()), T.StructField("units", _UNITS)])
     kind = pa.list_(pa.struct([("digest", pa.binary()), ("start", pa.int32()), ("end", pa.int32())]))
@@ -51,13 +117,15 @@ def units(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words:
         for batch in batches:
             n_units, digests, starts, ends, bounds = [], [], [], [], [0]
             for value in batch.column(1):
-                n = 0
-                for start, end, flat, words in units_of(value.as_py()):
-                    n += 1
-                    if words >= least_words:
-                        digests.append(hashlib.md5(flat, usedforsecurity=False).digest())
-                        starts.append(start)
-                        ends.append(end)
+                if lines:
+                    n, found, _ = nested_units(value.as_py(), least_words)
+                else:
+                    every = list(units_of(value.as_py()))
+                    n, found = len(every), [x[:3] for x in every if x[3] >= least_words]
+                for start, end, flat in found:
+                    digests.append(hashlib.md5(flat, usedforsecurity=False).digest())
+                    starts.append(start)
+                    ends.append(end)
                 n_units.append(n)
                 bounds.append(len(starts))
             rows = pa.StructArray.from_arrays([pa.array(digests, pa.binary()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], fields=list(kind.value_type))
@@ -67,9 +135,9 @@ def units(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words:
     return docs.select(F.col(key).alias("doc_id"), filled(text).alias("_text")).mapInArrow(work, schema)
 
 
-def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
-    """Per row ``doc_id``, ``n_units`` and ``removed``: sorted (start, end) of the units that go."""
-    hashed = materialise(units(docs, key, text, least_words))
+def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, lines: bool = False) -> DataFrame:
+    """Per row ``doc_id``, ``n_units`` and ``removed``: sorted (start, end) of the units that go; with ``lines`` they may overlap."""
+    hashed = materialise(units(docs, key, text, least_words, lines))
     rows = hashed.select("doc_id", F.explode("units").alias("u")).select("doc_id", "u.*")
     first = F.min(F.struct("doc_id", "start")).alias("first")
     shared = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), first).where("n > 1").select("digest", "first")
@@ -91,14 +159,21 @@ def without_spans(text: str | None, removed: list) -> str | None:
     return "".join([*out, text[at:]])
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, lines: bool = False) -> DataFrame:
     """``docs`` with the repeated units cut from ``text`` and their offsets in ``removed``; keys are expected to be unique."""
     docs = docs.drop("removed") if "removed" in docs.columns else docs
-    spans = repeated_spans(docs, key, text, least_words).select(F.col("doc_id").alias("_id"), "removed")
+    spans = repeated_spans(docs, key, text, least_words, lines).select(F.col("doc_id").alias("_id"), "removed")
+    kind = spans.schema["removed"].dataType
+
+    @F.udf(kind)
+    def close(value, spans):  # noqa: ANN001, ANN202
+        value = value or ""
+        return closed([(x["start"], x["end"]) for x in spans], nested_units(value, least_words)[2] if spans else [], value, least_words)
 
     @F.pandas_udf(T.StringType())
     def cut(texts, spans):  # noqa: ANN001, ANN202
         return texts.combine(spans, lambda t, s: without_spans(t, [(x["start"], x["end"]) for x in s]))
 
     joined = docs.join(spans, docs[key].eqNullSafe(F.col("_id"))).drop("_id")
+    joined = joined.withColumn("removed", close(F.col(text), "removed")) if lines else joined
     return joined.withColumn(text, cut(F.col(text), F.col("removed")))

@@ -117,6 +117,28 @@ def test_repeated_passages(make_docs, odd_docs):
     assert repeats.repeated_spans(make_docs([])).count() == 0
 
 
+def test_repeated_lines_go_whole(make_docs):
+    rows = [
+        (1, "Thth atouen and thwhedble. Ti.\nENERAT!! ONOUTION.!! AT!! IN!! THE!!\nown words of one. No.\n"),
+        (2, "other words at first here\nThth atouen and thwhedble. Ti.\nENERAT!! ONOUTION.!! AT!! IN!! THE!!\nlast one, mine.\n"),
+        (3, "Yes.\nNo.\nWhy so?\nGo on.\n\nmine alone are these words\n"),
+        (4, "this line is only here\n\nYes.\nNo.\nWhy so?\nGo on.\n"),
+        (5, "one two three four five. So! six seven eight nine ten.\n"),
+        (6, "new start. one two three four five. Ah! six seven eight nine ten. new end.\n"),
+        (7, "Start here. It is! No! But yes! Or not. and a tail of five words.\n"),
+        (8, "Now a head of five words. It is! No! But yes! Or not.\n"),
+    ]
+    cut = {r.doc_id: r.text for r in repeats.remove_repeats(make_docs(rows), lines=True).collect()}
+    assert [cut[i] for i in (1, 3, 5, 7)] == [rows[i - 1][1] for i in (1, 3, 5, 7)]
+    assert cut[2] == "other words at first here\nlast one, mine.\n"
+    assert cut[4] == "this line is only here\n\n"
+    assert cut[6] == "new start. new end.\n"
+    assert cut[8] == rows[7][1]  # the run of 7 begins earlier, so it is another one
+    assert "Ti." in {r.doc_id: r.text for r in repeats.remove_repeats(make_docs(rows)).collect()}[2]
+    again = [(i, t) for i, t in cut.items()]
+    assert {r.doc_id: r.text for r in repeats.remove_repeats(make_docs(again), lines=True).collect()} == cut
+
+
 def test_units_are_the_text():
     for text in ["", "\n", "a.b!c?\nd", "no end", "...", "é!\n\n x"]:
         assert "".join(text[s:e] for s, e, _, _ in repeats.units_of(text)) == text
