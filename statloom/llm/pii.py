@@ -32,6 +32,8 @@ BASE = ("email", "ip", "card", "phone")
 #: Labels of the field; all but the first are kinds of spans.
 LABELS = ("none", "email_like", "ip_like", "card_like", "phone_like", "secret")
 KINDS = (*BASE, *LABELS[1:])
+#: Bytes of text whose words are scored together; no result depends on it.
+PORTION = 4 << 20
 
 #: Labelled sentences: {kind|text} marks a span.
 SENTENCES = (
@@ -522,7 +524,7 @@ def find(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_portions(batches, len(keep)):
+        for batch in in_portions(batches, len(keep), PORTION):
             found = all_spans(batch.column(batch.num_columns - 1).to_pylist(), model)
             sides = [[[{"kind": k, "start": s, "end": e} for k, s, e in row[side]] for row in found] for side in (0, 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *[pa.array(x, kind) for x in sides]], [*keep, "base", "added"])
@@ -546,7 +548,7 @@ def redact(docs: DataFrame, text: str = "text", field: Field | None = None) -> D
     at = docs.columns.index(text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_portions(batches, at):
+        for batch in in_portions(batches, at, PORTION):
             texts = batch.column(at).to_pylist()
             found = all_spans([t or "" for t in texts], model)
             clean = [t and redacted(t, [*base, *added]) for t, (base, added) in zip(texts, found)]
