@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from statloom.llm import bpe, exact_dedup, lm, near_dedup, packing, pii, quality, repeats, sharding, toxicity
+from statloom.llm import bpe, conversation_trie, exact_dedup, lm, near_dedup, packing, pii, quality, repeats, sharding, toxicity
 from statloom.llm.text import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -215,3 +215,40 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+#: Unsigned crc32 of a decimal number, by the polynomial, bit by bit.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({id} AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+        lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+            lambda x, step: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))), 4294967295::BIGINT)"""
+
+
+@query(
+    "op11_peeled_prefix_trie",
+    f"""WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                 row_number() OVER (PARTITION BY conv_id
+                     ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+          FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC32.format(id="conv_id")} % 6 AS h
+          FROM (SELECT DISTINCT conv_id FROM t)),
+    r AS (SELECT c.conv_id, t.pos, role, text FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+          UNION ALL SELECT c.conv_id, t.pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h
+          UNION ALL SELECT conv_id, 0, '', '' FROM c),
+    s AS (SELECT conv_id, row_number() OVER w - 1 AS depth, length(text) AS length, lead(pos) OVER w IS NULL AS ends,
+                 md5(string_agg(strlen(role) || ':' || role || strlen(text) || ':' || text, '') OVER w) AS node
+          FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+    m AS (SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent FROM s),
+    n AS (SELECT depth, node, parent, min(conv_id) AS conv_id, count(*) AS n_convs, max(length) AS length,
+                 coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ids
+          FROM m GROUP BY depth, node, parent),
+    k AS (SELECT depth - 1 AS depth, parent AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+    f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (depth, node)),
+    x AS (SELECT a.depth, a.node, count(*) FILTER (f.n_children = 0) AS n_leaves, sum((f.n_convs - 1) * f.length) AS saved_tokens
+          FROM f JOIN m a ON a.conv_id = f.conv_id AND a.depth <= f.depth GROUP BY a.depth, a.node)
+    SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, x.n_leaves,
+           CAST(x.saved_tokens AS BIGINT) AS saved_tokens, sha256(f.ids) AS ends_sha256
+    FROM f JOIN x USING (depth, node) LEFT JOIN f p ON p.node = f.parent AND p.depth = f.depth - 1""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.turn_rows(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return conversation_trie.prefix_trie(conversation_trie.shared_openings(turns)).drop("node")
