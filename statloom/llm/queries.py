@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from statloom.llm import bpe, conversation_trie, exact_dedup, lm, near_dedup, packing, pii, quality, repeats, sharding, toxicity
+from statloom.llm import bpe, conversation_trie, exact_dedup, lm, near_dedup, packing, phrases, pii, quality, repeats, secret_scan, sharding, toxicity
 from statloom.llm.text import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -252,3 +252,82 @@ _CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(stri
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = conversation_trie.turn_rows(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     return conversation_trie.prefix_trie(conversation_trie.shared_openings(turns)).drop("node")
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+@query(
+    "op12_de_bruijn_phrases",
+    rf"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+                               translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}') AS text FROM documents),
+    p AS (SELECT doc, lang, unnest(parts) AS part, generate_subscripts(parts, 1) AS piece
+          FROM (SELECT doc, lang, regexp_split_to_array(text, '[.,;:!?
+-]') AS parts FROM d)),
+    w AS (SELECT doc, piece, lang, unnest(words) AS w1, generate_subscripts(words, 1) AS i
+          FROM (SELECT doc, piece, lang, regexp_extract_all(part, '[^ 	]+') AS words FROM p)),
+    g AS (SELECT lang, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM w WINDOW o AS (PARTITION BY doc, piece ORDER BY i)),
+    f AS (SELECT lang, w1 AS phrase, 1 AS size, count(*) AS f, NULL AS h, NULL AS t FROM g GROUP BY ALL
+          UNION ALL SELECT lang, w1 || ' ' || w2, 2, count(*), w1, w2 FROM g WHERE w2 IS NOT NULL GROUP BY ALL
+          UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, 3, count(*), w1 || ' ' || w2, w2 || ' ' || w3
+                    FROM g WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3),
+    c AS (SELECT lang, phrase, size, f AS a, h, t, split_part(phrase, ' ', 1) AS x, split_part(phrase, ' ', size) AS z
+          FROM f WHERE size > 1 AND f >= 10),
+    k AS (SELECT c.lang, c.phrase, c.size, a, 1 AS cut, l.f AS l, r.f AS r
+          FROM c JOIN f l ON l.lang = c.lang AND l.phrase = c.x JOIN f r ON r.lang = c.lang AND r.phrase = c.t
+          UNION ALL SELECT c.lang, c.phrase, c.size, a, 2, l.f, r.f
+          FROM c JOIN f l ON l.lang = c.lang AND l.phrase = c.h JOIN f r ON r.lang = c.lang AND r.phrase = c.z WHERE c.size = 3),
+    s AS (SELECT *, CAST(1000000::HUGEINT * a * a // (l::HUGEINT * r) AS BIGINT) AS score FROM k),
+    b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+    v AS (SELECT lang, part, max(a) AS most FROM (SELECT lang, a, unnest([h, t]) AS part FROM c WHERE size = 3) GROUP BY ALL),
+    o AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+          FROM b LEFT JOIN v ON v.lang = b.lang AND v.part = b.phrase WHERE most IS NULL OR 100 * most < 50 * a),
+    u AS (SELECT e.lang, e.phrase AS one, x.phrase AS two
+          FROM c e JOIN c x ON x.lang = e.lang AND x.h = e.t AND x.a = e.a JOIN f ON f.lang = e.lang AND f.phrase = e.t AND f.f = e.a
+          WHERE e.size = 3 AND x.size = 3),
+    y AS (SELECT lang, one AS head, one AS phrase, 3 AS words FROM u WHERE (lang, one) NOT IN (SELECT (lang, two) FROM u)
+          UNION ALL SELECT y.lang, y.head, u.two, y.words + 1 FROM y JOIN u ON u.lang = y.lang AND u.one = y.phrase),
+    q AS (SELECT lang, phrase, max(words) OVER (PARTITION BY lang, head) AS words FROM y),
+    n AS (SELECT lang, count(*) AS n FROM w GROUP BY lang)
+    SELECT o.lang, rank, o.phrase, a, l, r, n, score, CAST(coalesce(q.words, o.size) AS BIGINT) AS path_words
+    FROM o JOIN n USING (lang) LEFT JOIN q ON q.lang = o.lang AND q.phrase = o.phrase WHERE rank <= 2000""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+def _secret_sql() -> str:
+    """Matches with places from the gaps between them, then the same lists."""
+    parts = []
+    for order, (kind, rule) in enumerate(secret_scan.RULES.items()):
+        pattern = "'" + rule.pattern.replace("'", "''") + "'"
+        parts.append(
+            f"""SELECT doc, '{kind}' AS kind, {order} AS place, unnest(hits) AS hit, unnest(subs) AS sub, unnest(gaps[:len(hits)]) AS gap,
+                generate_subscripts(hits, 1) AS i, {rule.least} AS least
+            FROM (SELECT doc, regexp_extract_all(text, {pattern}) AS hits, regexp_extract_all(text, {pattern}, {rule.group}) AS subs,
+                         regexp_split_to_array(text, {pattern}) AS gaps FROM d WHERE regexp_matches(text, {pattern}))"""
+        )
+    base = ", ".join(f"'{k}'" for k in secret_scan.BASE)
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in secret_scan.BASE)
+    zeros = ", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secret_scan.BASE)
+    listed = "string_agg(kind || ':' || CAST(stop - length(hit) AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY stop - length(hit), place)"
+    return f"""WITH d AS (SELECT row_number() OVER () AS doc, doc_id, coalesce(text, '') AS text FROM documents),
+    h AS ({" UNION ALL ".join(parts)}),
+    s AS (SELECT *, sum(length(gap) + length(hit)) OVER (PARTITION BY doc, kind ORDER BY i) AS stop FROM h),
+    r AS (SELECT doc, {counts}, coalesce({listed} FILTER (kind IN ({base})), '') AS base, {listed} AS spans
+          FROM s WHERE length(sub) >= least GROUP BY doc)
+    SELECT doc_id, {zeros}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM d LEFT JOIN r USING (doc)"""
+
+
+@query("op13_blob_ledger_secrets", _secret_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find(documents(spark, sf_dir))
+    kinds = F.transform("findings", lambda f: f["kind"])
+    base = F.filter("findings", lambda f: f["kind"].isin(*secret_scan.BASE))
+    return found.select(
+        "doc_id",
+        *[(F.size("findings") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in secret_scan.BASE],
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("findings")).alias("spans"),
+    )
