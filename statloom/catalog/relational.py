@@ -363,7 +363,7 @@ def _by_year(t: Tables):
 
 @query(
     "r1_spread",
-    "WITH " + _LONG[2:] + " SELECT * FROM (PIVOT y ON year USING max(n) GROUP BY nation)",
+    "WITH " + _LONG[2:] + " SELECT nation, " + ", ".join(f"max(n) FILTER (year = '{y}') AS \"{y}\"" for y in range(1995, 2002)) + " FROM y GROUP BY nation",
 )
 def _(t: Tables):
     return R.spread(_by_year(t), ["nation"], "year", "n")

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from statloom.functions.scalars import text_bar, truncate
-from statloom.operators.ordered import ROWS_PER_SPLIT, quantiles, running, with_row
+from statloom.operators.ordered import ROWS_PER_SPLIT, join_small, quantiles, running, with_row
 from statloom.operators.relational import levels_of
 
 
@@ -163,9 +163,10 @@ def density(df: DataFrame, column: str, points: int = 50, keys: Sequence[str] =
     """
     rows = df.where(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_v"))
     limits = rows.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
-    quartile = F.percentile_approx("_v", [0.25, 0.75], 10_000)
-    per = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_v").alias("_s"), quartile.alias("_q"))
-    spread = F.least("_s", F.coalesce(F.nullif((F.col("_q")[1] - F.col("_q")[0]) / 1.34, F.lit(0.0)), F.col("_s")))
+    per = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_v").alias("_s"))
+    quartiles = quantiles(rows, "_v", {"_low": 0.25, "_high": 0.75}, keys, discrete=True)
+    per = join_small(per, quartiles, keys) if keys else with_row(per, quartiles, "_q").select("*", "_q.*")
+    spread = F.least("_s", F.coalesce(F.nullif((F.col("_high") - F.col("_low")) / 1.34, F.lit(0.0)), F.col("_s")))
     per = per.select(*keys, "_n", (0.9 * spread * F.pow("_n", F.lit(-0.2))).alias("_w"))
     cells = 10 * points
     cell = F.least(F.lit(cells - 1), F.floor(F.try_divide((F.col("_v") - F.col("_l.lo")) * cells, F.col("_l.hi") - F.col("_l.lo"))))
