@@ -673,13 +673,23 @@ def _(t: Tables):
     """One column on one predictor: the donor is the row with the closest predictor."""
     y = F.when(F.col("o_orderkey") % 7 == 0, None).otherwise(F.col("o_custkey").cast("double"))
     rows = t.orders.select("o_orderkey", F.col("o_totalprice").alias("x"), y.alias("y"))
-    return imputation.impute_pmm(rows, ["y"], ["x"], iterations=1).select("o_orderkey", "y")
-
-
-@query("c6_impute_pmm")
-def _(t: Tables):
-    rows = t.passengers.select("passenger_id", "age", "fare", "pclass", "sibsp")
-    return imputation.impute_pmm(rows, ["age", "fare"], ["pclass", "sibsp"], iterations=1)
+    return imputation.impute_pmm(rows, ["y"], ["x"], iterations=1, donors=1, seed=None).select("o_orderkey", "y")
+
+
+@query("c6_impute_pmm", cte("passengers") + " SELECT passenger_id, true AS age_kept, true AS fare_kept, true AS from_donors FROM passengers")
+def _(t: Tables):
+    """Fifty rounds over two columns: observed values stay, and a filled one is a value observed elsewhere."""
+    rows = materialise(t.passengers.select("passenger_id", "age", "fare", "pclass", "sibsp"))
+    found = imputation.impute_pmm(rows, ["age", "fare"], ["pclass", "sibsp"], iterations=50)
+    both = found.select("passenger_id", F.col("age").alias("new_age"), F.col("fare").alias("new_fare")).join(rows, "passenger_id")
+    for c in ("age", "fare"):
+        seen = rows.where(F.col(c).isNotNull()).select(F.col(c).cast("double").alias(f"new_{c}"), F.lit(True).alias(f"seen_{c}")).distinct()
+        both = both.join(seen, f"new_{c}", "left")
+    return both.select(
+        "passenger_id",
+        *[(F.col(c).isNull() | (F.col(c).cast("double") == F.col(f"new_{c}"))).alias(f"{c}_kept") for c in ("age", "fare")],
+        (F.coalesce("seen_age", F.lit(False)) & F.coalesce("seen_fare", F.lit(False))).alias("from_donors"),
+    )
 
 
 @query(

@@ -1,29 +1,163 @@
-"""Chained imputation with predictive mean matching."""
+"""Chained imputation with predictive mean matching.
+
+A round visits the columns in turn.  Each is regressed on the others over its observed rows,
+from sums of products that the driver keeps; after a column has changed, only its own products are
+summed again.  Coefficients are drawn around the fitted ones, and a missing value takes the
+observed value of one of the rows predicted most alike, all found in one ordered pass.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from statloom.operators.ordered import ROWS_PER_SPLIT, running
+from statloom.operators.ordered import MAX_SPLITS, ROWS_PER_SPLIT
 from statloom.session import materialise
 
+#: Columns that change between two writes at most; a plan that long is computed again for each of its sums.
+STEPS_PER_WRITE = 3
+
+
+@dataclass
+class Products:
+    """Sums of products over the rows where a target is observed, per target; place 0 is the constant.
+
+    Columns enter less their first mean and divided by their first deviation, so sums stay well scaled.
+    """
+
+    names: list[str]
+    targets: list[str]
+    centre: dict[str, float]
+    scale: dict[str, float]
+    sums: dict[str, np.ndarray]
+
+    def term(self, name: str) -> Column:
+        return (F.col(name) - F.lit(self.centre[name])) / F.lit(self.scale[name])
+
+    def update(self, rows: DataFrame, flags: dict[str, str], changed: Sequence[str]) -> None:
+        """Sum the products of the changed columns again, for targets other than the column itself."""
+        wanted, found = [], []
+        places = ["", *self.names]
+        terms = {"": F.lit(1.0)} | {n: self.term(n) for n in self.names}
+        for t in self.targets:
+            for i, a in enumerate(places):
+                for j in range(i, len(places)):
+                    if any(c in (a, places[j]) and c != t for c in changed):
+                        wanted.append((t, i, j))
+                        found.append(F.sum(F.when(~F.col(flags[t]), terms[a] * terms[places[j]])).alias(f"s{len(found)}"))
+        if not found:
+            return
+        row = rows.agg(*found).first()
+        for (t, i, j), value in zip(wanted, row):
+            self.sums[t][i, j] = self.sums[t][j, i] = value or 0.0
+
+    def coefficients(self, target: str, rng: np.random.Generator | None) -> tuple[np.ndarray, np.ndarray]:
+        """Fitted weights and weights drawn around them (the same without a generator); the target's own is 0."""
+        sums, own = self.sums[target], 1 + self.names.index(target)
+        others = [i for i in range(len(sums)) if i != own]
+        left, right = sums[np.ix_(others, others)], sums[others, own]
+        inverse = np.linalg.pinv(left, hermitian=True)
+        beta = inverse @ right
+        drawn = beta
+        if rng is not None:
+            freedom = max(1.0, sums[0, 0] - len(others))
+            error = max(0.0, float(sums[own, own] - beta @ right))
+            sigma = np.sqrt(error / rng.chisquare(freedom))
+            values, vectors = np.linalg.eigh(inverse)
+            drawn = beta + sigma * (vectors * np.sqrt(np.maximum(values, 0))) @ rng.standard_normal(len(beta))
+        return np.insert(beta, own, 0.0), np.insert(drawn, own, 0.0)
+
+    def prediction(self, weights: np.ndarray) -> Column:
+        total = F.lit(float(weights[0]))
+        for name, w in zip(self.names, weights[1:]):
+            if w:
+                total = total + F.lit(float(w)) * self.term(name)
+        return total
+
+
+def _pick(ids: np.ndarray, seed: int, donors: int) -> np.ndarray:
+    """Which of the nearest donors a row takes: the same whenever a task runs again."""
+    x = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return ((x ^ (x >> np.uint64(32))) % np.uint64(donors)).astype(np.int64)
+
+
+def drawn_values(own: np.ndarray, ids: np.ndarray, predicted: np.ndarray, values: np.ndarray, donors: int, seed: int) -> np.ndarray:
+    """For each ``own`` prediction the value of one of the ``donors`` nearest ``predicted``, which ascend.
+
+    Of equally near donors the ones below come first.
+    """
+    at = np.searchsorted(predicted, own, "right")
+    steps = np.array([s for k in range(donors) for s in (-1 - k, k)])
+    places = at[:, None] + steps
+    inside = (places >= 0) & (places < len(predicted))
+    places = np.clip(places, 0, len(predicted) - 1)
+    far = np.where(inside, np.abs(predicted[places] - own[:, None]), np.inf)
+    order = np.argsort(far, axis=1, kind="stable")
+    chosen = np.minimum(_pick(ids, seed, donors), inside.sum(axis=1) - 1)
+    return values[np.take_along_axis(places, order, axis=1)[np.arange(len(own)), chosen]]
+
+
+def _ordered(table: pa.Table, column: str, flag: str) -> tuple[np.ndarray, ...]:
+    plain = lambda c: table.column(c).to_numpy()
+    missing = plain(flag).astype(bool)
+    predicted, values, ids = plain("_pred"), plain(column), plain("_id")
+    order = np.lexsort((ids, values, predicted))
+    return missing, predicted, values, ids, order[~missing[order]]
+
 
-def _match(df: DataFrame, column: str, flag: str, rows_per_split: int) -> DataFrame:
-    """Replace flagged values by the observed value whose prediction is closest."""
-    donor = F.when(~F.col(flag), F.struct(F.col("_pred").alias("p"), F.col(column).alias("v")))
-    rows = df.withColumn("_donor", donor)
-    rows = running(rows, [], ["_pred"], {"_below": ("max", "_donor")}, rows_per_split)
-    rows = materialise(running(rows, [], ["-_pred"], {"_above": ("min", "_donor")}, rows_per_split))
-    down, up = F.col("_pred") - F.col("_below.p"), F.col("_above.p") - F.col("_pred")
-    take_below = F.col("_above").isNull() | (F.col("_below").isNotNull() & (down <= up))
-    drawn = F.when(take_below, F.col("_below.v")).otherwise(F.col("_above.v"))
-    return rows.withColumn(column, F.when(F.col(flag), drawn).otherwise(F.col(column))).drop(
-        "_pred", "_donor", "_below", "_above"
-    )
+def _edges(table: pa.Table, column: str, flag: str, donors: int) -> pa.Table:
+    """The first and last donors of a range."""
+    _, predicted, values, _, order = _ordered(table, column, flag)
+    at = np.unique(np.concatenate([np.arange(len(order))[:donors], np.arange(len(order))[-donors:]])).astype(int)
+    part = pa.array([table.column("_part")[0].as_py()] * len(at), pa.int64())
+    return pa.table({"part": part, "p": predicted[order[at]], "v": values[order[at]]})
+
+
+def _match(rows: DataFrame, column: str, flag: str, donors: int, seed: int, parts: int) -> DataFrame:
+    """Flagged values replaced by values of donors; ``_pred`` goes.
+
+    With several parts the rows are dealt out by ranges of the prediction and written, and
+    every range learns the last donors before it and the first ones behind it.
+    """
+    schema = T.StructType([f for f in rows.schema.fields if f.name != "_pred"])
+    names = schema.fieldNames()
+    if parts == 1:
+        ranged, outside = rows.repartition(1), None
+    else:
+        ranged = materialise(rows.repartitionByRange(parts, "_pred", "_id").withColumn("_part", F.spark_partition_id().cast("long")))
+        by_part = ranged.groupBy("_part").applyInArrow(lambda table: _edges(table, column, flag, donors), "part long, p double, v double")
+        ends = by_part.orderBy("part", "p", "v").toArrow()  # a few donors of each range
+        outside = tuple(ends.column(c).to_numpy() for c in ("part", "p", "v"))
+
+    def match(table: pa.Table) -> pa.Table:
+        missing, predicted, values, ids, order = _ordered(table, column, flag)
+        p, v = predicted[order], values[order]
+        if outside is not None:
+            part = table.column("_part")[0].as_py()
+            before, behind = outside[0] < part, outside[0] > part
+            p = np.concatenate([outside[1][before][-donors:], p, outside[1][behind][:donors]])
+            v = np.concatenate([outside[2][before][-donors:], v, outside[2][behind][:donors]])
+        new = values.copy()
+        if len(p) and missing.any():
+            new[missing] = drawn_values(predicted[missing], ids[missing], p, v, donors, seed)
+        place = table.schema.get_field_index(column)
+        return table.set_column(place, column, pa.array(new)).select(names)
+
+    if parts > 1:
+        return ranged.groupBy("_part").applyInArrow(match, schema)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = list(batches)
+        if batches:
+            yield from match(pa.Table.from_batches(batches)).to_batches()
+
+    return ranged.mapInArrow(whole, schema)
 
 
 def impute_pmm(
@@ -32,29 +166,66 @@ def impute_pmm(
     predictors: Sequence[str] = (),
     iterations: int = 5,
     rows_per_split: int = ROWS_PER_SPLIT,
+    donors: int = 5,
+    seed: int | None = 1,
 ) -> DataFrame:
     """Fill the listed numeric columns from observed values of rows predicted alike.
 
     Missing values start at the column mean.  In every round each column is
     regressed, on its observed rows, on the other columns and ``predictors``
-    (which must be complete); a missing value then takes the observed value with
-    the closest prediction.  Ordering by prediction is spread over ranges.
+    (which must be complete).  Observed rows are predicted with the fitted coefficients, missing ones with
+    coefficients drawn around them, and take the value of one of the ``donors`` observed rows that lie
+    nearest.  ``seed`` None draws nothing; with one donor that is the closest row.
+
+    A round writes the numeric columns once (more often with more than ``STEPS_PER_WRITE`` columns to
+    fill); the other columns wait and are joined at the end.  Beyond ``rows_per_split`` rows the
+    ordered pass is spread over ranges of the prediction.  A column without any observed value stays NULL.
     """
     columns = list(columns)
-    flags = {c: f"_missing_{i}" for i, c in enumerate(columns)}
-    means = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]).first()
-    rows = df.withColumns({flags[c]: F.col(c).isNull() for c in columns})
-    rows = rows.withColumns(
-        {c: F.coalesce(F.col(c).cast("double"), F.lit(means[f"m{i}"])) for i, c in enumerate(columns)}
-    )
-    rows = materialise(rows)
-    for _ in range(iterations):
-        for c in columns:
-            others = [*[o for o in columns if o != c], *predictors]
-            assembler = VectorAssembler(inputCols=others, outputCol="_x", handleInvalid="error")
-            fitted = LinearRegression(featuresCol="_x", labelCol=c, predictionCol="_pred", solver="normal").fit(
-                assembler.transform(rows.where(~F.col(flags[c])))
-            )
-            predicted = fitted.transform(assembler.transform(rows)).drop("_x")
-            rows = materialise(_match(predicted, c, flags[c], rows_per_split))
-    return rows.drop(*flags.values())
+    whole = materialise(df.withColumn("_id", F.monotonically_increasing_id()))
+    names = [*columns, *[p for p in predictors if p not in columns]]
+    stats = whole.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
+        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(names)],
+    ).first()
+    known = [c for i, c in enumerate(names) if stats[f"m{i}"] is not None]
+    filled = [c for c in columns if c in known]
+    if not filled:
+        return whole.drop("_id")
+    centre = {c: float(stats[f"m{i}"]) for i, c in enumerate(names) if c in known}
+    scale = {c: float(stats[f"s{i}"] or 0) or 1.0 for i, c in enumerate(names) if c in known}
+    flags = {c: f"_missing_{i}" for i, c in enumerate(filled)}
+    start = {c: F.coalesce(F.col(c).cast("double"), F.lit(centre[c])).alias(c) if c in filled else F.col(c).cast("double").alias(c) for c in known}
+    rows = materialise(whole.select("_id", *start.values(), *[F.col(c).isNull().alias(f) for c, f in flags.items()]))
+    size = 1 + len(known)
+    products = Products(known, filled, centre, scale, {t: np.zeros((size, size)) for t in filled})
+    _all_products(products, rows, flags)
+    parts = min(MAX_SPLITS, max(1, -(-int(stats["n"]) // rows_per_split)))
+    for r in range(iterations):
+        pending: list[str] = []
+        for i, c in enumerate(filled):
+            if pending:
+                products.update(rows, flags, pending[-1:])
+            rng = None if seed is None else np.random.default_rng([seed, r, zlib.crc32(c.encode())])
+            fitted, drawn = products.coefficients(c, rng)
+            predicted = F.when(F.col(flags[c]), products.prediction(drawn)).otherwise(products.prediction(fitted))
+            rows = _match(rows.withColumn("_pred", predicted), c, flags[c], donors, zlib.crc32(f"{seed}:{r}:{c}".encode()), parts)
+            pending.append(c)
+            if len(pending) == STEPS_PER_WRITE or i + 1 == len(filled):
+                rows = materialise(rows)
+                products.update(rows, flags, pending[-1:])
+                pending = []
+    done = rows.select("_id", *[F.col(c).alias(f"_new_{i}") for i, c in enumerate(filled)])
+    joined = whole.join(done, "_id").withColumns({c: F.col(f"_new_{i}") for i, c in enumerate(filled)})
+    return joined.drop("_id", *[f"_new_{i}" for i in range(len(filled))])
+
+
+def _all_products(products: Products, rows: DataFrame, flags: dict[str, str]) -> None:
+    places = ["", *products.names]
+    terms = {"": F.lit(1.0)} | {n: products.term(n) for n in products.names}
+    for t in products.targets:
+        pairs = [(i, j) for i in range(len(places)) for j in range(i, len(places))]
+        row = rows.where(~F.col(flags[t])).agg(*[F.sum(terms[places[i]] * terms[places[j]]).alias(f"s{k}") for k, (i, j) in enumerate(pairs)]).first()
+        for (i, j), value in zip(pairs, row):
+            products.sums[t][i, j] = products.sums[t][j, i] = value or 0.0
