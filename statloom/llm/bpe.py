@@ -19,14 +19,18 @@ import json
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, types as T
 
-from statloom.llm.text import filled, in_portions
+from statloom.llm.text import filled, give_back, in_portions
+
+BYTES_AT_ONCE = 2 << 20
+#: Shorter position lists are handled place by place.
+FEW = 40
 
 
 def byte_characters() -> list[str]:
@@ -57,6 +61,7 @@ class Vocabulary:
         keys = left << 32 | right
         self.by_key = np.argsort(keys)
         self.keys = keys[self.by_key]
+        self.rank_of = {k: r for r, k in enumerate(keys.tolist())}
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         space = r"\t-\r \x85\xa0  -     　"
         self.word = regex.compile(split.replace(r"\s", space))
@@ -107,6 +112,7 @@ class PairIndex:
         self.before = np.arange(-1, n - 1, dtype=np.int32)
         self.before[self.ends - lengths] = -1
         self.positions: dict[int, list[np.ndarray]] = {}
+        self.single: dict[int, list[int]] = {}
         self.active: list[int] = []
         self._add(np.flatnonzero(self.next >= 0).astype(np.int32))
 
@@ -120,10 +126,35 @@ class PairIndex:
         for start, end in zip([0, *cuts], [*cuts, len(at)]):
             if end > start:
                 rank = int(ranks[start])
-                if rank not in self.positions:
-                    self.positions[rank] = []
-                    heapq.heappush(self.active, rank)
-                self.positions[rank].append(at[start:end])
+                self._activate(rank)
+                self.positions.setdefault(rank, []).append(at[start:end])
+
+    def _activate(self, rank: int) -> None:
+        if rank not in self.positions and rank not in self.single:
+            heapq.heappush(self.active, rank)
+
+    def _add_one(self, at: int, after: int) -> None:
+        rank = self.vocabulary.rank_of.get(self.symbol.item(at) << 32 | self.symbol.item(after))
+        if rank is not None:
+            self._activate(rank)
+            self.single.setdefault(rank, []).append(at)
+
+    def _merge_few(self, rank: int, positions: list[int]) -> None:
+        """The same as for whole lists, place by place from the left; a stale neighbour fails its check later."""
+        v = self.vocabulary
+        a, b, made = int(v.left[rank]), int(v.right[rank]), int(v.made[rank])
+        symbol, following, before = self.symbol, self.next, self.before
+        for at in positions:
+            gone = following.item(at)
+            if gone < 0 or symbol.item(at) != a or symbol.item(gone) != b:
+                continue
+            after, left = following.item(gone), before.item(at)
+            symbol[at], symbol[gone], following[at] = made, -1, after
+            if after >= 0:
+                before[after] = at
+                self._add_one(at, after)
+            if left >= 0:
+                self._add_one(left, at)
 
     def _free(self, at: np.ndarray) -> np.ndarray:
         """Of equal neighbours (a a a) every second one merges, from the left."""
@@ -138,8 +169,11 @@ class PairIndex:
         v = self.vocabulary
         while self.active:
             rank = heapq.heappop(self.active)
-            lists = self.positions.pop(rank)
-            at = np.sort(np.concatenate(lists))
+            lists, single = self.positions.pop(rank, []), self.single.pop(rank, [])
+            if sum(map(len, lists)) + len(single) <= FEW:
+                self._merge_few(rank, sorted({*single, *[p for x in lists for p in x.tolist()]}))
+                continue
+            at = np.sort(np.concatenate([*lists, np.array(single, np.int32)]))
             at = at[np.append(True, at[1:] != at[:-1])]
             a, b = v.left[rank], v.right[rank]
             after = self.next[at]
@@ -188,10 +222,44 @@ def stretches(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
-def encode_batch(vocabulary: Vocabulary, texts: list[str]) -> Iterator[np.ndarray]:
-    """Ids of each text.  Distinct stretches and distinct words of the batch are handled once."""
-    stretch_no, word_no, codes = numbers(), numbers(), []
-    word_no["\n"]
+class FinishedWords:
+    """Ids of the words met so far, kept from batch to batch, so only new words enter a pair index.
+
+    Beyond ``most`` words it starts anew with the next batch.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, most: int = 200_000):
+        self.vocabulary, self.most = vocabulary, most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.number = numbers()
+        self.number["\n"]
+        self.ids = Lists(np.zeros(0, np.int32), np.zeros(1, np.int64))
+
+    def open(self) -> defaultdict:
+        """Numbers of words for one batch; 0 is the break between stretches."""
+        if len(self.number) > self.most:
+            self._clear()
+        return self.number
+
+    def finish(self) -> Lists:
+        """Ids of all numbered words, word 1 first."""
+        done = len(self.ids.bounds) - 1
+        new = list(islice(self.number, done + 1, None))
+        if new:
+            index = PairIndex(self.vocabulary, new)
+            index.merge_all()
+            more = index.tokens()
+            bounds = np.append(self.ids.bounds, self.ids.bounds[-1] + more.bounds[1:])
+            self.ids = Lists(np.concatenate([self.ids.flat, more.flat]), bounds)
+        return self.ids
+
+
+def encode_batch(vocabulary: Vocabulary, texts: list[str], finished: FinishedWords | None = None) -> Iterator[np.ndarray]:
+    """Ids of each text.  Distinct stretches of the batch and words not finished before are handled once."""
+    finished = finished or FinishedWords(vocabulary)
+    stretch_no, word_no, codes = numbers(), finished.open(), []
     for text in texts:
         if vocabulary.is_odd(text):
             codes.append([w if isinstance(w, int) else -1 - word_no[w] for w in vocabulary.words(text)])
@@ -205,9 +273,7 @@ def encode_batch(vocabulary: Vocabulary, texts: list[str]) -> Iterator[np.ndarra
     breaks = np.flatnonzero(flat == 0)
     # words of each stretch, without the breaks
     in_stretch = Lists(flat[flat != 0] - 1, np.append(0, breaks - np.arange(len(breaks))))
-    index = PairIndex(vocabulary, list(word_no)[1:])
-    index.merge_all()
-    of_word = index.tokens()
+    of_word = finished.finish()
     ids_flat, ends = of_word.strung(in_stretch.flat)
     of_stretch = Lists(ids_flat, ends[in_stretch.bounds])
     for text_codes in codes:
@@ -245,7 +311,8 @@ def _mapped(docs: DataFrame, source: DataFrame, new: dict[str, T.DataType], work
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = None
-        for small in in_portions(batches, source_width):
+        for small in in_portions(batches, source_width, BYTES_AT_ONCE):
+            give_back()
             columns = columns or work()
             yield pa.RecordBatch.from_arrays([*small.columns[:-1], *columns(small.column(source_width))], names)
 
@@ -262,10 +329,11 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", dec
 
     def work():  # noqa: ANN202
         vocabulary = Vocabulary(path)
+        finished = FinishedWords(vocabulary)
         table = token_table(path) if decoded else None
 
         def columns(texts: pa.Array) -> list[pa.Array]:
-            found = list(encode_batch(vocabulary, texts.to_pylist()))
+            found = list(encode_batch(vocabulary, texts.to_pylist(), finished))
             lists = [id_lists(found)]
             return lists if table is None else [*lists, pa.array([decode_ids(table, x) for x in found], pa.string())]
 

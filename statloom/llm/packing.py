@@ -26,12 +26,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from statloom.llm.bpe import Vocabulary, encode_batch
-from statloom.llm.text import filled, in_portions
+from statloom.llm.bpe import BYTES_AT_ONCE, FinishedWords, Vocabulary, encode_batch
+from statloom.llm.text import filled, give_back, in_portions
 from statloom.session import materialise
 
 ROWS_PER_TASK = 1_000_000
-BYTES_AT_ONCE = 4 << 20
 
 
 def tokenise(
@@ -51,9 +50,11 @@ def tokenise(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(path)
+        finished = FinishedWords(vocabulary)
         for small in in_portions(batches, 1, BYTES_AT_ONCE):
+            give_back()
             row, piece, start, length, ids = [], [], [], [], []
-            for i, found in enumerate(encode_batch(vocabulary, small.column(1).to_pylist())):
+            for i, found in enumerate(encode_batch(vocabulary, small.column(1).to_pylist(), finished)):
                 raw = np.append(found, end_id).astype("<u4").tobytes()
                 for k, at in enumerate(range(0, len(raw), 4 * capacity)):
                     cut = raw[at : at + 4 * capacity]

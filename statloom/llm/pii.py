@@ -26,14 +26,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from statloom.llm.text import SPACES, filled, in_portions
+from statloom.llm.text import SPACES, filled, give_back, in_portions
 
 BASE = ("email", "ip", "card", "phone")
 #: Labels of the field; all but the first are kinds of spans.
 LABELS = ("none", "email_like", "ip_like", "card_like", "phone_like", "secret")
 KINDS = (*BASE, *LABELS[1:])
 #: Bytes of text whose words are scored together; no result depends on it.
-PORTION = 4 << 20
+PORTION = 2 << 20
 
 #: Labelled sentences: {kind|text} marks a span.
 SENTENCES = (
@@ -204,7 +204,7 @@ def _shape(token: str) -> tuple[str, ...]:
     return _features(core) if len(core) <= 200 else _features.__wrapped__(core)
 
 
-@lru_cache(200_000)
+@lru_cache(20_000)
 def _features(token: str) -> tuple[str, ...]:
     """Shape features of a word; the first is the whole shape."""
     core = token.strip(_EDGE)
@@ -525,6 +525,7 @@ def find(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_portions(batches, len(keep), PORTION):
+            give_back()
             found = all_spans(batch.column(batch.num_columns - 1).to_pylist(), model)
             sides = [[[{"kind": k, "start": s, "end": e} for k, s, e in row[side]] for row in found] for side in (0, 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *[pa.array(x, kind) for x in sides]], [*keep, "base", "added"])
@@ -549,6 +550,7 @@ def redact(docs: DataFrame, text: str = "text", field: Field | None = None) -> D
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_portions(batches, at, PORTION):
+            give_back()
             texts = batch.column(at).to_pylist()
             found = all_spans([t or "" for t in texts], model)
             clean = [t and redacted(t, [*base, *added]) for t, (base, added) in zip(texts, found)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -45,6 +46,15 @@ def in_portions(batches: Iterable[pa.RecordBatch], column: int | str, most_bytes
             start = end
 
 
+def give_back() -> None:
+    """Return freed memory to the machine: a worker lives on, and the next stage needs it elsewhere."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not with this C library
+        pass
+
+
 #: Groups beyond this share of all rows are hot: at most a thousand can be.
 HOT_SHARE = 0.001
 

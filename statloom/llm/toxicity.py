@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from statloom.llm.near_dedup import mixed, shingles
-from statloom.llm.text import SPACES, filled, in_portions
+from statloom.llm.text import SPACES, filled, give_back, in_portions
 from statloom.session import materialise
 
 DECAY = 0.92
@@ -45,6 +45,7 @@ WINDOW = 24
 PIECES = 4
 SHORT = 3
 ALPHABET = 32
+PORTION = 2 << 20
 MOST_DOCS = 6000
 LANDMARKS = 256
 #: Likelihood ratio from which a unit counts as tied to the label: chance reaches it once in two million.
@@ -380,7 +381,8 @@ def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
     schema = T.StructType([T.StructField("doc_id", docs.schema[key].dataType), T.StructField(score, T.DoubleType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_portions(batches, 1):
+        for batch in in_portions(batches, 1, PORTION):
+            give_back()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.chances(batch.column(1).to_pylist()), pa.float64())], schema.names)
 
     return docs.select(F.col(key).alias("doc_id"), filled(text).alias("_text")).mapInArrow(work, schema)
@@ -391,7 +393,8 @@ def keep_clean(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "
     at = docs.columns.index(text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_portions(batches, at):
+        for batch in in_portions(batches, at, PORTION):
+            give_back()
             texts = [t or "" for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(model.chances(texts) < limit))
 
