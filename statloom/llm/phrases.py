@@ -31,11 +31,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from statloom.llm.text import filled, in_portions
+from statloom.llm.text import filled, give_back, in_portions
 from statloom.session import materialise
 
-BLOCK_BYTES = 8 << 20
-BUCKET_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
 FAN = 256
 
 _PLAIN = bytes.maketrans(
@@ -179,6 +179,7 @@ def longest_grams(data: bytes, longest: int) -> Iterator[Grams]:
 def _edges(longest: int, ways: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for portion in in_portions(batches, "text", BLOCK_BYTES):
+            give_back()
             langs = portion.column("lang")
             for lang in pc.unique(langs).to_pylist():
                 texts = portion.filter(pc.equal(langs, lang)).column("text").cast(pa.binary()).to_pylist()
