@@ -330,6 +330,8 @@ def train(table: list[tuple[list[str], list[int]]], rounds: int = 150, decay: fl
         seen_s += by_step**2
         weights += rate * by_weight / np.sqrt(seen_w) * 3
         steps += rate * by_step / np.sqrt(seen_s) * 3
+    del x, flat, truth, observed
+    give_back()
     return Field(names, weights, steps)
 
 

@@ -283,9 +283,13 @@ def fit_units(toxic: list[str], clean: list[str], common: list[str], landmarks:
     units = [*toxic, *more, *clean]
     y = np.array([1.0] * (len(toxic) + len(more)) + [-1.0] * len(clean))
     weight = np.array([1 / len(toxic)] * len(toxic) + [3 / len(more)] * len(more) + [3 / max(1, len(clean))] * len(clean))
-    mapped = np.vstack([vectors(units[i : i + 500]) @ (marks.T @ root) for i in range(0, len(units), 500)])
+    fold = marks.T @ root
+    mapped = np.vstack([vectors(units[i : i + 64]) @ fold for i in range(0, len(units), 64)])
     w = squared_hinge(mapped, y, weight)
-    return marks.T @ (root @ w[:-1]), float(w[-1])
+    weights = fold @ w[:-1]
+    del marks, gram, fold, mapped
+    give_back()
+    return weights, float(w[-1])
 
 
 def training_docs(docs: DataFrame, labels: DataFrame, most_docs: int, key: str, text: str, seed: int = 9) -> DataFrame:
