@@ -357,6 +357,45 @@ def look_back(
     return copies.withColumns(build(window)).where("_own = _block").drop("_own", "_block", "_ix")
 
 
+#: Half the width of a bracket around a wanted share of rows, and the error of the sketch that finds it.
+BRACKET = 0.002
+SKETCH_ACCURACY = 2_000
+
+
+def _outside_collapsed(rows: DataFrame, column: str, shares: Sequence[float]) -> DataFrame | None:
+    """Counted values (``_seg``, ``_v``, ``_n``) near the wanted shares; all values between two brackets are one row with ``_v`` NULL.
+
+    A quantile sketch brackets each share: its error is below the bracket's half width, so the wanted
+    ranks lie inside.  Order by (``_seg``, ``_v``).  None where the sketch does not apply: texts, NaN and numbers
+    that a double does not hold.
+    """
+    dtype = rows.schema[column].dataType
+    if not isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType)) or isinstance(dtype, T.DecimalType) and dtype.precision > 15:
+        return None
+    wanted = sorted({min(1.0, max(0.0, s + d)) for s in shares for d in (-BRACKET, BRACKET)})
+    nan = F.count_if(F.isnan(column)) if isinstance(dtype, (T.FloatType, T.DoubleType)) else F.lit(0)
+    found = rows.agg(F.percentile_approx(column, wanted, SKETCH_ACCURACY).alias("cuts"), nan.alias("nan"), F.min(column).alias("lo"), F.max(column).alias("hi")).first()
+    if found["cuts"] is None or found["nan"]:
+        return None
+    if isinstance(dtype, T.LongType) and max(abs(found["lo"]), abs(found["hi"])) > 1 << 53:
+        return None  # the sketch works in doubles
+    at = dict(zip(wanted, found["cuts"]))
+    spans: list[list] = []
+    for share in sorted(shares):
+        low = found["lo"] if share <= BRACKET else at[max(0.0, share - BRACKET)]
+        high = found["hi"] if share >= 1 - BRACKET else at[min(1.0, share + BRACKET)]
+        if spans and low <= spans[-1][1]:
+            spans[-1][1] = max(high, spans[-1][1])
+        else:
+            spans.append([low, high])
+    v, segment, inside = F.col(column), F.lit(2 * len(spans)), F.lit(False)
+    for i, (low, high) in reversed([*enumerate(spans)]):
+        within = (v >= F.lit(low).cast(dtype)) & (v <= F.lit(high).cast(dtype))
+        segment = F.when(v < F.lit(low).cast(dtype), 2 * i).when(within, 2 * i + 1).otherwise(segment)
+        inside = inside | within
+    return rows.groupBy(segment.alias("_seg"), F.when(inside, v).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def quantiles(
     df: DataFrame,
     column: str,
@@ -367,25 +406,35 @@ def quantiles(
 ) -> DataFrame:
     """Exact quantiles, one row per key, nulls ignored.
 
-    Values are counted first, so only distinct values are ordered, and a key with
+    Without keys a first scan brackets the wanted shares by a sketch and a second one counts: only values
+    inside a bracket are shuffled and ordered, the rest are a few sums.  With keys (and for texts, NaN and
+    numbers beyond a double) values are counted first, so only distinct values are ordered, and a key with
     many of them is spread over ranges instead of being held in one task.
     """
     keys = list(keys)
-    counts = df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    ranked = running(
-        counts, keys, ["_v"], {"_cum": ("sum", "_n"), "_size": ("total", "_n")}, rows_per_split, reuse=True
-    )
+    rows = df.where(F.col(column).isNotNull())
+    counts = None if keys else _outside_collapsed(rows, column, list(probabilities.values()))
+    order = ["_v"] if counts is None else ["_seg", "_v"]
+    if counts is None:
+        counts = rows.groupBy(*keys, F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running(counts, keys, order, {"_cum": ("sum", "_n"), "_size": ("total", "_n")}, rows_per_split, reuse=True)
+
+    def value(reached: Column) -> Column:
+        """The first value in order; it must not lie outside the brackets."""
+        if len(order) == 1:
+            return F.min(F.when(reached, F.col("_v")))
+        first = F.min(F.when(reached, F.struct("_seg", "_v")))
+        lost = F.raise_error(F.lit(f"a quantile of {column} lies outside its bracket"))
+        return F.when(first.isNotNull() & first["_v"].isNull(), lost.cast(df.schema[column].dataType)).otherwise(first["_v"])
+
     picks = []
     for name, p in probabilities.items():
         if discrete:
-            at = F.col("_cum") >= F.lit(p) * F.col("_size")
-            picks.append(F.min(F.when(at, F.col("_v"))).alias(name))
+            picks.append(value(F.col("_cum") >= F.lit(p) * F.col("_size")).alias(name))
             continue
         position = F.lit(p) * (F.col("_size") - 1)
-        picks.append(F.min(F.when(F.col("_cum") > F.floor(position), F.col("_v"))).cast("double").alias("_lo_" + name))
-        picks.append(F.min(F.when(F.col("_cum") > F.ceil(position), F.col("_v"))).cast("double").alias("_hi_" + name))
+        picks.append(value(F.col("_cum") > F.floor(position)).cast("double").alias("_lo_" + name))
+        picks.append(value(F.col("_cum") > F.ceil(position)).cast("double").alias("_hi_" + name))
         picks.append(F.max(position - F.floor(position)).alias("_part_" + name))
     result = ranked.groupBy(*keys).agg(*picks)
     if discrete:
