@@ -10,6 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from statloom.learn.scoring import transform_all
 from statloom.operators.sampling import hash_unit
 
 # cumulative Poisson(1) probabilities, as far as a number of 28 bits can tell them from one
@@ -32,11 +33,11 @@ class Ensemble:
     combine: str
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Adds ``prediction``: mean, majority vote, or class 1 from the mean probability."""
+        """Adds ``prediction``: mean, majority vote, or class 1 from the mean probability; NULL where a member has none."""
         columns = df.columns
         out, parts = df, []
         for i, model in enumerate(self.models):
-            scored = model.transform(out)
+            scored = transform_all(model, out)
             if self.combine == "probability":
                 part = vector_to_array("probability")[1]
             else:
@@ -44,7 +45,7 @@ class Ensemble:
             out = scored.select(*columns, *parts, part.alias(f"_p{i}"))
             parts.append(f"_p{i}")
         mean = sum((F.col(p) for p in parts), F.lit(0.0)) / len(parts)
-        value = mean if self.combine == "average" else F.when(mean > 0.5, 1.0).otherwise(0.0)
+        value = mean if self.combine == "average" else F.when(mean > 0.5, 1.0).when(mean.isNotNull(), 0.0)
         return out.withColumn("prediction", value).drop(*parts)
 
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
+from statloom.learn.scoring import transform_all
 from statloom.operators.association import top_correlated
-from statloom.operators.ordered import row_index
+from statloom.operators.ordered import row_index, with_row
 from statloom.operators.relational import union_all
 from statloom.operators.sampling import fold_number
 from statloom.session import materialise
@@ -17,6 +19,13 @@ Fit = Callable[[DataFrame], object]
 Evaluate = Callable[[DataFrame], DataFrame]
 
 
+def measured(model, df: DataFrame, evaluate: Evaluate) -> DataFrame:
+    """Metrics of a model, with ``unscored``: rows that have no prediction, as a feature is missing."""
+    found = transform_all(model, df) if isinstance(model, PipelineModel) else model.transform(df)
+    missing = found.agg(F.count_if(F.col("prediction").isNull()).alias("unscored"))
+    return with_row(evaluate(found), missing, "_u").withColumn("unscored", F.col("_u.unscored")).drop("_u")
+
+
 def combine_metrics(metrics: dict[str, DataFrame]) -> DataFrame:
     """One row per model."""
     return union_all([m.select(F.lit(name).alias("name"), "*") for name, m in metrics.items()])
@@ -34,7 +43,7 @@ def cross_validate(df: DataFrame, key, folds: int, fit: Fit, evaluate: Evaluate,
     parts = []
     for i in range(folds):
         model = fit(rows.where(F.col("_fold") != i).drop("_fold"))
-        parts.append(evaluate(model.transform(rows.where(F.col("_fold") == i).drop("_fold"))).select(F.lit(i).alias("fold"), "*"))
+        parts.append(measured(model, rows.where(F.col("_fold") == i).drop("_fold"), evaluate).select(F.lit(i).alias("fold"), "*"))
     return union_all(parts)
 
 
@@ -45,7 +54,7 @@ def fold_summary(folds: DataFrame, metric: str) -> DataFrame:
 def generalisation(model, train: DataFrame, test: DataFrame, evaluate: Evaluate) -> DataFrame:
     """The same metrics on training and test rows."""
     return union_all(
-        [evaluate(model.transform(d)).select(F.lit(n).alias("part"), "*") for n, d in (("train", train), ("test", test))]
+        [measured(model, d, evaluate).select(F.lit(n).alias("part"), "*") for n, d in (("train", train), ("test", test))]
     )
 
 
@@ -68,7 +77,7 @@ def model_factory(
     for name, make in learners.items():
         model = make(chosen).fit(train)
         # a metrics row is final once computed; no later step fits the model again
-        row = evaluate(model.transform(test))
+        row = measured(model, test, evaluate)
         metrics[name] = train.sparkSession.createDataFrame(row.collect(), row.schema)
     return combine_metrics(metrics).withColumn("variables", F.lit(len(chosen)))
 
@@ -88,7 +97,7 @@ def tune(
 
     def one(params: dict) -> tuple:
         model = make(params).fit(train)
-        scores = [evaluate(model.transform(d)).first()[metric] for d in (train, test)]
+        scores = [measured(model, d, evaluate).first()[metric] for d in (train, test)]
         return (*params.values(), *scores)
 
     with ThreadPoolExecutor(parallel) as pool:

@@ -152,3 +152,18 @@ def test_registry(spark):
     registry = scoring.set_test_score(registry, "m", 0.6)
     row = registry.collect()
     assert len(row) == 1 and (row[0]["train_f"], row[0]["test_f"]) == (0.7, 0.6)
+
+
+def test_rows_with_a_missing_feature_are_counted(data):
+    """They get no prediction and are reported, in folds, on both parts, by the factory and by ensembles."""
+    df, _ = data
+    holes = df.withColumn("x0", F.when(F.col("id") % 10 != 0, F.col("x0")))
+    n, missing = holes.count(), holes.where("x0 IS NULL").count()
+    evaluate = lambda d: evaluation.regression_metrics(d, "y", "prediction")
+    tree = training.model_pipeline("tree_regressor", X, "y")
+    folds = selection.cross_validate(holes, "id", 2, tree.fit, evaluate).collect()
+    assert sum(r["unscored"] for r in folds) == missing > 0
+    parts = selection.generalisation(tree.fit(holes), holes, df, evaluate).collect()
+    assert {r["part"]: r["unscored"] for r in parts} == {"train": missing, "test": 0}
+    found = ensembles.fit_ensemble(holes, [tree, tree], "id").transform(holes)
+    assert found.count() == n and found.where("prediction IS NULL").count() == missing
