@@ -10,41 +10,42 @@ Two sets share a coordinate with the probability of their weighted Jaccard simil
 Joining.  Equal shingle sets collapse to one representative first, so copies cost
 nothing later.  Representatives meet in buckets by bands of coordinates.  In each bucket
 everyone is compared with one member, then with the best linked one; links make classes.
-Members that are still outside the largest class of their bucket are compared with all
-of it, in blocks inside tasks, so pairs are never rows.  A bucket with many of them is
-first split by the values of the other bands.  So a large group of true copies takes a
-few comparisons per member, and a large bucket that only shares a passage falls apart.
-Every comparison is exact, on whole shingle sets.
+Members that still meet another class in some bucket are then joined over their rarest
+cells: sets that share so much that they reach the similarity share one of the rarest
+(1 - similarity) of each, and one that many own cells precede asks only for partners so
+small that there are few or none.  So a large group of true copies takes a few comparisons
+per member, and a large bucket that only shares a passage falls apart.  Every comparison is
+exact, on whole shingle sets.
 
-At similarity 0.8 a pair misses all 32 bands of 6 with a chance of 6e-5, and has fewer
-than two of them in common, which a split bucket asks for, with 7e-4.
+At similarity 0.8 a pair misses all 32 bands of 6 with a chance of 6e-5, whatever the size
+of its buckets; no pair that shares one is lost.
 
 Defined results
     Words are split at ASCII white space, in lower case.  Shorter texts are one shingle
     of all their words.  Texts without words (NULL, empty) are copies of each other.
-    Rows that repeat a key with one text are one document.  An empty table gives no
-    rows.  Other columns are ignored.
+    Rows that repeat a key with one text are one document.  Rows without a key are
+    compared only as copies.  Very long texts are one set like others.  An empty table
+    gives no rows.  Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from statloom.llm.text import filled, in_portions, join_groups
+from statloom.llm.text import filled, free_name, in_portions, join_groups
 from statloom.session import materialise
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 32
 ROWS = 6
-#: A bucket with more members outside its largest class is split by further bands.
-LISTED = 48
+#: Members of a class that those of other classes meet in one task.
 BLOCK_ROWS = 1000
 BYTES_AT_ONCE = 2 << 20
 
@@ -281,53 +282,56 @@ def _centre_pairs(members: DataFrame, links: DataFrame, similarity: float) -> Da
     return pairs.select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).distinct()
 
 
-def _links_in_block(similarity: float):  # noqa: ANN202
-    """Links between members outside the main class and all others of a block, one for each two classes."""
-
-    def work(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("rep", "ascending")])
-        reps, labels = rows.column("rep").to_pylist(), rows.column("label").to_pylist()
-        cells = [np.sort(x.values.to_numpy(zero_copy_only=False)) for chunk in rows.column("cells").chunks for x in chunk]
-        sizes = np.array([len(c) for c in cells])
-        flat = np.concatenate(cells)
-        starts = np.cumsum(sizes) - sizes
-        joined = {x: x for x in labels}
-
-        def top(x):  # noqa: ANN001, ANN202
-            while joined[x] != x:
-                x = joined[x]
-            return x
-
-        found: list[tuple] = []
-        for i in np.flatnonzero(rows.column("is_outside").to_numpy(zero_copy_only=False)):
-            at = np.minimum(np.searchsorted(cells[i], flat), len(cells[i]) - 1)
-            shared = np.add.reduceat((cells[i][at] == flat).astype(np.int64), starts)
-            value = shared / (sizes + sizes[i] - shared)
-            for j in np.flatnonzero(value >= similarity):
-                x, y = top(labels[i]), top(labels[j])
-                if x != y:
-                    joined[x] = y
-                    found.append((min(reps[i], reps[j]), max(reps[i], reps[j]), float(value[j])))
-        kind = rows.schema.field("rep").type
-        return pa.table([pa.array([f[0] for f in found], kind), pa.array([f[1] for f in found], kind), pa.array([f[2] for f in found], pa.float64())], names=["a", "b", "similarity"])
-
-    return work
-
-
-def _block_links(members: DataFrame, sets: DataFrame, similarity: float, block_rows: int) -> DataFrame:
-    """Exact links across the classes of each bucket, found in blocks of at most about ``block_rows`` members.
-
-    Members of the main class are dealt over blocks; the others visit every block of their
-    bucket.  Only links leave a task, and only one for each two classes in it.
+def _size_class(n: Column) -> Column:
+    """Grows with the size, one class per five percent."""
+    return F.floor(F.log(n) / F.lit(math.log(1.05))).cast("int")
+
+
+def _rare_cells(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The cells of each member (``rep``, ``label``) that a similar set of another class must meet it in first.
+
+    Cells have one order: those of a single class, then the rarest, ties by number.  Similar sets share
+    all but few cells, so their first shared one is among the first of either.  ``least`` and ``most``
+    are the sizes a partner can have if it is met here first: all they share still follows.
     """
-    blocks = F.ceil(F.col("size") / F.lit(block_rows)).cast("int")
-    is_outside = F.col("label") != F.col("main")
-    own = F.array(F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-    every = F.sequence(F.lit(0), blocks - 1)
-    placed = members.select("bucket", "rep", "label", is_outside.alias("is_outside"), F.explode(F.when(is_outside, every).otherwise(own)).alias("block"))
-    kind = members.schema["rep"].dataType
-    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("similarity", T.DoubleType())])
-    return placed.join(sets, "rep").groupBy("bucket", "block").applyInArrow(_links_in_block(similarity), schema)
+    sized = members.join(sets, "rep").select("rep", "label", F.size("cells").alias("n"), F.explode("cells").alias("cell"))
+    cells = materialise(sized)
+    common = cells.groupBy("cell").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("f"))
+    crossing = join_groups(cells, materialise(common.where("lo <> hi").select("cell", "f")), ["cell"], "f")
+    ordered = crossing.groupBy("rep", "label", "n").agg(F.sort_array(F.collect_list(F.struct("f", "cell"))).alias("cells"))
+    need = F.ceil(F.col("n") * F.lit(similarity) - F.lit(1e-6))
+    first = ordered.withColumn("own", F.col("n") - F.size("cells")).withColumn("length", (F.col("n") - need + 1 - F.col("own")).cast("int"))
+    placed = first.where("length > 0").select("rep", "label", "n", "own", need.alias("least"), F.posexplode(F.slice("cells", F.lit(1), F.col("length"))))
+    left = F.col("n") - F.col("own") - F.col("pos")
+    most = F.floor(left * F.lit((1 + similarity) / similarity) - F.col("n") + F.lit(1e-6))
+    return placed.select("rep", "label", "n", F.col("col.cell").alias("cell"), F.greatest("least", F.lit(1)).alias("least"), most.alias("most")).where("most >= least")
+
+
+def _with_partner(rows: DataFrame) -> DataFrame:
+    """Rows whose cell holds another class in one of the sizes they ask for."""
+    columns = rows.columns
+    there = rows.groupBy("cell", _size_class(F.col("n")).alias("z")).agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    sizes = F.sequence(_size_class(F.col("least")), _size_class(F.col("most")))
+    asked = materialise(rows.withColumn("z", F.explode(sizes)))
+    found = asked.groupBy("cell", "z").agg(F.count(F.lit(1)).alias("askers")).join(there, ["cell", "z"])
+    met = join_groups(asked, materialise(found), ["cell", "z"], "askers").where("lo <> label OR hi <> label")
+    return materialise(met.select(*columns).distinct())
+
+
+def _candidates(members: DataFrame, sets: DataFrame, similarity: float, block_rows: int) -> DataFrame:
+    """Pairs (``a``, ``b``) of different classes, none that can be similar left out.
+
+    Members leave a cell where no one of another class has a fitting size, twice, as the first to leave were
+    partners of others.  In what is left those outside a cell's main class visit its blocks.
+    """
+    rows = _with_partner(_with_partner(_rare_cells(members, sets, similarity)))
+    sizes = rows.groupBy("cell", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("cell").agg(F.sum("k").alias("size"), F.max_by("label", "k").alias("main"))
+    known = materialise(join_groups(rows, materialise(sizes), ["cell"], "size").withColumn("blocks", F.ceil(F.col("size") / F.lit(block_rows)).cast("int")))
+    all_in = known.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).alias("b")
+    outside = known.where("label <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("a")
+    fits = F.expr("a.label <> b.label AND a.n <= b.most AND b.n <= a.most AND (b.label = b.main OR a.rep < b.rep)")
+    met = outside.join(all_in, (F.col("a.cell") == F.col("b.cell")) & (F.col("a.block") == F.col("b.block")) & fits)
+    return met.select(F.least("a.rep", "b.rep").alias("a"), F.greatest("a.rep", "b.rep").alias("b")).distinct()
 
 
 def near_groups(
@@ -339,7 +343,6 @@ def near_groups(
     bands: int = BANDS,
     rows: int = ROWS,
     size: int = SHINGLE,
-    listed: int = LISTED,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``doc_id``, ``class_id`` (smallest key of the class) and ``copy_of`` (smallest key with the same set) per row.
@@ -360,8 +363,8 @@ def near_groups(
     buckets = materialise(exploded.join(shared.select("bucket", "lead"), "bucket"))
 
     met = buckets.select("rep").distinct()
-    texts = docs.join(met.select(F.col("rep").alias("_rep")), docs[key] == F.col("_rep"), "left_semi")
-    sets = materialise(cell_sets(texts, key, text, weights, size).dropDuplicates(["rep"]))
+    texts = docs.select(F.col(key).alias("rep"), F.col(text).alias("text")).join(met, "rep", "left_semi")
+    sets = materialise(cell_sets(texts, "rep", "text", weights, size).dropDuplicates(["rep"]))
 
     stars = buckets.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
     links = materialise(similar(stars, sets, similarity))
@@ -369,21 +372,10 @@ def near_groups(
     members = materialise(_mixed_members(buckets, labels))
     labels = merged(labels, materialise(similar(_centre_pairs(members, links, similarity), sets, similarity)))
 
-    # buckets that still hold several classes: true groups have few members left outside the largest one;
-    # a bucket with many is held together by a shared passage and is split by a second band, then a third
-    members = materialise(_mixed_members(buckets, labels))
-    found = []
-    for _ in range(2):
-        small = members.where(F.col("outside") <= listed)
-        found.append(_block_links(small, sets, similarity, block_rows))
-        large = members.where(F.col("outside") > listed)
-        finer = large.join(buckets.select("rep", F.col("bucket").alias("second")), "rep").where("second <> bucket")
-        # the two bands in either order are one bucket
-        both = F.xxhash64(F.least("bucket", "second"), F.greatest("bucket", "second"))
-        finer = finer.select(both.alias("bucket"), "rep", "weight").distinct()
-        members = materialise(_mixed_members(finer, labels))
-    found.append(_block_links(members, sets, similarity, block_rows))
-    labels = merged(labels, materialise(reduce(DataFrame.unionByName, found)))
+    # whoever still meets another class in a bucket is compared with all it can be similar to
+    members = _mixed_members(buckets, labels).select("rep", "label").distinct()
+    pairs = _candidates(members, sets, similarity, block_rows)
+    labels = merged(labels, materialise(similar(pairs, sets, similarity)))
 
     named = copies.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left")
     return named.select("doc_id", F.coalesce("label", "rep").alias("class_id"), F.col("rep").alias("copy_of"))
@@ -391,5 +383,6 @@ def near_groups(
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs`` whose document is the first of its class, with the columns of ``docs``."""
-    kept = near_groups(docs, key, text).where("doc_id <=> class_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs[key].eqNullSafe(F.col("_kept")), "left_semi")
+    name = free_name(docs, "kept")
+    kept = near_groups(docs, key, text).where("doc_id <=> class_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(kept, docs[key].eqNullSafe(kept[name]), "left_semi")

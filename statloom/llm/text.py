@@ -34,6 +34,14 @@ def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 
 
+def free_name(rows: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``rows`` has it."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def in_portions(batches: Iterable[pa.RecordBatch], column: int | str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Pieces of Arrow batches with at most so many bytes in a text column, one row at least."""
     for batch in batches:

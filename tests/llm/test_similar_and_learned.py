@@ -78,13 +78,55 @@ def families(seed, n=10, size=12):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("listed, block_rows", [(48, 1000), (1, 3)])
-def test_near_groups(make_docs, listed, block_rows):
-    rows = families(listed)
-    got = near_dedup.near_groups(make_docs(rows), listed=listed, block_rows=block_rows).collect()
+@pytest.mark.parametrize("seed, block_rows", [(48, 1000), (1, 3)])
+def test_near_groups(make_docs, seed, block_rows):
+    rows = families(seed)
+    got = near_dedup.near_groups(make_docs(rows), block_rows=block_rows).collect()
     assert {r.doc_id: r.class_id for r in got} == plain_classes(rows)
 
 
+def test_near_groups_in_a_large_mixed_bucket(make_docs):
+    """One long passage in every text, and pairs that differ elsewhere: hundreds of classes in one bucket."""
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(90)]
+    rows = []
+    for family in range(150):
+        # own ends of 12 to 40 words: texts of two families reach similarities from 0.5 to just under 0.8
+        end = [f"e{family}x{i}" for i in range(rng.randint(12, 40))]
+        for _ in range(rng.choice([1, 2, 3])):
+            own = list(end)
+            own[rng.randrange(len(own))] = f"o{len(rows)}"
+            rows.append(" ".join(passage + own))
+    for drift in range(40):  # a chain of links: none but neighbours need be similar
+        rows.append(" ".join(passage[2 * drift // 4 :] + [f"d{i}" for i in range(drift, drift + 30)]))
+    rows = list(enumerate(rows))
+    want = plain_classes(rows)
+    assert len(set(want.values())) > 140
+    for block_rows in (1000, 20):
+        got = near_dedup.near_groups(make_docs(rows), block_rows=block_rows).collect()
+        assert {r.doc_id: r.class_id for r in got} == want
+
+
+def test_rare_cells_lose_no_pair(make_docs, spark):
+    """Every similar pair of different classes is a candidate, whatever classes are known before."""
+    rng = random.Random(11)
+    rows = families(13, 6, 10)
+    sets = near_dedup.cell_sets(make_docs(rows), "doc_id", "text", "presence", 5)
+    held = {r.rep: set(r.cells) for r in sets.collect()}
+    label = {k: rng.choice([k, min(k, 7)]) for k, _ in rows}
+    members = spark.createDataFrame(list(label.items()), "rep long, label long")
+    got = {(r.a, r.b) for r in near_dedup._candidates(members, sets, 0.8, 5).collect()}
+    for a, b in ((a, b) for a in held for b in held if a < b and label[a] != label[b]):
+        if len(held[a] & held[b]) >= 0.8 * len(held[a] | held[b]):
+            assert (a, b) in got
+
+
+def test_near_groups_keep_columns_of_any_name(make_docs):
+    docs = make_docs([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x y")]).selectExpr("*", "1 AS kept", "2 AS _kept", "3 AS rep", "4 AS _rep")
+    kept = near_dedup.keep_first(docs)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3] and kept.columns == docs.columns
+
+
 def test_near_groups_by_counts(make_docs):
     line = "one two three four five six seven eight nine ten "
     rows = [(0, line * 10), (1, line * 20), (2, line * 19), *((k + 3, t) for k, t in families(7, 3, 4))]
