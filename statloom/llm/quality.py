@@ -5,17 +5,18 @@ rule go into quantile sketches per (language, source): counts per logarithmic bu
 which merge by addition in any order and give quantiles within one percent.  Sources
 with few documents use the sketch of their language, small languages that of all
 documents; these are the same counts added up.  A threshold is the upper quartile plus
-``spread`` times the distance between the quartiles, and never under a floor, so a
-uniform source loses nothing.  Documents are then joined with their thresholds.
+``spread`` times the distance between the quartiles; where these are equal, the distance of
+the ninth decile from the lower quartile.  The distance is never under the small width in
+``WIDTHS``, so a uniform source loses nothing.  Documents are then joined with their
+thresholds.
 
-The floors are the fixed cuts of ``MEASURES``, as the query and its SQL have them; they
-only let the sketch loosen a cut.  With ``own`` the sketch decides alone: where the
-quartiles are equal the distance is that of the ninth decile from the lower quartile, and
-it is never under the small width in ``WIDTHS``.
+With ``own`` false the fixed cuts of ``MEASURES`` are floors, and the sketch only loosens
+them.  Where there are too few documents anywhere for a sketch, they decide.
 
 Defined results
     NULL texts have no words and fail the base rule.  NULL languages and sources are
-    groups of their own.  Repeated rows are measured and counted like others.  An
+    groups of their own.  Repeated rows are measured and counted like others.  Very long
+    texts are measured whole, one at a time.  An
     empty table gives no rows.  Columns that clash with a result column are replaced.
 """
 
@@ -28,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from statloom.llm.text import SPACES, filled, words
+from statloom.llm.text import SPACES, filled, free_name, words
 from statloom.session import materialise
 
 SYMBOLS = "#*$%&|<>"
@@ -126,7 +127,7 @@ def quartiles(sketch: DataFrame, by: tuple[str, ...]) -> DataFrame:
     return run.groupBy(*group).agg(F.max("rows").alias("rows"), *at.values())
 
 
-def thresholds(rows: DataFrame, spread: float = 3.0, least_rows: int = LEAST_ROWS, own: bool = False) -> DataFrame:
+def thresholds(rows: DataFrame, spread: float = 3.0, least_rows: int = LEAST_ROWS, own: bool = True) -> DataFrame:
     """Per ``lang`` and ``source`` that occurs: ``level`` used and one threshold per measure (NULL: none)."""
     by_source = materialise(sketches(rows.where(~base_failed()).withColumns(_shares()), ("lang", "source")))
     by_lang = merged(by_source, ("lang",))
@@ -160,7 +161,7 @@ def thresholds(rows: DataFrame, spread: float = 3.0, least_rows: int = LEAST_ROW
     return found.select("lang", "source", level.alias("level"), *[pick(m).alias(f"max_{m}") for m in MEASURES])
 
 
-def judged(docs: DataFrame, text: str = "text", spread: float = 3.0, least_rows: int = LEAST_ROWS, own: bool = False) -> DataFrame:
+def judged(docs: DataFrame, text: str = "text", spread: float = 3.0, least_rows: int = LEAST_ROWS, own: bool = True) -> DataFrame:
     """Counts, shares, ``base_failed`` and ``kept`` per row of ``docs`` (``doc_id``, ``lang``, ``source``, text).
 
     Without a threshold (too few documents anywhere) the floors decide.
@@ -177,5 +178,6 @@ def judged(docs: DataFrame, text: str = "text", spread: float = 3.0, least_rows:
 
 def keep_good(docs: DataFrame, text: str = "text", own: bool = True) -> DataFrame:
     """Rows of ``docs`` that the rules keep, with the columns of ``docs``."""
-    good = judged(docs, text, own=own).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(good, docs["doc_id"].eqNullSafe(F.col("_kept_id")), "left_semi")
+    name = free_name(docs, "kept_id")
+    good = judged(docs, text, own=own).where("kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(good, docs["doc_id"].eqNullSafe(good[name]), "left_semi")

@@ -175,11 +175,13 @@ def _quality_sql() -> str:
     levels, joins = [], []
     for level, keys in (("source", ["lang", "source"]), ("lang", ["lang"]), ("everything", [])):
         by = ", ".join([*keys, "measure"])
-        cuts = ", ".join(f"max(CASE WHEN measure = '{m}' THEN greatest(q3 + 3 * (q3 - q1), {quality.MEASURES[m]}) END) AS {m}_cut" for m in names)
+        width = "CASE WHEN q3 > q1 THEN q3 - q1 ELSE d9 - q1 END"
+        cuts = ", ".join(f"max(CASE WHEN measure = '{m}' THEN q3 + 3 * greatest({width}, {quality.WIDTHS[m]}) END) AS {m}_cut" for m in names)
         levels.append(
             f"""{level}_q AS (SELECT {by}, count(*) AS rows,
                     quantile_disc(coalesce(pow({quality.GROWTH}, bucket), 0), 0.25) AS q1,
-                    quantile_disc(coalesce(pow({quality.GROWTH}, bucket), 0), 0.75) AS q3 FROM b GROUP BY {by}),
+                    quantile_disc(coalesce(pow({quality.GROWTH}, bucket), 0), 0.75) AS q3,
+                    quantile_disc(coalesce(pow({quality.GROWTH}, bucket), 0), 0.9) AS d9 FROM b GROUP BY {by}),
                 {level}_t AS (SELECT {"".join(k + ", " for k in keys)}max(rows) AS rows, {cuts} FROM {level}_q {"GROUP BY " + ", ".join(keys) if keys else ""})"""
         )
         on = " AND ".join(f"f.{k} IS NOT DISTINCT FROM {level}_t.{k}" for k in keys) or "TRUE"
@@ -199,7 +201,7 @@ def _quality_sql() -> str:
 
 @query("op9_adaptive_quality", _quality_sql())
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judged(documents(spark, sf_dir)).select(
+    return quality.judged(documents(spark, sf_dir), own=True).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
@@ -263,7 +265,8 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
                                translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}') AS text FROM documents),
     p AS (SELECT doc, lang, unnest(parts) AS part, generate_subscripts(parts, 1) AS piece
           FROM (SELECT doc, lang, regexp_split_to_array(text, '[.,;:!?
--]') AS parts FROM d)),
+-
+]') AS parts FROM d)),
     w AS (SELECT doc, piece, lang, unnest(words) AS w1, generate_subscripts(words, 1) AS i
           FROM (SELECT doc, piece, lang, regexp_extract_all(part, '[^ 	]+') AS words FROM p)),
     g AS (SELECT lang, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM w WINDOW o AS (PARTITION BY doc, piece ORDER BY i)),

@@ -210,6 +210,8 @@ def test_own_thresholds_tighten_the_fixed_cuts(make_docs):
     docs = make_docs(rows)
     assert {r.doc_id for r in quality.keep_good(docs).collect()} == set(range(300))
     assert {r.doc_id for r in quality.keep_good(docs, own=False).collect()} == set(range(302))
+    named = docs.selectExpr("*", "1 AS kept_id", "2 AS _kept_id")
+    assert quality.keep_good(named).columns == named.columns
 
 
 def test_quantiles_of_sketches(spark):
