@@ -10,20 +10,23 @@ Defined results
     NULL and empty texts give no ids; no ids decode to an empty text.  Special tokens
     spelled out in a text are found before anything else, as the file asks.  A word
     of any length is one entry of the index.  Ids without a token decode to nothing.
+    Letters and numbers are those of Unicode 16, small letters those of Unicode 17, as
+    in the library; letters composed by rules newer than Python's tables stay apart.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, types as T
 
 from statloom.llm.text import filled, give_back, in_portions
@@ -40,6 +43,57 @@ def byte_characters() -> list[str]:
     return [chr(b if b in plain else next(odd)) for b in range(256)]
 
 
+# Letters and numbers that Unicode 16 added to version 15.1, first and last code point.
+NEWER_LETTERS = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+    (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+NEWER_NUMBERS = [
+    (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA),
+]
+# Capital letters since Unicode 16, first and last code point and the first one's small letter.
+NEWER_CAPITALS = [
+    (0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2, 0xA7D3),
+    (0xA7D4, 0xA7D4, 0xA7D5), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B), (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB),
+]
+SMALL = {c: small + c - first for first, last, small in NEWER_CAPITALS for c in range(first, last + 1)}
+_CAPITAL = re.compile("[" + "".join(f"{chr(first)}-{chr(last)}" for first, last, _ in NEWER_CAPITALS) + "]")
+
+
+@lru_cache
+def code_points(category: str) -> tuple[str, str]:
+    """Insides of pattern sets with all code points of a general category (L letters, N numbers): up to U+FFFF, and above."""
+    newer = {"L": NEWER_LETTERS, "N": NEWER_NUMBERS}[category]
+    inside = np.fromiter((unicodedata.category(chr(c))[0] == category for c in range(0x110000)), bool, 0x110000)
+    for first, last in newer:
+        inside[first : last + 1] = True
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
+    spans = [(first, last - 1) for first, last in edges.reshape(-1, 2).tolist()]
+    low, high = ("".join(f"{chr(a)}-{chr(b)}" for a, b in spans if (a > 0xFFFF) == above) for above in (False, True))
+    return low, high
+
+
+def split_pattern(split: str, space: str) -> str:
+    """The file's word pattern with its classes spelled out.
+
+    Sets that reach above U+FFFF are slow, so in the usual forms of the classes those code points are looked at apart.
+    """
+    (letters, more_letters), (numbers, more_numbers) = code_points("L"), code_points("N")
+    high = "(?=[\U00010000-\U0010FFFF])"
+    forms = {
+        r"[\p{L}]+": f"(?:[{letters}]+|{high}[{more_letters}]+)+",
+        r"[\p{N}]": f"(?:[{numbers}]|{high}[{more_numbers}])",
+        r"[^\s\p{L}\p{N}]+": f"(?:[^{space}{letters}{numbers}\U00010000-\U0010FFFF]+|{high}[^{more_letters}{more_numbers}])+",
+        r"\s": space,
+        r"\p{L}": letters + more_letters,
+        r"\p{N}": numbers + more_numbers,
+    }
+    for form, spelled in forms.items():
+        split = split.replace(form, spelled)
+    return f"(?![{space}])(?:{split})"
+
+
 class Vocabulary:
     """Tokens, ranks and text rules of one vocabulary file."""
 
@@ -64,9 +118,10 @@ class Vocabulary:
         self.rank_of = {k: r for r, k in enumerate(keys.tolist())}
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         space = r"\t-\r \x85\xa0  -     　"
-        self.word = regex.compile(split.replace(r"\s", space))
-        self.word_or_break = regex.compile("\n|" + split.replace(r"\s", space))
-        self.found = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        split = split_pattern(split, space)
+        self.word = re.compile(split)
+        self.word_or_break = re.compile("\n|" + split)
+        self.found = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 where it has none."""
@@ -77,6 +132,8 @@ class Vocabulary:
     def lowered(self, text: str) -> str:
         """Composed, in lower case letter by letter: that of a letter (sigma) does not depend on its place."""
         flat = unicodedata.normalize("NFC", text)
+        if _CAPITAL.search(flat):
+            flat = flat.translate(SMALL)
         return "".join(c.lower() for c in flat) if "Σ" in flat else flat.lower()
 
     def is_odd(self, text: str) -> bool:

@@ -30,6 +30,15 @@ def test_encodes_as_the_library():
     assert [i for i, (a, b) in enumerate(zip(got, want)) if a != b] == []
 
 
+def test_every_code_point_as_the_library():
+    """Each between letters, between digits and alone, a thousand to a text."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"a{c}b {c} 1{c}" for c in points[i : i + 1000]) for i in range(0, len(points), 1000)]
+    got = [x.tolist() for x in bpe.encode_batch(bpe.Vocabulary(PATH), texts)]
+    want = [x.ids for x in LIBRARY.encode_batch(texts, add_special_tokens=False)]
+    assert [i for i, (a, b) in enumerate(zip(got, want)) if a != b] == []
+
+
 def test_ranks_apply_in_ascending_order():
     """Each word beside the plain rule: merge the lowest pair again and again, from the left."""
     v = bpe.Vocabulary(PATH)
