@@ -52,18 +52,21 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "op3_unit_hash_repeats",
-    r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
     p AS (SELECT doc_id, regexp_extract_all(text, '[^\n.!?]*[.!?]*\n?') AS parts FROM d),
     u AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM p),
     o AS (SELECT doc_id, sum(length(part)) OVER (PARTITION BY doc_id ORDER BY i) AS stop, length(part) AS n,
                  trim(regexp_replace(lower(part), '[\x20\x09-\x0D]+', ' ', 'g')) AS flat
           FROM u WHERE part <> ''),
-    c AS (SELECT doc_id, stop - n AS start, stop, flat FROM o
-          WHERE flat <> '' AND length(flat) - length(replace(flat, ' ', '')) >= 4),
+    c AS (SELECT doc_id, stop - n AS start, stop, flat, length(flat) - length(replace(flat, ' ', '')) + 1 AS words,
+                 row_number() OVER (PARTITION BY doc_id ORDER BY stop) AS at
+          FROM o WHERE flat <> ''),
     r AS (SELECT *, row_number() OVER (PARTITION BY flat ORDER BY doc_id, start) AS rank FROM c),
+    l AS (SELECT *, at - row_number() OVER (PARTITION BY doc_id ORDER BY at) AS run FROM r WHERE rank > 1),
+    q AS (SELECT *, sum(words) OVER (PARTITION BY doc_id, run) AS run_words FROM l),
     x AS (SELECT doc_id, count(*) AS n_removed, sum(stop - start) AS chars_removed,
                  string_agg(CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start) AS removed
-          FROM r WHERE rank > 1 GROUP BY doc_id),
+          FROM q WHERE run_words >= {repeats.LEAST_RUN} GROUP BY doc_id),
     n AS (SELECT doc_id, count(*) AS n_units FROM o GROUP BY doc_id)
     SELECT d.doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed,
            CAST(coalesce(chars_removed, 0) AS BIGINT) AS chars_removed, coalesce(removed, '') AS removed

@@ -1,23 +1,29 @@
 """Passages that repeat across documents: units are hashed, the earliest occurrence stays.
 
-A unit is a line or, inside a line, a sentence: text up to and with its end marks and
-line feed, so a passage set into a longer line is found by its sentences.  Units are
-compared in lower case with single blanks.  Units of fewer than ``least_words`` words
-repeat by chance and are left alone.  Occurrences are ranked by document key, then
-place; all but the first of each digest go, with their offsets in the original text.
-
-With ``lines`` whole lines and paragraphs (lines without an empty one between them) are
-units too, and inside a line runs of short sentences that have enough words together.  A
-repeated line then goes whatever its sentences are.  Short text between two removed places
-goes with them.  The query and its SQL compare sentences alone.
+A unit is a line or, where a line has several sentences, a sentence of it: text up to and
+with its end marks and line feed.  Units are compared in lower case with single blanks.
+Occurrences are ranked by document key, then place; the first of each digest stays.
+Later ones go, with their offsets in the original text, where they stand in a run of
+neighbouring later ones of at least ``least_run`` words: a repeated line or paragraph of
+so many words goes whole, whatever its sentences are, and a passage set into a longer
+line is found by its sentences, but a short line or sentence that repeats by chance
+stays.  Units of fewer than ``least_words`` words are left alone and end a run; units
+without words do not.  ``least_run=0`` asks for no run.
+
+With ``lines`` whole lines and paragraphs (lines without an empty one between them) of at
+least ``least_words`` words are units of their own, and inside a line runs of short
+sentences that have enough words together.  Any repeated line then goes, alone or not.
+Short text between two removed places goes with them.
 
 Only digests and offsets are shuffled, counts of a digest are added up before, and a
 unit that many documents share is met by a join whose large keys can be split.
 
 Defined results
-    NULL and empty texts have no units.  Rows that repeat a key with the same text are
-    ranked alike: the first stays whole in both.  An empty table gives no rows.  Other
-    columns are ignored.  NULL keys rank first.
+    NULL and empty texts have no units.  A row is its key and text: different texts
+    under one key are ranked by a 64-bit hash of the text and cut by their own offsets;
+    rows equal in both are ranked alike, so the first stays whole in both.  An empty table
+    gives no rows.  Other columns are ignored, or kept by ``remove_repeats``, where a column
+    ``removed`` is replaced.  NULL keys rank first.  The units of one text pass one task.
 """
 
 from __future__ import annotations
@@ -26,14 +32,19 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from statloom.llm.text import filled
+from statloom.llm.text import filled, free_name
 from statloom.session import materialise
 
 _UNIT = re.compile(r"[^\n.!?]*[.!?]*\n?")
+#: Words of the shortest unit that is compared where no run is asked for.
 LEAST_WORDS = 5
+#: Words of the shortest run that goes.
+LEAST_RUN = 20
 
 
 def units_of(text: str) -> Iterator[tuple[int, int, bytes, int]]:
@@ -105,48 +116,92 @@ def closed(removed: list[tuple[int, int]], short: list[tuple[int, int]], text: s
     return [(s, e) for s, e in out]
 
 
-_UNITS = T.ArrayType(T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+_SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+_PLACE = T.StructType([T.StructField("at", T.IntegerType()), *_SPAN.fields, T.StructField("words", T.IntegerType())])
+_UNITS = T.ArrayType(T.StructType([T.StructField("digest", T.BinaryType()), *_PLACE.fields]))
+
+
+def _row(text: str) -> Column:
+    """What tells apart different texts under one key."""
+    return F.xxhash64(filled(text))
 
 
-def units(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, lines: bool = False) -> DataFrame:
-    """``doc_id``, ``n_units`` and the hashed units (128 bits) long enough to be compared."""
-    schema = T.StructType([T.StructField("doc_id", docs.schema[key].dataType), T.StructField("n_units", T.IntegerType()), T.StructField("units", _UNITS)])
-    kind = pa.list_(pa.struct([("digest", pa.binary()), ("start", pa.int32()), ("end", pa.int32())]))
+def units(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = 1, lines: bool = False) -> DataFrame:
+    """``doc_id``, ``row`` (hash of the text), ``n_units`` and the hashed units (128 bits) long enough to be compared.
+
+    A unit has its number among those with words (``at``), offsets and number of words.
+    """
+    schema = T.StructType(
+        [T.StructField("doc_id", docs.schema[key].dataType), T.StructField("row", T.LongType()), T.StructField("n_units", T.IntegerType()), T.StructField("units", _UNITS)]
+    )
+    kind = pa.list_(pa.struct([("digest", pa.binary()), *[(name, pa.int32()) for name in _PLACE.names]]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_units, digests, starts, ends, bounds = [], [], [], [], [0]
-            for value in batch.column(1):
+            n_units, digests, places, bounds = [], [], [], [0]
+            for value in batch.column(2):
                 if lines:
-                    n, found, _ = nested_units(value.as_py(), least_words)
+                    n, nested, _ = nested_units(value.as_py(), least_words)
+                    found = [(flat, 0, start, end, 0) for start, end, flat in nested]
                 else:
                     every = list(units_of(value.as_py()))
-                    n, found = len(every), [x[:3] for x in every if x[3] >= least_words]
-                for start, end, flat in found:
+                    n = len(every)
+                    numbered = enumerate(x for x in every if x[3])
+                    found = [(flat, at, start, end, words) for at, (start, end, flat, words) in numbered if words >= least_words]
+                for flat, *place in found:
                     digests.append(hashlib.md5(flat, usedforsecurity=False).digest())
-                    starts.append(start)
-                    ends.append(end)
+                    places.append(place)
                 n_units.append(n)
-                bounds.append(len(starts))
-            rows = pa.StructArray.from_arrays([pa.array(digests, pa.binary()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], fields=list(kind.value_type))
+                bounds.append(len(digests))
+            columns = np.array(places, np.int32).reshape(-1, len(_PLACE)).T
+            rows = pa.StructArray.from_arrays([pa.array(digests, pa.binary()), *map(pa.array, columns)], fields=list(kind.value_type))
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_units, pa.int32()), lists], ["doc_id", "n_units", "units"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(n_units, pa.int32()), lists], schema.names)
+
+    return docs.select(F.col(key).alias("doc_id"), _row(text).alias("row"), filled(text).alias("text")).mapInArrow(work, schema)
+
 
-    return docs.select(F.col(key).alias("doc_id"), filled(text).alias("_text")).mapInArrow(work, schema)
+def long_runs(lists: pa.ListArray, least_run: int) -> pa.ListArray:
+    """Spans of those units (ascending lists of places) whose run of neighbours has so many words."""
+    places, bounds = lists.flatten(), np.diff(lists.offsets.to_numpy()).cumsum()
+    at, words = (places.field(name).to_numpy() for name in ("at", "words"))
+    starts = np.diff(at, prepend=-2) != 1
+    starts[np.append(0, bounds[:-1])[np.diff(bounds, prepend=0) > 0]] = True
+    run = starts.cumsum() - 1
+    stays = np.bincount(run, words, run[-1] + 1 if len(run) else 0)[run] >= least_run
+    kept = np.append(0, stays.cumsum())
+    spans = pa.StructArray.from_arrays([places.field("start"), places.field("end")], names=["start", "end"]).filter(pa.array(stays))
+    return pa.ListArray.from_arrays(pa.array(kept[np.append(0, bounds)], pa.int32()), spans)
 
 
-def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, lines: bool = False) -> DataFrame:
-    """Per row ``doc_id``, ``n_units`` and ``removed``: sorted (start, end) of the units that go; with ``lines`` they may overlap."""
+def repeated_spans(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int | None = None, lines: bool = False, least_run: int = LEAST_RUN
+) -> DataFrame:
+    """Per row ``doc_id``, ``row``, ``n_units`` and ``removed``: sorted (start, end) of the units that go; with ``lines`` they may overlap.
+
+    ``least_words`` is one, or five with ``lines``, where ``least_run`` is not asked for.
+    """
+    least_words = least_words if least_words is not None else LEAST_WORDS if lines else 1
     hashed = materialise(units(docs, key, text, least_words, lines))
-    rows = hashed.select("doc_id", F.explode("units").alias("u")).select("doc_id", "u.*")
-    first = F.min(F.struct("doc_id", "start")).alias("first")
+    rows = hashed.select("doc_id", "row", F.explode("units").alias("u")).select("doc_id", "row", "u.*")
+    first = F.min(F.struct("doc_id", "row", "start")).alias("first")
     shared = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), first).where("n > 1").select("digest", "first")
-    later = rows.join(shared, "digest").where(~F.struct("doc_id", "start").eqNullSafe(F.col("first")))
-    # rows that repeat a key name the same units again
-    removed = later.select("doc_id", "start", "end").groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("removed"))
-    spans = hashed.select("doc_id", "n_units").alias("d").join(removed.alias("r"), F.expr("d.doc_id <=> r.doc_id"), "left")
-    none = F.array().cast(removed.schema["removed"].dataType)
-    return spans.select("d.doc_id", "n_units", F.coalesce("removed", none).alias("removed"))
+    later = rows.join(shared, "digest").where(~F.struct("doc_id", "row", "start").eqNullSafe(F.col("first")))
+    # equal rows name the same units again
+    places = later.select("doc_id", "row", *_PLACE.names).groupBy("doc_id", "row").agg(F.array_sort(F.collect_set(F.struct(*_PLACE.names))).alias("removed"))
+    none = F.array().cast(T.ArrayType(_SPAN))
+    if lines:
+        removed = places.withColumn("removed", F.array_distinct(F.transform("removed", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))))
+    else:
+        schema = T.StructType([*places.schema.fields[:2], T.StructField("removed", T.ArrayType(_SPAN))])
+
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], long_runs(batch.column(2), least_run)], schema.names)
+
+        removed = places.mapInArrow(pick, schema)
+    spans = hashed.select("doc_id", "row", "n_units").alias("d").join(removed.alias("r"), F.expr("d.doc_id <=> r.doc_id AND d.row = r.row"), "left")
+    return spans.select("d.doc_id", "d.row", "n_units", F.coalesce("removed", none).alias("removed"))
 
 
 def without_spans(text: str | None, removed: list) -> str | None:
@@ -159,21 +214,27 @@ def without_spans(text: str | None, removed: list) -> str | None:
     return "".join([*out, text[at:]])
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, lines: bool = False) -> DataFrame:
-    """``docs`` with the repeated units cut from ``text`` and their offsets in ``removed``; keys are expected to be unique."""
+def remove_repeats(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int | None = None, lines: bool = False, least_run: int = LEAST_RUN
+) -> DataFrame:
+    """``docs`` with the repeated units cut from ``text`` and their offsets in ``removed``."""
     docs = docs.drop("removed") if "removed" in docs.columns else docs
-    spans = repeated_spans(docs, key, text, least_words, lines).select(F.col("doc_id").alias("_id"), "removed")
-    kind = spans.schema["removed"].dataType
-
-    @F.udf(kind)
-    def close(value, spans):  # noqa: ANN001, ANN202
-        value = value or ""
-        return closed([(x["start"], x["end"]) for x in spans], nested_units(value, least_words)[2] if spans else [], value, least_words)
-
-    @F.pandas_udf(T.StringType())
-    def cut(texts, spans):  # noqa: ANN001, ANN202
-        return texts.combine(spans, lambda t, s: without_spans(t, [(x["start"], x["end"]) for x in s]))
-
-    joined = docs.join(spans, docs[key].eqNullSafe(F.col("_id"))).drop("_id")
-    joined = joined.withColumn("removed", close(F.col(text), "removed")) if lines else joined
-    return joined.withColumn(text, cut(F.col(text), F.col("removed")))
+    least = least_words if least_words is not None else LEAST_WORDS
+    kind = T.StructType([T.StructField("text", T.StringType()), T.StructField("removed", T.ArrayType(_SPAN))])
+
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
+        out = []
+        for value, found in zip(texts, spans):
+            gone = [(x["start"], x["end"]) for x in found]
+            if lines and gone:
+                gone = closed(gone, nested_units(value, least)[2], value, least)
+            out.append((without_spans(value, gone), [{"start": s, "end": e} for s, e in gone]))
+        return pd.DataFrame(out, columns=["text", "removed"])
+
+    names = {name: free_name(docs, name) for name in ("doc_id", "row", "done")}
+    spans = repeated_spans(docs, key, text, least_words, lines, least_run).select("doc_id", "row", "removed").dropDuplicates(["doc_id", "row"])
+    spans = spans.select(F.col("doc_id").alias(names["doc_id"]), F.col("row").alias(names["row"]), "removed")
+    same = docs[key].eqNullSafe(spans[names["doc_id"]]) & (_row(text) == spans[names["row"]])
+    done = docs.join(spans, same).withColumn(names["done"], F.pandas_udf(cut, kind)(F.col(text), F.col("removed")))
+    columns = [F.col(f"{names['done']}.text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
+    return done.select(*columns, F.col(f"{names['done']}.removed").alias("removed"))

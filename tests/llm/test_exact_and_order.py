@@ -96,6 +96,46 @@ def plain_repeats(rows, least=5):
     return removed
 
 
+def plain_runs(rows, least_run=20):
+    """Units with words in rank order; of those seen before, the ones whose neighbours have enough words together."""
+    seen, removed = set(), {}
+    for key, text in sorted(rows):
+        run, gone = [], []
+        for m in [*re.finditer(r"[^\n.!?]*[.!?]*\n?", text or ""), None]:
+            flat = " ".join(re.findall(r"[^\x20\x09-\x0D]+", m.group().lower())) if m else "\n"
+            if flat in seen:
+                run.append((m.span(), len(flat.split(" "))))
+            elif flat:
+                gone += [span for span, _ in run] if sum(n for _, n in run) >= least_run else []
+                run = []
+                if m:
+                    seen.add(flat)
+        removed[key] = gone
+    return removed
+
+
+def test_repeated_lines_and_paragraphs_of_enough_words_go_whole(make_docs):
+    line = "a line with Mr. Smith and No. 5. It has ten words! And more? Yes, so many more that all of it goes from here."
+    paragraph = "\n".join(["short one", "and two", "", *(f"line {i} of a list" for i in range(6))]) + "\n"
+    chance = "this sentence repeats by chance alone.\n"
+    rows = [(1, f"{line}\n{chance}{paragraph}end\n"), (2, f"other\n{chance}own words\n{line}\nown again\n{paragraph}"), (3, f"x {line}\n")]
+    cut = {r.doc_id: r.text for r in repeats.remove_repeats(make_docs(rows)).collect()}
+    assert cut == {1: rows[0][1], 2: f"other\n{chance}own words\nown again\n\n", 3: cut[3]}
+    assert cut[3].startswith("x a line with Mr.") and len(cut[3]) < 30
+
+
+def test_repeated_keys_and_clashing_names(make_docs):
+    line = " ".join(f"w{i}" for i in range(25)) + ".\n"
+    rows = [(1, line + "one own text\n"), (1, "quite another text without any repeat at all"), (1, "head\n" + line), (None, line), (None, line), (2, None)]
+    names = {"_id": 1, "row": 2, "done": 3, "at": 4, "removed": 5, "digest": 6, "words": 7, "first": 8}
+    docs = make_docs(rows).selectExpr("*", *[f"{v} AS {k}" for k, v in names.items()])
+    got = repeats.remove_repeats(docs).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in got) == sorted([(1, "one own text\n"), (1, rows[1][1]), (1, "head\n"), (0, line), (0, line), (2, "")])
+    assert all([r[k] for k in names if k != "removed"] == [v for k, v in names.items() if k != "removed"] for r in got)
+    assert [r.text for r in got if r.doc_id == 2] == [None]
+    assert repeats.remove_repeats(docs, lines=True).count() == len(rows)
+
+
 def test_repeated_passages(make_docs, odd_docs):
     random.seed(4)
     words = [f"w{i}" for i in range(60)]
@@ -107,12 +147,16 @@ def test_repeated_passages(make_docs, odd_docs):
             own.insert(random.randint(0, 9), passage)
         rows.append((i, " ".join(own)))
     want = plain_repeats(rows)
-    got = {r.doc_id: [(x.start, x.end) for x in r.removed] for r in repeats.repeated_spans(make_docs(rows)).collect()}
+    got = {r.doc_id: [(x.start, x.end) for x in r.removed] for r in repeats.repeated_spans(make_docs(rows), least_words=5, least_run=0).collect()}
     assert got == {i: want.get(i, []) for i, _ in rows}
     assert sum(i % 3 == 0 and len(got[i]) >= 6 for i, _ in rows) == 19  # all but the first
-    cut = {r.doc_id: r.text for r in repeats.remove_repeats(make_docs(rows)).collect()}
+    cut = {r.doc_id: r.text for r in repeats.remove_repeats(make_docs(rows), least_words=5, least_run=0).collect()}
     for i, t in rows:
         assert cut[i] == repeats.without_spans(t, want.get(i, []))
+    want = plain_runs(rows)
+    got = {r.doc_id: [(x.start, x.end) for x in r.removed] for r in repeats.repeated_spans(make_docs(rows)).collect()}
+    assert got == {i: want.get(i, []) for i, _ in rows}
+    assert all(len(got[i]) >= 6 for i, _ in rows if i % 3 == 0 and i)
     assert repeats.repeated_spans(odd_docs).count() == odd_docs.count()
     assert repeats.repeated_spans(make_docs([])).count() == 0
 
@@ -134,7 +178,7 @@ def test_repeated_lines_go_whole(make_docs):
     assert cut[4] == "this line is only here\n\n"
     assert cut[6] == "new start. new end.\n"
     assert cut[8] == rows[7][1]  # the run of 7 begins earlier, so it is another one
-    assert "Ti." in {r.doc_id: r.text for r in repeats.remove_repeats(make_docs(rows)).collect()}[2]
+    assert "Ti." in {r.doc_id: r.text for r in repeats.remove_repeats(make_docs(rows), least_words=5, least_run=0).collect()}[2]
     again = [(i, t) for i, t in cut.items()]
     assert {r.doc_id: r.text for r in repeats.remove_repeats(make_docs(again), lines=True).collect()} == cut
 
