@@ -59,10 +59,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                  trim(regexp_replace(lower(part), '[\x20\x09-\x0D]+', ' ', 'g')) AS flat
           FROM u WHERE part <> ''),
     c AS (SELECT doc_id, stop - n AS start, stop, flat, length(flat) - length(replace(flat, ' ', '')) + 1 AS words,
-                 row_number() OVER (PARTITION BY doc_id ORDER BY stop) AS at
+                 row_number() OVER (PARTITION BY doc_id ORDER BY stop) AS place
           FROM o WHERE flat <> ''),
     r AS (SELECT *, row_number() OVER (PARTITION BY flat ORDER BY doc_id, start) AS rank FROM c),
-    l AS (SELECT *, at - row_number() OVER (PARTITION BY doc_id ORDER BY at) AS run FROM r WHERE rank > 1),
+    l AS (SELECT *, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run FROM r WHERE rank > 1),
     q AS (SELECT *, sum(words) OVER (PARTITION BY doc_id, run) AS run_words FROM l),
     x AS (SELECT doc_id, count(*) AS n_removed, sum(stop - start) AS chars_removed,
                  string_agg(CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start) AS removed

@@ -185,7 +185,8 @@ def repeated_spans(
     hashed = materialise(units(docs, key, text, least_words, lines))
     rows = hashed.select("doc_id", "row", F.explode("units").alias("u")).select("doc_id", "row", "u.*")
     first = F.min(F.struct("doc_id", "row", "start")).alias("first")
-    shared = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), first).where("n > 1").select("digest", "first")
+    # written, so that the join reads both sides by a shuffle of their own and can split a digest of many rows
+    shared = materialise(rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), first).where("n > 1").select("digest", "first"))
     later = rows.join(shared, "digest").where(~F.struct("doc_id", "row", "start").eqNullSafe(F.col("first")))
     # equal rows name the same units again
     places = later.select("doc_id", "row", *_PLACE.names).groupBy("doc_id", "row").agg(F.array_sort(F.collect_set(F.struct(*_PLACE.names))).alias("removed"))
