@@ -22,7 +22,6 @@ import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import count, islice
 
 import numpy as np
@@ -32,6 +31,8 @@ from pyspark.sql import DataFrame, types as T
 from statloom.llm.text import filled, give_back, in_portions
 
 BYTES_AT_ONCE = 4 << 20
+#: Finished words a task keeps.
+MOST_WORDS = 400_000
 #: Shorter position lists are handled place by place.
 FEW = 40
 
@@ -61,11 +62,14 @@ SMALL = {c: small + c - first for first, last, small in NEWER_CAPITALS for c in
 _CAPITAL = re.compile("[" + "".join(f"{chr(first)}-{chr(last)}" for first, last, _ in NEWER_CAPITALS) + "]")
 
 
-@lru_cache
+#: No plane from here on holds letters or numbers.
+LETTERS_END = 0x40000
+
+
 def code_points(category: str) -> tuple[str, str]:
     """Insides of pattern sets with all code points of a general category (L letters, N numbers): up to U+FFFF, and above."""
     newer = {"L": NEWER_LETTERS, "N": NEWER_NUMBERS}[category]
-    inside = np.fromiter((unicodedata.category(chr(c))[0] == category for c in range(0x110000)), bool, 0x110000)
+    inside = np.fromiter((unicodedata.category(chr(c))[0] == category for c in range(LETTERS_END)), bool, LETTERS_END)
     for first, last in newer:
         inside[first : last + 1] = True
     edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
@@ -285,7 +289,7 @@ class FinishedWords:
     Beyond ``most`` words it starts anew with the next batch.
     """
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 200_000):
+    def __init__(self, vocabulary: Vocabulary, most: int = MOST_WORDS):
         self.vocabulary, self.most = vocabulary, most
         self._clear()
 
