@@ -155,7 +155,8 @@ def _cut_column(df: DataFrame, keys: Sequence[str], code: str, rows: list[dict],
         table = F.broadcast(table)
         joined = df.join(table, _same(df, table, keys, "_h_"), "left")
     else:
-        joined = with_row(df, table, "_h").withColumns({"_heads": F.col("_h._heads"), "_cuts": F.col("_h._cuts")}).drop("_h")
+        row = "_cut_row"  # no name that a caller gives its order column
+        joined = with_row(df, table, row).withColumns({c: F.col(f"{row}.{c}") for c in ("_heads", "_cuts")}).drop(row)
     # first the block of cuts, then the place in it
     joined = joined.withColumn("_at", F.size(F.filter("_heads", lambda c: c <= F.col(code))))
     inside = F.size(F.filter(F.get("_cuts", F.col("_at")), lambda c: c <= F.col(code)))

@@ -192,3 +192,10 @@ def test_sampled_cuts_keep_ranges_even(spark, monkeypatch):
     a = ordered.row_index(big, ["k"], ["v", "id"])
     b = ordered.row_index(big, ["k"], ["v", "id"], rows_per_split=200)
     assert a.exceptAll(b).count() == 0
+
+
+def test_random_percent_over_ranges(df):
+    """The order column of a random sample keeps its name while the table is cut into ranges."""
+    plain = relational.random_percent(df, "id", 5, seed=7)
+    assert rows(plain, "id") == rows(relational.random_percent(df, "id", 5, seed=7, rows_per_split=SMALL), "id")
+    assert plain.count() == 150
