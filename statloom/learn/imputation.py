@@ -4,29 +4,34 @@ A round visits the columns in turn.  Each is regressed on the others over its ob
 from sums of products that the driver keeps; after a column has changed, only its own products are
 summed again.  Coefficients are drawn around the fitted ones, and a missing value takes the
 observed value of one of the rows predicted most alike, all found in one ordered pass.
+
+Rows without a gap never change.  Their products are summed once, and equal ones are one donor row with
+its copies, so a round moves the rows with a gap and the distinct rows without one.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from statloom.operators.ordered import MAX_SPLITS, ROWS_PER_SPLIT
+from statloom.operators.ordered import CUTS_PER_BLOCK, MAX_SPLITS, ROWS_PER_SPLIT
 from statloom.session import materialise
 
-#: Columns that change between two writes at most; a plan that long is computed again for each of its sums.
-STEPS_PER_WRITE = 3
-
 
 @dataclass
 class Products:
     """Sums of products over the rows where a target is observed, per target; place 0 is the constant.
 
+    ``fixed`` has those of the rows without a gap, which every target shares and no round changes.
+
     Columns enter less their first mean and divided by their first deviation, so sums stay well scaled.
     """
 
@@ -35,6 +40,7 @@ class Products:
     centre: dict[str, float]
     scale: dict[str, float]
     sums: dict[str, np.ndarray]
+    fixed: np.ndarray
 
     def term(self, name: str) -> Column:
         return (F.col(name) - F.lit(self.centre[name])) / F.lit(self.scale[name])
@@ -54,7 +60,7 @@ class Products:
             return
         row = rows.agg(*found).first()
         for (t, i, j), value in zip(wanted, row):
-            self.sums[t][i, j] = self.sums[t][j, i] = value or 0.0
+            self.sums[t][i, j] = self.sums[t][j, i] = self.fixed[i, j] + (value or 0.0)
 
     def coefficients(self, target: str, rng: np.random.Generator | None) -> tuple[np.ndarray, np.ndarray]:
         """Fitted weights and weights drawn around them (the same without a generator); the target's own is 0."""
@@ -103,40 +109,44 @@ def drawn_values(own: np.ndarray, ids: np.ndarray, predicted: np.ndarray, values
     return values[np.take_along_axis(places, order, axis=1)[np.arange(len(own)), chosen]]
 
 
-def _ordered(table: pa.Table, column: str, flag: str) -> tuple[np.ndarray, ...]:
+def _ordered(table: pa.Table, column: str, flag: str, donors: int) -> tuple[np.ndarray, ...]:
+    """Prediction, value and id of every row, which ones miss the value, and the donors in order, copies included."""
     plain = lambda c: table.column(c).to_numpy()
     missing = plain(flag).astype(bool)
     predicted, values, ids = plain("_pred"), plain(column), plain("_id")
     order = np.lexsort((ids, values, predicted))
-    return missing, predicted, values, ids, order[~missing[order]]
+    order = order[~missing[order]]
+    return missing, predicted, values, ids, np.repeat(order, np.minimum(plain("_copies")[order], donors))
 
 
 def _edges(table: pa.Table, column: str, flag: str, donors: int) -> pa.Table:
     """The first and last donors of a range."""
-    _, predicted, values, _, order = _ordered(table, column, flag)
+    _, predicted, values, _, order = _ordered(table, column, flag, donors)
     at = np.unique(np.concatenate([np.arange(len(order))[:donors], np.arange(len(order))[-donors:]])).astype(int)
     part = pa.array([table.column("_part")[0].as_py()] * len(at), pa.int64())
     return pa.table({"part": part, "p": predicted[order[at]], "v": values[order[at]]})
 
 
 def _match(rows: DataFrame, column: str, flag: str, donors: int, seed: int, parts: int) -> DataFrame:
-    """Flagged values replaced by values of donors; ``_pred`` goes.
+    """The rows with a gap, flagged values replaced by values of donors; ``_pred`` goes.
 
-    With several parts the rows are dealt out by ranges of the prediction and written, and
-    every range learns the last donors before it and the first ones behind it.
+    With several parts the rows are dealt out by ranges of the prediction, cut at its approximate
+    quantiles, and every range learns the last donors before it and the first ones behind it.
     """
     schema = T.StructType([f for f in rows.schema.fields if f.name != "_pred"])
     names = schema.fieldNames()
     if parts == 1:
         ranged, outside = rows.repartition(1), None
     else:
-        ranged = materialise(rows.repartitionByRange(parts, "_pred", "_id").withColumn("_part", F.spark_partition_id().cast("long")))
+        shares = [i / parts for i in range(1, parts)]
+        cuts = sorted(rows.agg(F.percentile_approx("_pred", shares, 10 * parts).alias("c")).first()["c"])
+        ranged = rows.withColumn("_part", _range_of(F.col("_pred"), cuts, F.xxhash64("_id", column)))
         by_part = ranged.groupBy("_part").applyInArrow(lambda table: _edges(table, column, flag, donors), "part long, p double, v double")
         ends = by_part.orderBy("part", "p", "v").toArrow()  # a few donors of each range
         outside = tuple(ends.column(c).to_numpy() for c in ("part", "p", "v"))
 
     def match(table: pa.Table) -> pa.Table:
-        missing, predicted, values, ids, order = _ordered(table, column, flag)
+        missing, predicted, values, ids, order = _ordered(table, column, flag, donors)
         p, v = predicted[order], values[order]
         if outside is not None:
             part = table.column("_part")[0].as_py()
@@ -147,7 +157,8 @@ def _match(rows: DataFrame, column: str, flag: str, donors: int, seed: int, part
         if len(p) and missing.any():
             new[missing] = drawn_values(predicted[missing], ids[missing], p, v, donors, seed)
         place = table.schema.get_field_index(column)
-        return table.set_column(place, column, pa.array(new)).select(names)
+        moved = table.set_column(place, column, pa.array(new)).select(names)
+        return moved.filter(pa.array(ids >= 0))
 
     if parts > 1:
         return ranged.groupBy("_part").applyInArrow(match, schema)
@@ -160,6 +171,20 @@ def _match(rows: DataFrame, column: str, flag: str, donors: int, seed: int, part
     return ranged.mapInArrow(whole, schema)
 
 
+def _range_of(value: Column, cuts: list[float], spread: Column) -> Column:
+    """How many cuts lie below the value; rows equal to a cut that repeats are dealt over its ranges by ``spread``."""
+    blocks = [cuts[i : i + CUTS_PER_BLOCK] for i in range(0, len(cuts), CUTS_PER_BLOCK)]
+    heads = F.lit([b[0] for b in blocks[1:]]) if len(blocks) > 1 else F.array().cast("array<double>")
+    block = F.size(F.filter(heads, lambda c: c < value))
+    inside = F.size(F.filter(F.get(F.array(*[F.lit(b) for b in blocks]), block), lambda c: c < value))
+    place = block * CUTS_PER_BLOCK + inside
+    tied = {c: m for c, m in Counter(cuts).items() if m > 1}
+    if tied:
+        times = F.try_element_at(F.create_map(*[F.lit(x) for pair in tied.items() for x in pair]), value)
+        place = place + F.coalesce(F.pmod(spread, times), F.lit(0))
+    return place.cast("long")
+
+
 def impute_pmm(
     df: DataFrame,
     columns: Sequence[str],
@@ -177,9 +202,9 @@ def impute_pmm(
     coefficients drawn around them, and take the value of one of the ``donors`` observed rows that lie
     nearest.  ``seed`` None draws nothing; with one donor that is the closest row.
 
-    A round writes the numeric columns once (more often with more than ``STEPS_PER_WRITE`` columns to
-    fill); the other columns wait and are joined at the end.  Beyond ``rows_per_split`` rows the
-    ordered pass is spread over ranges of the prediction.  A column without any observed value stays NULL.
+    A round writes the numeric columns of the rows with a gap once per column to fill; the other columns and
+    rows wait and are joined at the end.  Beyond ``rows_per_split`` rows with a gap and distinct rows without one
+    the ordered pass is spread over ranges of the prediction.  A column without any observed value stays NULL.
     """
     columns = list(columns)
     whole = materialise(df.withColumn("_id", F.monotonically_increasing_id()))
@@ -197,35 +222,40 @@ def impute_pmm(
     scale = {c: float(stats[f"s{i}"] or 0) or 1.0 for i, c in enumerate(names) if c in known}
     flags = {c: f"_missing_{i}" for i, c in enumerate(filled)}
     start = {c: F.coalesce(F.col(c).cast("double"), F.lit(centre[c])).alias(c) if c in filled else F.col(c).cast("double").alias(c) for c in known}
-    rows = materialise(whole.select("_id", *start.values(), *[F.col(c).isNull().alias(f) for c, f in flags.items()]))
+    gap = reduce(or_, [F.col(c).isNull() for c in filled])
+    numbers = whole.select("_id", *start.values(), *[F.col(c).isNull().alias(f) for c, f in flags.items()], gap.alias("_gap"))
+    rows = materialise(numbers.where("_gap").drop("_gap").withColumn("_copies", F.lit(1).cast("long")))
+    # equal rows without a gap are one donor with its copies; an id below 0 marks them
+    static = numbers.where("NOT _gap").groupBy(*known).agg(F.count(F.lit(1)).alias("_copies"))
+    static = static.withColumns({f: F.lit(False) for f in flags.values()} | {"_id": F.lit(-1).cast("long")})
+    static = materialise(static.select(*rows.columns))
     size = 1 + len(known)
-    products = Products(known, filled, centre, scale, {t: np.zeros((size, size)) for t in filled})
-    _all_products(products, rows, flags)
-    parts = min(MAX_SPLITS, max(1, -(-int(stats["n"]) // rows_per_split)))
+    products = Products(known, filled, centre, scale, {t: np.zeros((size, size)) for t in filled}, np.zeros((size, size)))
+    _all_products(products, rows, static, flags)
+    moving = rows.count() + static.count()
+    parts = min(MAX_SPLITS, max(1, -(-moving // rows_per_split)))
     for r in range(iterations):
-        pending: list[str] = []
-        for i, c in enumerate(filled):
-            if pending:
-                products.update(rows, flags, pending[-1:])
+        for c in filled:
             rng = None if seed is None else np.random.default_rng([seed, r, zlib.crc32(c.encode())])
             fitted, drawn = products.coefficients(c, rng)
             predicted = F.when(F.col(flags[c]), products.prediction(drawn)).otherwise(products.prediction(fitted))
-            rows = _match(rows.withColumn("_pred", predicted), c, flags[c], donors, zlib.crc32(f"{seed}:{r}:{c}".encode()), parts)
-            pending.append(c)
-            if len(pending) == STEPS_PER_WRITE or i + 1 == len(filled):
-                rows = materialise(rows)
-                products.update(rows, flags, pending[-1:])
-                pending = []
+            both = rows.unionByName(static).withColumn("_pred", predicted)
+            rows = materialise(_match(both, c, flags[c], donors, zlib.crc32(f"{seed}:{r}:{c}".encode()), parts))
+            products.update(rows, flags, [c])
     done = rows.select("_id", *[F.col(c).alias(f"_new_{i}") for i, c in enumerate(filled)])
-    joined = whole.join(done, "_id").withColumns({c: F.col(f"_new_{i}") for i, c in enumerate(filled)})
+    joined = whole.join(done, "_id", "left").withColumns({c: F.coalesce(f"_new_{i}", F.col(c).cast("double")) for i, c in enumerate(filled)})
     return joined.drop("_id", *[f"_new_{i}" for i in range(len(filled))])
 
 
-def _all_products(products: Products, rows: DataFrame, flags: dict[str, str]) -> None:
+def _all_products(products: Products, rows: DataFrame, static: DataFrame, flags: dict[str, str]) -> None:
     places = ["", *products.names]
     terms = {"": F.lit(1.0)} | {n: products.term(n) for n in products.names}
+    pairs = [(i, j) for i in range(len(places)) for j in range(i, len(places))]
+    product = lambda i, j: terms[places[i]] * terms[places[j]]
+    found = static.agg(*[F.sum(product(i, j) * F.col("_copies")).alias(f"s{k}") for k, (i, j) in enumerate(pairs)]).first()
+    for (i, j), value in zip(pairs, found):
+        products.fixed[i, j] = products.fixed[j, i] = value or 0.0
     for t in products.targets:
-        pairs = [(i, j) for i in range(len(places)) for j in range(i, len(places))]
-        row = rows.where(~F.col(flags[t])).agg(*[F.sum(terms[places[i]] * terms[places[j]]).alias(f"s{k}") for k, (i, j) in enumerate(pairs)]).first()
+        row = rows.where(~F.col(flags[t])).agg(*[F.sum(product(i, j)).alias(f"s{k}") for k, (i, j) in enumerate(pairs)]).first()
         for (i, j), value in zip(pairs, row):
-            products.sums[t][i, j] = products.sums[t][j, i] = value or 0.0
+            products.sums[t][i, j] = products.sums[t][j, i] = products.fixed[i, j] + (value or 0.0)

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from statloom.learn import imputation
 
@@ -79,3 +80,48 @@ def test_empty_and_complete_tables(holes):
     assert imputation.impute_pmm(holes.limit(0), ["a"], ["c"]).count() == 0
     whole = holes.select("id", "c").withColumnRenamed("c", "a")
     assert sorted(map(tuple, imputation.impute_pmm(whole, ["a"], []).collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_rows_without_a_gap_stay_out_of_the_rounds(spark, monkeypatch):
+    """A round writes the rows with a gap; equal rows without one are a single donor, and the chain is that of plain fits."""
+    rng = np.random.default_rng(8)
+    c = rng.integers(0, 6, 600).astype(float)
+    a, b = c + rng.integers(0, 3, 600), 2 * c - rng.integers(0, 4, 600)
+    rows = [(i, None if i % 10 == 0 else float(a[i]), None if i % 15 == 7 else float(b[i]), float(c[i])) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double").coalesce(1)
+    written, write = [], imputation.materialise
+    monkeypatch.setattr(imputation, "materialise", lambda d: written.append(write(d)) or written[-1])
+    whole = imputation.impute_pmm(df, ["a", "b"], ["c"], iterations=2, donors=3)
+    got = [tuple(r) for r in whole.orderBy("id").collect()]
+    assert max(t.count() for t in written[3:]) == 100 and written[2].count() < 80
+    assert [tuple(r) for r in imputation.impute_pmm(df, ["a", "b"], ["c"], iterations=2, donors=3, rows_per_split=40).orderBy("id").collect()] == got
+
+    data = {n: np.array([np.nan if r[1 + k] is None else r[1 + k] for r in rows]) for k, n in enumerate("abc")}
+    gone = {n: np.isnan(data[n]) for n in "ab"}
+    ids = np.arange(600)
+    for n in gone:
+        data[n][gone[n]] = np.nanmean(data[n])
+    scale = {n: (np.nanmean([np.nan if r[1 + k] is None else r[1 + k] for r in rows]), np.nanstd([np.nan if r[1 + k] is None else r[1 + k] for r in rows])) for k, n in enumerate("abc")}
+    for r in range(2):
+        for n in "ab":
+            z = np.column_stack([np.ones(600), *[(data[o] - scale[o][0]) / scale[o][1] for o in "abc"]])
+            sums = {n: z[~gone[n]].T @ z[~gone[n]]}
+            plain = imputation.Products(list("abc"), [n], {}, {}, sums, np.zeros((4, 4)))
+            fitted, drawn = plain.coefficients(n, np.random.default_rng([1, r, zlib.crc32(n.encode())]))
+            pred = np.round(np.where(gone[n], z @ drawn, z @ fitted), 9)
+            order = np.lexsort((ids, data[n], pred))
+            order = order[~gone[n][order]]
+            seed = zlib.crc32(f"1:{r}:{n}".encode())
+            data[n][gone[n]] = imputation.drawn_values(pred[gone[n]], ids[gone[n]], pred[order], data[n][order], 3, seed)
+    same = [x[1] == a and x[2] == b for x, a, b in zip(got, data["a"], data["b"])]
+    assert sum(same) >= 595  # rounding may turn a tie
+
+
+def test_equal_predictions_are_spread(spark):
+    """Without predictors all rows are predicted alike; no range takes them all."""
+    df = spark.range(400).select("id", F.when(F.col("id") % 4 != 0, F.col("id").cast("double")).alias("a"))
+    got = imputation.impute_pmm(df, ["a"], iterations=1, rows_per_split=100, seed=None)
+    values = [r["a"] for r in got.collect()]
+    assert len(values) == 400 and all(v % 4 != 0 for v in values)
+    part = imputation._range_of(F.lit(1.0), [0.0, 1.0, 1.0, 1.0, 2.0], F.col("id"))
+    assert {r[0] for r in spark.range(60).select(part).collect()} == {1, 2, 3}
