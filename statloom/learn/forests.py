@@ -11,6 +11,9 @@ n trees is the first n of them, one of smaller depth is the same trees cut there
 with a larger split size stops at the first node that is too small.  So thousands of
 combinations need as many trees as the largest forest, once per number of columns tried.
 
+Rows with equal bins and label take the same way through every tree.  Where rows are at least ``ROWS_A_CELL``
+times as many as such cells, a block holds cells: their rows, and per tree the draws of their rows, added up once.
+
 Missing features have a bin of their own, below the others; no row is left out but those without a label.
 """
 
@@ -28,6 +31,7 @@ from statloom.session import materialise
 BINS = 64
 BLOCK_ROWS = 16384
 MOST_NODES = 2_000_000
+ROWS_A_CELL = 4
 #: Cumulative shares of 0, 1, 2, ... draws of a row into a sample of its table's size.
 _DRAWS = np.array([0.36787944, 0.73575888, 0.9196986, 0.98101184, 0.99634015, 0.99940582, 0.99991676])
 
@@ -77,6 +81,116 @@ def draws(keys: np.ndarray, tree: int, seed: int) -> np.ndarray:
     return np.searchsorted(_DRAWS, share, "right")
 
 
+def _merged(cells: list[np.ndarray], sums: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct cells and their sums, one column a cell."""
+    every, parts = np.concatenate(cells), np.concatenate(sums, axis=1)
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    first = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, np.int64)
+    return every[first], np.add.reduceat(parts[:, order], first, axis=1) if len(first) else parts
+
+
+def _narrow(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
+_CELLS = "n bigint, key binary, label binary, bins binary, wide int, count binary, weights binary"
+
+
+def _cell_block(cells: np.ndarray, sums: np.ndarray) -> pa.Table:
+    plain = cells.view(np.uint8).reshape(len(cells), -1).T
+    weights = _narrow(sums[1:])
+    row = [len(cells), b"", plain[0].tobytes(), plain[1:].tobytes(), weights.dtype.itemsize, sums[0].astype(np.int64).tobytes(), weights.tobytes()]
+    types = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
+    return pa.Table.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=[c.split(" ")[0] for c in _CELLS.split(", ")])
+
+
+def equal_rows(blocks: DataFrame, width: int, trees: int, seed: int, rows: int = BLOCK_ROWS) -> DataFrame:
+    """Blocks of cells from blocks of rows: rows of each cell, and draws of its rows for the first ``trees`` trees."""
+    size = width + 1
+    buckets = max(1, 2 * blocks.sparkSession.sparkContext.defaultParallelism)
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, sums, held = [], [], 0
+
+        def send() -> Iterator[pa.RecordBatch]:
+            every, total = _merged(cells, sums)
+            bucket = _mixed(every.view(np.uint8).reshape(len(every), size).astype(np.uint64) @ np.arange(1, size + 1, dtype=np.uint64) ** np.uint64(7)) % np.uint64(buckets)
+            for b in np.unique(bucket):
+                mine = bucket == b
+                small = _narrow(total[:, mine])
+                row = [[int(b)], [every[mine].tobytes()], [small.dtype.itemsize], [small.tobytes()]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, (pa.int64(), pa.binary(), pa.int32(), pa.binary()))], ["bucket", "cells", "wide", "sums"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys, label, binned = _block(row["n"], row["key"], row["label"], row["bins"])
+                cell = np.ascontiguousarray(np.vstack([label[None, :], binned]).T).view(f"S{size}").ravel()
+                found, at = np.unique(cell, return_inverse=True)
+                drawn = [np.bincount(at, draws(keys, t, seed), len(found)).astype(np.int64) for t in range(trees)]
+                cells.append(found), sums.append(np.stack([np.bincount(at, minlength=len(found)).astype(np.int64), *drawn]))
+                held += len(found)
+                if held > 4 * rows:
+                    every, total = _merged(cells, sums)
+                    cells, sums, held = [every], [total], len(every)
+                    if held > 2 * rows:
+                        yield from send()
+                        cells, sums, held = [], [], 0
+        if cells:
+            yield from send()
+
+    def merge(key: tuple, table: pa.Table) -> pa.Table:
+        cells = [np.frombuffer(c, f"S{size}") for c in table.column("cells").to_pylist()]
+        wide = table.column("wide").to_pylist()
+        sums = [np.frombuffer(b, f"u{w}").reshape(trees + 1, -1).astype(np.int64) for b, w in zip(table.column("sums").to_pylist(), wide)]
+        every, total = _merged(cells, sums)
+        return pa.concat_tables([_cell_block(every[i : i + rows], total[:, i : i + rows]) for i in range(0, len(every), rows)])
+
+    sent = blocks.mapInArrow(collect, "bucket bigint, cells binary, wide int, sums binary")
+    return sent.groupBy("bucket").applyInArrow(merge, _CELLS)
+
+
+def _joined_cells(blocks: DataFrame, width: int, trees: int, cells: int, rows: int) -> DataFrame:
+    """Small blocks of cells put together into ones of about ``rows``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [r for batch in batches for r in batch.to_pylist()]
+        if held:
+            label = np.concatenate([np.frombuffer(r["label"], np.uint8) for r in held])
+            bins = np.concatenate([np.frombuffer(r["bins"], np.uint8).reshape(width, -1) for r in held], axis=1)
+            count = np.concatenate([np.frombuffer(r["count"], np.int64) for r in held])
+            drawn = np.concatenate([np.frombuffer(r["weights"], f"u{r['wide']}").reshape(trees, r["n"]).astype(np.int64) for r in held], axis=1)
+            cell = np.ascontiguousarray(np.vstack([label[None, :], bins]).T).view(f"S{width + 1}").ravel()
+            yield from _cell_block(cell, np.concatenate([count[None, :], drawn])).to_batches()
+
+    return blocks.repartition(-(-cells // rows), F.xxhash64("bins")).mapInArrow(run, _CELLS)
+
+
+def _packed(df: DataFrame, key: str | Sequence[str], features: Sequence[str], label: str, cuts: list[list[float]], trees: int, seed: int, block_rows: int) -> tuple[DataFrame, int]:
+    """Blocks of cells where there are few of them, else blocks of rows, and the number of rows; ``trees`` is 0 where no tree draws."""
+    plain = materialise(packed_rows(df, key, features, label, cuts, block_rows))
+    rows = plain.agg(F.sum("n")).first()[0] or 0
+    cells = materialise(equal_rows(plain, len(features), 0, seed, block_rows))
+    found = cells.agg(F.sum("n")).first()[0] or 0
+    if not found or ROWS_A_CELL * found > rows:
+        return plain.withColumns({"wide": F.lit(0), "count": F.lit(None).cast("binary"), "weights": F.lit(None).cast("binary")}), rows
+    if trees:
+        cells = materialise(equal_rows(plain, len(features), trees, seed, block_rows))
+    return materialise(_joined_cells(cells, len(features), trees, found, block_rows)), rows
+
+
+def _row_counts(row: dict) -> np.ndarray:
+    return np.ones(row["n"], np.int64) if row["count"] is None else np.frombuffer(row["count"], np.int64)
+
+
+def _tree_weights(row: dict, tree: int, seed: int, sample: bool) -> np.ndarray:
+    if not sample:
+        return _row_counts(row)
+    if row["count"] is None:
+        return draws(np.frombuffer(row["key"], np.uint64), tree, seed)
+    return np.frombuffer(row["weights"], f"u{row['wide']}", row["n"], tree * row["n"] * row["wide"]).astype(np.int64)
+
+
 @dataclass
 class Splits:
     """Nodes of several trees; the first ones are the roots.  A feature of -1 marks a leaf; values up to ``cut`` go left."""
@@ -92,6 +206,10 @@ class Splits:
     def roots(trees: int) -> Splits:
         return Splits(np.full(trees, -1, np.int16), *[np.zeros(trees, t) for t in (np.uint8, np.int64, np.int64, np.int64)], np.arange(trees))
 
+    def arrays(self) -> tuple[np.ndarray, ...]:
+        """What a broadcast may hold: executors need not have this module."""
+        return self.feature, self.cut, self.left, self.weight, self.positive, self.tree
+
     def step(self, at: np.ndarray, bins: np.ndarray, rows: np.ndarray, least: int = 0) -> np.ndarray:
         """The next node of each row; it stays at leaves and at nodes lighter than ``least``."""
         feature = self.feature[at]
@@ -134,19 +252,19 @@ def _sums(splits, open_nodes: np.ndarray, depth: int, groups: list[np.ndarray],
     """Sums of the open nodes of one group of trees in one block, non-zero cells only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = splits.value
+        s = Splits(*splits.value)
         slot = np.full(len(s.feature), -1)
         slot[open_nodes] = np.arange(len(open_nodes))
         for batch in batches:
             for row in batch.to_pylist():
-                keys, label, binned = _block(row["n"], row["key"], row["label"], row["bins"])
+                label, binned = np.frombuffer(row["label"], np.uint8), np.frombuffer(row["bins"], np.uint8).reshape(-1, row["n"])
                 places = np.arange(row["n"])
                 found: list[tuple] = []
                 for tree in groups[row["group"]].tolist():
                     at = np.full(row["n"], tree)
                     for _ in range(depth):
                         at = s.step(at, binned, places)
-                    weight = draws(keys, int(trees_of[tree]), seed) if sample else np.ones(row["n"], np.int64)
+                    weight = _tree_weights(row, int(trees_of[tree]), seed, sample)
                     used = (slot[at] >= 0) & (weight > 0)
                     if not used.any():
                         continue
@@ -210,8 +328,8 @@ def grow(
         open_nodes = open_nodes[np.argsort(splits.tree[open_nodes], kind="stable")]
         groups = np.array_split(np.unique(splits.tree[open_nodes]), parts)
         of = splits.tree[open_nodes]
-        sent = spark.sparkContext.broadcast(splits)
-        dealt = blocks.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).repartition("group", "key")
+        sent = spark.sparkContext.broadcast(splits.arrays())
+        dealt = blocks.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).repartition("group", "bins")
         sums = dealt.mapInArrow(_sums(sent, open_nodes, level, groups, numbers, seed, sample, bins), "group bigint, sums binary")
         pick = _chosen(open_nodes, numbers[of], ordinals[open_nodes], tried[of], width, bins, seed)
         found = sums.groupBy("group").applyInArrow(pick, _SPLIT).toArrow()  # one short row per open node
@@ -250,14 +368,16 @@ def _counted(splits, plans: list[tuple[int, dict]], part: str):  # noqa: ANN001,
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = splits.value
+        s = Splits(*splits.value)
         share = s.share()
         for batch in batches:
             for row in batch.to_pylist():
-                _, label, binned = _block(row["n"], row["key"], row["label"], row["bins"])
+                label, binned = np.frombuffer(row["label"], np.uint8), np.frombuffer(row["bins"], np.uint8).reshape(-1, row["n"])
+                count = _row_counts(row)
                 out: list[tuple] = []
                 for start in range(0, row["n"], 2048):  # a bounded number of rows by all trees at once
                     y, own = label[start : start + 2048] == 1, binned[:, start : start + 2048]
+                    own_count = count[start : start + 2048]
                     least, by_depth = plans[row["plan"]]
                     root, width = by_depth[-1]
                     at = np.repeat(np.arange(root, root + width)[:, None], len(y), axis=1)
@@ -269,7 +389,7 @@ def _counted(splits, plans: list[tuple[int, dict]], part: str):  # noqa: ANN001,
                             votes = np.cumsum(share[at], axis=0)
                             for number, trees in by_depth[depth]:
                                 yes = votes[trees - 1] > trees / 2
-                                out.append((number, int((yes & y).sum()), int((yes & ~y).sum()), int((~yes & y).sum()), int((~yes & ~y).sum())))
+                                out.append((number, *(int(own_count[c].sum()) for c in (yes & y, yes & ~y, ~yes & y, ~yes & ~y))))
                 columns = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
                     [*[pa.array(c, pa.int64()) for c in columns], pa.array([part] * len(out))], ["number", "tp", "fp", "fn", "tn", "part"]
@@ -304,8 +424,9 @@ def tune_forests(
     for c in tried:
         c["width"] = max(1, min(int(c["per_split"]), len(features)))
     cuts = bin_cuts(train, features, bins)
-    parts = {name: materialise(packed_rows(d, key, features, label, cuts, block_rows)) for name, d in (("train", train), ("test", test))}
-    rows = parts["train"].agg(F.sum("n")).first()[0] or 0
+    drawn = max((int(c["trees"]) for c in tried), default=0) if sample else 0
+    packed = {name: _packed(d, key, features, label, cuts, n, seed, block_rows) for name, d, n in (("train", train, drawn), ("test", test, 0))}
+    parts, rows = {name: blocks for name, (blocks, _) in packed.items()}, packed["train"][1]
     least = max(2, min((int(c["min_split"]) for c in tried), default=2))
     depth = max((int(c["depth"]) for c in tried), default=0)
     a_tree = min(2 ** (depth + 1), 2 * max(1, int(rows) // least) * 2)
@@ -348,11 +469,11 @@ def _evaluated(parts, mine, sizes: dict[int, int], features, least, seed, sample
             if (c["width"], int(c["min_split"])) == (width, size):
                 by_depth.setdefault(int(c["depth"]), []).append((i, int(c["trees"])))
         plans.append((size, by_depth))
-    sent = spark.sparkContext.broadcast(splits)
+    sent = spark.sparkContext.broadcast(splits.arrays())
     schema = "number bigint, tp bigint, fp bigint, fn bigint, tn bigint, part string"
     out = []
     for part, blocks in parts.items():
-        dealt = blocks.withColumn("plan", F.explode(F.sequence(F.lit(0), F.lit(len(plans) - 1)))).repartition("plan", "key")
+        dealt = blocks.drop("key", "weights").withColumn("plan", F.explode(F.sequence(F.lit(0), F.lit(len(plans) - 1)))).repartition("plan", "bins")
         found = dealt.mapInArrow(_counted(sent, plans, part), schema)
         out.append(materialise(found.groupBy("number", "part").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")])))
     return out

@@ -93,3 +93,18 @@ def test_driver_bound_and_empty_grid(spark, table):
     with pytest.raises(ValueError, match="most_nodes"):
         forests.tune_forests(table, table, combos, ["a"], "y", "id", most_nodes=100)
     assert forests.tune_forests(table, table, combos.limit(0), ["a"], "y", "id").count() == 0
+
+
+@pytest.mark.parametrize("sample", [True, False])
+def test_equal_rows_count_once(spark, table, monkeypatch, sample):
+    """Blocks of cells give the counts that blocks of rows give, from far fewer entries."""
+    rows = table.select("id", "a", "c", "y")
+    combos = spark.createDataFrame([(4, 3, 2, 30), (3, 5, 1, 25), (2, 4, 2, 60)], "trees int, depth int, per_split int, min_split int")
+    made, pack = [], forests._packed
+    monkeypatch.setattr(forests, "_packed", lambda *a: made.append(pack(*a)) or made[-1])
+    tune = lambda: sorted(map(tuple, forests.tune_forests(rows, rows.where("id % 3 = 0"), combos, ["a", "c"], "y", "id", sample=sample, block_rows=100).collect()))
+    cells = tune()
+    # 6 x 3 x 2 cells without those that no row of label 1 reaches: a up to 2 and c not 1
+    assert sum(r["n"] for r in made[0][0].collect()) == 30 and made[0][1] == 588
+    monkeypatch.setattr(forests, "ROWS_A_CELL", 1000)
+    assert tune() == cells and sum(r["n"] for r in made[2][0].collect()) == 588
