@@ -155,3 +155,29 @@ def test_bad_records(spark, tmp_path):
 def test_stalk_colours():
     want = {"b": "buff", "c": "cinnamon", "e": "red", "g": "gray", "n": "brown", "o": "orange", "p": "pink", "w": "white", "y": "yellow"}
     assert mushrooms.LEVELS["stalk_color_above_ring"] == mushrooms.LEVELS["stalk_color_below_ring"] == want
+
+
+def test_shapley_predicts_equal_mixed_rows_once(spark):
+    """Contributions are those of every sample step by step, from at most a prediction a sample and feature beside the row's own."""
+    df = spark.range(40).select("id", (F.col("id") % 4).cast("double").alias("x"), (F.col("id") * 1.5).alias("y"))
+    seen = []
+
+    def predict(d):
+        seen.append(d.count())
+        return d.withColumn("prediction", F.col("x") * F.col("y") + F.col("y"))
+
+    found = explain.shapley(predict, df, df, ["x", "y"], "id", samples=20)
+    got = {(r.id, r.feature): r.contribution for r in found.collect()}
+    base = df.orderBy(relational.hash_order(["id"], 1)).limit(20).collect()
+    rng, f = np.random.default_rng(1), lambda x, y: x * y + y
+    want = {(i, n): 0.0 for i in range(40) for n in "xy"}
+    for b in base:
+        place = rng.permutation(2)
+        for i in range(40):
+            x, y = float(i % 4), i * 1.5
+            middle = f(x, b.y) if place[0] == 0 else f(b.x, y)
+            first, last = ("x", "y") if place[0] == 0 else ("y", "x")
+            want[i, first] += (middle - f(b.x, b.y)) / 20
+            want[i, last] += (f(x, y) - middle) / 20
+    assert got == pytest.approx(want)
+    assert seen[0] == 20 and seen[1] <= 40 * (1 + 20) and len(seen) == 2
