@@ -1,5 +1,8 @@
 """Model training, scoring, tuning and explanation."""
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -33,16 +36,20 @@ FEATURES = passengers.FEATURES
 SENSORS = ["cycle", "s1", "s2", "a1", "a2", "sd1", "sd2"]
 
 
+def _parts(df, key: list[str], seed: int = 0):
+    """Train and test rows, written once with their part and dealt out evenly for the passes of a learner."""
+    rows = materialise(df.withColumn("_train", sampling.hash_unit(key, seed) < 0.7), key)
+    return rows.where("_train").drop("_train"), rows.where("NOT _train").drop("_train")
+
+
 def survival(t: Tables):
     """Train and test passengers."""
-    rows = materialise(passengers.model_input(t.passengers).dropna())
-    return sampling.train_test_split(rows, "passenger_id", 70, seed=123)
+    return _parts(passengers.model_input(t.passengers).dropna(), ["passenger_id"], seed=123)
 
 
 def engine(t: Tables):
     """Train and test cycles with rolling features and labels."""
-    rows = materialise(maintenance.train_features(cycles(t).drop("event_id"), ["s1", "s2"]))
-    return sampling.train_test_split(rows, ["id", "cycle"], 70)
+    return _parts(maintenance.train_features(cycles(t).drop("event_id"), ["s1", "s2"]), ["id", "cycle"])
 
 
 def _binary(df):
@@ -268,7 +275,7 @@ def _(t: Tables):
 @query("l15_kernel_svm")
 def _(t: Tables):
     train, test = survival(t)
-    model = M.rbf_svm(train, FEATURES, "survived", waves=50).fit(train)
+    model = M.fit_equal(M.rbf_svm(train, FEATURES, "survived", waves=50), train, FEATURES)
     return X.generalisation(model, train, test, _binary)
 
 
@@ -738,13 +745,15 @@ def _(t: Tables):
         "network": M.model_pipeline("network", FEATURES, "survived", scale=True, hidden=[8]),
         "svm": M.model_pipeline("svm", FEATURES, "survived", scale=True, l2=0.01),
     }
-    fits = {name: pipeline.fit for name, pipeline in single.items()}
+    fits = {name: partial(M.fit_equal, pipeline) for name, pipeline in single.items()}
     members = [single["forest"], single["tree"], single["logistic"]]
     fits["vote"] = lambda d: N.fit_ensemble(d, members, "passenger_id", "vote")
+    with ThreadPoolExecutor(4) as pool:  # the passes are short, their fits independent
+        twice = list(pool.map(lambda fit: fit(train), [fit for fit in fits.values() for _ in range(2)]))
     parts = []
-    for name, fit in fits.items():
-        first, second = (fit(train).transform(test).select("passenger_id", "survived", "prediction") for _ in range(2))
-        both = first.join(second.select("passenger_id", F.col("prediction").alias("again")), "passenger_id")
+    for name, first, second in zip(fits, twice[::2], twice[1::2]):
+        once = first.transform(test).select(*FEATURES, "survived", F.col("prediction").alias("once"))
+        both = second.transform(once).select("survived", F.col("once").alias("prediction"), F.col("prediction").alias("again"))
         right = F.avg((F.col("survived") == F.col("prediction")).cast("double"))
         majority = F.greatest(F.avg("survived"), 1 - F.avg("survived"))
         parts.append(

@@ -10,20 +10,26 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from statloom.learn.scoring import transform_all
+from statloom.learn.scoring import complete, model_inputs
+from statloom.learn.training import equal_rows, fit_cells
 from statloom.operators.sampling import hash_unit
 
 # cumulative Poisson(1) probabilities, as far as a number of 28 bits can tell them from one
 POISSON_STEPS = [sum(math.exp(-1) / math.factorial(k) for k in range(n + 1)) for n in range(12)]
 
 
-def bootstrap(df: DataFrame, key: str | Sequence[str], seed: int) -> DataFrame:
-    """Every row a Poisson(1) number of times, fixed by its key; no row leaves its partition."""
+def drawn(df: DataFrame, key: str | Sequence[str], seed: int) -> DataFrame:
+    """Adds ``_copies``: how often the sample has the row, a Poisson(1) number fixed by its key; rows not drawn go."""
     unit = hash_unit(key, seed)
     copies = None
     for n, limit in enumerate(POISSON_STEPS):
         copies = (F if copies is None else copies).when(unit < limit, F.lit(n))
-    rows = df.withColumn("_copies", copies.otherwise(F.lit(len(POISSON_STEPS)))).where("_copies > 0")
+    return df.withColumn("_copies", copies.otherwise(F.lit(len(POISSON_STEPS)))).where("_copies > 0")
+
+
+def bootstrap(df: DataFrame, key: str | Sequence[str], seed: int) -> DataFrame:
+    """Every row a Poisson(1) number of times, fixed by its key; no row leaves its partition."""
+    rows = drawn(df, key, seed)
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies", "_copy")
 
 
@@ -35,9 +41,11 @@ class Ensemble:
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds ``prediction``: mean, majority vote, or class 1 from the mean probability; NULL where a member has none."""
         columns = df.columns
-        out, parts = df, []
+        # split once: a split a member would read the rows twice as often with each of them
+        whole = complete([c for c in dict.fromkeys(c for m in self.models for c in model_inputs(m)) if c in columns])
+        out, parts = df.where(whole), []
         for i, model in enumerate(self.models):
-            scored = transform_all(model, out)
+            scored = model.transform(out)
             if self.combine == "probability":
                 part = vector_to_array("probability")[1]
             else:
@@ -46,7 +54,8 @@ class Ensemble:
             parts.append(f"_p{i}")
         mean = sum((F.col(p) for p in parts), F.lit(0.0)) / len(parts)
         value = mean if self.combine == "average" else F.when(mean > 0.5, 1.0).when(mean.isNotNull(), 0.0)
-        return out.withColumn("prediction", value).drop(*parts)
+        scored = out.withColumn("prediction", value).drop(*parts)
+        return scored.unionByName(df.where(~whole), allowMissingColumns=True)
 
 
 @dataclass
@@ -64,5 +73,9 @@ class EnsembleLearner:
 
 def fit_ensemble(df: DataFrame, members: Sequence[Pipeline], key: str | Sequence[str], combine: str = "average", seed: int = 1) -> Ensemble:
     """``combine`` is ``average`` (regression), ``vote`` or ``probability`` (two classes)."""
-    models = [p.fit(bootstrap(df, key, seed + i)) for i, p in enumerate(members)]
+    models = []
+    for i, p in enumerate(members):
+        rows = bootstrap(df, key, seed + i)
+        cells = equal_rows(p, drawn(df, key, seed + i), weight="_copies")
+        models.append(p.fit(rows) if cells is None else fit_cells(p, rows, cells))
     return Ensemble(models, combine)

@@ -35,6 +35,13 @@ from pyspark.ml.regression import (
 )
 from pyspark.sql import DataFrame, functions as F
 
+from statloom.session import materialise
+
+#: A learner gets equal rows as one with a weight where there are at least this many times as many rows.
+ROWS_A_CELL = 4
+#: More distinct rows than this are dealt out over the cores; fewer are one short task a pass.
+CELLS_A_TASK = 50_000
+
 
 def feature_stages(features: Sequence[str], categorical: Sequence[str] = (), scale: bool = False) -> list:
     """Index text columns, assemble, and standardise on request."""
@@ -88,7 +95,8 @@ def learner(kind: str, label: str, seed: int = 1, classes: int = 2, width: int =
         layers = [width, *options.get("hidden", [20]), classes]
         return MultilayerPerceptronClassifier(**common, layers=layers, maxIter=options.get("iterations", 100), seed=seed)
     if kind == "svm":
-        return LinearSVC(**common, regParam=l2, maxIter=options.get("iterations", 50))
+        standardise = options.get("standardise", True)
+        return LinearSVC(**common, regParam=l2, maxIter=options.get("iterations", 50), standardization=standardise)
     raise ValueError(f"unknown learner {kind}")
 
 
@@ -101,6 +109,8 @@ def model_pipeline(
     **options,
 ) -> Pipeline:
     stages = feature_stages(features, categorical, scale)
+    if scale and kind == "svm":  # the columns have deviation 1 already; over weighted rows it would come out smaller
+        options = {"standardise": False} | options
     return Pipeline(stages=[*stages, learner(kind, label, width=len(features), **options)])
 
 
@@ -127,9 +137,59 @@ def rbf_svm(
             terms.append(f"{rate!r}D * `{c}`")
         columns.append(f"cos({angle!r}D + " + " + ".join(terms) + f") AS _w{w}")
     cosine = SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
-    final = VectorAssembler(inputCols=[f"_w{w}" for w in range(waves)], outputCol="features", handleInvalid="skip")
-    machine = LinearSVC(featuresCol="features", labelCol=label, regParam=l2, maxIter=50)
-    return Pipeline(stages=[cosine, final, machine])
+    final = VectorAssembler(inputCols=[f"_w{w}" for w in range(waves)], outputCol="_waves", handleInvalid="skip")
+    scaler = StandardScaler(inputCol="_waves", outputCol="features", withMean=False, withStd=True)
+    machine = learner("svm", label, l2=l2, standardise=False)
+    return Pipeline(stages=[cosine, final, scaler, machine])
+
+
+def weighs_rows(estimator) -> bool:
+    """True where a row with weight n is for the learner what n equal rows are."""
+    if isinstance(estimator, (LogisticRegression, LinearSVC)):
+        # deviations of weighted rows differ a little, so a penalty must not depend on them
+        return not estimator.getRegParam() or not estimator.getStandardization()
+    trees = (DecisionTreeClassifier, DecisionTreeRegressor, GBTClassifier, GBTRegressor)
+    return isinstance(estimator, trees) and estimator.getMinInstancesPerNode() == 1
+
+
+def equal_rows(pipeline: Pipeline, df: DataFrame, columns: Sequence[str] | None = None, weight: str | None = None) -> DataFrame | None:
+    """Distinct rows of what the pipeline reads, ``_weight`` with how many there are of each.
+
+    None where the learner takes no weights or the rows are not ``ROWS_A_CELL`` times as many as
+    the distinct ones.  ``columns`` names the features of a pipeline that starts in SQL; ``weight``
+    a column with how often each row counts.
+    """
+    *prepare, last = pipeline.getStages()
+    if not weighs_rows(last):
+        return None
+    if columns is None:
+        if any(isinstance(s, SQLTransformer) for s in prepare):
+            return None
+        made = {s.getOutputCol() for s in prepare}
+        assembled = [c for s in prepare if isinstance(s, VectorAssembler) for c in s.getInputCols()]
+        indexed = [s.getInputCol() for s in prepare if isinstance(s, StringIndexer)]
+        columns = [c for c in assembled + indexed if c not in made]
+    names = list(dict.fromkeys([*columns, last.getLabelCol()]))
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(F.xxhash64(*names)).alias("cells")).first()
+    if size["rows"] < ROWS_A_CELL * size["cells"]:
+        return None
+    counted = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    cells = df.groupBy(*names).agg(counted.cast("double").alias("_weight"))
+    return materialise(cells, names if size["cells"] > CELLS_A_TASK else ())
+
+
+def fit_cells(pipeline: Pipeline, df: DataFrame, cells: DataFrame) -> PipelineModel:
+    """``pipeline.fit(df)`` from its ``equal_rows``; scales and levels still come from all rows."""
+    *prepare, last = pipeline.getStages()
+    ready = Pipeline(stages=prepare).fit(df)
+    learned = last.copy({last.weightCol: "_weight"}).fit(ready.transform(cells))
+    return PipelineModel(stages=[*ready.stages, learned])
+
+
+def fit_equal(pipeline: Pipeline, df: DataFrame, columns: Sequence[str] | None = None) -> PipelineModel:
+    """``pipeline.fit(df)``, with equal rows taken as one where that is the same and much less."""
+    cells = equal_rows(pipeline, df, columns)
+    return pipeline.fit(df) if cells is None else fit_cells(pipeline, df, cells)
 
 
 def coefficient_table(model: PipelineModel, features: Sequence[str]) -> DataFrame:

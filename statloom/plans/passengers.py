@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from statloom.functions import scalars as S
 from statloom.learn import neighbours
@@ -52,6 +52,15 @@ def prepared_view(passengers: DataFrame) -> DataFrame:
     )
 
 
+def title_code(word: Column, compat: bool = True) -> Column:
+    """Code of the word's title group; one table, so that the word is extracted once a row."""
+    codes = TITLE_CODES if compat else TITLE_CODES | {"Other": OTHER_CODE}
+    members = {w: g for g, words in reversed(TITLE_GROUPS.items()) for w in words}
+    words = {w: codes[g] for w, g in ({c: c for c in codes} | members).items() if g in codes}
+    table = F.create_map(*[F.lit(v) for pair in words.items() for v in pair])
+    return F.coalesce(F.try_element_at(table, word), F.lit(0))
+
+
 def model_input(passengers: DataFrame, compat: bool = True) -> DataFrame:
     """All-number features; missing ports, ages and fares are filled.
 
@@ -62,10 +71,9 @@ def model_input(passengers: DataFrame, compat: bool = True) -> DataFrame:
     rows = rows.withColumn("sex", S.encode(F.col("sex"), {"female": 1, "male": 0}))
     rows = clean.fill_group_median(rows, "age", ["sex", "pclass"], discrete=False, round_half=True)
     rows = clean.fill_median(rows, "fare")
-    title = S.generalise(S.title_word(F.col("name")), TITLE_GROUPS, keep=True)
     return rows.select(
         "passenger_id",
-        S.encode(title, TITLE_CODES if compat else TITLE_CODES | {"Other": OTHER_CODE}, 0).alias("title"),
+        title_code(S.title_word(F.col("name")), compat).alias("title"),
         S.encode(F.col("embarked"), PORT_CODES, 2).alias("embarked"),
         bins.custom_bins(F.col("fare"), FARE_CUTS).alias("fare"),
         "pclass",

@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from statloom.learn import ensembles, evaluation, explain, groups, imputation, neighbours, neural, scoring, selection, training
@@ -177,3 +178,65 @@ def test_equal_rows_are_asked_once(spark, monkeypatch):
     got = {r["id"]: r["predicted"] for r in neighbours.classify(df, df, "v", "label", "id", k=3).collect()}
     # all copies of a vector have the label its first number gives, and there are ten of them
     assert got == {i: i % 3 for i in range(300)} and asked == [30]
+
+
+@pytest.fixture(scope="module")
+def repeated(spark):
+    """Twenty-four kinds of rows, most of them many times."""
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.integers(0, n, 3000) for n in (4, 3, 2)]).astype(float)
+    label = (rng.random(3000) < 1 / (1 + np.exp(2 - x[:, 0] - x[:, 2]))).astype(int)
+    pdf = pd.DataFrame({"id": np.arange(3000), "x0": x[:, 0], "x1": x[:, 1], "x2": x[:, 2], "label": label})
+    return spark.createDataFrame(pdf).cache()
+
+
+def _learner(kind, df):
+    if kind == "kernel":
+        return training.rbf_svm(df, X, "label", waves=12)
+    scale = kind == "svm"
+    return training.model_pipeline(kind, X, "label", scale=scale, trees=4, **({"l2": 0.01} if scale else {}))
+
+
+@pytest.mark.parametrize("kind", ["logistic", "svm", "kernel", "tree_classifier", "boosted_classifier"])
+def test_equal_rows_as_one_give_the_same_model(repeated, kind):
+    pipeline = _learner(kind, repeated)
+    cells = training.equal_rows(pipeline, repeated, X)
+    assert cells.count() <= 48 and cells.agg(F.sum("_weight")).first()[0] == 3000
+    found, want = training.fit_equal(pipeline, repeated, X), pipeline.fit(repeated)
+    if kind in ("svm", "kernel"):  # the hinge has no single best line to stop at, so the loss that is made small is compared
+
+        def loss(model):
+            margin = (2 * F.col("label") - 1) * vector_to_array("rawPrediction")[1]
+            hinge = model.transform(repeated).agg(F.avg(F.greatest(F.lit(0.0), 1 - margin))).first()[0]
+            return hinge + 0.005 * float(np.square(model.stages[-1].coefficients.toArray()).sum())
+
+        assert loss(found) == pytest.approx(loss(want), rel=0.02)
+    else:
+        a, b = ([r["prediction"] for r in m.transform(repeated).orderBy("id").select("prediction").collect()] for m in (found, want))
+        assert a == b
+
+
+def test_equal_rows_only_where_few_and_weighted(repeated, data):
+    assert training.equal_rows(training.model_pipeline("logistic", X, "label"), data[0]) is None  # all rows differ
+    assert training.equal_rows(training.model_pipeline("forest_classifier", X, "label"), repeated) is None  # draws rows
+    assert training.equal_rows(training.model_pipeline("tree_classifier", X, "label", min_leaf=2), repeated) is None
+    assert training.equal_rows(training.model_pipeline("logistic", X, "label", l2=0.1), repeated) is None
+
+
+def test_passes_of_a_learner_read_evenly_dealt_rows(spark, folder):
+    from statloom.catalog import Tables, models
+
+    for parts in (models.survival(Tables(spark, folder)), models.engine(Tables(spark, folder))):
+        assert all(len(rows.inputFiles()) >= spark.sparkContext.defaultParallelism for rows in parts)
+
+
+def test_title_code_is_the_code_of_the_group(spark):
+    from statloom.functions import scalars
+    from statloom.plans import passengers as P
+
+    words = [w for group in P.TITLE_GROUPS.values() for w in group] + [*P.TITLE_GROUPS, *P.TITLE_CODES, "Xy", "", None]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    for compat in (True, False):
+        codes = P.TITLE_CODES if compat else P.TITLE_CODES | {"Other": P.OTHER_CODE}
+        want = scalars.encode(scalars.generalise(F.col("w"), P.TITLE_GROUPS, keep=True), codes, 0)
+        assert df.where(~P.title_code(F.col("w"), compat).eqNullSafe(want)).count() == 0
