@@ -276,7 +276,7 @@ def _(t: Tables):
 def _(t: Tables):
     train, test = survival(t)
     model = M.fit_equal(M.rbf_svm(train, FEATURES, "survived", waves=50), train, FEATURES)
-    return X.generalisation(model, train, test, _binary)
+    return X.generalisation(S.OncePerRow(model, FEATURES), train, test, _binary)
 
 
 _KNN = """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v, CAST(concat('0x', substr(md5(concat_ws(':', '0', CAST(vec_id AS VARCHAR))), 1, 7)) AS BIGINT)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -11,6 +12,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from statloom.operators.ordered import join_small
 from statloom.sources.writers import upsert
 
 REGISTRY_SCHEMA = (
@@ -37,6 +39,19 @@ def transform_all(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df.where(whole)).unionByName(rest, allowMissingColumns=True)
 
 
+@dataclass
+class OncePerRow:
+    """A costly model that scores each distinct row of ``columns`` once; equal rows share its prediction."""
+
+    model: PipelineModel
+    columns: Sequence[str]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Adds ``prediction``, NULL for a row with a missing number."""
+        found = self.model.transform(df.select(*self.columns).distinct()).select(*self.columns, "prediction")
+        return join_small(df, found, self.columns, "left")
+
+
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str], classes: int = 0) -> DataFrame:
     """Kept columns, one probability per class and the prediction, for every row.
 

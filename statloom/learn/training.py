@@ -128,19 +128,27 @@ def rbf_svm(
     rng = np.random.default_rng(seed)
     weights = rng.normal(0.0, math.sqrt(2 * gamma), size=(waves, len(features)))
     shifts = rng.uniform(0, 2 * math.pi, size=waves)
-    columns = []
+    waved = []
     for w in range(waves):
         angle, terms = float(shifts[w]), []
         for i, c in enumerate(features):
             rate = float(weights[w, i]) / (fit[f"s{i}"] or 1.0)
             angle -= rate * fit[f"m{i}"]
             terms.append(f"{rate!r}D * `{c}`")
-        columns.append(f"cos({angle!r}D + " + " + ".join(terms) + f") AS _w{w}")
+        waved.append(f"cos({angle!r}D + " + " + ".join(terms) + ")")
+    # deviations of the waves, from the distinct rows and how many there are of each
+    distinct = df.select(*features).dropna().groupBy(*features).agg(F.count(F.lit(1)).alias("_n"))
+    wave = distinct.select("_n", *[F.expr(c).alias(f"_w{w}") for w, c in enumerate(waved)])
+    sums = [F.sum(F.col("_n") * F.col(f"_w{w}") ** p).alias(f"s{p}_{w}") for w in range(waves) for p in (1, 2)]
+    moments = wave.agg(F.sum("_n").alias("n"), *sums).first()
+    n, columns = moments["n"] or 0, []
+    for w, c in enumerate(waved):
+        square = (moments[f"s2_{w}"] - moments[f"s1_{w}"] ** 2 / n) / (n - 1) if n > 1 else 0.0
+        columns.append(f"{c} / {math.sqrt(square) if square > 0 else 1.0!r}D AS _w{w}")
     cosine = SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
-    final = VectorAssembler(inputCols=[f"_w{w}" for w in range(waves)], outputCol="_waves", handleInvalid="skip")
-    scaler = StandardScaler(inputCol="_waves", outputCol="features", withMean=False, withStd=True)
+    final = VectorAssembler(inputCols=[f"_w{w}" for w in range(waves)], outputCol="features", handleInvalid="skip")
     machine = learner("svm", label, l2=l2, standardise=False)
-    return Pipeline(stages=[cosine, final, scaler, machine])
+    return Pipeline(stages=[cosine, final, machine])
 
 
 def weighs_rows(estimator) -> bool:

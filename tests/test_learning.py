@@ -240,3 +240,11 @@ def test_title_code_is_the_code_of_the_group(spark):
         codes = P.TITLE_CODES if compat else P.TITLE_CODES | {"Other": P.OTHER_CODE}
         want = scalars.encode(scalars.generalise(F.col("w"), P.TITLE_GROUPS, keep=True), codes, 0)
         assert df.where(~P.title_code(F.col("w"), compat).eqNullSafe(want)).count() == 0
+
+
+def test_costly_model_scores_equal_rows_once(repeated):
+    holes = repeated.withColumn("x0", F.when(F.col("id") % 50 == 0, None).otherwise(F.col("x0")))
+    model = _learner("kernel", repeated).fit(repeated)
+    want = {r["id"]: r["prediction"] for r in scoring.transform_all(model, holes).select("id", "prediction").collect()}
+    found = {r["id"]: r["prediction"] for r in scoring.OncePerRow(model, X).transform(holes).collect()}
+    assert len(found) == 3000 and all(found[i] == (None if i % 50 == 0 else want[i]) for i in found)
