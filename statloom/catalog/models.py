@@ -66,7 +66,7 @@ def _multiclass(df):
 
 def _fit_report(t: Tables, kind: str, **options):
     train, test = survival(t)
-    model = M.model_pipeline(kind, FEATURES, "survived", **options).fit(train)
+    model = M.fit_equal(M.model_pipeline(kind, FEATURES, "survived", **options), train)
     return X.generalisation(model, train, test, _binary)
 
 
