@@ -248,3 +248,12 @@ def test_costly_model_scores_equal_rows_once(repeated):
     want = {r["id"]: r["prediction"] for r in scoring.transform_all(model, holes).select("id", "prediction").collect()}
     found = {r["id"]: r["prediction"] for r in scoring.OncePerRow(model, X).transform(holes).collect()}
     assert len(found) == 3000 and all(found[i] == (None if i % 50 == 0 else want[i]) for i in found)
+
+
+def test_members_do_not_multiply_the_reads(repeated, spark, tmp_path):
+    repeated.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    tree = training.model_pipeline("tree_classifier", X, "label", depth=2)
+    model = ensembles.fit_ensemble(rows, [tree, tree, tree], "id", "vote")
+    plan = model.transform(rows).agg(F.count("prediction"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 2
