@@ -90,7 +90,7 @@ def learner(kind: str, label: str, seed: int = 1, classes: int = 2, width: int =
         return GBTRegressor(**common, **boost)
     if kind == "boosted_classifier":
         one = GBTClassifier(**common, **boost)
-        return one if classes == 2 else OneVsRest(classifier=one, **common)
+        return one if classes == 2 else OneVsRest(classifier=one, parallelism=classes, **common)
     if kind == "network":
         layers = [width, *options.get("hidden", [20]), classes]
         return MultilayerPerceptronClassifier(**common, layers=layers, maxIter=options.get("iterations", 100), seed=seed)

@@ -257,3 +257,7 @@ def test_members_do_not_multiply_the_reads(repeated, spark, tmp_path):
     model = ensembles.fit_ensemble(rows, [tree, tree, tree], "id", "vote")
     plan = model.transform(rows).agg(F.count("prediction"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") <= 2
+
+
+def test_classes_are_fitted_side_by_side(spark):
+    assert training.model_pipeline("boosted_classifier", X, "label", classes=3).getStages()[-1].getParallelism() == 3
