@@ -784,9 +784,11 @@ def _(t: Tables):
     }
     fits = {name: p.fit for name, p in members.items()}
     fits["average"] = lambda d: N.fit_ensemble(d, list(members.values()), ["id", "cycle"], "average")
+    with ThreadPoolExecutor(len(fits)) as pool:  # independent fits
+        models = list(pool.map(lambda fit: fit(train), fits.values()))
     parts = []
-    for name, fit in fits.items():
-        found = fit(train).transform(test)
+    for name, model in zip(fits, models):
+        found = model.transform(test)
         error = F.sqrt(F.avg(F.pow(F.col("rul") - F.col("prediction"), 2)))
         parts.append(
             found.agg(
