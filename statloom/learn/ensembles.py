@@ -8,28 +8,28 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from statloom.learn.scoring import complete, model_inputs
-from statloom.learn.training import equal_rows, fit_cells
+from statloom.learn.training import cell_columns, count_cells, fit_cells
 from statloom.operators.sampling import hash_unit
 
 # cumulative Poisson(1) probabilities, as far as a number of 28 bits can tell them from one
 POISSON_STEPS = [sum(math.exp(-1) / math.factorial(k) for k in range(n + 1)) for n in range(12)]
 
 
-def drawn(df: DataFrame, key: str | Sequence[str], seed: int) -> DataFrame:
-    """Adds ``_copies``: how often the sample has the row, a Poisson(1) number fixed by its key; rows not drawn go."""
+def times_drawn(key: str | Sequence[str], seed: int) -> Column:
+    """How often a bootstrap sample has the row: a Poisson(1) number fixed by its key."""
     unit = hash_unit(key, seed)
     copies = None
     for n, limit in enumerate(POISSON_STEPS):
         copies = (F if copies is None else copies).when(unit < limit, F.lit(n))
-    return df.withColumn("_copies", copies.otherwise(F.lit(len(POISSON_STEPS)))).where("_copies > 0")
+    return copies.otherwise(F.lit(len(POISSON_STEPS)))
 
 
 def bootstrap(df: DataFrame, key: str | Sequence[str], seed: int) -> DataFrame:
-    """Every row a Poisson(1) number of times, fixed by its key; no row leaves its partition."""
-    rows = drawn(df, key, seed)
+    """Every row ``times_drawn`` times; no row leaves its partition."""
+    rows = df.withColumn("_copies", times_drawn(key, seed)).where("_copies > 0")
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies", "_copy")
 
 
@@ -73,9 +73,30 @@ class EnsembleLearner:
 
 def fit_ensemble(df: DataFrame, members: Sequence[Pipeline], key: str | Sequence[str], combine: str = "average", seed: int = 1) -> Ensemble:
     """``combine`` is ``average`` (regression), ``vote`` or ``probability`` (two classes)."""
+    samples = sample_cells(df, members, key, seed)
     models = []
     for i, p in enumerate(members):
         rows = bootstrap(df, key, seed + i)
-        cells = equal_rows(p, drawn(df, key, seed + i), weight="_copies")
-        models.append(p.fit(rows) if cells is None else fit_cells(p, rows, cells))
+        models.append(fit_cells(p, rows, samples[i]) if i in samples else p.fit(rows))
     return Ensemble(models, combine)
+
+
+def sample_cells(df: DataFrame, members: Sequence[Pipeline], key: str | Sequence[str], seed: int) -> dict[int, DataFrame]:
+    """Distinct rows of a member's sample, ``_weight`` with how often they were drawn, by place in the list.
+
+    Members that read the same columns are counted in one pass over the rows.  Missing are those without weights
+    and those with few equal rows.
+    """
+    alike: dict[tuple[str, ...], list[int]] = {}
+    for i, p in enumerate(members):
+        names = cell_columns(p)
+        if names:
+            alike.setdefault(tuple(names), []).append(i)
+    samples = {}
+    for names, places in alike.items():
+        cells = count_cells(df, names, {f"_draws{i}": times_drawn(key, seed + i) for i in places})
+        if cells is not None:
+            for i in places:
+                drawn = F.col(f"_draws{i}")
+                samples[i] = cells.where(drawn > 0).select(*names, drawn.alias("_weight"))
+    return samples

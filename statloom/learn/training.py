@@ -33,7 +33,7 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from statloom.session import materialise
 
@@ -160,12 +160,10 @@ def weighs_rows(estimator) -> bool:
     return isinstance(estimator, trees) and estimator.getMinInstancesPerNode() == 1
 
 
-def equal_rows(pipeline: Pipeline, df: DataFrame, columns: Sequence[str] | None = None, weight: str | None = None) -> DataFrame | None:
-    """Distinct rows of what the pipeline reads, ``_weight`` with how many there are of each.
+def cell_columns(pipeline: Pipeline, columns: Sequence[str] | None = None) -> list[str] | None:
+    """The columns a learner that takes weights reads, label last; None where it takes none or they are not known.
 
-    None where the learner takes no weights or the rows are not ``ROWS_A_CELL`` times as many as
-    the distinct ones.  ``columns`` names the features of a pipeline that starts in SQL; ``weight``
-    a column with how often each row counts.
+    ``columns`` names the features of a pipeline that starts in SQL.
     """
     *prepare, last = pipeline.getStages()
     if not weighs_rows(last):
@@ -177,15 +175,30 @@ def equal_rows(pipeline: Pipeline, df: DataFrame, columns: Sequence[str] | None
         assembled = [c for s in prepare if isinstance(s, VectorAssembler) for c in s.getInputCols()]
         indexed = [s.getInputCol() for s in prepare if isinstance(s, StringIndexer)]
         columns = [c for c in assembled + indexed if c not in made]
-    names = list(dict.fromkeys([*columns, last.getLabelCol()]))
+    return list(dict.fromkeys([*columns, last.getLabelCol()]))
+
+
+def count_cells(df: DataFrame, names: Sequence[str], weights: dict[str, Column]) -> DataFrame | None:
+    """Distinct rows of ``names`` with the sums of ``weights``, all from one pass.
+
+    None where the rows are not ``ROWS_A_CELL`` times as many as the distinct ones.
+    """
     size = df.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(F.xxhash64(*names)).alias("cells")).first()
     if size["rows"] < ROWS_A_CELL * size["cells"]:
         return None
-    counted = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    cells = df.groupBy(*names).agg(counted.cast("double").alias("_weight"))
+    cells = df.groupBy(*names).agg(*[F.sum(w).cast("double").alias(n) for n, w in weights.items()])
     return materialise(cells, names if size["cells"] > CELLS_A_TASK else ())
 
 
+def equal_rows(pipeline: Pipeline, df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame | None:
+    """Distinct rows of what the pipeline reads, ``_weight`` with how many there are of each.
+
+    None where the learner takes no weights or too few rows are equal.  ``columns`` as in ``cell_columns``.
+    """
+    names = cell_columns(pipeline, columns)
+    return names and count_cells(df, names, {"_weight": F.lit(1)})
+
+
 def fit_cells(pipeline: Pipeline, df: DataFrame, cells: DataFrame) -> PipelineModel:
     """``pipeline.fit(df)`` from its ``equal_rows``; scales and levels still come from all rows."""
     *prepare, last = pipeline.getStages()

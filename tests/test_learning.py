@@ -261,3 +261,27 @@ def test_members_do_not_multiply_the_reads(repeated, spark, tmp_path):
 
 def test_classes_are_fitted_side_by_side(spark):
     assert training.model_pipeline("boosted_classifier", X, "label", classes=3).getStages()[-1].getParallelism() == 3
+
+
+def test_members_share_the_pass_over_the_rows(repeated, spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(v):
+        read.add(1)
+        return v
+
+    trees = [training.model_pipeline("tree_classifier", X, "label", depth=d) for d in (1, 2, 3)]
+    ensembles.fit_ensemble(repeated.withColumn("x0", seen("x0")), trees, "id", "probability")
+    assert read.value <= 2 * repeated.count()  # one pass tells whether rows are equal, one counts them
+    for i, cells in ensembles.sample_cells(repeated, trees, "id", 1).items():
+        want = ensembles.bootstrap(repeated, "id", 1 + i).groupBy(*X, "label").count().collect()
+        assert {tuple(r[:4]): r["_weight"] for r in cells.collect()} == {tuple(r[:4]): r["count"] for r in want}
+
+
+def test_ensemble_scores_equal_rows_once(repeated, spark):
+    tree = training.model_pipeline("tree_classifier", X, "label", depth=2)
+    model = ensembles.fit_ensemble(repeated, [tree, tree], "id", "probability")
+    holes = repeated.withColumn("x1", F.when(F.col("id") % 50 != 0, F.col("x1")))
+    want = {r["id"]: r["prediction"] for r in model.transform(holes).collect()}
+    assert {r["id"]: r["prediction"] for r in scoring.OncePerRow(model, X).transform(holes).collect()} == want
