@@ -264,7 +264,7 @@ def _(t: Tables):
 def _(t: Tables):
     train, test = engine(t)
     model = neural.fit_network(train, SENSORS, "rul", hidden=(8,), iterations=100)
-    return X.generalisation(model, train, test, _regression)
+    return X.generalisation(S.WrittenOnce(model, ["rul"]), train, test, _regression)
 
 
 @query("l15_linear_svm")

@@ -1,8 +1,8 @@
 """Neural network regression with one or two hidden layers.
 
-Every step is one pass over the rows: tasks add up the gradient of their rows,
-Spark adds up the tasks, and the driver moves the weights, whose number is fixed
-by the layer sizes.
+Every step is one pass over the rows, which are packed into blocks once: tasks add
+up the gradient of their rows, Spark adds up the tasks, and the driver moves the
+weights, whose number is fixed by the layer sizes.
 """
 
 from __future__ import annotations
@@ -19,6 +19,11 @@ from pyspark.sql.types import DoubleType
 
 from statloom.session import materialise
 
+#: Numbers in a stored block of rows: a task is handed 10,000 blocks at a time, which should stay a few MB.
+BLOCK_NUMBERS = 128
+#: Rows a gradient is taken over at a time: few enough for a core's cache, many enough to hide the cost of a call.
+STEP_ROWS = 1_024
+
 
 def _shapes(sizes: Sequence[int]) -> list[tuple[int, int]]:
     return [(a + 1, b) for a, b in zip(sizes, sizes[1:])]
@@ -32,15 +37,12 @@ def _unpack(weights: np.ndarray, sizes: Sequence[int]) -> list[np.ndarray]:
     return out
 
 
-def _with_bias(x: np.ndarray) -> np.ndarray:
-    return np.hstack([x, np.ones((len(x), 1))])
-
-
 def _forward(x: np.ndarray, layers: list[np.ndarray]) -> list[np.ndarray]:
     values = [x]
     for i, w in enumerate(layers):
-        z = _with_bias(values[-1]) @ w
-        values.append(z if i == len(layers) - 1 else np.tanh(z))
+        z = values[-1] @ w[:-1]
+        z += w[-1]
+        values.append(z if i == len(layers) - 1 else np.tanh(z, out=z))
     return values
 
 
@@ -50,12 +52,28 @@ def _gradient(x: np.ndarray, y: np.ndarray, weights: np.ndarray, sizes: Sequence
     error = values[-1] - y[:, None]
     parts, back = [], error
     for i in range(len(layers) - 1, -1, -1):
-        parts.append((_with_bias(values[i]).T @ back).ravel())
+        parts.append(np.vstack([values[i].T @ back, back.sum(axis=0)]).ravel())
         if i:
-            back = (back @ layers[i][:-1].T) * (1 - values[i] ** 2)
+            back = back @ layers[i][:-1].T
+            back *= 1 - values[i] * values[i]
     return np.concatenate(parts[::-1]), float((error**2).sum())
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """Rows of numbers as ``block``, the bytes of at most ``BLOCK_NUMBERS`` doubles, row after row.
+
+    A pass then hands a task one value a block instead of one a number.
+    """
+    size = max(1, BLOCK_NUMBERS // len(rows.columns))
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            values = pdf.to_numpy(dtype=float)
+            yield pd.DataFrame({"block": [values[i : i + size].tobytes() for i in range(0, len(values), size)]})
+
+    return rows.mapInPandas(pack, "block binary")
+
+
 @dataclass
 class NetworkModel:
     features: list[str]
@@ -123,7 +141,7 @@ def fit_network(
     model = NetworkModel(list(features), sizes, weights, centre[:-1], spread[:-1], centre[-1], spread[-1])
     target = (F.col(label) - F.lit(centre[-1])) / F.lit(spread[-1])
     inputs = [c.alias(f"x{i}") for i, c in enumerate(model.scaled())]
-    train = materialise(rows.select(*inputs, target.alias("y")))
+    train = materialise(packed(rows.select(*inputs, target.alias("y"))))
     count, velocity = fit["n"], np.zeros_like(weights)
     for step in range(iterations):
         ahead = weights + momentum * velocity
@@ -131,8 +149,11 @@ def fit_network(
         def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total, loss = np.zeros_like(ahead), 0.0
             for pdf in batches:
-                g, l = _gradient(pdf.iloc[:, :-1].to_numpy(), pdf["y"].to_numpy(), ahead, sizes)
-                total, loss = total + g, loss + l
+                values = np.frombuffer(b"".join(pdf["block"])).reshape(-1, sizes[0] + 1)
+                for i in range(0, len(values), STEP_ROWS):
+                    part = values[i : i + STEP_ROWS]
+                    g, l = _gradient(part[:, :-1], part[:, -1], ahead, sizes)
+                    total, loss = total + g, loss + l
             yield pd.DataFrame({"i": np.arange(len(total) + 1), "g": np.append(total, loss)})
 
         summed = train.mapInPandas(partial, "i long, g double").groupBy("i").agg(F.sum("g").alias("g"))

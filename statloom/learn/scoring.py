@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from statloom.operators.ordered import join_small
+from statloom.session import materialise
 from statloom.sources.writers import upsert
 
 REGISTRY_SCHEMA = (
@@ -52,6 +53,17 @@ class OncePerRow:
         return join_small(df, found, self.columns, "left")
 
 
+@dataclass
+class WrittenOnce:
+    """A costly model whose predictions are written once, beside the ``keep`` columns, for figures that read them several times."""
+
+    model: object
+    keep: Sequence[str]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return materialise(self.model.transform(df).select(*self.keep, "prediction"))
+
+
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str], classes: int = 0) -> DataFrame:
     """Kept columns, one probability per class and the prediction, for every row.
 

@@ -58,6 +58,39 @@ def test_network_learns(data):
     assert again.losses == pytest.approx(model.losses[:3])
 
 
+def test_network_rows_are_packed_once_and_whole(data, spark):
+    """A pass reads blocks of rows, and the numbers come out as they went in."""
+    df, pdf = data
+    rows = df.select(*X, "y")
+    blocks = [r["block"] for r in neural.packed(rows).collect()]
+    found = np.concatenate([np.frombuffer(b).reshape(-1, 4) for b in blocks])
+    assert sorted(map(tuple, found)) == sorted(map(tuple, pdf[[*X, "y"]].to_numpy()))
+    assert len(blocks) < len(pdf) / 20 and max(map(len, blocks)) <= 8 * neural.BLOCK_NUMBERS
+    assert neural.packed(rows.where("false")).count() == 0
+
+
+def test_predictions_are_computed_once_for_all_figures(data, spark):
+    df, _ = data
+    scored = spark.sparkContext.accumulator(0)
+
+    class Costly:
+        def transform(self, rows):
+            @F.udf("double")
+            def predict(v):
+                scored.add(1)
+                return v
+
+            return rows.withColumn("prediction", predict("x0"))
+
+    def report(model):
+        return selection.generalisation(model, df, df, lambda d: evaluation.regression_metrics(d, "y", "prediction")).collect()
+
+    found, once = report(scoring.WrittenOnce(Costly(), ["y"])), scored.value
+    assert once == 2 * df.count()
+    for a, b in zip(found, report(Costly())):
+        assert a["part"] == b["part"] and a["unscored"] == b["unscored"] and a["rmse"] == pytest.approx(b["rmse"], rel=1e-9)
+
+
 def test_network_gradient():
     rng = np.random.default_rng(0)
     sizes = [2, 3, 2, 1]
