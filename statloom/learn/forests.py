@@ -3,7 +3,8 @@
 Features are binned once and rows are packed into blocks.  A level of all trees is one
 pass over the blocks: every task adds up the weights and positives per (tree, node,
 feature, bin) of its block, the sums are merged by tree, and each open node gets its best split.
-The driver holds the split tables only, for ``most_nodes`` nodes at a time.
+The driver holds the split tables only, for ``MOST_NODES`` nodes at a time; trees of one number of columns
+beyond that are grown in turns and go to the tasks that count the votes in pieces.
 
 Forests of a tuning grid share their trees.  Tree t for a number of columns tried is the same in every
 forest, because its row weights and the columns tried at a node come from hashes.  A forest of
@@ -13,6 +14,7 @@ combinations need as many trees as the largest forest, once per number of column
 
 Rows with equal bins and label take the same way through every tree.  Where rows are at least ``ROWS_A_CELL``
 times as many as such cells, a block holds cells: their rows, and per tree the draws of their rows, added up once.
+Up to ``CELLS_A_TASK`` of them a tree is grown by one task, all its levels in a row, and the trees are dealt over the tasks.
 
 Missing features have a bin of their own, below the others; no row is left out but those without a label.
 """
@@ -32,6 +34,9 @@ BINS = 64
 BLOCK_ROWS = 16384
 MOST_NODES = 2_000_000
 ROWS_A_CELL = 4
+CELLS_A_TASK = 500_000
+NODES_AT_ONCE = 8192
+ROWS_A_VOTE = 4096
 #: Cumulative shares of 0, 1, 2, ... draws of a row into a sample of its table's size.
 _DRAWS = np.array([0.36787944, 0.73575888, 0.9196986, 0.98101184, 0.99634015, 0.99940582, 0.99991676])
 
@@ -166,17 +171,23 @@ def _joined_cells(blocks: DataFrame, width: int, trees: int, cells: int, rows: i
     return blocks.repartition(-(-cells // rows), F.xxhash64("bins")).mapInArrow(run, _CELLS)
 
 
-def _packed(df: DataFrame, key: str | Sequence[str], features: Sequence[str], label: str, cuts: list[list[float]], trees: int, seed: int, block_rows: int) -> tuple[DataFrame, int]:
-    """Blocks of cells where there are few of them, else blocks of rows, and the number of rows; ``trees`` is 0 where no tree draws."""
+def _packed(df: DataFrame, key: str | Sequence[str], features: Sequence[str], label: str, cuts: list[list[float]], trees: int, seed: int, block_rows: int) -> tuple[DataFrame, int, int]:
+    """Blocks of cells where there are few of them, else blocks of rows, and the numbers of rows and cells (0 for rows); ``trees`` is 0 where no tree draws."""
     plain = materialise(packed_rows(df, key, features, label, cuts, block_rows))
     rows = plain.agg(F.sum("n")).first()[0] or 0
     cells = materialise(equal_rows(plain, len(features), 0, seed, block_rows))
     found = cells.agg(F.sum("n")).first()[0] or 0
     if not found or ROWS_A_CELL * found > rows:
-        return plain.withColumns({"wide": F.lit(0), "count": F.lit(None).cast("binary"), "weights": F.lit(None).cast("binary")}), rows
+        return plain.withColumns({"wide": F.lit(0), "count": F.lit(None).cast("binary"), "weights": F.lit(None).cast("binary")}), rows, 0
     if trees:
         cells = materialise(equal_rows(plain, len(features), trees, seed, block_rows))
-    return materialise(_joined_cells(cells, len(features), trees, found, block_rows)), rows
+    # blocks small enough for four tasks a core
+    size = max(1, min(block_rows, -(-found // _tasks(df))))
+    return materialise(_joined_cells(cells, len(features), trees, found, size)), rows, found
+
+
+def _tasks(df: DataFrame) -> int:
+    return max(1, 4 * df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _row_counts(row: dict) -> np.ndarray:
@@ -220,6 +231,15 @@ class Splits:
         """Share of positives in each node; an empty one has none."""
         return self.positive / np.maximum(self.weight, 1)
 
+    def by_tree(self) -> list[tuple[np.ndarray, ...]]:
+        """Feature, cut, left, weight and share of the nodes of each tree, numbered within it."""
+        order = np.argsort(self.tree, kind="stable")
+        first = np.searchsorted(self.tree[order], np.arange(self.tree.max(initial=-1) + 2))
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order)) - first[self.tree[order]]
+        columns = self.feature, self.cut, place[self.left], self.weight, self.share()
+        return [tuple(c[order[a:b]] for c in columns) for a, b in zip(first[:-1], first[1:])]
+
 
 def allowed_features(trees: np.ndarray, nodes: np.ndarray, tried: np.ndarray, width: int, seed: int) -> np.ndarray:
     """Which features each node tries: the ``tried`` ones with the smallest hashes."""
@@ -361,39 +381,180 @@ def grow(
     return splits
 
 
-def _counted(splits, plans: list[tuple[int, dict]], part: str):  # noqa: ANN001, ANN202
-    """Hits and misses of every combination in each block.
+def grown_tree(binned: np.ndarray, label: np.ndarray, weight: np.ndarray, tree: int, tried: int, depth: int, least: int, seed: int) -> Splits:
+    """The tree that ``grow`` makes, from all its cells in one place."""
+    kept = np.flatnonzero(weight)
+    binned, weight = binned[:, kept], weight[kept].astype(float)
+    positive = weight * label[kept]
+    splits, sizes = Splits.roots(1), binned.max(axis=1, initial=0).astype(np.int64) + 1
+    splits.weight[:], splits.positive[:] = weight.sum(), positive.sum()
+    open_nodes, ordinals = np.zeros(1, np.int64), np.zeros(1, np.int64)  # ordinals: place in the tree, as in a heap
+    at = np.zeros(len(kept), np.int64)  # which of the open nodes a cell is in
+    for _ in range(depth):
+        if not len(open_nodes):
+            break
+        allowed = allowed_features(np.full(len(open_nodes), tree), ordinals, np.full(len(open_nodes), tried), len(binned), seed)
+        gain = np.full(len(open_nodes), -1.0)
+        feature, cut, lw, lp = (np.zeros(len(open_nodes), np.int64) for _ in range(4))
+        for f, bins in enumerate(sizes):
+            asking = np.flatnonzero(allowed[:, f])
+            for start in range(0, len(asking), NODES_AT_ONCE):
+                mine = asking[start : start + NODES_AT_ONCE]
+                slot = np.full(len(open_nodes), -1)
+                slot[mine] = np.arange(len(mine))
+                here = slot[at]
+                used = np.flatnonzero(here >= 0)
+                cell = here[used] * bins + binned[f, used]
+                w, p = (np.bincount(cell, x[used], len(mine) * bins).reshape(-1, 1, bins) for x in (weight, positive))
+                _, c, g, a, b = best_splits(w, p, np.ones((len(mine), 1), bool))
+                better = g > gain[mine]  # of equal gains the first feature stays
+                mine = mine[better]
+                gain[mine], feature[mine], cut[mine], lw[mine], lp[mine] = g[better], f, c[better], a[better], b[better]
+        split = (gain > 0) & (splits.weight[open_nodes] >= least)
+        node, size = open_nodes[split], len(splits.feature)
+        if not len(node):
+            break
+        splits.feature[node], splits.cut[node], splits.left[node] = feature[split], cut[split], size + 2 * np.arange(len(node))
+        both = lambda a, b: np.stack([a, b], axis=1).ravel()
+        w, p = (both(x[split], every[node] - x[split]) for x, every in ((lw, splits.weight), (lp, splits.positive)))
+        goes_on = (w >= least) & (p > 0) & (p < w)  # a node that cannot be split needs no sums
+        place, follows = np.full(len(open_nodes), -1), np.full(len(w), -1)
+        place[split], follows[goes_on] = np.arange(len(node)), np.arange(goes_on.sum())
+        right = binned[feature[at], np.arange(len(at))] > cut[at]
+        at = np.where(place[at] >= 0, follows[2 * place[at] + right], -1)
+        stays = np.flatnonzero(at >= 0)
+        binned, weight, positive, at = binned[:, stays], weight[stays], positive[stays], at[stays]
+        ordinals = both(2 * ordinals[split] + 1, 2 * ordinals[split] + 2)[goes_on]
+        open_nodes = size + np.flatnonzero(goes_on)
+        splits = Splits(
+            np.append(splits.feature, np.full(len(w), -1, np.int16)),
+            np.append(splits.cut, np.zeros(len(w), np.uint8)),
+            np.append(splits.left, np.zeros(len(w), np.int64)),
+            np.append(splits.weight, w),
+            np.append(splits.positive, p),
+            np.zeros(size + len(w), np.int64),
+        )
+    return splits
+
+
+_TREE = "width int, tree int, nodes bigint, body binary"
+_NODE = (np.int16, np.uint8, np.int32, np.int64, np.float64)
+
 
-    ``plans``: per split size, the combinations (number, first trees) by depth; under -1 the first root and the trees.
+def grow_whole(blocks: DataFrame, sizes: dict[int, int], depths: dict[int, int], least: int, seed: int, sample: bool) -> DataFrame:
+    """Trees from blocks of cells: ``sizes`` trees for each number of columns tried, each grown to its depth by one task.
+
+    A task gets all cells, with the draws for its own trees only.
     """
+    most = max(sizes.values())
+    numbers = np.array_split(np.arange(most), min(most, _tasks(blocks)))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["group", "n", "label", "bins", "wide", "count", "weights"]
+        types = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
+        for batch in batches:
+            for r in batch.to_pylist():
+                for g, mine in enumerate(numbers):
+                    a_tree = r["n"] * r["wide"]
+                    drawn = r["weights"][mine[0] * a_tree : (mine[-1] + 1) * a_tree] if sample else b""
+                    row = (g, r["n"], r["label"], r["bins"], r["wide"], r["count"], drawn)
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: dict[int, list[dict]] = {}
+        for batch in batches:
+            for r in batch.to_pylist():
+                groups.setdefault(r["group"], []).append(r)
+        for g, held in groups.items():
+            label = np.concatenate([np.frombuffer(r["label"], np.uint8) for r in held])
+            binned = np.concatenate([np.frombuffer(r["bins"], np.uint8).reshape(-1, r["n"]) for r in held], axis=1)
+            for i, tree in enumerate(numbers[g].tolist()):
+                weight = np.concatenate([_tree_weights(r, i, seed, sample) for r in held])
+                for width, size in sizes.items():
+                    if tree < size:
+                        s = grown_tree(binned, label, weight, tree, width, depths[width], least, seed)
+                        columns = s.by_tree()[0]
+                        body = b"".join(c.astype(t).tobytes() for c, t in zip(columns, _NODE))
+                        row = zip((width, tree, len(s.feature), body), (pa.int32(), pa.int32(), pa.int64(), pa.binary()))
+                        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in row], ["width", "tree", "nodes", "body"])
+
+    dealt = blocks.mapInArrow(deal, "group int, n bigint, label binary, bins binary, wide int, count binary, weights binary")
+    return dealt.repartitionById(len(numbers), "group").mapInArrow(run, _TREE)
+
+
+def _unpacked(nodes: int, body: bytes) -> tuple[np.ndarray, ...]:
+    columns, at = [], 0
+    for t in _NODE:
+        columns.append(np.frombuffer(body, t, nodes, at))
+        at += nodes * np.dtype(t).itemsize
+    return tuple(columns)
+
+
+def _pieces(grown: DataFrame, width: int, most_nodes: int) -> list:
+    """Broadcasts of the trees of one number of columns, in their order, about ``most_nodes`` nodes each."""
+    sc, own = grown.sparkSession.sparkContext, grown.where(F.col("width") == width)
+    sizes = sorted((r["tree"], r["nodes"]) for r in own.select("tree", "nodes").collect())  # one row per tree
+    turn = np.cumsum([n for _, n in sizes]) // most_nodes
+    out = []
+    for t in np.unique(turn):
+        mine = [tree for (tree, _), own_turn in zip(sizes, turn) if own_turn == t]
+        rows = own.where(F.col("tree").between(mine[0], mine[-1])).collect()  # split tables
+        out.append(sc.broadcast([_unpacked(r["nodes"], r["body"]) for r in sorted(rows, key=lambda r: r["tree"])]))
+    return out
+
+
+def _path(tree: tuple[np.ndarray, ...], binned: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weight and share of the nodes on the way of each row, one line a level; it stays at its leaf."""
+    feature, cut, left, weight, share = tree
+    rows, at = np.arange(binned.shape[1]), np.zeros(binned.shape[1], np.int32)
+    weights, shares = np.empty((depth + 1, len(rows)), np.int64), np.empty((depth + 1, len(rows)))
+    for level in range(depth + 1):
+        weights[level], shares[level] = weight[at], share[at]
+        if level < depth:
+            f = feature[at]
+            at = np.where(f >= 0, left[at] + (binned[f, rows] > cut[at]), at)
+    return weights, shares
+
+
+def _counted(pieces: list, mine: list[tuple[int, dict]]):  # noqa: ANN202
+    """Hits and misses of every combination of one number of columns tried in each block.
+
+    A forest stops at the first node lighter than its split size.  Nodes get lighter on the way down, so one way through
+    a tree tells where each split size and depth ends, and the votes are added up tree by tree.
+    """
+    slots = sorted({(int(c["min_split"]), int(c["depth"])) for _, c in mine})
+    after: dict[int, list[tuple[int, int, int]]] = {}  # combinations that are complete after so many trees
+    for at, (_, c) in enumerate(mine):
+        after.setdefault(int(c["trees"]), []).append((at, slots.index((int(c["min_split"]), int(c["depth"]))), int(c["trees"])))
+    numbers = [i for i, _ in mine]
+    depth, trees = max(d for _, d in slots), max(after)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = Splits(*splits.value)
-        share = s.share()
         for batch in batches:
             for row in batch.to_pylist():
                 label, binned = np.frombuffer(row["label"], np.uint8), np.frombuffer(row["bins"], np.uint8).reshape(-1, row["n"])
                 count = _row_counts(row)
-                out: list[tuple] = []
-                for start in range(0, row["n"], 2048):  # a bounded number of rows by all trees at once
-                    y, own = label[start : start + 2048] == 1, binned[:, start : start + 2048]
-                    own_count = count[start : start + 2048]
-                    least, by_depth = plans[row["plan"]]
-                    root, width = by_depth[-1]
-                    at = np.repeat(np.arange(root, root + width)[:, None], len(y), axis=1)
-                    places = np.broadcast_to(np.arange(len(y)), at.shape)
-                    for depth in range(max(d for d in by_depth if d >= 0) + 1):
-                        if depth:
-                            at = s.step(at, own, places, least)
-                        if depth in by_depth:
-                            votes = np.cumsum(share[at], axis=0)
-                            for number, trees in by_depth[depth]:
-                                yes = votes[trees - 1] > trees / 2
-                                out.append((number, *(int(own_count[c].sum()) for c in (yes & y, yes & ~y, ~yes & y, ~yes & ~y))))
-                columns = list(zip(*out))
-                yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(c, pa.int64()) for c in columns], pa.array([part] * len(out))], ["number", "tp", "fp", "fn", "tn", "part"]
-                )
+                sums = np.zeros((4, len(numbers)), np.int64)
+                for start in range(0, row["n"], ROWS_A_VOTE):  # a bounded number of rows at a time
+                    y, own = label[start : start + ROWS_A_VOTE] == 1, binned[:, start : start + ROWS_A_VOTE]
+                    own_count, places = count[start : start + ROWS_A_VOTE], np.arange(own.shape[1])
+                    votes = np.zeros((len(slots), len(y)))
+                    done = 0
+                    for tree in (t for piece in pieces for t in piece.value):
+                        if done == trees:
+                            break
+                        weights, shares = _path(tree, own, depth)
+                        size = None
+                        for s, (least, level) in enumerate(slots):
+                            if least != size:
+                                size, steps = least, (weights[:depth] >= least).sum(axis=0)
+                            votes[s] += shares.ravel()[np.minimum(steps, level) * len(y) + places]
+                        done += 1
+                        for at, s, n in after.get(done, ()):
+                            yes = votes[s] > n / 2
+                            sums[:, at] += [int(own_count[c].sum()) for c in (yes & y, yes & ~y, ~yes & y, ~yes & ~y)]
+                columns = [pa.array(numbers, pa.int64()), *[pa.array(c, pa.int64()) for c in sums], pa.array([row["part"]] * len(numbers))]
+                yield pa.RecordBatch.from_arrays(columns, ["number", "tp", "fp", "fn", "tn", "part"])
 
     return run
 
@@ -409,13 +570,14 @@ def tune_forests(
     sample: bool = True,
     bins: int = BINS,
     block_rows: int = BLOCK_ROWS,
-    most_nodes: int = MOST_NODES,
+    most_nodes: int | None = None,
 ) -> DataFrame:
     """One row per combination with counts and F-score on training and test rows.
 
     ``combinations`` has the whole columns ``trees``, ``depth``, ``per_split`` (columns tried at a node) and
     ``min_split`` (lightest node that is split).  Votes are mean leaf shares; a tie is class 0.  With
-    ``sample`` a tree draws its rows with replacement, else it takes each once.
+    ``sample`` a tree draws its rows with replacement, else it takes each once.  ``most_nodes`` makes it an error
+    that the trees for one number of columns tried may have more nodes; without it the driver takes them in turns.
     """
     spark = train.sparkSession
     if bins > 255:
@@ -423,29 +585,37 @@ def tune_forests(
     tried = [r.asDict() for r in combinations.select("trees", "depth", "per_split", "min_split").collect()]  # the sampled parameters
     for c in tried:
         c["width"] = max(1, min(int(c["per_split"]), len(features)))
+    if not tried:
+        return spark.createDataFrame([], "trees int, depth int, per_split int, min_split int, train_f_score double, test_f_score double, train_rows long, test_rows long")
+    by_width = {w: [(i, c) for i, c in enumerate(tried) if c["width"] == w] for w in sorted({c["width"] for c in tried})}
+    sizes = {w: max(int(c["trees"]) for _, c in mine) for w, mine in by_width.items()}
+    depths = {w: max(int(c["depth"]) for _, c in mine) for w, mine in by_width.items()}
     cuts = bin_cuts(train, features, bins)
-    drawn = max((int(c["trees"]) for c in tried), default=0) if sample else 0
+    drawn = max(sizes.values()) if sample else 0
     packed = {name: _packed(d, key, features, label, cuts, n, seed, block_rows) for name, d, n in (("train", train, drawn), ("test", test, 0))}
-    parts, rows = {name: blocks for name, (blocks, _) in packed.items()}, packed["train"][1]
-    least = max(2, min((int(c["min_split"]) for c in tried), default=2))
-    depth = max((int(c["depth"]) for c in tried), default=0)
-    a_tree = min(2 ** (depth + 1), 2 * max(1, int(rows) // least) * 2)
-    at_once = max(1, most_nodes // a_tree)
-    # as many numbers of columns tried at once as the driver may hold split tables for
-    batches: list[dict[int, int]] = []
-    for width in sorted({c["width"] for c in tried}):
-        most_trees = max(int(c["trees"]) for c in tried if c["width"] == width)
-        if most_trees > at_once:
-            raise ValueError(f"{most_trees} trees of {a_tree} nodes are more than most_nodes={most_nodes}")
-        if not batches or sum(batches[-1].values()) + most_trees > at_once:
-            batches.append({})
-        batches[-1][width] = most_trees
+    blocks, rows, cells = packed["train"]
+    least = max(2, min(int(c["min_split"]) for c in tried))
+    a_tree = min(2 ** (max(depths.values()) + 1), 2 * max(1, int(rows) // least) * 2)
+    if most_nodes is not None and max(sizes.values()) * a_tree > most_nodes:
+        raise ValueError(f"{max(sizes.values())} trees of {a_tree} nodes are more than most_nodes={most_nodes}")
+    scored = [d.select("n", "label", "bins", "count", F.lit(name).alias("part")) for name, (d, _, _) in packed.items()]
+    scored = scored[0].unionByName(scored[1])
     counts = []
-    for sizes in batches:
-        mine = [(i, c) for i, c in enumerate(tried) if c["width"] in sizes]
-        counts += _evaluated(parts, mine, sizes, len(features), least, seed, sample, bins + 1)
-    if not counts:
-        return spark.createDataFrame([], "trees int, depth int, per_split int, min_split int, train_f_score double, test_f_score double, train_rows long, test_rows long")
+    if 0 < cells <= CELLS_A_TASK:
+        grown = materialise(grow_whole(blocks, sizes, depths, least, seed, sample))
+        for w, mine in by_width.items():
+            counts.append(_votes(scored, _pieces(grown, w, MOST_NODES), mine))
+    else:
+        trees = [(t, w) for w, size in sizes.items() for t in range(size)]
+        at_once = max(1, MOST_NODES // a_tree)  # as many trees as the driver may hold split tables for
+        pieces: dict[int, list] = {w: [] for w in sizes}
+        for start in range(0, len(trees), at_once):
+            turn = trees[start : start + at_once]
+            tables = grow(blocks, turn, len(features), max(depths[w] for _, w in turn), least, seed, sample, bins + 1).by_tree()
+            for w in dict.fromkeys(w for _, w in turn):
+                pieces[w].append(spark.sparkContext.broadcast([x for x, (_, own) in zip(tables, turn) if own == w]))
+                if (sizes[w] - 1, w) in turn:  # the last one
+                    counts.append(_votes(scored, pieces.pop(w), by_width[w]))
     every = counts[0]
     for c in counts[1:]:
         every = every.unionByName(c)
@@ -457,23 +627,11 @@ def tune_forests(
     return named.join(sums, "number", "left").select("trees", "depth", "per_split", "min_split", f("train"), f("test"), n("train"), n("test"))
 
 
-def _evaluated(parts, mine, sizes: dict[int, int], features, least, seed, sample, bins) -> list[DataFrame]:  # noqa: ANN001
-    """Grow the trees for these numbers of columns tried and count hits of all their combinations; written, so the trees can go."""
-    spark = parts["train"].sparkSession
-    trees = [(t, width) for width, most in sizes.items() for t in range(most)]
-    splits = grow(parts["train"], trees, features, max(int(c["depth"]) for _, c in mine), least, seed, sample, bins)
-    plans = []
-    for width, size in sorted({(c["width"], int(c["min_split"])) for _, c in mine}):
-        by_depth: dict = {-1: (trees.index((0, width)), sizes[width])}
-        for i, c in mine:
-            if (c["width"], int(c["min_split"])) == (width, size):
-                by_depth.setdefault(int(c["depth"]), []).append((i, int(c["trees"])))
-        plans.append((size, by_depth))
-    sent = spark.sparkContext.broadcast(splits.arrays())
-    schema = "number bigint, tp bigint, fp bigint, fn bigint, tn bigint, part string"
-    out = []
-    for part, blocks in parts.items():
-        dealt = blocks.drop("key", "weights").withColumn("plan", F.explode(F.sequence(F.lit(0), F.lit(len(plans) - 1)))).repartition("plan", "bins")
-        found = dealt.mapInArrow(_counted(sent, plans, part), schema)
-        out.append(materialise(found.groupBy("number", "part").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")])))
+def _votes(scored: DataFrame, pieces: list, mine: list[tuple[int, dict]]) -> DataFrame:
+    """Hits and misses of the combinations for one number of columns tried; written, so the trees can go."""
+    dealt = scored.repartition(_tasks(scored), "part", "bins")
+    found = dealt.mapInArrow(_counted(pieces, mine), "number bigint, tp bigint, fp bigint, fn bigint, tn bigint, part string")
+    out = materialise(found.groupBy("number", "part").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")]))
+    for piece in pieces:
+        piece.destroy()
     return out

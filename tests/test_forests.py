@@ -108,3 +108,33 @@ def test_equal_rows_count_once(spark, table, monkeypatch, sample):
     assert sum(r["n"] for r in made[0][0].collect()) == 30 and made[0][1] == 588
     monkeypatch.setattr(forests, "ROWS_A_CELL", 1000)
     assert tune() == cells and sum(r["n"] for r in made[2][0].collect()) == 588
+
+
+def test_more_trees_than_the_driver_holds_at_once(spark, table, monkeypatch):
+    """Without a limit of its own a call grows and counts in turns; blocks of cells and of rows agree with one turn."""
+    rows = table.select("id", "a", "c", "y")
+    combos = spark.createDataFrame([(7, 4, 1, 10), (5, 2, 1, 20), (6, 3, 2, 12)], "trees int, depth int, per_split int, min_split int")
+    tune = lambda: sorted(map(tuple, forests.tune_forests(rows, rows.where("id % 3 = 0"), combos, ["a", "c"], "y", "id", block_rows=100).collect()))
+    whole = tune()
+    sent, broadcast = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda sc, v: sent.append(v) or broadcast(sc, v))
+    monkeypatch.setattr(forests, "MOST_NODES", 40)
+    assert tune() == whole and len(sent) > 4  # in pieces
+    monkeypatch.setattr(forests, "CELLS_A_TASK", 0)
+    assert tune() == whole
+    monkeypatch.setattr(forests, "ROWS_A_CELL", 1000)
+    assert tune() == whole
+
+
+@pytest.mark.parametrize("tried", [1, 3])
+def test_whole_tree_is_the_one_grown_by_levels(spark, table, tried):
+    features = ["a", "b", "c"]
+    cuts = forests.bin_cuts(table, features, 16)
+    packed = forests.packed_rows(table, "id", features, "y", cuts, 100)
+    rows = packed.selectExpr("*", "0 AS wide", "CAST(NULL AS BINARY) AS count", "CAST(NULL AS BINARY) AS weights")
+    by_level = forests.grow(rows, [(0, tried), (1, tried), (2, tried)], 3, 6, 12, bins=17).by_tree()
+    keys, label, bins = zip(*[forests._block(r["n"], r["key"], r["label"], r["bins"]) for r in packed.collect()])
+    keys, label, bins = np.concatenate(keys), np.concatenate(label), np.concatenate(bins, axis=1)
+    for t, want in enumerate(by_level):
+        got = forests.grown_tree(bins, label, forests.draws(keys, t, 1), t, tried, 6, 12, 1).by_tree()[0]
+        assert len(want[0]) > 5 and all(np.array_equal(g, w) for g, w in zip(got, want))
