@@ -69,6 +69,8 @@ def learner(kind: str, label: str, seed: int = 1, classes: int = 2, width: int =
         "numTrees": options.get("trees", 20),
         "featureSubsetStrategy": str(options.get("per_split", "auto")),
         "subsamplingRate": options.get("share", 1.0),
+        # a row's place in each deep tree is kept between the passes, not looked up from the root in every one
+        "cacheNodeIds": tree["maxDepth"] > 10,
     }
     boost = tree | {"maxIter": options.get("trees", 20), "stepSize": options.get("rate", 0.1)}
     if kind == "linear":

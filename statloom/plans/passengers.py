@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from statloom.functions import scalars as S
 from statloom.learn import neighbours
 from statloom.learn.evaluation import binary_metrics
 from statloom.learn.selection import cross_validate, fold_summary
-from statloom.learn.training import model_pipeline, rbf_svm
+from statloom.learn.training import count_cells, equal_rows, fit_cells, model_pipeline, rbf_svm
 from statloom.operators import bins, clean
 from statloom.operators.relational import union_all
 from statloom.operators.sampling import train_test_split
@@ -90,7 +93,8 @@ def learner_scores(known: DataFrame, seed: int = 123) -> DataFrame:
     Five learners (logistic, kernel machine, three nearest, tree, forest), the tree without the
     port, and the smaller tree: (learner, part, rows, accuracy, majority).
     """
-    train, test = (materialise(d) for d in train_test_split(known, "passenger_id", 70, seed))
+    # dealt out over the cores: every step of a learner passes over the rows
+    train, test = (materialise(d, ["passenger_id"]) for d in train_test_split(known, "passenger_id", 70, seed))
     small = [f for f in FEATURES if f != "embarked"]
     models = {
         "logistic": model_pipeline("logistic", FEATURES, "survived"),
@@ -103,18 +107,33 @@ def learner_scores(known: DataFrame, seed: int = 123) -> DataFrame:
     vector = neighbours.feature_array(FEATURES)
     held = train.withColumn("_v", vector)
     parts = {"train": train, "test": test}
+    # one part a core but one: the many short steps of the other learners need not wait for the long ones of the forest
+    whole = train.coalesce(max(1, train.sparkSession.sparkContext.defaultParallelism - 1))
+
+    def fit(name: str) -> PipelineModel:
+        cells = equal_rows(models[name], train, FEATURES)
+        return models[name].fit(whole) if cells is None else fit_cells(models[name], train, cells)
+
+    def classify(part: str) -> DataFrame:
+        near = neighbours.classify(held, parts[part].withColumn("_v", vector), "_v", "survived", "passenger_id", k=3)
+        known_class = parts[part].select("passenger_id", "survived").join(near, "passenger_id")
+        return materialise(known_class.groupBy("survived", F.col("predicted").alias("prediction")).agg(F.count(F.lit(1)).cast("double").alias("_n")))
+
+    with ThreadPoolExecutor(len(models) + len(parts)) as pool:  # independent of each other
+        near = {part: pool.submit(classify, part) for part in parts}
+        fitted = dict(zip(models, pool.map(fit, models)))
     found = []
-    for name, pipeline in models.items():
-        fitted = pipeline.fit(train)
-        found += [(name, part, fitted.transform(rows).select("survived", "prediction")) for part, rows in parts.items()]
     for part, rows in parts.items():
-        near = neighbours.classify(held, rows.withColumn("_v", vector), "_v", "survived", "passenger_id", k=3)
-        known_class = rows.select("passenger_id", "survived").join(near, "passenger_id")
-        found.append(("three_nearest", part, known_class.select("survived", F.col("predicted").alias("prediction"))))
-    right = F.avg((F.col("survived") == F.col("prediction")).cast("double"))
-    majority = F.greatest(F.avg("survived"), 1 - F.avg("survived"))
+        # equal rows get one prediction, weighed with their number
+        cells = count_cells(rows, [*FEATURES, "survived"], {"_n": F.lit(1)})
+        scored = rows.withColumn("_n", F.lit(1.0)) if cells is None else cells
+        found += [(name, part, model.transform(scored).select("survived", "prediction", "_n")) for name, model in fitted.items()]
+        found.append(("three_nearest", part, near[part].result()))
+    share = lambda condition: F.sum(F.when(condition, F.col("_n")).otherwise(0.0)) / F.sum("_n")
+    right = share(F.col("survived") == F.col("prediction"))
+    majority = F.greatest(share(F.col("survived") == 1), share(F.col("survived") != 1))
     rows = [
-        d.agg(F.count(F.lit(1)).alias("rows"), (100 * right).alias("accuracy"), (100 * majority).alias("majority")).select(
+        d.agg(F.sum("_n").cast("long").alias("rows"), (100 * right).alias("accuracy"), (100 * majority).alias("majority")).select(
             F.lit(name).alias("learner"), F.lit(part).alias("part"), "*"
         )
         for name, part, d in found

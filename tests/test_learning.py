@@ -318,3 +318,24 @@ def test_ensemble_scores_equal_rows_once(repeated, spark):
     holes = repeated.withColumn("x1", F.when(F.col("id") % 50 != 0, F.col("x1")))
     want = {r["id"]: r["prediction"] for r in model.transform(holes).collect()}
     assert {r["id"]: r["prediction"] for r in scoring.OncePerRow(model, X).transform(holes).collect()} == want
+
+
+def test_learner_scores_take_equal_rows_once(spark, monkeypatch):
+    """The figures are those of a model scored row by row; learners with weights are fitted on distinct rows."""
+    from statloom.plans import passengers
+
+    rng = np.random.default_rng(11)
+    columns = {f: rng.integers(0, n, 1200) for f, n in zip(passengers.FEATURES, (2, 2, 1, 2, 2, 2, 1))}
+    y = ((columns["sex"] + columns["pclass"] + rng.integers(0, 2, 1200)) > 1).astype(int)
+    known = spark.createDataFrame(pd.DataFrame({"passenger_id": np.arange(1200), **columns, "survived": y}))
+    fits, fit = [], passengers.fit_cells
+    monkeypatch.setattr(passengers, "fit_cells", lambda p, d, cells: fits.append((d.count(), cells.count())) or fit(p, d, cells))
+    rows = {(r["learner"], r["part"]): r for r in passengers.learner_scores(known).collect()}
+    assert len(rows) == 14 and len(fits) == 4 and all(cells < n / 2 for n, cells in fits)
+    train, test = passengers.train_test_split(known, "passenger_id", 70, 123)
+    tree = training.model_pipeline("tree_classifier", passengers.FEATURES, "survived", depth=20).fit(train)
+    for part, d in {"train": train, "test": test}.items():
+        want = tree.transform(d).agg(F.count("*").alias("n"), F.avg((F.col("survived") == F.col("prediction")).cast("double")).alias("a"), F.avg("survived").alias("m")).first()
+        got = rows["tree", part]
+        assert got["rows"] == want["n"] and got["accuracy"] == pytest.approx(100 * want["a"])
+        assert all(rows[k, part]["majority"] == pytest.approx(100 * max(want["m"], 1 - want["m"])) and rows[k, part]["rows"] == want["n"] for k, p in rows if p == part)
