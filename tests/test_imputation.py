@@ -125,3 +125,30 @@ def test_equal_predictions_are_spread(spark):
     assert len(values) == 400 and all(v % 4 != 0 for v in values)
     part = imputation._range_of(F.lit(1.0), [0.0, 1.0, 1.0, 1.0, 2.0], F.col("id"))
     assert {r[0] for r in spark.range(60).select(part).collect()} == {1, 2, 3}
+
+
+@pytest.mark.parametrize("donors", [1, 4])
+def test_blocks_in_ranges_fill_like_one_sorted_list(spark, monkeypatch, donors):
+    """Rows without a gap lie in blocks, several ranges and blocks take the donors of one list, and a step writes the rows with a gap once."""
+    rng = np.random.default_rng(12)
+    b, c = rng.normal(size=900), rng.integers(0, 4, 900)
+    rows = [(i, None if i % 6 == 0 else float(b[i] + c[i]), None if i % 10 == 3 else float(round(b[i], 1)), float(c[i])) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double").coalesce(3)
+    run = lambda **o: [tuple(r) for r in imputation.impute_pmm(df, ["a", "b"], ["c"], iterations=3, donors=donors, **o).orderBy("id").collect()]
+    one = run()
+    monkeypatch.setattr(imputation, "BLOCK_ROWS", 50)
+    written, write = [], imputation.materialise
+    monkeypatch.setattr(imputation, "materialise", lambda d: written.append(write(d)) or written[-1])
+    assert run(rows_per_split=60) == one
+    gaps = sum(r[1] is None or r[2] is None for r in rows)
+    assert written[3].count() > 3 and written[3].agg(F.sum("n")).first()[0] == written[2].count()
+    assert [t.count() for t in written[4:]] == [gaps] * 6 and "_copies" not in written[-1].columns
+
+
+def test_cuts_deal_rows_out_evenly():
+    x = np.random.default_rng(2).normal(size=(2, 10_000))
+    products = imputation.Products(["a", "b"], ["a"], {"a": 0.0, "b": 1.0}, {"a": 1.0, "b": 2.0}, {}, np.zeros((3, 3)))
+    cuts = imputation._cuts(products, np.array([3.0, 0.0, -2.0]), x[:, ::10], 8)
+    part = imputation._range_at(3 - 2 * ((x[1] - 1) / 2), np.array(cuts))
+    assert np.bincount(part, minlength=8).min() > 1000 and (np.diff(cuts) > 0).all()
+    assert np.bincount(imputation._range_at(np.ones(90), np.array([0.0, 1.0, 1.0, 1.0, 2.0]))).tolist() == [0, 30, 30, 30]
